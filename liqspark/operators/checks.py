@@ -157,12 +157,19 @@ SEVERITIES = ("warn", "error")
 
 @dataclass(frozen=True)
 class Check:
-    """A named check on a table; ``failing`` is the lazy failing-row frame."""
+    """A named check on a table; ``failing`` is the lazy failing-row frame.
+
+    Row-level checks also carry ``source`` and ``predicate`` (failing rows are
+    ``source.where(predicate)``); :func:`run_checks` counts all such checks of
+    one table in a single scan.
+    """
 
     check_id: str
     table: str
     failing: DataFrame
     severity: str = "warn"
+    source: DataFrame | None = None
+    predicate: Column | None = None
 
     def __post_init__(self):
         if self.severity not in SEVERITIES:
@@ -176,26 +183,45 @@ RESULT_SCHEMA = T.StructType([
 ])
 
 
-def _status(failures: Column, severity: str) -> Column:
-    return F.when(failures == 0, F.lit("pass")).otherwise(F.lit("fail" if severity == "error" else "warn"))
+def row_check(check_id: str, table: str, source: DataFrame, predicate: Column, severity: str = "warn") -> Check:
+    """A check whose failing rows are ``source.where(predicate)``."""
+    return Check(check_id, table, source.where(predicate), severity, source, predicate)
+
+
+def _fused_counts(source: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Failure counts of many row-level checks on one table in one scan:
+    a global conditional aggregation, unpivoted to one row per check."""
+    counts = source.agg(*[F.count(F.when(c.predicate, F.lit(1))).alias(f"_c{i}") for i, c in enumerate(checks)])
+    rows = F.array(*[F.struct(F.lit(c.check_id).alias("check_id"), F.lit(c.table).alias("table_name"),
+                              F.lit(c.severity).alias("severity"), F.col(f"_c{i}").alias("failures"))
+                     for i, c in enumerate(checks)])
+    return counts.select(F.explode(rows).alias("r")).select("r.*")
 
 
 def run_checks(spark: SparkSession, checks: Sequence[Check]) -> DataFrame:
     """One row per check: failure count and status (pass / warn / fail).
 
-    Each failing frame is reduced to a one-row global count on the executors;
-    the union of those rows is the result, so one action runs the suite.
+    Row-level checks of the same table are counted together in one scan;
+    every other failing frame is reduced to a one-row global count. The
+    union of those rows is the result, so one action runs the suite and no
+    failing row reaches the driver.
     """
     if not checks:
         return spark.createDataFrame([], RESULT_SCHEMA)
-    rows = []
+    parts = []
+    groups: dict[int, tuple[DataFrame, list[Check]]] = {}
     for c in checks:
-        n = F.count(F.lit(1))
-        rows.append(c.failing.agg(n.alias("failures")).select(
-            F.lit(c.check_id).alias("check_id"), F.lit(c.table).alias("table_name"),
-            F.lit(c.severity).alias("severity"), F.col("failures"),
-            _status(F.col("failures"), c.severity).alias("status")))
-    return reduce(DataFrame.unionByName, rows)
+        if c.source is not None and c.predicate is not None:
+            groups.setdefault(id(c.source), (c.source, []))[1].append(c)
+        else:
+            parts.append(c.failing.agg(F.count(F.lit(1)).alias("failures")).select(
+                F.lit(c.check_id).alias("check_id"), F.lit(c.table).alias("table_name"),
+                F.lit(c.severity).alias("severity"), F.col("failures")))
+    parts += [_fused_counts(src, cs) for src, cs in groups.values()]
+    counted = reduce(DataFrame.unionByName, parts)
+    status = F.when(F.col("failures") == 0, F.lit("pass")).when(F.col("severity") == "error", F.lit("fail")) \
+        .otherwise(F.lit("warn"))
+    return counted.select("check_id", "table_name", "severity", "failures", status.alias("status"))
 
 
 def store_failures(checks: Sequence[Check], base_path: str, mode: str = "overwrite") -> None:

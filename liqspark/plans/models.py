@@ -1,15 +1,18 @@
-"""The model lineage as lazy DataFrames: raw feeds -> staging -> book ->
-risk / cashflow -> reports -> DQ metrics.
-
-Nothing here runs a job; each accessor returns a DataFrame whose plan Catalyst
-optimises as a whole (shared sub-plans are reused through exchange reuse).
+"""The model lineage: raw feeds -> staging -> book -> risk / cashflow ->
+reports -> DQ metrics.
+
+Lazy by default: each model is a DataFrame whose plan Catalyst optimises as a
+whole. With ``store`` set, every model is written once as a partitioned
+Parquet table under that folder (in dependency order) and downstream models
+read the stored table, as the daily job does: lineage is cut at each model,
+checks scan stored files with column and partition pruning, and a lost
+executor recomputes from the last stored model, not from the raw feeds.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
-from functools import cached_property
+from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,18 +22,26 @@ from ..operators import regulatory as reg
 from ..operators import risk as rk
 from ..operators import staging as stg
 from ..operators import thresholds as th
-from ..sources import fixtures, seeds
+from ..schemas import PARTITION_DATE
+from ..sources import fixtures, seeds, sinks
+
+MODEL_NAMES = (
+    "stg_market_data", "stg_positions_loans", "stg_positions_deposits", "mart_positions",
+    "mart_liquidity_risk", "mart_cashflow_forecast", "rpt_lcr", "rpt_nsfr", "rpt_fr2052a_outflows",
+    "rpt_fr2052a_inflows", "rpt_fr2052a_supplemental", "mart_positions_dq_metrics",
+)
+# Storage partitioning per model (the book is also split by source system).
+PARTITIONING = {name: (PARTITION_DATE,) for name in MODEL_NAMES}
+PARTITIONING["mart_positions"] = (PARTITION_DATE, "source_system")
 
 
-@dataclass
 class Lineage:
-    """All models for one run, built from three raw feeds."""
+    """All models of one run, built from the three raw feeds."""
 
-    spark: SparkSession
-    raw: dict[str, DataFrame]
-    as_of: dt.date = fixtures.AS_OF
-    mode: str = "full"
-    rules: tuple = field(default=th.POSITION_RULES)
+    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], as_of: dt.date = fixtures.AS_OF,
+                 mode: str = "full", rules=th.POSITION_RULES, store: str | None = None):
+        self.spark, self.raw, self.as_of, self.mode, self.rules, self.store = spark, raw, as_of, mode, rules, store
+        self._cache: dict[str, DataFrame] = {}
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "Lineage":
@@ -39,60 +50,44 @@ class Lineage:
     def seed(self, name: str) -> DataFrame:
         return seeds.load_seed(self.spark, name)
 
-    @cached_property
-    def stg_market_data(self) -> DataFrame:
-        return stg.stage_market_data(self.raw["market_data"], self.as_of, self.mode)
-
-    @cached_property
-    def stg_positions_loans(self) -> DataFrame:
-        return stg.stage_positions(self.raw["positions_loans"], self.as_of, self.mode)
-
-    @cached_property
-    def stg_positions_deposits(self) -> DataFrame:
-        return stg.stage_positions(self.raw["positions_deposits"], self.as_of, self.mode)
-
-    @cached_property
-    def mart_positions(self) -> DataFrame:
-        return pos.unify_positions(self.stg_positions_loans, self.stg_positions_deposits)
-
-    @cached_property
-    def mart_liquidity_risk(self) -> DataFrame:
-        return rk.liquidity_risk(self.mart_positions, self.stg_market_data)
-
-    @cached_property
-    def mart_cashflow_forecast(self) -> DataFrame:
-        return cf.cashflow_forecast(self.mart_positions, self.stg_market_data)
-
-    @cached_property
-    def rpt_lcr(self) -> DataFrame:
-        return reg.lcr(self.mart_positions, self.mart_cashflow_forecast, self.seed("seed_hqla_classification"))
-
-    @cached_property
-    def rpt_nsfr(self) -> DataFrame:
-        return reg.nsfr(self.mart_positions, self.seed("seed_nsfr_factors"))
-
-    @cached_property
-    def rpt_fr2052a_outflows(self) -> DataFrame:
-        return reg.fr2052a_outflows(self.mart_positions, self.seed("seed_fr2052a_product_mapping"))
-
-    @cached_property
-    def rpt_fr2052a_inflows(self) -> DataFrame:
-        return reg.fr2052a_inflows(self.mart_positions, self.seed("seed_fr2052a_product_mapping"))
-
-    @cached_property
-    def rpt_fr2052a_supplemental(self) -> DataFrame:
-        return reg.fr2052a_supplemental(self.mart_positions, self.mart_liquidity_risk)
-
-    @cached_property
-    def mart_positions_dq_metrics(self) -> DataFrame:
-        return th.agg_threshold_metrics(self.mart_positions, self.as_of, self.rules)
+    def _builders(self) -> dict[str, Callable[[], DataFrame]]:
+        t = self.table
+        return {
+            "stg_market_data": lambda: stg.stage_market_data(self.raw["market_data"], self.as_of, self.mode),
+            "stg_positions_loans": lambda: stg.stage_positions(self.raw["positions_loans"], self.as_of, self.mode),
+            "stg_positions_deposits": lambda: stg.stage_positions(self.raw["positions_deposits"], self.as_of,
+                                                                  self.mode),
+            "mart_positions": lambda: pos.unify_positions(t("stg_positions_loans"), t("stg_positions_deposits")),
+            "mart_liquidity_risk": lambda: rk.liquidity_risk(t("mart_positions"), t("stg_market_data")),
+            "mart_cashflow_forecast": lambda: cf.cashflow_forecast(t("mart_positions"), t("stg_market_data")),
+            "rpt_lcr": lambda: reg.lcr(t("mart_positions"), t("mart_cashflow_forecast"),
+                                       self.seed("seed_hqla_classification")),
+            "rpt_nsfr": lambda: reg.nsfr(t("mart_positions"), self.seed("seed_nsfr_factors")),
+            "rpt_fr2052a_outflows": lambda: reg.fr2052a_outflows(t("mart_positions"),
+                                                                 self.seed("seed_fr2052a_product_mapping")),
+            "rpt_fr2052a_inflows": lambda: reg.fr2052a_inflows(t("mart_positions"),
+                                                               self.seed("seed_fr2052a_product_mapping")),
+            "rpt_fr2052a_supplemental": lambda: reg.fr2052a_supplemental(t("mart_positions"),
+                                                                         t("mart_liquidity_risk")),
+            "mart_positions_dq_metrics": lambda: th.agg_threshold_metrics(t("mart_positions"), self.as_of,
+                                                                          self.rules),
+        }
 
     def table(self, name: str) -> DataFrame:
-        return getattr(self, name)
-
-
-MODEL_NAMES = (
-    "stg_market_data", "stg_positions_loans", "stg_positions_deposits", "mart_positions",
-    "mart_liquidity_risk", "mart_cashflow_forecast", "rpt_lcr", "rpt_nsfr", "rpt_fr2052a_outflows",
-    "rpt_fr2052a_inflows", "rpt_fr2052a_supplemental", "mart_positions_dq_metrics",
-)
+        if name not in self._cache:
+            df = self._builders()[name]()
+            if self.store is not None:
+                path = f"{self.store.rstrip('/')}/{name}"
+                sinks.write_partitioned(df, path, PARTITIONING[name])
+                df = sinks.read_table(self.spark, path).select(*df.columns)
+            self._cache[name] = df
+        return self._cache[name]
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name in MODEL_NAMES:
+            return self.table(name)
+        raise AttributeError(name)
+
+    def materialize(self) -> dict[str, DataFrame]:
+        """Build (and, with ``store``, write) every model; name -> DataFrame."""
+        return {n: self.table(n) for n in MODEL_NAMES}

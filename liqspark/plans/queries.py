@@ -210,7 +210,10 @@ def q_assert_no_outliers(spark, sf_dir):
 
 
 def _results(spark, sf_dir):
-    L = _lineage(spark, sf_dir)
+    """The declared suite, run the way the daily job runs it: every model is
+    first written as a partitioned table (shared checkpoint folder) and the
+    checks scan the stored tables."""
+    L = Lineage.from_testdata(spark, sf_dir, store=_scratch(spark, "models"))
     return ck.run_checks(spark, build_checks(_tables(L), AS_OF, RECENCY_CLOCK)), L
 
 

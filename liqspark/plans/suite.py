@@ -11,6 +11,7 @@ import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import checks as ck
 from ..schemas import PARTITION_DATE
@@ -109,23 +110,29 @@ def build_check(spec: CheckSpec, tables: dict[str, DataFrame], as_of: dt.date, n
     t = tables[spec.table]
     p = spec.params
     k = spec.kind
+    c = F.col(spec.column) if spec.column else None
     if k == "not_null":
-        f = ck.not_null(t, spec.column)
-    elif k == "unique":
+        return ck.row_check(spec.check_id, spec.table, t, c.isNull(), spec.severity)
+    if k == "between":
+        bad = F.lit(False)
+        if p.get("min_value") is not None:
+            bad = bad | (c < F.lit(p["min_value"]))
+        if p.get("max_value") is not None:
+            bad = bad | (c > F.lit(p["max_value"]))
+        return ck.row_check(spec.check_id, spec.table, t, bad, spec.severity)
+    if k == "expression_is_true":
+        cond = F.col(PARTITION_DATE) == F.lit(as_of) if p.get("row_condition") == "as_of" else F.lit(True)
+        return ck.row_check(spec.check_id, spec.table, t, cond & ~F.expr(p["expression"]), spec.severity)
+    if k == "unique":
         f = ck.unique(t, spec.column)
     elif k == "accepted_values":
         f = ck.accepted_values(t, spec.column, p["values"])
-    elif k == "between":
-        f = ck.between(t, spec.column, p.get("min_value"), p.get("max_value"))
     elif k == "row_count_between":
         f = ck.row_count_between(t, p.get("min_value"), p.get("max_value"))
     elif k == "recency":
         f = ck.recency(t, spec.column, p["interval_days"], now)
     elif k == "relationships":
         f = ck.relationships(t, spec.column, tables[p["to"]], p["field"])
-    elif k == "expression_is_true":
-        cond = f"{PARTITION_DATE} = DATE'{as_of.isoformat()}'" if p.get("row_condition") == "as_of" else None
-        f = ck.expression_is_true(t, p["expression"], cond)
     elif k == "forecast_has_30_days":
         f = ck.forecast_has_days(t, 30, as_of)
     elif k == "both_sources":

@@ -30,8 +30,15 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = (PARTITION_DATE,)) -> None:
-    """Write ``df`` replacing only the partitions it contains."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Write ``df`` replacing only the partitions it contains.
+
+    The rebalance hint lets AQE cluster rows by the partition columns into
+    advisory-size tasks (small dates coalesced, large dates split), so each
+    partition gets a few right-sized files instead of one file per task, and
+    no day is funnelled through a single task.
+    """
+    (df.hint("rebalance", *partition_by)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
 
 
