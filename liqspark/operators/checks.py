@@ -39,7 +39,9 @@ def accepted_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFr
 def relationships(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """Child rows whose non-null key has no parent row (left anti join)."""
     c = child.where(F.col(column).isNotNull()).select(F.col(column).alias("from_field"))
-    p = parent.select(F.col(field).alias("from_field"))
+    # distinct first: duplicates of a hot parent key collapse map-side before
+    # the shuffle instead of piling into one anti-join task.
+    p = parent.select(F.col(field).alias("from_field")).distinct()
     return c.join(p, "from_field", "left_anti")
 
 
@@ -133,7 +135,7 @@ def both_sources(book: DataFrame, as_of: dt.date | None = None,
 def market_data_present(risk: DataFrame, market: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """Risk rows with no market row for (instrument, date) (left anti join)."""
     src = risk if as_of is None else risk.where(F.col(PARTITION_DATE) == F.lit(as_of))
-    m = market.select("instrument_id", PARTITION_DATE)
+    m = market.select("instrument_id", PARTITION_DATE).distinct()
     return src.select("risk_record_id", "instrument_id", PARTITION_DATE).join(
         m, ["instrument_id", PARTITION_DATE], "left_anti")
 
