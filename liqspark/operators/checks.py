@@ -7,13 +7,13 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
-from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.frames import union_all
 from ..schemas import DEPOSITS, LOANS, PARTITION_DATE
 
 
@@ -220,7 +220,7 @@ def run_checks(spark: SparkSession, checks: Sequence[Check]) -> DataFrame:
                 F.lit(c.check_id).alias("check_id"), F.lit(c.table).alias("table_name"),
                 F.lit(c.severity).alias("severity"), F.col("failures")))
     parts += [_fused_counts(src, cs) for src, cs in groups.values()]
-    counted = reduce(DataFrame.unionByName, parts)
+    counted = union_all(parts)
     status = F.when(F.col("failures") == 0, F.lit("pass")).when(F.col("severity") == "error", F.lit("fail")) \
         .otherwise(F.lit("warn"))
     return counted.select("check_id", "table_name", "severity", "failures", status.alias("status"))

@@ -10,13 +10,13 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass, field
-from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import dims_json, is_business_day, zscore
+from ..functions.frames import union_all
 from ..functions.keys import surrogate_key
 from ..schemas import PARTITION_DATE
 
@@ -143,4 +143,4 @@ def agg_threshold_metrics(book: DataFrame, as_of: dt.date,
         F.expr(r.metric_expr), F.expr(r.where)  # fail fast on malformed SQL text
     max_lookback = max(r.lookback_business_days for r in rules)
     dates = trailing_business_dates(book, as_of, max_lookback)
-    return reduce(DataFrame.unionByName, [rule_metrics(book, r, as_of, dates) for r in rules])
+    return union_all([rule_metrics(book, r, as_of, dates) for r in rules])

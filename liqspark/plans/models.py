@@ -30,6 +30,31 @@ MODEL_NAMES = (
     "mart_liquidity_risk", "mart_cashflow_forecast", "rpt_lcr", "rpt_nsfr", "rpt_fr2052a_outflows",
     "rpt_fr2052a_inflows", "rpt_fr2052a_supplemental", "mart_positions_dq_metrics",
 )
+# Upstream models of each model; models of one level are independent.
+DEPENDENCIES = {
+    "stg_market_data": (), "stg_positions_loans": (), "stg_positions_deposits": (),
+    "mart_positions": ("stg_positions_loans", "stg_positions_deposits"),
+    "mart_liquidity_risk": ("mart_positions", "stg_market_data"),
+    "mart_cashflow_forecast": ("mart_positions", "stg_market_data"),
+    "rpt_lcr": ("mart_positions", "mart_cashflow_forecast"),
+    "rpt_nsfr": ("mart_positions",), "rpt_fr2052a_outflows": ("mart_positions",),
+    "rpt_fr2052a_inflows": ("mart_positions",),
+    "rpt_fr2052a_supplemental": ("mart_positions", "mart_liquidity_risk"),
+    "mart_positions_dq_metrics": ("mart_positions",),
+}
+
+
+def levels(names=MODEL_NAMES) -> list[list[str]]:
+    """Models grouped so every model's upstream is in an earlier group."""
+    done: set[str] = set()
+    out = []
+    while len(done) < len(names):
+        level = [n for n in names if n not in done and all(d in done for d in DEPENDENCIES[n])]
+        out.append(level)
+        done.update(level)
+    return out
+
+
 # Storage partitioning per model (the book is also split by source system).
 PARTITIONING = {name: (PARTITION_DATE,) for name in MODEL_NAMES}
 PARTITIONING["mart_positions"] = (PARTITION_DATE, "source_system")
@@ -88,6 +113,17 @@ class Lineage:
             return self.table(name)
         raise AttributeError(name)
 
-    def materialize(self) -> dict[str, DataFrame]:
-        """Build (and, with ``store``, write) every model; name -> DataFrame."""
+    def materialize(self, parallel: int = 4) -> dict[str, DataFrame]:
+        """Build (and, with ``store``, write) every model; name -> DataFrame.
+
+        With a store, the independent models of one dependency level are
+        written as concurrent Spark jobs (they share the cluster's task slots);
+        each level waits for the previous one.
+        """
+        if self.store is not None and parallel > 1:
+            from concurrent.futures import ThreadPoolExecutor
+
+            with ThreadPoolExecutor(max_workers=parallel) as pool:
+                for level in levels():
+                    list(pool.map(self.table, level))
         return {n: self.table(n) for n in MODEL_NAMES}

@@ -121,10 +121,7 @@ def q_seed_lookup(spark, sf_dir):
 
 
 def _tables(L: Lineage) -> dict[str, DataFrame]:
-    t = {n: L.table(n) for n in (
-        "stg_market_data", "stg_positions_loans", "stg_positions_deposits", "mart_positions",
-        "mart_liquidity_risk", "mart_cashflow_forecast", "rpt_lcr", "rpt_nsfr", "rpt_fr2052a_outflows",
-        "rpt_fr2052a_inflows", "rpt_fr2052a_supplemental", "mart_positions_dq_metrics")}
+    t = L.materialize()
     t["raw_market_data"] = L.raw["market_data"]
     t["raw_positions_loans"] = L.raw["positions_loans"]
     t["raw_positions_deposits"] = L.raw["positions_deposits"]
