@@ -111,3 +111,8 @@ def dims_json(cols: Sequence[str]) -> Column:
 def cents_to_dollars(c: str | Column, precision: int = 2) -> Column:
     """round(cast(c as decimal(18,p)) / 100, p)."""
     return F.round(col_of(c).cast(f"decimal(18,{precision})") / 100, precision)
+
+
+def with_audit(df, column: str):
+    """Stamp the load / compute time (``current_timestamp``) on every row."""
+    return df.withColumn(column, F.current_timestamp())

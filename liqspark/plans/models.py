@@ -22,6 +22,7 @@ from ..operators import regulatory as reg
 from ..operators import risk as rk
 from ..operators import staging as stg
 from ..operators import thresholds as th
+from ..functions.columns import with_audit
 from ..schemas import PARTITION_DATE
 from ..sources import fixtures, seeds, sinks
 
@@ -55,6 +56,12 @@ def levels(names=MODEL_NAMES) -> list[list[str]]:
     return out
 
 
+# Audit column stamped when a model is stored (never part of the pure operators).
+AUDIT_COLUMN = {name: "_computed_at" for name in MODEL_NAMES}
+AUDIT_COLUMN.update({"stg_market_data": "_loaded_at", "stg_positions_loans": "_loaded_at",
+                     "stg_positions_deposits": "_loaded_at", "mart_positions": "_unified_at",
+                     "mart_positions_dq_metrics": "computed_at"})
+
 # Storage partitioning per model (the book is also split by source system).
 PARTITIONING = {name: (PARTITION_DATE,) for name in MODEL_NAMES}
 PARTITIONING["mart_positions"] = (PARTITION_DATE, "source_system")
@@ -103,7 +110,7 @@ class Lineage:
             df = self._builders()[name]()
             if self.store is not None:
                 path = f"{self.store.rstrip('/')}/{name}"
-                sinks.write_partitioned(df, path, PARTITIONING[name])
+                sinks.write_partitioned(with_audit(df, AUDIT_COLUMN[name]), path, PARTITIONING[name])
                 df = sinks.read_table(self.spark, path).select(*df.columns)
             self._cache[name] = df
         return self._cache[name]

@@ -25,7 +25,8 @@ from ..operators import staging as stg
 from ..operators import thresholds as th
 from ..schemas import PARTITION_DATE
 from ..sources import seeds, sinks
-from .models import PARTITIONING
+from ..functions.columns import with_audit
+from .models import AUDIT_COLUMN, PARTITIONING
 from .suite import DECLARED, build_checks
 
 # Merge key per model; the risk table has no unique key (its key omits the
@@ -56,12 +57,13 @@ class Warehouse:
         return f"{self.root}/{name}"
 
     def read(self, name: str) -> DataFrame:
-        return sinks.read_table(self.spark, self.path(name))
+        return sinks.read_table(self.spark, self.path(name)).drop(AUDIT_COLUMN.get(name, ""))
 
     def day(self, name: str, as_of: dt.date) -> DataFrame:
         return self.read(name).where(F.col(PARTITION_DATE) == F.lit(as_of))
 
     def save(self, name: str, df: DataFrame) -> None:
+        df = with_audit(df, AUDIT_COLUMN[name])
         key = UNIQUE_KEYS[name]
         if key is None:
             sinks.write_partitioned(df, self.path(name), PARTITIONING[name])

@@ -24,6 +24,7 @@ class CheckSpec:
     column: str | None = None
     params: dict = field(default_factory=dict)
     severity: str = "warn"
+    tags: tuple[str, ...] = ("data_quality",)
 
     @property
     def check_id(self) -> str:
@@ -146,6 +147,11 @@ def build_check(spec: CheckSpec, tables: dict[str, DataFrame], as_of: dt.date, n
     return ck.Check(spec.check_id, spec.table, f, spec.severity)
 
 
+def select_specs(specs=DECLARED, tag: str | None = None, tables: set[str] | None = None) -> list[CheckSpec]:
+    """Suite subset by tag and/or table (the selection a run after one model uses)."""
+    return [s for s in specs if (tag is None or tag in s.tags) and (tables is None or s.table in tables)]
+
+
 def build_checks(tables: dict[str, DataFrame], as_of: dt.date, now: dt.datetime,
                  specs=DECLARED) -> list[ck.Check]:
     return [build_check(s, tables, as_of, now) for s in specs]
