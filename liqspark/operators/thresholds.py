@@ -144,3 +144,84 @@ def agg_threshold_metrics(book: DataFrame, as_of: dt.date,
     max_lookback = max(r.lookback_business_days for r in rules)
     dates = trailing_business_dates(book, as_of, max_lookback)
     return union_all([rule_metrics(book, r, as_of, dates) for r in rules])
+
+
+def business_day_index(book: DataFrame) -> DataFrame:
+    """Per distinct partition date: ``idx`` (1-based rank among business
+    dates, null on weekends) and ``k`` (number of business dates before it).
+
+    Both windows run over distinct dates only (bounded by the calendar).
+    """
+    d = book.select(F.col(PARTITION_DATE).cast("date").alias(PARTITION_DATE)).distinct()
+    bd = is_business_day(F.col(PARTITION_DATE)).cast("int")
+    w = Window.orderBy(PARTITION_DATE)
+    before = F.coalesce(F.sum(bd).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return d.select(PARTITION_DATE,
+                    F.when(bd == 1, before + 1).alias("idx"),
+                    before.cast("long").alias("k"))
+
+
+def rule_metrics_all_dates(book: DataFrame, rule: AggRule, index: DataFrame) -> DataFrame:
+    """One rule for EVERY date of the book at once: each date's value against
+    the trailing ``lookback`` business dates before that date.
+
+    The book is scanned and aggregated once per (date, dims). Each daily row
+    then appears twice on one ordering axis: as history at ``2·idx`` (business
+    dates only) and as "today" at ``2·k + 1``. A range frame of
+    ``[-(2·lookback - 1), -1]`` around a today-row covers exactly the history
+    rows of the previous ``lookback`` business dates. The window partitions by
+    the rule's dims, so each partition holds at most 2 x (number of dates)
+    rows, however large the book.
+    """
+    dims = list(rule.group_by)
+    k = float(rule.stddev_multiplier)
+    n_back = int(rule.lookback_business_days)
+    daily = (book.where(F.expr(rule.where))
+             .withColumn(PARTITION_DATE, F.col(PARTITION_DATE).cast("date"))
+             .groupBy(PARTITION_DATE, *dims).agg(F.expr(rule.metric_expr).alias("metric_value")))
+    idx = F.broadcast(index)  # one row per calendar date
+    days = daily.join(idx, PARTITION_DATE)
+    hist = days.where(F.col("idx").isNotNull()).select(
+        *dims, (F.col("idx") * 2).alias("_pos"), F.col("metric_value").alias("_hist"),
+        F.lit(None).cast(daily.schema["metric_value"].dataType).alias("_cur"),
+        F.lit(None).cast("date").alias(PARTITION_DATE))
+    cur = days.select(*dims, (F.col("k") * 2 + 1).alias("_pos"),
+                      F.lit(None).cast(daily.schema["metric_value"].dataType).alias("_hist"),
+                      F.col("metric_value").alias("_cur"), PARTITION_DATE)
+    w = (Window.partitionBy(*dims) if dims else Window.partitionBy(F.lit(1))) \
+        .orderBy("_pos").rangeBetween(-(2 * n_back - 1), -1)
+    hv = F.col("_hist")
+    stats = hist.unionByName(cur).select(
+        *dims, PARTITION_DATE, "_cur",
+        F.count(hv).over(w).alias("_n"), F.sum(hv).over(w).alias("_s"),
+        F.stddev_samp(hv.cast("double")).over(w).alias("hist_stddev"),
+    ).where(F.col(PARTITION_DATE).isNotNull())
+
+    n = F.when(F.col("_n") > 0, F.col("_n"))
+    base = stats.select(*dims, PARTITION_DATE, F.col("_cur").cast("double").alias("cur"), n.alias("hist_n"),
+                        (F.col("_s").cast("double") / n).alias("hist_mean"), "hist_stddev")
+    cur_c, mean, sd, n = F.col("cur"), F.col("hist_mean"), F.col("hist_stddev"), F.col("hist_n")
+    outlier = (F.when(n.isNull() | (n < rule.min_history_days), F.lit(False))
+               .when(sd.isNull(), F.lit(False))
+               .when(sd == 0, cur_c != mean)
+               .otherwise(F.abs((cur_c - mean) / sd) > F.lit(k)))
+    out = base.select(
+        F.lit(rule.name).alias("rule_name"), dims_json(dims).alias("dims_json"), PARTITION_DATE,
+        cur_c.alias("current_value"), n.alias("hist_n"), mean.alias("hist_mean"), sd.alias("hist_stddev"),
+        (mean - F.lit(k) * sd).alias("lower_threshold"), (mean + F.lit(k) * sd).alias("upper_threshold"),
+        zscore(cur_c, mean, sd).alias("zscore"), F.lit(k).alias("stddev_multiplier"),
+        F.lit(n_back).alias("lookback_business_days"),
+        F.lit(int(rule.min_history_days)).alias("min_history_days"),
+        F.lit(rule.metric_expr).alias("metric_expr"), F.lit(rule.where).alias("filter_sql"),
+        F.lit(",".join(dims)).alias("group_by_cols"), outlier.alias("is_outlier"),
+    )
+    return out.select(
+        surrogate_key("rule_name", "dims_json", F.col(PARTITION_DATE).cast("string")).alias("dq_record_id"),
+        *out.columns)
+
+
+def agg_threshold_metrics_all_dates(book: DataFrame, rules: Sequence[AggRule] = POSITION_RULES) -> DataFrame:
+    """The metrics table as daily runs over the whole history would leave it:
+    every rule for every partition date, in one plan."""
+    index = business_day_index(book)
+    return union_all([rule_metrics_all_dates(book, r, index) for r in rules])

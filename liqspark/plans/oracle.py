@@ -23,6 +23,13 @@ def sk(*exprs: str) -> str:
     return f"md5(concat_ws('{SEPARATOR}', {parts}))"
 
 
+def dround(expr: str, places: int) -> str:
+    """Round a double the way Spark's ``round`` does: HALF_UP on the value's
+    shortest decimal string (DuckDB's double ``round`` scales in floating point
+    and can flip exact decimal ties)."""
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,12)), {places}) AS DOUBLE)"
+
+
 def q(s) -> str:
     return "NULL" if s is None else "'" + str(s).replace("'", "''") + "'"
 
@@ -196,11 +203,11 @@ def _lcr_sql(type_expr: str) -> str:
       FROM hq h LEFT JOIN cf c ON h.portfolio_id = c.portfolio_id AND h.partition_date = c.partition_date)
     SELECT {sk('portfolio_id', 'partition_date')} AS lcr_record_id, portfolio_id, partition_date,
       CAST(round(l1, 2) AS DOUBLE) AS hqla_level_1, CAST(round(l2a, 2) AS DOUBLE) AS hqla_level_2a,
-      CAST(round(l2b, 2) AS DOUBLE) AS hqla_level_2b, round(total_hqla, 2) AS total_hqla,
+      CAST(round(l2b, 2) AS DOUBLE) AS hqla_level_2b, {dround('total_hqla', 2)} AS total_hqla,
       CAST(round(out30, 2) AS DOUBLE) AS total_outflows_30d, CAST(round(in30, 2) AS DOUBLE) AS total_inflows_30d,
       CAST(round(capped, 2) AS DOUBLE) AS capped_inflows_30d,
       CAST(round(out30 - capped, 2) AS DOUBLE) AS net_cash_outflows_30d,
-      CASE WHEN out30 - capped > 0 THEN round(total_hqla / CAST(out30 - capped AS DOUBLE) * 100, 2)
+      CASE WHEN out30 - capped > 0 THEN {dround('total_hqla / CAST(out30 - capped AS DOUBLE) * 100', 2)}
            ELSE 999.99 END AS lcr_pct,
       CASE WHEN out30 - capped <= 0 THEN true WHEN total_hqla / CAST(out30 - capped AS DOUBLE) >= 1.0 THEN true
            ELSE false END AS is_lcr_compliant
@@ -382,6 +389,48 @@ def _rule_sql(rule: AggRule) -> str:
 
 
 cte("dq_dates", ["book"], dq_dates_sql(max(r.lookback_business_days for r in POSITION_RULES)))
+
+def _rule_all_dates_sql(rule: AggRule) -> str:
+    dims = list(rule.group_by)
+    k = float(rule.stddev_multiplier)
+    L = int(rule.lookback_business_days)
+    sel = "".join(f"{c}, " for c in dims)
+    grp = "partition_date" + "".join(f", {c}" for c in dims)
+    dj = ("CAST(json_object(" + ", ".join(f"'{c}', c.{c}" for c in dims) + ") AS VARCHAR)") if dims else "'{}'"
+    on = "".join(f"c.{c} IS NOT DISTINCT FROM h.{c} AND " for c in dims)
+    cdims = "".join(f", c.{c}" for c in dims)
+    cur, mean, sd, n = "cur", "hist_mean", "hist_stddev", "hist_n"
+    return f"""
+    SELECT {q(rule.name)} AS rule_name, dims_json, partition_date, {cur} AS current_value, {n} AS hist_n,
+      {mean} AS hist_mean, {sd} AS hist_stddev, {mean} - {k} * {sd} AS lower_threshold,
+      {mean} + {k} * {sd} AS upper_threshold,
+      CASE WHEN {sd} IS NULL OR {sd} = 0 THEN NULL ELSE ({cur} - {mean}) / {sd} END AS zscore,
+      CAST({k} AS DOUBLE) AS stddev_multiplier, CAST({L} AS INTEGER) AS lookback_business_days,
+      CAST({rule.min_history_days} AS INTEGER) AS min_history_days, {q(rule.metric_expr)} AS metric_expr,
+      {q(rule.where)} AS filter_sql, {q(','.join(dims))} AS group_by_cols,
+      CASE WHEN {n} IS NULL OR {n} < {rule.min_history_days} THEN false WHEN {sd} IS NULL THEN false
+           WHEN {sd} = 0 THEN ({cur} <> {mean}) ELSE abs(({cur} - {mean}) / {sd}) > {k} END AS is_outlier
+    FROM (
+      SELECT {dj} AS dims_json, c.partition_date, CAST(c.v AS DOUBLE) AS cur,
+             nullif(count(h.v), 0) AS hist_n, CAST(sum(h.v) AS DOUBLE) / nullif(count(h.v), 0) AS hist_mean,
+             stddev_samp(CAST(h.v AS DOUBLE)) AS hist_stddev
+      FROM (SELECT d.*, x.k FROM (SELECT {sel}partition_date, {rule.metric_expr} AS v FROM book
+                                  WHERE ({rule.where}) GROUP BY {grp}) d JOIN dkx x USING (partition_date)) c
+      LEFT JOIN (SELECT d.*, b.idx FROM (SELECT {sel}partition_date, {rule.metric_expr} AS v FROM book
+                                         WHERE ({rule.where}) GROUP BY {grp}) d JOIN bdx b USING (partition_date)) h
+        ON {on}h.idx BETWEEN c.k - {L} + 1 AND c.k
+      GROUP BY c.partition_date, c.v{cdims}) r"""
+
+
+cte("bdx", ["book"], """
+    SELECT partition_date, row_number() OVER (ORDER BY partition_date) AS idx
+    FROM (SELECT DISTINCT partition_date FROM book WHERE isodow(partition_date) BETWEEN 1 AND 5) x""")
+cte("dkx", ["book", "bdx"], """
+    SELECT d.partition_date, (SELECT count(*) FROM bdx WHERE bdx.partition_date < d.partition_date) AS k
+    FROM (SELECT DISTINCT partition_date FROM book) d""")
+cte("dq_metrics_all", ["book", "bdx", "dkx"], f"""
+    SELECT {sk('rule_name', 'dims_json', 'CAST(partition_date AS VARCHAR)')} AS dq_record_id, *
+    FROM ({' UNION ALL '.join(_rule_all_dates_sql(r) for r in POSITION_RULES)}) u""")
 cte("dq_metrics", ["book", "dq_dates"], f"""
     SELECT {sk('rule_name', 'dims_json', 'CAST(partition_date AS VARCHAR)')} AS dq_record_id, *
     FROM ({' UNION ALL '.join(_rule_sql(r) for r in POSITION_RULES)}) u""")
@@ -391,8 +440,12 @@ cte("rpt_out", ["book", "seed_fr2052a_product_mapping"], OUTFLOWS_SQL)
 cte("rpt_in", ["book", "seed_fr2052a_product_mapping"], INFLOWS_SQL)
 cte("rpt_sup", ["book", "risk"], SUPPLEMENTAL_SQL)
 
-R4 = ["hist_stddev", "lower_threshold", "upper_threshold", "zscore"]
-METRIC_OUT = ", ".join(f"round({c}, 4) AS {c}" if c in R4 else c for c in [
+
+
+R4 = {"hist_stddev": dround("hist_stddev", 4), "zscore": dround("zscore", 4),
+      "lower_threshold": dround(f"hist_mean - stddev_multiplier * {dround('hist_stddev', 4)}", 4),
+      "upper_threshold": dround(f"hist_mean + stddev_multiplier * {dround('hist_stddev', 4)}", 4)}
+METRIC_OUT = ", ".join(f"{R4[c]} AS {c}" if c in R4 else c for c in [
     "dq_record_id", "rule_name", "dims_json", "partition_date", "current_value", "hist_n", "hist_mean",
     "hist_stddev", "lower_threshold", "upper_threshold", "zscore", "stddev_multiplier", "lookback_business_days",
     "min_history_days", "metric_expr", "filter_sql", "group_by_cols", "is_outlier"])
@@ -513,6 +566,7 @@ QUERY_SQL: dict[str, tuple[list[str], str]] = {
     "fr2052a_supplemental": (["rpt_sup"], "SELECT * FROM rpt_sup"),
     "trailing_business_dates": (["book"], dq_dates_sql(60)),
     "agg_threshold_metrics": (["dq_metrics"], f"SELECT {METRIC_OUT} FROM dq_metrics"),
+    "agg_threshold_metrics_all_dates": (["dq_metrics_all"], f"SELECT {METRIC_OUT} FROM dq_metrics_all"),
     "surrogate_key": (["book"], f"""
         SELECT position_id, {sk('portfolio_id', 'instrument_id', 'maturity_date')} AS maturity_key,
                {sk('currency', 'interest_rate')} AS rate_key FROM book"""),
@@ -576,7 +630,7 @@ QUERY_SQL: dict[str, tuple[list[str], str]] = {
         SELECT r.risk_record_id, r.instrument_id, r.partition_date FROM risk r WHERE NOT EXISTS (
           SELECT 1 FROM stg_mkt m WHERE m.instrument_id = r.instrument_id AND m.partition_date = r.partition_date)"""),
     "assert_no_outliers": (["dq_metrics"], "SELECT " + ", ".join(
-        f"round({c}, 4) AS {c}" if c in R4 else c for c in [
+        f"{R4[c]} AS {c}" if c in R4 else c for c in [
             "partition_date", "rule_name", "dims_json", "current_value", "hist_n", "hist_mean", "hist_stddev",
             "lower_threshold", "upper_threshold", "zscore", "stddev_multiplier", "lookback_business_days",
             "min_history_days", "metric_expr", "filter_sql", "group_by_cols"])

@@ -78,10 +78,25 @@ def q_trailing_business_dates(spark, sf_dir):
     return th.trailing_business_dates(_lineage(spark, sf_dir).mart_positions, AS_OF, 60)
 
 
+def report_metrics(m: DataFrame) -> DataFrame:
+    """Reported precision of the rule rows: σ, z-score and thresholds to 4
+    places, thresholds computed from the reported σ (mean ± k·σ₄), so a report
+    is self-consistent and engines whose stddev differs in the last bits
+    agree. The outlier flag keeps the unrounded values."""
+    sd4 = F.round("hist_stddev", 4)
+    k = F.col("stddev_multiplier")
+    repl = {"hist_stddev": sd4, "zscore": F.round("zscore", 4),
+            "lower_threshold": F.round(F.col("hist_mean") - k * sd4, 4),
+            "upper_threshold": F.round(F.col("hist_mean") + k * sd4, 4)}
+    return m.select(*[repl[c].alias(c) if c in repl else F.col(c) for c in m.columns])
+
+
 def q_agg_threshold_metrics(spark, sf_dir):
-    m = _lineage(spark, sf_dir).mart_positions_dq_metrics
-    r4 = ["hist_stddev", "lower_threshold", "upper_threshold", "zscore"]
-    return m.select(*[F.round(c, 4).alias(c) if c in r4 else F.col(c) for c in m.columns])
+    return report_metrics(_lineage(spark, sf_dir).mart_positions_dq_metrics)
+
+
+def q_agg_threshold_metrics_all_dates(spark, sf_dir):
+    return report_metrics(th.agg_threshold_metrics_all_dates(_lineage(spark, sf_dir).mart_positions))
 
 
 def q_surrogate_key(spark, sf_dir):
@@ -201,9 +216,7 @@ def q_assert_market_data_present(spark, sf_dir):
 
 
 def q_assert_no_outliers(spark, sf_dir):
-    o = ck.no_outliers(_lineage(spark, sf_dir).mart_positions_dq_metrics, AS_OF)
-    r4 = ["hist_stddev", "lower_threshold", "upper_threshold", "zscore"]
-    return o.select(*[F.round(c, 4).alias(c) if c in r4 else F.col(c) for c in o.columns])
+    return report_metrics(ck.no_outliers(_lineage(spark, sf_dir).mart_positions_dq_metrics, AS_OF))
 
 
 def _results(spark, sf_dir):
@@ -303,6 +316,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fr2052a_supplemental": _model("rpt_fr2052a_supplemental"),
     "trailing_business_dates": q_trailing_business_dates,
     "agg_threshold_metrics": q_agg_threshold_metrics,
+    "agg_threshold_metrics_all_dates": q_agg_threshold_metrics_all_dates,
     "surrogate_key": q_surrogate_key,
     "cents_to_dollars": q_cents_to_dollars,
     "maturity_bucket": q_maturity_bucket,

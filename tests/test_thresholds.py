@@ -69,3 +69,17 @@ def test_lookback_limits_history(spark):
     rule = th.AggRule("r", "sum(notional_value)", ("source_system",), "1=1", 3, 10, 5)
     r = th.agg_threshold_metrics(frame(spark, hist + [(AS_OF, "L", Decimal(1))]), AS_OF, [rule]).collect()[0]
     assert r.hist_n == 10 and r.hist_mean == 4.5  # the 10 latest days carry values 0..9
+
+
+def test_all_dates_backfill_equals_single_date_runs(spark):
+    days = [AS_OF - dt.timedelta(days=i) for i in range(0, 40)]
+    rows = [(d, s, Decimal(100 + (i * 7 + len(s)) % 13)) for i, d in enumerate(days) for s in ("L", "D")]
+    df = frame(spark, rows)
+    rules = [RULE, th.AggRule("c", "count(*)", (), "1=1", 4, 10, 5)]
+    allm = {(r.rule_name, r.dims_json, r.partition_date): r for r in th.agg_threshold_metrics_all_dates(df, rules).collect()}
+    for d in (AS_OF, AS_OF - dt.timedelta(days=1), AS_OF - dt.timedelta(days=20)):  # Friday, Thursday, Saturday
+        for r in th.agg_threshold_metrics(df, d, rules).collect():
+            b = allm[(r.rule_name, r.dims_json, d)]
+            assert (b.hist_n, b.current_value, b.is_outlier, b.dq_record_id) == \
+                (r.hist_n, r.current_value, r.is_outlier, r.dq_record_id)
+            assert (b.hist_mean is None and r.hist_mean is None) or abs(b.hist_mean - r.hist_mean) < 1e-9
