@@ -661,6 +661,12 @@ QUERY_SQL: dict[str, tuple[list[str], str]] = {
                maturity_date, CAST(CAST(interest_rate AS DECIMAL(10,6)) AS DOUBLE) AS interest_rate,
                partition_date, 'LMS' AS source_system
         FROM raw_loans WHERE partition_date = {D}"""),
+    "stream_ingest": (["raw_loans"], """
+        SELECT portfolio_id, instrument_id, CAST(CAST(position_qty AS DECIMAL(18,4)) AS DOUBLE) AS position_qty,
+               CAST(CAST(notional_value AS DECIMAL(18,2)) AS DOUBLE) AS notional_value, position_type, currency,
+               maturity_date, CAST(CAST(interest_rate AS DECIMAL(10,6)) AS DOUBLE) AS interest_rate,
+               partition_date, 'LMS' AS source_system
+        FROM raw_loans"""),
     "sync_columns": (["book"], """
         SELECT position_id, portfolio_id, instrument_id, CAST(position_qty AS DOUBLE) AS position_qty,
                CAST(notional_value AS DOUBLE) AS notional_value, position_type, currency, maturity_date,

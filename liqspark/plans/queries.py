@@ -275,6 +275,22 @@ def q_ingest_raw(spark, sf_dir):
     return finish(out.drop("_ingestion_ts"))
 
 
+def q_stream_ingest(spark, sf_dir):
+    """The raw loan feed dropped as files (one folder per day), ingested by the
+    exactly-once availableNow stream; a second run over the same drop folder
+    must add nothing."""
+    from ..streaming.ingest import ingest_available
+
+    raw = _lineage(spark, sf_dir).raw["positions_loans"].drop("_ingestion_ts")
+    path = _scratch(spark, "stream")
+    raw.write.partitionBy(PARTITION_DATE).parquet(path + "/drop")
+    src_schema = spark.read.parquet(path + "/drop").schema
+    for _ in range(2):
+        ingest_available(spark, path + "/drop", src_schema, RAW_POSITIONS_SCHEMA, path + "/raw",
+                         path + "/ckpt", source_system="LMS")
+    return finish(spark.read.parquet(path + "/raw").drop("_ingestion_ts"))
+
+
 def q_sync_columns(spark, sf_dir):
     L = _lineage(spark, sf_dir)
     old = L.mart_positions.drop("interest_rate").withColumn("legacy_flag", F.lit(1))
@@ -340,6 +356,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "assertion_events": q_assertion_events,
     "upsert": q_upsert,
     "ingest_raw": q_ingest_raw,
+    "stream_ingest": q_stream_ingest,
     "sync_columns": q_sync_columns,
     "compact_partition": q_compact_partition,
     "stored_failures": q_stored_failures,
