@@ -62,12 +62,18 @@ def row_count_between(df: DataFrame, min_value=None, max_value=None) -> DataFram
     return between(n, "row_count", min_value, max_value)
 
 
+def clock(now: dt.datetime, dtype: str = "timestamp") -> Column:
+    """A wall-clock literal read in the session time zone (a Python datetime
+    literal would be shifted by the driver process's own zone)."""
+    return F.lit(now.replace(tzinfo=None).isoformat(sep=" ")).cast(dtype)
+
+
 def recency(df: DataFrame, field: str, interval_days: int, now: dt.datetime) -> DataFrame:
     """One row when the newest ``field`` is older than ``now - interval``.
 
     The clock is an argument so runs are reproducible.
     """
-    threshold = F.lit(now) - F.expr(f"INTERVAL {int(interval_days)} DAYS")
+    threshold = clock(now) - F.expr(f"INTERVAL {int(interval_days)} DAYS")
     m = df.agg(F.max(F.col(field)).alias("most_recent"))
     return (m.select("most_recent", threshold.alias("threshold"))
             .where(F.col("most_recent").isNull() | (F.col("most_recent").cast("timestamp") < F.col("threshold"))))
@@ -92,7 +98,8 @@ def freshness(df: DataFrame, loaded_at: str, now: dt.datetime,
               warn_hours: int = FRESHNESS_WARN_HOURS, error_hours: int = FRESHNESS_ERROR_HOURS) -> DataFrame:
     """One row: newest load time, its age in seconds and pass / warn / error."""
     m = df.agg(F.max(F.col(loaded_at)).alias("max_loaded_at"))
-    age = F.unix_timestamp(F.lit(now)) - F.unix_timestamp(F.col("max_loaded_at"))
+    now_c = clock(now, df.schema[loaded_at].dataType.simpleString())
+    age = F.unix_timestamp(now_c) - F.unix_timestamp(F.col("max_loaded_at"))
     status = (F.when(F.col("max_loaded_at").isNull(), F.lit("error"))
               .when(age > error_hours * 3600, F.lit("error"))
               .when(age > warn_hours * 3600, F.lit("warn"))
