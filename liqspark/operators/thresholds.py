@@ -68,26 +68,28 @@ def trailing_business_dates(book: DataFrame, as_of: dt.date, n: int) -> DataFram
     return ranked.where(F.col("rnk") <= n)
 
 
-def rule_metrics(book: DataFrame, rule: AggRule, as_of: dt.date, dates: DataFrame) -> DataFrame:
+def rule_metrics(book: DataFrame, rule: AggRule, as_of: dt.date,
+                 ranked_dates: Sequence[tuple[dt.date, int]]) -> DataFrame:
     """One rule's rows for ``as_of``: current value, history statistics,
     thresholds, z-score and outlier flag.
 
-    One scan serves the current day and the history: the book is semi-joined
-    with the bounded, broadcast set {as_of} ∪ history dates and aggregated
-    once per (date, dims). A second, tiny aggregation per dims then takes the
-    current value and the history statistics with conditional aggregates, so
-    no join is needed; grouping keeps null dims together, as ``<=>`` does.
-    Groups without a row today are dropped; groups without history get null
-    statistics.
+    ``ranked_dates`` are the (date, rank) pairs of the trailing business
+    dates. One scan serves the current day and the history: the book is
+    filtered to {as_of} ∪ history dates (a static IN list on the partition
+    column, so a stored book is pruned to exactly those partitions at planning
+    time) and aggregated once per (date, dims). A second, tiny aggregation per
+    dims then takes the current value and the history statistics with
+    conditional aggregates, so no join is needed; grouping keeps null dims
+    together, as ``<=>`` does. Groups without a row today are dropped; groups
+    without history get null statistics.
     """
     dims = list(rule.group_by)
     k = float(rule.stddev_multiplier)
     d = F.col(PARTITION_DATE).cast("date")
-    hist_dates = dates.where(F.col("rnk") <= rule.lookback_business_days).select(PARTITION_DATE)
-    wanted = hist_dates.unionByName(book.sparkSession.range(1).select(F.lit(as_of).alias(PARTITION_DATE)))
-    scoped = (book.where(F.expr(rule.where))
-              .withColumn(PARTITION_DATE, d)
-              .join(F.broadcast(wanted), PARTITION_DATE, "left_semi"))
+    wanted = [day for day, rnk in ranked_dates if rnk <= rule.lookback_business_days] + [as_of]
+    scoped = (book.where(d.isin(wanted))
+              .where(F.expr(rule.where))
+              .withColumn(PARTITION_DATE, d))
     daily = scoped.groupBy(PARTITION_DATE, *dims).agg(F.expr(rule.metric_expr).alias("metric_value"))
 
     today = F.col(PARTITION_DATE) == F.lit(as_of)
@@ -142,8 +144,11 @@ def agg_threshold_metrics(book: DataFrame, as_of: dt.date,
     for r in rules:
         F.expr(r.metric_expr), F.expr(r.where)  # fail fast on malformed SQL text
     max_lookback = max(r.lookback_business_days for r in rules)
-    dates = trailing_business_dates(book, as_of, max_lookback)
-    return union_all([rule_metrics(book, r, as_of, dates) for r in rules])
+    # At most max_lookback rows: resolving them up front turns the history
+    # filter into static partition pruning for every rule's scan.
+    ranked = [(r[PARTITION_DATE], r["rnk"])
+              for r in trailing_business_dates(book, as_of, max_lookback).collect()]
+    return union_all([rule_metrics(book, r, as_of, ranked) for r in rules])
 
 
 def business_day_index(book: DataFrame) -> DataFrame:
