@@ -74,8 +74,13 @@ def upsert(spark: SparkSession, src: DataFrame, path: str, key: Sequence[str],
         write_partitioned(src, path, partition_by)
         return
     ensure_checkpoint_dir(spark)
-    target = read_table(spark, path)
-    touched = src.select(*partition_by).distinct()
+    # The partition values the source touches are bounded by the calendar
+    # (one date for a daily run): resolving them first gives the target scan a
+    # static IN filter, so only those partitions are read and rewritten.
+    touched_rows = src.select(*partition_by).distinct().collect()
+    first = partition_by[0]
+    target = read_table(spark, path).where(F.col(first).isin(sorted({r[first] for r in touched_rows})))
+    touched = F.broadcast(src.sparkSession.createDataFrame(touched_rows, src.select(*partition_by).schema))
     kept = (target.join(touched, list(partition_by), "left_semi")
             .join(src.select(*key), list(key), "left_anti"))
     merged = sync_columns(kept, src).unionByName(src)
