@@ -69,3 +69,8 @@ def test_daily_pipeline_rerun_is_idempotent(spark, tmp_dir):
     status = {r.check_id: r.status for r in results}
     assert status["not_null__mart_liquidity_risk__market_value"] == "warn"  # INS13 has no market data
     assert status["unique__mart_positions__position_id"] == "pass"
+    # whole-table scope sees the duplicate risk keys of every day, the day scope only today's
+    full = {r.check_id: r.failures for r in
+            run_daily(spark, raw, fixtures.AS_OF, root, now=clock, scope="table").collect()}
+    day = {r.check_id: r.failures for r in results}
+    assert full["unique__mart_liquidity_risk__risk_record_id"] > day["unique__mart_liquidity_risk__risk_record_id"] > 0
