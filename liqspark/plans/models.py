@@ -24,6 +24,7 @@ from ..operators import staging as stg
 from ..operators import thresholds as th
 from ..functions.columns import with_audit
 from ..schemas import PARTITION_DATE
+from ..session import ensure_runtime_conf
 from ..sources import fixtures, seeds, sinks
 
 MODEL_NAMES = (
@@ -74,6 +75,7 @@ class Lineage:
                  mode: str = "full", rules=th.POSITION_RULES, store: str | None = None):
         self.spark, self.raw, self.as_of, self.mode, self.rules, self.store = spark, raw, as_of, mode, rules, store
         self._cache: dict[str, DataFrame] = {}
+        ensure_runtime_conf(spark)
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "Lineage":

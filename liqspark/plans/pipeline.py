@@ -24,6 +24,7 @@ from ..operators import risk as rk
 from ..operators import staging as stg
 from ..operators import thresholds as th
 from ..schemas import PARTITION_DATE
+from ..session import ensure_runtime_conf
 from ..sources import seeds, sinks
 from ..functions.columns import with_audit
 from .models import AUDIT_COLUMN, PARTITIONING
@@ -87,6 +88,7 @@ def run_daily(spark: SparkSession, raw: dict[str, DataFrame], as_of: dt.date, ro
     """
     if scope not in SCOPES:
         raise ValueError(f"scope must be one of {SCOPES}")
+    ensure_runtime_conf(spark)
     wh = Warehouse(spark, root)
     seed = lambda n: seeds.load_seed(spark, n)
 

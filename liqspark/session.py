@@ -24,6 +24,23 @@ DEFAULT_CONF = {
 }
 
 
+# Runtime settings the operators rely on for skew and join sizing (Spark's
+# defaults in 4.x); applied to a given session only where the cluster's
+# configuration does not set them, so an explicit cluster value always wins.
+RUNTIME_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+}
+
+
+def ensure_runtime_conf(spark: SparkSession) -> None:
+    explicit = {k for k, _ in spark.sparkContext.getConf().getAll()}
+    for key, value in RUNTIME_CONF.items():
+        if key not in explicit:
+            spark.conf.set(key, value)
+
+
 def build_session(master: str = "local[*]", app: str = "liqspark",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     """Local session for tests, bench and examples."""
