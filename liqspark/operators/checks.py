@@ -188,7 +188,7 @@ class Check:
 RESULT_SCHEMA = T.StructType([
     T.StructField("check_id", T.StringType()), T.StructField("table_name", T.StringType()),
     T.StructField("severity", T.StringType()), T.StructField("failures", T.LongType()),
-    T.StructField("status", T.StringType()),
+    T.StructField("status", T.StringType()), T.StructField("message", T.StringType()),
 ])
 
 
@@ -228,9 +228,14 @@ def run_checks(spark: SparkSession, checks: Sequence[Check]) -> DataFrame:
                 F.lit(c.severity).alias("severity"), F.col("failures")))
     parts += [_fused_counts(src, cs) for src, cs in groups.values()]
     counted = union_all(parts)
-    status = F.when(F.col("failures") == 0, F.lit("pass")).when(F.col("severity") == "error", F.lit("fail")) \
+    n = F.col("failures")
+    status = F.when(n == 0, F.lit("pass")).when(F.col("severity") == "error", F.lit("fail")) \
         .otherwise(F.lit("warn"))
-    return counted.select("check_id", "table_name", "severity", "failures", status.alias("status"))
+    message = F.when(n > 0, F.concat(F.lit("Got "), n.cast("string"),
+                                     F.when(n == 1, F.lit(" result")).otherwise(F.lit(" results")),
+                                     F.lit(", configured to "), F.col("severity"), F.lit(" if != 0")))
+    return counted.select("check_id", "table_name", "severity", "failures", status.alias("status"),
+                          message.alias("message"))
 
 
 def store_failures(checks: Sequence[Check], base_path: str, mode: str = "overwrite") -> None:

@@ -46,7 +46,9 @@ def check_events(results: DataFrame, run_id: str, as_of: dt.date) -> DataFrame:
         F.lit(as_of).alias(PARTITION_DATE),
         F.lit(None).cast("string").alias("rule_name"),
         F.lit(None).cast("string").alias("dims_json"),
-        F.to_json(F.create_map(F.lit("failures"), F.col("failures").cast("string"),
+        F.to_json(F.create_map(F.lit("message"), F.coalesce(F.col("message"), F.lit("")),
+                               F.lit("partition_date"), F.lit(as_of.isoformat()),
+                               F.lit("failures"), F.col("failures").cast("string"),
                                F.lit("status"), F.col("status"))).alias("native_results"),
     )
 
@@ -81,3 +83,9 @@ def rule_events(metrics: DataFrame, run_id: str, as_of: dt.date, table: str = "m
 def assertion_events(metrics: DataFrame, results: DataFrame, run_id: str, as_of: dt.date) -> DataFrame:
     """Check events and rule events in one frame."""
     return check_events(results, run_id, as_of).unionByName(rule_events(metrics, run_id, as_of))
+
+
+def write_events(events: DataFrame, path: str) -> None:
+    """Persist events as JSON lines, one folder per run date (re-runs replace)."""
+    (events.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(PARTITION_DATE).json(path))

@@ -531,7 +531,10 @@ def suite_results_sql() -> tuple[str, list[str]]:
         parts.append(f"SELECT {q(spec.check_id)} AS check_id, {q(spec.table)} AS table_name, "
                      f"{q(spec.severity)} AS severity, count(*) AS failures, "
                      f"CASE WHEN count(*) = 0 THEN 'pass' ELSE "
-                     f"{q('fail' if spec.severity == 'error' else 'warn')} END AS status FROM ({s}) f")
+                     f"{q('fail' if spec.severity == 'error' else 'warn')} END AS status, "
+                     f"CASE WHEN count(*) > 0 THEN 'Got ' || CAST(count(*) AS VARCHAR) || "
+                     f"CASE WHEN count(*) = 1 THEN ' result' ELSE ' results' END || "
+                     f"', configured to {spec.severity} if != 0' END AS message FROM ({s}) f")
     return " UNION ALL ".join(parts), deps
 
 

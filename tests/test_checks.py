@@ -74,3 +74,26 @@ def test_rule_event_ids(spark):
     h = hashlib.sha1(b'{"a":"x"}').hexdigest()[:12]
     assert e.assertion_id == f"dq_rule_one__{h}" and e.run_id == f"run1::dq::rule one::{h}"
     assert e.result_type == "FAILURE"
+
+
+def test_check_messages_and_event_file(spark, tmp_dir):
+    t = df(spark)
+    res = ck.run_checks(spark, [ck.row_check("nn_v", "t", t, F.col("v").isNull()),
+                                ck.row_check("nn_k", "t", t, F.lit(False))])
+    msgs = {r.check_id: r.message for r in res.collect()}
+    assert msgs == {"nn_v": "Got 1 result, configured to warn if != 0", "nn_k": None}
+    ev = pub.check_events(res, "run1", D)
+    pub.write_events(ev, tmp_dir + "/events")
+    back = spark.read.json(tmp_dir + "/events")
+    assert back.count() == 2 and set(r.result_type for r in back.collect()) == {"SUCCESS", "FAILURE"}
+
+
+def test_seed_from_csv_matches_builtin(spark, tmp_dir):
+    from liqspark.sources import seeds
+
+    name = "seed_fr2052a_product_mapping"
+    builtin = seeds.load_seed(spark, name)
+    builtin.coalesce(1).write.option("header", True).csv(tmp_dir + "/seed")
+    from_csv = seeds.load_seed(spark, name, tmp_dir + "/seed")
+    assert from_csv.schema == builtin.schema
+    assert sorted(map(tuple, from_csv.collect())) == sorted(map(tuple, builtin.collect()))
