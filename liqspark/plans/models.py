@@ -113,7 +113,7 @@ class Lineage:
             if self.store is not None:
                 path = f"{self.store.rstrip('/')}/{name}"
                 sinks.write_partitioned(with_audit(df, AUDIT_COLUMN[name]), path, PARTITIONING[name])
-                df = sinks.read_table(self.spark, path).select(*df.columns)
+                df = sinks.read_table(self.spark, path, df.schema)
             self._cache[name] = df
         return self._cache[name]
 

@@ -42,8 +42,13 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = (P
      .partitionBy(*partition_by).parquet(path))
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("mergeSchema", "true").parquet(path)
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Read a stored table. With ``schema`` no file footer is inspected: columns
+    missing from older files read as null and columns no longer in the schema
+    are skipped, which is how evolved tables are read (no footer scan over the
+    whole table, as schema merging would need)."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(path)
 
 
 def sync_columns(target: DataFrame, src: DataFrame) -> DataFrame:
@@ -79,7 +84,8 @@ def upsert(spark: SparkSession, src: DataFrame, path: str, key: Sequence[str],
     # static IN filter, so only those partitions are read and rewritten.
     touched_rows = src.select(*partition_by).distinct().collect()
     first = partition_by[0]
-    target = read_table(spark, path).where(F.col(first).isin(sorted({r[first] for r in touched_rows})))
+    # read with the source's schema: the column sync happens in the reader
+    target = read_table(spark, path, src.schema).where(F.col(first).isin(sorted({r[first] for r in touched_rows})))
     touched = F.broadcast(src.sparkSession.createDataFrame(touched_rows, src.select(*partition_by).schema))
     kept = (target.join(touched, list(partition_by), "left_semi")
             .join(src.select(*key), list(key), "left_anti"))

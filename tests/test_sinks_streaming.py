@@ -79,3 +79,17 @@ def test_streaming_ingest_is_exactly_once(spark, tmp_dir):
     assert t.count() == 6
     # staging keeps the latest copy per key
     assert stage_positions(t.select(*RAW_POSITIONS_SCHEMA.fieldNames())).count() == 4
+
+
+def test_upsert_with_added_and_removed_columns(spark, tmp_dir):
+    path = tmp_dir + "/t"
+    old = stage_positions(positions(spark, [dict(instrument_id="INS1"), dict(instrument_id="INS2")]))
+    sinks.upsert(spark, old.drop("interest_rate").withColumn("legacy", F.lit(1)), path, ["position_id"])
+    other_day = stage_positions(positions(spark, [dict(partition_date=D0 - dt.timedelta(days=1))]))
+    sinks.upsert(spark, other_day.drop("interest_rate").withColumn("legacy", F.lit(1)), path, ["position_id"])
+    new = stage_positions(positions(spark, [dict(instrument_id="INS2", notional_value=Decimal("9.00"))]))
+    sinks.upsert(spark, new, path, ["position_id"])
+    t = sinks.read_table(spark, path, new.schema)
+    assert t.count() == 3 and "legacy" not in t.columns
+    today = {r.instrument_id: r for r in t.where(F.col("partition_date") == F.lit(D0)).collect()}
+    assert today["INS2"].notional_value == Decimal("9.00") and today["INS1"].interest_rate is None
