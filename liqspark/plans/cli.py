@@ -1,5 +1,5 @@
-"""Command line for scheduled jobs (``spark-submit -m liqspark.plans.cli ...``
-or ``python -m liqspark.plans.cli ...``).
+"""Command line for scheduled jobs (``spark-submit jobs.py ...`` or
+``python -m liqspark.plans.cli ...``).
 
   ingest    load one day's raw feed into its raw table
   run       build and store every model for one date, run the checks, write
@@ -50,6 +50,8 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("--scope", choices=["partition", "table"], default="partition")
     run.add_argument("--run-id", default=None)
     run.add_argument("--store-failures", action="store_true")
+    run.add_argument("--input-bytes", type=int, default=None,
+                     help="expected daily input volume; sizes scan splits and shuffle partitions")
 
     opt = sub.add_parser("optimize", help="compact one date of the named tables")
     opt.add_argument("--warehouse", required=True)
@@ -71,6 +73,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
 
     if args.cmd == "run":
         from ..operators import publish as pub
+        from ..session import apply_conf, scale_conf
+
+        if args.input_bytes:
+            apply_conf(spark, scale_conf(args.input_bytes))
         from .pipeline import Warehouse, run_daily
 
         raw = {name: sinks.read_table(spark, f"{args.raw_root.rstrip('/')}/{name}").select(*FEEDS[name].names)

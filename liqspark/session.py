@@ -35,8 +35,32 @@ RUNTIME_CONF = {
 
 
 def ensure_runtime_conf(spark: SparkSession) -> None:
+    apply_conf(spark, RUNTIME_CONF)
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 128 << 20,
+               max_partitions: int = 50_000) -> dict[str, str]:
+    """Partition sizing for a job reading ``input_bytes``: scan splits and
+    shuffle partitions of about ``target_partition_bytes`` (so a task's sort
+    and aggregation buffers fit in executor memory and spill rarely), AQE
+    starting from that count and coalescing small ones, and skew splitting
+    for partitions four times the target. At 100 TB this gives the cap of
+    50,000 initial shuffle partitions (about 2 GB each before AQE splits them
+    further)."""
+    n = max(200, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    """Set runtime SQL settings that the cluster configuration leaves unset."""
     explicit = {k for k, _ in spark.sparkContext.getConf().getAll()}
-    for key, value in RUNTIME_CONF.items():
+    for key, value in conf.items():
         if key not in explicit:
             spark.conf.set(key, value)
 
