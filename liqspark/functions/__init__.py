@@ -1 +1 @@
-"""liqspark."""
+"""Column functions: surrogate keys, classifications, buckets, ratios and statistics."""

@@ -84,7 +84,6 @@ def rule_metrics(book: DataFrame, rule: AggRule, as_of: dt.date,
     without history get null statistics.
     """
     dims = list(rule.group_by)
-    k = float(rule.stddev_multiplier)
     d = F.col(PARTITION_DATE).cast("date")
     wanted = [day for day, rnk in ranked_dates if rnk <= rule.lookback_business_days] + [as_of]
     scoped = (book.where(d.isin(wanted))
@@ -104,9 +103,18 @@ def rule_metrics(book: DataFrame, rule: AggRule, as_of: dt.date,
     ).where(F.col("_has_today") > 0)
 
     n = F.when(F.col("_hist_rows") > 0, F.col("_hist_rows"))
-    mean = F.col("_hist_sum").cast("double") / n
-    base = stats.select(*dims, F.col("current_value").cast("double").alias("cur"),
-                        n.alias("hist_n"), mean.alias("hist_mean"), "hist_stddev")
+    base = stats.select(*dims, F.lit(as_of).alias(PARTITION_DATE),
+                        F.col("current_value").cast("double").alias("cur"), n.alias("hist_n"),
+                        (F.col("_hist_sum").cast("double") / n).alias("hist_mean"), "hist_stddev")
+    return _rule_rows(base, rule)
+
+
+def _rule_rows(base: DataFrame, rule: AggRule) -> DataFrame:
+    """Output rows of one rule from (dims, partition_date, cur, hist_n,
+    hist_mean, hist_stddev): thresholds, z-score, outlier flag, rule
+    metadata and the record key."""
+    dims = list(rule.group_by)
+    k = float(rule.stddev_multiplier)
     cur, mean, sd, n = F.col("cur"), F.col("hist_mean"), F.col("hist_stddev"), F.col("hist_n")
     outlier = (F.when(n.isNull() | (n < rule.min_history_days), F.lit(False))
                .when(sd.isNull(), F.lit(False))
@@ -115,7 +123,7 @@ def rule_metrics(book: DataFrame, rule: AggRule, as_of: dt.date,
     out = base.select(
         F.lit(rule.name).alias("rule_name"),
         dims_json(dims).alias("dims_json"),
-        F.lit(as_of).alias(PARTITION_DATE),
+        PARTITION_DATE,
         cur.alias("current_value"),
         n.alias("hist_n"),
         mean.alias("hist_mean"),
@@ -179,7 +187,6 @@ def rule_metrics_all_dates(book: DataFrame, rule: AggRule, index: DataFrame) ->
     rows, however large the book.
     """
     dims = list(rule.group_by)
-    k = float(rule.stddev_multiplier)
     n_back = int(rule.lookback_business_days)
     daily = (book.where(F.expr(rule.where))
              .withColumn(PARTITION_DATE, F.col(PARTITION_DATE).cast("date"))
@@ -205,24 +212,7 @@ def rule_metrics_all_dates(book: DataFrame, rule: AggRule, index: DataFrame) ->
     n = F.when(F.col("_n") > 0, F.col("_n"))
     base = stats.select(*dims, PARTITION_DATE, F.col("_cur").cast("double").alias("cur"), n.alias("hist_n"),
                         (F.col("_s").cast("double") / n).alias("hist_mean"), "hist_stddev")
-    cur_c, mean, sd, n = F.col("cur"), F.col("hist_mean"), F.col("hist_stddev"), F.col("hist_n")
-    outlier = (F.when(n.isNull() | (n < rule.min_history_days), F.lit(False))
-               .when(sd.isNull(), F.lit(False))
-               .when(sd == 0, cur_c != mean)
-               .otherwise(F.abs((cur_c - mean) / sd) > F.lit(k)))
-    out = base.select(
-        F.lit(rule.name).alias("rule_name"), dims_json(dims).alias("dims_json"), PARTITION_DATE,
-        cur_c.alias("current_value"), n.alias("hist_n"), mean.alias("hist_mean"), sd.alias("hist_stddev"),
-        (mean - F.lit(k) * sd).alias("lower_threshold"), (mean + F.lit(k) * sd).alias("upper_threshold"),
-        zscore(cur_c, mean, sd).alias("zscore"), F.lit(k).alias("stddev_multiplier"),
-        F.lit(n_back).alias("lookback_business_days"),
-        F.lit(int(rule.min_history_days)).alias("min_history_days"),
-        F.lit(rule.metric_expr).alias("metric_expr"), F.lit(rule.where).alias("filter_sql"),
-        F.lit(",".join(dims)).alias("group_by_cols"), outlier.alias("is_outlier"),
-    )
-    return out.select(
-        surrogate_key("rule_name", "dims_json", F.col(PARTITION_DATE).cast("string")).alias("dq_record_id"),
-        *out.columns)
+    return _rule_rows(base, rule)
 
 
 def agg_threshold_metrics_all_dates(book: DataFrame, rules: Sequence[AggRule] = POSITION_RULES) -> DataFrame:

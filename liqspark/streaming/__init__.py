@@ -1 +1 @@
-"""liqspark."""
+"""Structured Streaming: exactly-once ingest of raw feed drops."""
