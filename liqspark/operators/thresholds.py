@@ -115,6 +115,7 @@ def _rule_rows(base: DataFrame, rule: AggRule) -> DataFrame:
     metadata and the record key."""
     dims = list(rule.group_by)
     k = float(rule.stddev_multiplier)
+    dj = F.col("dims_json") if "dims_json" in base.columns else dims_json(dims)
     cur, mean, sd, n = F.col("cur"), F.col("hist_mean"), F.col("hist_stddev"), F.col("hist_n")
     outlier = (F.when(n.isNull() | (n < rule.min_history_days), F.lit(False))
                .when(sd.isNull(), F.lit(False))
@@ -122,7 +123,7 @@ def _rule_rows(base: DataFrame, rule: AggRule) -> DataFrame:
                .otherwise(F.abs((cur - mean) / sd) > F.lit(k)))
     out = base.select(
         F.lit(rule.name).alias("rule_name"),
-        dims_json(dims).alias("dims_json"),
+        dj.alias("dims_json"),
         PARTITION_DATE,
         cur.alias("current_value"),
         n.alias("hist_n"),
@@ -220,3 +221,69 @@ def agg_threshold_metrics_all_dates(book: DataFrame, rules: Sequence[AggRule] =
     every rule for every partition date, in one plan."""
     index = business_day_index(book)
     return union_all([rule_metrics_all_dates(book, r, index) for r in rules])
+
+
+
+# --- incremental form: stored daily values ------------------------------------
+
+DAILY_KEY = ["rule_name", "dims_json", PARTITION_DATE]
+
+
+def _value_columns(v: Column, dtype) -> list[Column]:
+    # Exact types (integral, decimal) keep exact sums; anything else is double.
+    from pyspark.sql import types as T
+
+    exact = isinstance(dtype, (T.DecimalType, T.IntegralType))
+    return [(v.cast("decimal(38,10)") if exact else F.lit(None).cast("decimal(38,10)")).alias("metric_decimal"),
+            (F.lit(None).cast("double") if exact else v.cast("double")).alias("metric_double")]
+
+
+def daily_rule_values(book: DataFrame, rules: Sequence[AggRule] = POSITION_RULES) -> DataFrame:
+    """Every rule's value per (date, dims group) of ``book``: the time series
+    the thresholds are computed from. Feed it one day's partition in a daily
+    run (one partition scanned) or the whole book once to backfill."""
+    parts = []
+    for rule in rules:
+        dims = list(rule.group_by)
+        daily = (book.where(F.expr(rule.where))
+                 .withColumn(PARTITION_DATE, F.col(PARTITION_DATE).cast("date"))
+                 .groupBy(PARTITION_DATE, *dims).agg(F.expr(rule.metric_expr).alias("v")))
+        parts.append(daily.select(
+            surrogate_key(F.lit(rule.name), dims_json(dims), F.col(PARTITION_DATE).cast("string"))
+            .alias("dq_daily_id"),
+            F.lit(rule.name).alias("rule_name"), dims_json(dims).alias("dims_json"), PARTITION_DATE,
+            *_value_columns(F.col("v"), daily.schema["v"].dataType)))
+    return union_all(parts)
+
+
+def agg_threshold_metrics_from_daily(daily: DataFrame, book_dates: DataFrame, as_of: dt.date,
+                                     rules: Sequence[AggRule] = POSITION_RULES) -> DataFrame:
+    """The same rows as :func:`agg_threshold_metrics`, computed from stored
+    daily values instead of re-aggregating the book's history: the run reads
+    at most (lookback + 1) x groups small rows per rule. ``book_dates`` is any
+    frame with the book's ``partition_date`` column (only that column is
+    read; the dates still come from the data)."""
+    max_lookback = max(r.lookback_business_days for r in rules)
+    ranked = [(r[PARTITION_DATE], r["rnk"])
+              for r in trailing_business_dates(book_dates, as_of, max_lookback).collect()]
+    parts = []
+    for rule in rules:
+        wanted = [day for day, rnk in ranked if rnk <= rule.lookback_business_days] + [as_of]
+        rows = daily.where((F.col("rule_name") == rule.name) & F.col(PARTITION_DATE).isin(wanted))
+        v = F.coalesce(F.col("metric_decimal").cast("double"), F.col("metric_double"))
+        exact_sum = F.sum(F.when(F.col(PARTITION_DATE) != F.lit(as_of), F.col("metric_decimal")))
+        dbl_sum = F.sum(F.when(F.col(PARTITION_DATE) != F.lit(as_of), F.col("metric_double")))
+        today = F.col(PARTITION_DATE) == F.lit(as_of)
+        hist_v = F.when(~today, v)
+        stats = rows.groupBy("dims_json").agg(
+            F.count(F.when(today, F.lit(1))).alias("_has_today"),
+            F.max(F.when(today, v)).alias("cur"),
+            F.count(hist_v).alias("_hist_rows"),
+            F.coalesce(exact_sum.cast("double"), dbl_sum).alias("_hist_sum"),
+            F.stddev_samp(hist_v).alias("hist_stddev"),
+        ).where(F.col("_has_today") > 0)
+        n = F.when(F.col("_hist_rows") > 0, F.col("_hist_rows"))
+        base = stats.select("dims_json", F.lit(as_of).alias(PARTITION_DATE), "cur", n.alias("hist_n"),
+                            (F.col("_hist_sum") / n).alias("hist_mean"), "hist_stddev")
+        parts.append(_rule_rows(base, rule))
+    return union_all(parts)

@@ -30,7 +30,7 @@ from ..sources import fixtures, seeds, sinks
 MODEL_NAMES = (
     "stg_market_data", "stg_positions_loans", "stg_positions_deposits", "mart_positions",
     "mart_liquidity_risk", "mart_cashflow_forecast", "rpt_lcr", "rpt_nsfr", "rpt_fr2052a_outflows",
-    "rpt_fr2052a_inflows", "rpt_fr2052a_supplemental", "mart_positions_dq_metrics",
+    "rpt_fr2052a_inflows", "rpt_fr2052a_supplemental", "mart_positions_dq_metrics", "mart_positions_dq_daily",
 )
 # Upstream models of each model; models of one level are independent.
 DEPENDENCIES = {
@@ -43,6 +43,7 @@ DEPENDENCIES = {
     "rpt_fr2052a_inflows": ("mart_positions",),
     "rpt_fr2052a_supplemental": ("mart_positions", "mart_liquidity_risk"),
     "mart_positions_dq_metrics": ("mart_positions",),
+    "mart_positions_dq_daily": ("mart_positions",),
 }
 
 
@@ -105,6 +106,7 @@ class Lineage:
                                                                          t("mart_liquidity_risk")),
             "mart_positions_dq_metrics": lambda: th.agg_threshold_metrics(t("mart_positions"), self.as_of,
                                                                           self.rules),
+            "mart_positions_dq_daily": lambda: th.daily_rule_values(t("mart_positions"), self.rules),
         }
 
     def table(self, name: str) -> DataFrame:

@@ -570,6 +570,15 @@ QUERY_SQL: dict[str, tuple[list[str], str]] = {
     "trailing_business_dates": (["book"], dq_dates_sql(60)),
     "agg_threshold_metrics": (["dq_metrics"], f"SELECT {METRIC_OUT} FROM dq_metrics"),
     "agg_threshold_metrics_all_dates": (["dq_metrics_all"], f"SELECT {METRIC_OUT} FROM dq_metrics_all"),
+    "dq_daily_values": (["book"], " UNION ALL ".join(
+        f"""SELECT {sk(q(r.name), 'dims_json', 'CAST(partition_date AS VARCHAR)')} AS dq_daily_id,
+               {q(r.name)} AS rule_name, dims_json, partition_date,
+               CAST(CAST(v AS DECIMAL(38,10)) AS DOUBLE) AS metric_decimal, CAST(NULL AS DOUBLE) AS metric_double
+        FROM (SELECT partition_date, {("CAST(json_object(" + ", ".join(f"'{c}', {c}" for c in r.group_by)
+                                         + ") AS VARCHAR)") if r.group_by else "'{}'"} AS dims_json,
+                     {r.metric_expr} AS v
+              FROM book WHERE ({r.where}) GROUP BY partition_date{"".join(", " + c for c in r.group_by)}) d"""
+        for r in POSITION_RULES)),
     "surrogate_key": (["book"], f"""
         SELECT position_id, {sk('portfolio_id', 'instrument_id', 'maturity_date')} AS maturity_key,
                {sk('currency', 'interest_rate')} AS rate_key FROM book"""),

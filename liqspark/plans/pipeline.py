@@ -45,6 +45,7 @@ UNIQUE_KEYS = {
     "rpt_fr2052a_inflows": ["inflow_record_id"],
     "rpt_fr2052a_supplemental": ["supplemental_record_id"],
     "mart_positions_dq_metrics": ["dq_record_id"],
+    "mart_positions_dq_daily": ["dq_daily_id"],
 }
 
 
@@ -105,8 +106,12 @@ def run_daily(spark: SparkSession, raw: dict[str, DataFrame], as_of: dt.date, ro
     wh.save("rpt_fr2052a_outflows", reg.fr2052a_outflows(book, seed("seed_fr2052a_product_mapping")))
     wh.save("rpt_fr2052a_inflows", reg.fr2052a_inflows(book, seed("seed_fr2052a_product_mapping")))
     wh.save("rpt_fr2052a_supplemental", reg.fr2052a_supplemental(book, wh.day("mart_liquidity_risk", as_of)))
-    # The rules compare today with the stored history of the whole book.
-    wh.save("mart_positions_dq_metrics", th.agg_threshold_metrics(wh.read("mart_positions"), as_of, rules))
+    # Today's rule values come from today's partition only; the history is read
+    # from the stored daily values (filled for past dates by earlier runs or a
+    # backfill), never re-aggregated from the book.
+    wh.save("mart_positions_dq_daily", th.daily_rule_values(book, rules))
+    wh.save("mart_positions_dq_metrics", th.agg_threshold_metrics_from_daily(
+        wh.read("mart_positions_dq_daily"), wh.read("mart_positions").select(PARTITION_DATE), as_of, rules))
 
     read = (lambda n: wh.day(n, as_of)) if scope == "partition" else wh.read
     raw_scope = (lambda df: stg.scan_partition(df, as_of, "incremental")) if scope == "partition" \

@@ -333,6 +333,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trailing_business_dates": q_trailing_business_dates,
     "agg_threshold_metrics": q_agg_threshold_metrics,
     "agg_threshold_metrics_all_dates": q_agg_threshold_metrics_all_dates,
+    "dq_daily_values": _model("mart_positions_dq_daily"),
     "surrogate_key": q_surrogate_key,
     "cents_to_dollars": q_cents_to_dollars,
     "maturity_bucket": q_maturity_bucket,

@@ -83,3 +83,19 @@ def test_all_dates_backfill_equals_single_date_runs(spark):
             assert (b.hist_n, b.current_value, b.is_outlier, b.dq_record_id) == \
                 (r.hist_n, r.current_value, r.is_outlier, r.dq_record_id)
             assert (b.hist_mean is None and r.hist_mean is None) or abs(b.hist_mean - r.hist_mean) < 1e-9
+
+
+def test_metrics_from_stored_daily_values_equal_direct(spark):
+    days = [AS_OF - dt.timedelta(days=i) for i in range(0, 40)]
+    rows = [(d, s, Decimal(100 + (i * 7 + len(s or "")) % 13)) for i, d in enumerate(days) for s in ("L", "D", None)]
+    df = frame(spark, rows)
+    rules = [RULE, th.AggRule("c", "count(*)", (), "1=1", 4, 10, 5)]
+    daily = th.daily_rule_values(df, rules)
+    via_daily = {(r.rule_name, r.dims_json): r for r in th.agg_threshold_metrics_from_daily(daily, df, AS_OF, rules).collect()}
+    direct = {(r.rule_name, r.dims_json): r for r in th.agg_threshold_metrics(df, AS_OF, rules).collect()}
+    assert via_daily.keys() == direct.keys()
+    for k, r in direct.items():
+        b = via_daily[k]
+        assert (b.hist_n, b.current_value, b.is_outlier, b.dq_record_id) == \
+            (r.hist_n, r.current_value, r.is_outlier, r.dq_record_id)
+        assert abs(b.hist_mean - r.hist_mean) < 1e-9 and abs(b.hist_stddev - r.hist_stddev) < 1e-6
