@@ -47,8 +47,22 @@ DEPENDENCIES = {
 }
 
 
+def with_upstream(names) -> list[str]:
+    """The named models plus everything they read, in declaration order."""
+    need: set[str] = set()
+    stack = list(names)
+    while stack:
+        n = stack.pop()
+        if n not in need:
+            need.add(n)
+            stack.extend(DEPENDENCIES[n])
+    return [n for n in MODEL_NAMES if n in need]
+
+
 def levels(names=MODEL_NAMES) -> list[list[str]]:
-    """Models grouped so every model's upstream is in an earlier group."""
+    """Models (with their upstream) grouped so every model's upstream is in an
+    earlier group."""
+    names = with_upstream(names)
     done: set[str] = set()
     out = []
     while len(done) < len(names):
@@ -124,8 +138,9 @@ class Lineage:
             return self.table(name)
         raise AttributeError(name)
 
-    def materialize(self, parallel: int = 4) -> dict[str, DataFrame]:
-        """Build (and, with ``store``, write) every model; name -> DataFrame.
+    def materialize(self, parallel: int = 4, names=MODEL_NAMES) -> dict[str, DataFrame]:
+        """Build (and, with ``store``, write) the named models and their
+        upstream; name -> DataFrame.
 
         With a store, the independent models of one dependency level are
         written as concurrent Spark jobs (they share the cluster's task slots);
@@ -135,6 +150,6 @@ class Lineage:
             from concurrent.futures import ThreadPoolExecutor
 
             with ThreadPoolExecutor(max_workers=parallel) as pool:
-                for level in levels():
+                for level in levels(names):
                     list(pool.map(self.table, level))
-        return {n: self.table(n) for n in MODEL_NAMES}
+        return {n: self.table(n) for n in with_upstream(names)}

@@ -26,7 +26,7 @@ from ..operators import thresholds as th
 from ..schemas import PARTITION_DATE, RAW_POSITIONS_SCHEMA
 from ..session import ensure_checkpoint_dir
 from ..sources import fixtures, seeds, sinks
-from .models import Lineage
+from .models import MODEL_NAMES, Lineage
 from .suite import build_checks
 
 AS_OF = fixtures.AS_OF
@@ -136,7 +136,10 @@ def q_seed_lookup(spark, sf_dir):
 
 
 def _tables(L: Lineage) -> dict[str, DataFrame]:
-    t = L.materialize()
+    """The tables the declared suite checks (models stored first)."""
+    from .suite import DECLARED
+
+    t = L.materialize(names=[n for n in MODEL_NAMES if n in {s.table for s in DECLARED}])
     t["raw_market_data"] = L.raw["market_data"]
     t["raw_positions_loans"] = L.raw["positions_loans"]
     t["raw_positions_deposits"] = L.raw["positions_deposits"]
