@@ -14,6 +14,14 @@ from pyspark.sql import functions as F
 from ..schemas import PARTITION_DATE
 
 
+# Assertion-id prefixes, separators and result labels of the
+# published events.
+CHECK_ID_PREFIX = "dbt_"
+RULE_ID_PREFIX = "dq_"
+DIMS_HASH_CHARS = 12
+SUCCESS, FAILURE = "SUCCESS", "FAILURE"
+
+
 def dq_summary(results: DataFrame) -> DataFrame:
     """Totals of a check-result frame: all, passed, failed, warned (other
     statuses count only in the total)."""
@@ -32,17 +40,17 @@ def _safe_id(c: Column, chars: str) -> Column:
 
 def dims_hash(dims: Column) -> Column:
     """First 12 hex digits of sha1 of the dims JSON (``{}`` when null)."""
-    return F.substring(F.sha1(F.coalesce(dims, F.lit("{}"))), 1, 12)
+    return F.substring(F.sha1(F.coalesce(dims, F.lit("{}"))), 1, DIMS_HASH_CHARS)
 
 
 def check_events(results: DataFrame, run_id: str, as_of: dt.date) -> DataFrame:
     """One event per check: SUCCESS only for ``pass`` (``warn`` is FAILURE)."""
-    aid = F.concat(F.lit("dbt_"), _safe_id(F.col("check_id"), "."))
+    aid = F.concat(F.lit(CHECK_ID_PREFIX), _safe_id(F.col("check_id"), "."))
     return results.select(
         aid.alias("assertion_id"),
         F.concat(F.lit(run_id + "::"), aid).alias("run_id"),
         F.col("table_name").alias("assertee_table"),
-        F.when(F.col("status") == "pass", F.lit("SUCCESS")).otherwise(F.lit("FAILURE")).alias("result_type"),
+        F.when(F.col("status") == "pass", F.lit(SUCCESS)).otherwise(F.lit(FAILURE)).alias("result_type"),
         F.lit(as_of).alias(PARTITION_DATE),
         F.lit(None).cast("string").alias("rule_name"),
         F.lit(None).cast("string").alias("dims_json"),
@@ -63,7 +71,7 @@ def rule_events(metrics: DataFrame, run_id: str, as_of: dt.date, table: str = "m
     m = metrics.where(F.col(PARTITION_DATE) == F.lit(as_of))
     rule = F.coalesce(F.col("rule_name"), F.lit("unknown_rule"))
     h = dims_hash(F.col("dims_json"))
-    aid = F.concat(F.lit("dq_"), F.regexp_replace(rule, " ", "_"), F.lit("__"), h)
+    aid = F.concat(F.lit(RULE_ID_PREFIX), F.regexp_replace(rule, " ", "_"), F.lit("__"), h)
     kv = []
     for f in NATIVE_FIELDS:
         kv += [F.lit(f), F.col(f).cast("string")]
@@ -72,7 +80,7 @@ def rule_events(metrics: DataFrame, run_id: str, as_of: dt.date, table: str = "m
         aid.alias("assertion_id"),
         F.concat(F.lit(run_id + "::dq::"), rule, F.lit("::"), h).alias("run_id"),
         F.lit(table).alias("assertee_table"),
-        F.when(F.col("is_outlier"), F.lit("FAILURE")).otherwise(F.lit("SUCCESS")).alias("result_type"),
+        F.when(F.col("is_outlier"), F.lit(FAILURE)).otherwise(F.lit(SUCCESS)).alias("result_type"),
         F.col(PARTITION_DATE),
         rule.alias("rule_name"),
         F.coalesce(F.col("dims_json"), F.lit("{}")).alias("dims_json"),
