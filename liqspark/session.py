@@ -31,6 +31,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # the size check behind every non-seed broadcast: a join side is
+    # broadcast only when its measured (runtime) size is below this
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
 }
 
 
