@@ -79,3 +79,11 @@ def test_daily_pipeline_rerun_is_idempotent(spark, tmp_dir):
             run_daily(spark, raw, fixtures.AS_OF, root, now=clock, scope="table").collect()}
     day = {r.check_id: r.failures for r in results}
     assert full["unique__mart_liquidity_risk__risk_record_id"] > day["unique__mart_liquidity_risk__risk_record_id"] > 0
+    # a day whose feeds never arrived: the DQ rules give no row (T7), the row-count and
+    # both-sources checks flag the missing feed, and nothing else in the warehouse changes
+    missing = dt.date(2024, 4, 15)
+    res = {r.check_id: r for r in run_daily(spark, raw, missing, root, now=clock).collect()}
+    assert res["row_count_between__mart_positions"].failures == 1
+    assert res["both_sources__mart_positions"].failures == 2
+    assert wh.day("mart_positions_dq_metrics", missing).count() == 0
+    assert {n: wh.read(n).count() for n in UNIQUE_KEYS} == after
