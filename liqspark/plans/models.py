@@ -138,7 +138,7 @@ class Lineage:
             return self.table(name)
         raise AttributeError(name)
 
-    def materialize(self, parallel: int = 4, names=MODEL_NAMES) -> dict[str, DataFrame]:
+    def materialize(self, parallel: int | None = None, names=MODEL_NAMES) -> dict[str, DataFrame]:
         """Build (and, with ``store``, write) the named models and their
         upstream; name -> DataFrame.
 
@@ -146,10 +146,12 @@ class Lineage:
         written as concurrent Spark jobs (they share the cluster's task slots);
         each level waits for the previous one.
         """
+        plan = levels(names)
+        parallel = parallel or max(len(level) for level in plan)  # widest level at once
         if self.store is not None and parallel > 1:
             from concurrent.futures import ThreadPoolExecutor
 
             with ThreadPoolExecutor(max_workers=parallel) as pool:
-                for level in levels(names):
+                for level in plan:
                     list(pool.map(self.table, level))
         return {n: self.table(n) for n in with_upstream(names)}
