@@ -52,3 +52,27 @@ def test_plan_shape(spark, name):
 def test_seed_joins_are_broadcast(spark):
     plan = _plan(E.queries()["nsfr"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_cashflow_window_reuses_aggregate_partitioning(spark):
+    import re
+
+    plan = _plan(E.queries()["cashflow_forecast"](spark, SF_SMALL))
+    # one shuffle on (portfolio_id, partition_date) serves both the aggregate and the running-sum window
+    assert len(re.findall(r"Exchange hashpartitioning\(portfolio_id#\d+, partition_date#\d+, \d+\)", plan)) == 1
+
+
+def test_dq_history_scans_are_statically_pruned(spark, tmp_dir):
+    from liqspark.operators import thresholds as th
+    from liqspark.plans.models import Lineage
+
+    L = Lineage.from_testdata(spark, SF_SMALL, store=tmp_dir + "/wh")
+    df = th.agg_threshold_metrics(L.table("mart_positions"), L.as_of)
+    leaves = df._jdf.queryExecution().sparkPlan().collectLeaves().iterator()
+    rule_scans = 0
+    while leaves.hasNext():
+        n = leaves.next()
+        md = n.metadata() if n.getClass().getSimpleName() == "FileSourceScanExec" else None
+        if md is not None and "mart_positions" in md.apply("Location") and "IN" in md.apply("PartitionFilters"):
+            rule_scans += 1
+    assert rule_scans == 4  # each rule reads only the wanted partitions
