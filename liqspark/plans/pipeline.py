@@ -76,6 +76,14 @@ class Warehouse:
 SCOPES = ("partition", "table")
 
 
+def _level(builders: dict, wh: "Warehouse") -> None:
+    """Build and store independent models concurrently (errors propagate)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+        list(pool.map(lambda item: wh.save(item[0], item[1]()), builders.items()))
+
+
 def run_daily(spark: SparkSession, raw: dict[str, DataFrame], as_of: dt.date, root: str,
               now: dt.datetime | None = None, rules: Sequence[th.AggRule] = th.POSITION_RULES,
               failures_path: str | None = None, scope: str = "partition") -> DataFrame:
@@ -93,25 +101,34 @@ def run_daily(spark: SparkSession, raw: dict[str, DataFrame], as_of: dt.date, ro
     wh = Warehouse(spark, root)
     seed = lambda n: seeds.load_seed(spark, n)
 
-    wh.save("stg_market_data", stg.stage_market_data(raw["market_data"], as_of, "incremental"))
-    wh.save("stg_positions_loans", stg.stage_positions(raw["positions_loans"], as_of, "incremental"))
-    wh.save("stg_positions_deposits", stg.stage_positions(raw["positions_deposits"], as_of, "incremental"))
-    wh.save("mart_positions", pos.unify_positions(wh.day("stg_positions_loans", as_of),
-                                                  wh.day("stg_positions_deposits", as_of)))
+    mapping = lambda: seed("seed_fr2052a_product_mapping")
+    # Each level's models are independent Spark jobs and run concurrently;
+    # a level starts once the tables it reads are stored.
+    _level({
+        "stg_market_data": lambda: stg.stage_market_data(raw["market_data"], as_of, "incremental"),
+        "stg_positions_loans": lambda: stg.stage_positions(raw["positions_loans"], as_of, "incremental"),
+        "stg_positions_deposits": lambda: stg.stage_positions(raw["positions_deposits"], as_of, "incremental"),
+    }, wh)
+    _level({"mart_positions": lambda: pos.unify_positions(wh.day("stg_positions_loans", as_of),
+                                                          wh.day("stg_positions_deposits", as_of))}, wh)
     book, market = wh.day("mart_positions", as_of), wh.day("stg_market_data", as_of)
-    wh.save("mart_liquidity_risk", rk.liquidity_risk(book, market))
-    wh.save("mart_cashflow_forecast", cf.cashflow_forecast(book, market))
-    wh.save("rpt_lcr", reg.lcr(book, wh.day("mart_cashflow_forecast", as_of), seed("seed_hqla_classification")))
-    wh.save("rpt_nsfr", reg.nsfr(book, seed("seed_nsfr_factors")))
-    wh.save("rpt_fr2052a_outflows", reg.fr2052a_outflows(book, seed("seed_fr2052a_product_mapping")))
-    wh.save("rpt_fr2052a_inflows", reg.fr2052a_inflows(book, seed("seed_fr2052a_product_mapping")))
-    wh.save("rpt_fr2052a_supplemental", reg.fr2052a_supplemental(book, wh.day("mart_liquidity_risk", as_of)))
-    # Today's rule values come from today's partition only; the history is read
-    # from the stored daily values (filled for past dates by earlier runs or a
-    # backfill), never re-aggregated from the book.
-    wh.save("mart_positions_dq_daily", th.daily_rule_values(book, rules))
-    wh.save("mart_positions_dq_metrics", th.agg_threshold_metrics_from_daily(
-        wh.read("mart_positions_dq_daily"), wh.read("mart_positions").select(PARTITION_DATE), as_of, rules))
+    _level({
+        "mart_liquidity_risk": lambda: rk.liquidity_risk(book, market),
+        "mart_cashflow_forecast": lambda: cf.cashflow_forecast(book, market),
+        "rpt_nsfr": lambda: reg.nsfr(book, seed("seed_nsfr_factors")),
+        "rpt_fr2052a_outflows": lambda: reg.fr2052a_outflows(book, mapping()),
+        "rpt_fr2052a_inflows": lambda: reg.fr2052a_inflows(book, mapping()),
+        # today's rule values come from today's partition only
+        "mart_positions_dq_daily": lambda: th.daily_rule_values(book, rules),
+    }, wh)
+    _level({
+        "rpt_lcr": lambda: reg.lcr(book, wh.day("mart_cashflow_forecast", as_of),
+                                   seed("seed_hqla_classification")),
+        "rpt_fr2052a_supplemental": lambda: reg.fr2052a_supplemental(book, wh.day("mart_liquidity_risk", as_of)),
+        # history comes from the stored daily values, never re-aggregated from the book
+        "mart_positions_dq_metrics": lambda: th.agg_threshold_metrics_from_daily(
+            wh.read("mart_positions_dq_daily"), wh.read("mart_positions").select(PARTITION_DATE), as_of, rules),
+    }, wh)
 
     read = (lambda n: wh.day(n, as_of)) if scope == "partition" else wh.read
     raw_scope = (lambda df: stg.scan_partition(df, as_of, "incremental")) if scope == "partition" \
