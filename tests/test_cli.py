@@ -33,6 +33,10 @@ def test_cli_ingest_run_optimize(spark, tmp_dir):
     book = spark.read.parquet(f"{wh}/mart_positions")
     n_book = book.count()
     assert n_book > 0 and book.select("partition_date").distinct().count() == 1
+    # audit stamps are added when models are stored
+    assert "_unified_at" in book.columns and book.where(F.col("_unified_at").isNull()).count() == 0
+    assert "_loaded_at" in spark.read.parquet(f"{wh}/stg_market_data").columns
+    assert "_computed_at" in spark.read.parquet(f"{wh}/rpt_lcr").columns
     summary = spark.read.json(f"{out}/summary/{DAYS[1]}").collect()[0]
     assert summary.total_tests == 105 and summary.passed + summary.failed + summary.warned == 105
     assert spark.read.json(f"{out}/events").count() > 105
