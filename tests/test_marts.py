@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import D0, book, market, positions
+from helpers import D0, book, market
 from liqspark.operators import cashflow as cf
 from liqspark.operators import checks as ck
 from liqspark.operators import regulatory as reg

@@ -3,7 +3,6 @@ pipeline re-run (idempotent), and the entry smoke check."""
 
 import datetime as dt
 import decimal
-import os
 from collections import Counter
 
 import duckdb

@@ -1,6 +1,5 @@
 """Properties: on the sf0.001 feeds and on generated inputs."""
 
-import datetime as dt
 from decimal import Decimal
 
 from hypothesis import given, settings

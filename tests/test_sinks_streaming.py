@@ -1,6 +1,5 @@
 import datetime as dt
 import glob
-import os
 from decimal import Decimal
 
 import pytest

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from helpers import D0, market, positions
+from helpers import market, positions
 from liqspark.operators import risk as rk
 from liqspark.operators.positions import unify_positions
 from liqspark.operators.staging import stage_market_data, stage_positions
