@@ -62,7 +62,7 @@ def test_lcr_no_net_outflow_is_999_and_compliant(spark):
 
 
 def test_lcr_level2_cap(spark):
-    # L1 = 60 (CASH, 0% haircut); 2A after haircut = 100 (AGENCY_BOND 15%: 117.65 -> 100.0025)
+    # L1 = 60 (CASH, 0% haircut); 2A = 200 less the 15% AGENCY_BOND haircut = 170; the cap keeps 40
     b = book(spark, loans=[dict(instrument_id="INS1", notional_value=Decimal("60.00")),
                            dict(instrument_id="INS2", notional_value=Decimal("200.00"))])
     classify = lambda _df: F.when(F.col("instrument_id") == "INS1", "CASH").otherwise("AGENCY_BOND")  # noqa
