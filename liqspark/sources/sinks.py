@@ -95,6 +95,31 @@ def upsert(spark: SparkSession, src: DataFrame, path: str, key: Sequence[str],
     write_partitioned(staged, path, partition_by)
 
 
+def merge_sql(target: str, source_view: str, key: Sequence[str], columns: Sequence[str]) -> str:
+    """``MERGE INTO`` statement for a catalog table of a merge-capable format
+    (Iceberg, Delta): update matched keys, insert the rest."""
+    on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in key)
+    sets = ", ".join(f"t.`{c}` = s.`{c}`" for c in columns)
+    cols = ", ".join(f"`{c}`" for c in columns)
+    vals = ", ".join(f"s.`{c}`" for c in columns)
+    return (f"MERGE INTO {target} t USING {source_view} s ON {on} "
+            f"WHEN MATCHED THEN UPDATE SET {sets} WHEN NOT MATCHED THEN INSERT ({cols}) VALUES ({vals})")
+
+
+def merge_into(spark: SparkSession, src: DataFrame, table: str, key: Sequence[str]) -> None:
+    """Keyed merge into a catalog table whose format supports row-level
+    MERGE (Iceberg / Delta on the classpath). Same contract as :func:`upsert`:
+    duplicate source keys are refused."""
+    if duplicate_keys(src, key).limit(1).count() > 0:
+        raise ValueError(f"source has duplicate keys on {list(key)}; merge is ambiguous")
+    view = f"_liqspark_merge_src_{abs(hash((table, tuple(key)))) % 10**8}"
+    src.createOrReplaceTempView(view)
+    try:
+        spark.sql(merge_sql(table, view, key, src.columns))
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def compact_partition(spark: SparkSession, path: str, as_of: dt.date, target_files: int = 1,
                       partition_col: str = PARTITION_DATE) -> None:
     """Rewrite one partition of a table into ``target_files`` files."""

@@ -11,7 +11,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from liqspark.session import build_session
 
-    s = build_session(master="local[*]", shuffle_partitions=8)
+    s = build_session(master="local[*]", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="liqspark-wh-")})
     yield s
     s.stop()
 

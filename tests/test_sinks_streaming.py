@@ -92,3 +92,17 @@ def test_upsert_with_added_and_removed_columns(spark, tmp_dir):
     assert t.count() == 3 and "legacy" not in t.columns
     today = {r.instrument_id: r for r in t.where(F.col("partition_date") == F.lit(D0)).collect()}
     assert today["INS2"].notional_value == Decimal("9.00") and today["INS1"].interest_rate is None
+
+
+def test_merge_sql_for_merge_capable_tables(spark):
+    sql = sinks.merge_sql("cat.marts.rpt_lcr", "src", ["lcr_record_id"], ["lcr_record_id", "lcr_pct"])
+    assert sql == ("MERGE INTO cat.marts.rpt_lcr t USING src s ON t.`lcr_record_id` = s.`lcr_record_id` "
+                   "WHEN MATCHED THEN UPDATE SET t.`lcr_record_id` = s.`lcr_record_id`, t.`lcr_pct` = s.`lcr_pct` "
+                   "WHEN NOT MATCHED THEN INSERT (`lcr_record_id`, `lcr_pct`) VALUES (s.`lcr_record_id`, s.`lcr_pct`)")
+    # a plain (non row-level) table refuses MERGE with an analysis error; the Parquet path is `upsert`
+    spark.createDataFrame([(1, 2.0)], "lcr_record_id int, lcr_pct double").write.mode("overwrite") \
+        .saveAsTable("merge_probe")
+    with pytest.raises(Exception):
+        sinks.merge_into(spark, spark.createDataFrame([(1, 3.0)], "lcr_record_id int, lcr_pct double"),
+                         "merge_probe", ["lcr_record_id"])
+    spark.sql("DROP TABLE IF EXISTS merge_probe")
