@@ -106,3 +106,19 @@ def test_merge_sql_for_merge_capable_tables(spark):
         sinks.merge_into(spark, spark.createDataFrame([(1, 3.0)], "lcr_record_id int, lcr_pct double"),
                          "merge_probe", ["lcr_record_id"])
     spark.sql("DROP TABLE IF EXISTS merge_probe")
+
+
+def test_ingest_csv_feed_with_malformed_values(spark, tmp_dir):
+    src = tmp_dir + "/drop.csv"
+    with open(src, "w") as f:
+        f.write("portfolio_id,instrument_id,position_qty,notional_value,position_type,currency,maturity_date,"
+                "interest_rate\n")
+        f.write("PF1,INS1,10.5,1000.00,LONG,USD,2024-06-30,0.05\n")
+        f.write("PF1,INS2,abc,2000.00,SHORT,EUR,not-a-date,0.04\n")
+    out = sinks.ingest_raw(spark, src, D0, RAW_POSITIONS_SCHEMA, tmp_dir + "/raw", fmt="csv",
+                           source_system="CBS")
+    rows = {r.instrument_id: r for r in out.collect()}
+    assert rows["INS1"].position_qty == Decimal("10.5000") and rows["INS1"].maturity_date == dt.date(2024, 6, 30)
+    assert rows["INS2"].position_qty is None and rows["INS2"].maturity_date is None  # try_cast, no failure
+    assert rows["INS2"].notional_value == Decimal("2000.00")
+    assert stage_positions(out.select(*RAW_POSITIONS_SCHEMA.fieldNames())).count() == 2
