@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,7 +112,11 @@ def run_daily(spark: SparkSession, raw: dict[str, DataFrame], as_of: dt.date, ro
     }, wh)
     _level({"mart_positions": lambda: pos.unify_positions(wh.day("stg_positions_loans", as_of),
                                                           wh.day("stg_positions_deposits", as_of))}, wh)
-    book, market = wh.day("mart_positions", as_of), wh.day("stg_market_data", as_of)
+    # The day's book and market rows feed the nine models below: read them from
+    # storage once and keep them (memory, spilling to disk) for those jobs.
+    # A lost executor recomputes its blocks from the stored table (one scan).
+    book = wh.day("mart_positions", as_of).persist(StorageLevel.MEMORY_AND_DISK)
+    market = wh.day("stg_market_data", as_of).persist(StorageLevel.MEMORY_AND_DISK)
     _level({
         "mart_liquidity_risk": lambda: rk.liquidity_risk(book, market),
         "mart_cashflow_forecast": lambda: cf.cashflow_forecast(book, market),
@@ -129,6 +134,8 @@ def run_daily(spark: SparkSession, raw: dict[str, DataFrame], as_of: dt.date, ro
         "mart_positions_dq_metrics": lambda: th.agg_threshold_metrics_from_daily(
             wh.read("mart_positions_dq_daily"), wh.read("mart_positions").select(PARTITION_DATE), as_of, rules),
     }, wh)
+    book.unpersist()
+    market.unpersist()
 
     read = (lambda n: wh.day(n, as_of)) if scope == "partition" else wh.read
     raw_scope = (lambda df: stg.scan_partition(df, as_of, "incremental")) if scope == "partition" \
