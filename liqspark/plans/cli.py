@@ -96,9 +96,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         return 0
 
     if args.cmd == "optimize":
+        from .models import PARTITIONING
+
         for name in [t.strip() for t in args.tables.split(",") if t.strip()]:
             sinks.compact_partition(spark, f"{args.warehouse.rstrip('/')}/{name}", args.partition_date,
-                                    args.target_files)
+                                    args.target_files, PARTITIONING.get(name, ("partition_date",)))
         return 0
     return 2
 

@@ -121,13 +121,23 @@ def merge_into(spark: SparkSession, src: DataFrame, table: str, key: Sequence[st
 
 
 def compact_partition(spark: SparkSession, path: str, as_of: dt.date, target_files: int = 1,
-                      partition_col: str = PARTITION_DATE) -> None:
-    """Rewrite one partition of a table into ``target_files`` files."""
+                      partition_by: Sequence[str] = (PARTITION_DATE,)) -> None:
+    """Rewrite one date of a table into at most ``target_files`` files per partition.
+
+    ``partition_by`` is the table's full partitioning (date first); every
+    sub-partition of the date (e.g. each source system of the book) is
+    rewritten in place and keeps its directory.
+    """
     ensure_checkpoint_dir(spark)
-    part = read_table(spark, path).where(F.col(partition_col) == F.lit(as_of))
-    others = [c for c in part.columns if c != partition_col]
+    date_col = partition_by[0]
+    part = read_table(spark, path).where(F.col(date_col) == F.lit(as_of))
+    others = [c for c in part.columns if c not in partition_by]
+    # round-robin, not by the partition columns: a large day is spread over
+    # target_files tasks instead of landing in one
     staged = part.repartition(target_files).checkpoint(eager=True)
-    write_partitioned(staged.select(*others, partition_col), path, [partition_col])
+    (staged.select(*others, *partition_by)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
 
 
 def ingest_raw(spark: SparkSession, source: str | DataFrame, as_of: dt.date, schema: T.StructType,

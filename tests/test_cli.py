@@ -40,8 +40,11 @@ def test_cli_ingest_run_optimize(spark, tmp_dir):
     summary = spark.read.json(f"{out}/summary/{DAYS[1]}").collect()[0]
     assert summary.total_tests == 105 and summary.passed + summary.failed + summary.warned == 105
     assert spark.read.json(f"{out}/events").count() > 105
-    assert cli.main(["optimize", "--warehouse", wh, "--tables", "mart_liquidity_risk,rpt_lcr",
+    assert cli.main(["optimize", "--warehouse", wh, "--tables", "mart_liquidity_risk,rpt_lcr,mart_positions",
                      "--partition-date", DAYS[1].isoformat()], spark) == 0
     assert len(glob.glob(f"{wh}/rpt_lcr/partition_date={DAYS[1]}/*.parquet")) == 1
+    # the book keeps its two-level layout: one file per source system of the day
+    assert len(glob.glob(f"{wh}/mart_positions/partition_date={DAYS[1]}/source_system=*/*.parquet")) == 2
+    assert spark.read.parquet(f"{wh}/mart_positions").count() == n_book
     assert cli.main(run, spark) == 0  # re-run of the same day replaces, never appends
     assert spark.read.parquet(f"{wh}/mart_positions").count() == n_book
