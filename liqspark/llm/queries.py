@@ -7,8 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import secrets
-from .common import read_table
+from . import packing, secrets, tokenfiles
+from .common import new_folder, read_table
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = tokenfiles.write_token_files(read_table(spark, sf_dir, "documents"), new_folder(spark, "tokens"))
+    return tokenfiles.read_token_files(manifest).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(read_table(spark, sf_dir, "documents"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset")
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +33,8 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_token_files": op4_token_files,
+    "op5_packing": op5_packing,
     "op10_secrets": op10_secrets,
 }
 
