@@ -7,8 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, secrets, tokenfiles
+from . import decontaminate, packing, secrets, sharding, tokenfiles
 from .common import new_folder, read_table
+from .oracle import ORACLE_SQL  # noqa: F401
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return placed.select(
+        "doc_id", "size", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit("bytes").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +31,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "offset")
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
+                        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["kind"] != "random")
@@ -33,9 +47,11 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_sharding": op3_sharding,
     "op4_token_files": op4_token_files,
     "op5_packing": op5_packing,
+    "op6_decontamination": op6_decontamination,
     "op10_secrets": op10_secrets,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+
