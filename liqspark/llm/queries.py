@@ -7,11 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, secrets, sharding, simhash, tokenfiles
+from . import decontaminate, packing, secrets, sharding, simhash, tokenfiles, toxicity
 from .common import new_folder, read_table
 from .oracle import ORACLE_SQL  # noqa: F401
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "passages")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return placed.select(
@@ -52,6 +60,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op3_sharding": op3_sharding,
     "op4_token_files": op4_token_files,
     "op5_packing": op5_packing,
