@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .common import LOWER, UPPER
+from .spotsigs import ANCHORS
 
 _WORDS = (f"list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), "
           r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')")
@@ -27,5 +28,43 @@ SELECT d.doc_id, CAST(len(w) AS bigint) AS n_words, CAST(coalesce(n_hit, 0) AS b
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
+_ANCHORS = "[" + ", ".join(f"'{a}'" for a in ANCHORS) + "]"
 
-ORACLE_SQL: dict[str, str] = {"op6_decontamination": OP6}
+
+def _signatures(source: str, text: str) -> str:
+    """Relation of (doc_id, sigs) for a text column, by rows of words."""
+    return f"""
+    (WITH w AS (SELECT doc_id, list_filter(string_split_regex(lower({text}), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w
+                FROM {source}),
+          p AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i, len(w) AS n FROM w),
+          q AS (SELECT *, list_contains({_ANCHORS}, x) AS common, lag(x) OVER t AS was FROM p
+                WINDOW t AS (PARTITION BY doc_id ORDER BY i)),
+          c AS (SELECT *, lead(x) OVER t AS later, row_number() OVER t AS k FROM q WHERE NOT common
+                WINDOW t AS (PARTITION BY doc_id ORDER BY i)),
+          s AS (SELECT doc_id, CASE WHEN list_contains({_ANCHORS}, was) THEN was ELSE '^' END || ' ' || x || ' ' || later AS sig
+                FROM c WHERE later IS NOT NULL AND (k = 1 OR list_contains({_ANCHORS}, was))
+                UNION SELECT doc_id, '^ ' || array_to_string(w, ' ') FROM w
+                WHERE len(w) > 0 AND len(list_filter(w, lambda x: NOT list_contains({_ANCHORS}, x))) < 2)
+     SELECT w.doc_id, list_sort(coalesce(list(DISTINCT sig) FILTER (sig IS NOT NULL), [])) AS sigs
+     FROM w LEFT JOIN s USING (doc_id) GROUP BY 1)"""
+
+
+def _jaccard(a: str, b: str) -> str:
+    return f"""CASE WHEN len({a}) = 0 AND len({b}) = 0 THEN 1.0::double
+        ELSE len(list_intersect({a}, {b}))::double / len(list_distinct(list_concat({a}, {b}))) END"""
+
+
+OP2 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents),
+     nx AS (SELECT *, coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id)) AS nt,
+                   coalesce(lead(doc_id) OVER (ORDER BY doc_id), first_value(doc_id) OVER (ORDER BY doc_id)) AS nid FROM d),
+     e AS (SELECT *, substr(text, 1, n - n // 2) || substr(nt, 1, n // 2) AS edited FROM nx),
+     a AS {_signatures('e', 'text')},
+     b AS {_signatures('e', 'edited')}
+SELECT e.doc_id, CAST(n AS bigint) AS n_chars, sha256(edited) AS edited_sha256,
+       md5(array_to_string(a.sigs, ',')) AS fingerprint, md5(array_to_string(b.sigs, ',')) AS edited_fingerprint,
+       {_jaccard('a.sigs', 'b.sigs')} AS near_edited, {_jaccard('a.sigs', 'f.sigs')} AS near_next
+FROM e JOIN a ON e.doc_id = a.doc_id JOIN b ON e.doc_id = b.doc_id JOIN a AS f ON e.nid = f.doc_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_fingerprints": OP2, "op6_decontamination": OP6}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, secrets, sharding, simhash, tokenfiles, toxicity
+from . import decontaminate, packing, secrets, sharding, simhash, spotsigs, tokenfiles, toxicity
 from .common import new_folder, read_table
 from .oracle import ORACLE_SQL  # noqa: F401
 
@@ -20,6 +20,15 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "passages")
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spotsigs.fingerprint_documents(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), spotsigs.digest("sigs").alias("fingerprint"),
+        spotsigs.digest("edited_sigs").alias("edited_fingerprint"),
+        spotsigs.likeness("sigs", "edited_sigs").alias("near_edited"),
+        spotsigs.likeness("sigs", "next_sigs").alias("near_next"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return placed.select(
@@ -61,6 +70,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_fingerprints": op2_fingerprints,
     "op3_sharding": op3_sharding,
     "op4_token_files": op4_token_files,
     "op5_packing": op5_packing,
