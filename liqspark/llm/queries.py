@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, secrets, sharding, simhash, spotsigs, tokenfiles, toxicity
+from . import decontaminate, licenses, packing, secrets, sharding, simhash, spotsigs, tokenfiles, toxicity, urls
 from .common import new_folder, read_table
 from .oracle import ORACLE_SQL  # noqa: F401
 
@@ -59,6 +59,19 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(read_table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
+    span = lambda m: F.concat_ws(":", m["license"], m["first"].cast("string"), m["end"].cast("string"),
+                                 F.round(m["containment"], 4).cast("string"))
+    return found.select("doc_id", F.size("matches").cast("bigint").alias("n_matches"),
+                        licenses.names(F.col("matches")).alias("licenses"),
+                        F.array_join(F.transform("matches", span), ",").alias("spans"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["kind"] != "random")
@@ -76,6 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_decontamination": op6_decontamination,
     "op7_simhash": op7_simhash,
+    "op8_url_filter": op8_url_filter,
+    "op9_licenses": op9_licenses,
     "op10_secrets": op10_secrets,
 }
 
