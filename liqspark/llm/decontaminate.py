@@ -112,3 +112,13 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW_WORDS)
         "doc_id", "h", "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
+    """The rows of ``docs`` whose text holds no window of an item, unchanged."""
+    windows = stored(item_windows(items, window), "item-windows").select("win", "len").distinct()
+    hit = stored(window_hits(docs, windows).select(F.col("doc_id").alias("__id"), F.col("h").alias("__of")).distinct(),
+                 "contaminated")
+    rows = docs.withColumn("__h", F.xxhash64(text_or_empty()))
+    same = rows["doc_id"].eqNullSafe(hit["__id"]) & (rows["__h"] == hit["__of"])
+    return rows.join(hit, same, "left_anti").drop("__h")
