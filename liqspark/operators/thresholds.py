@@ -9,6 +9,7 @@ day without rows for a group is missing from its history, not zero.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from dataclasses import dataclass, field
 from typing import Sequence
 
@@ -97,18 +98,25 @@ def rule_metrics(book: DataFrame, rule: AggRule, as_of: dt.date,
     stats = daily.groupBy(*dims).agg(
         F.count(F.when(today, F.lit(1))).alias("_has_today"),
         F.max(F.when(today, v)).alias("current_value"),
-        F.count(hist_v).alias("_hist_rows"),
+        F.count(F.when(~today, F.lit(1))).alias("_hist_rows"),
+        F.count(hist_v).alias("_hist_values"),
         F.sum(hist_v).alias("_hist_sum"),
         F.stddev_samp(hist_v.cast("double")).alias("hist_stddev"),
     ).where(F.col("_has_today") > 0)
 
-    n = F.when(F.col("_hist_rows") > 0, F.col("_hist_rows"))
     base = stats.select(*dims, F.lit(as_of).alias(PARTITION_DATE),
-                        F.col("current_value").cast("double").alias("cur"), n.alias("hist_n"),
-                        (F.col("_hist_sum").cast("double") / n).alias("hist_mean"), "hist_stddev")
+                        F.col("current_value").cast("double").alias("cur"), *_history("_hist_sum"), "hist_stddev")
     return _rule_rows(base, rule)
 
 
+def _history(total: str) -> list[Column]:
+    """History statistics: ``hist_n`` counts days with rows, whatever their
+    value; the mean is over the days that have one."""
+    rows, values = F.col("_hist_rows"), F.col("_hist_values")
+    return [F.when(rows > 0, rows).alias("hist_n"),
+            F.when(values > 0, F.col(total).cast("double") / values).alias("hist_mean")]
+
+
 def _rule_rows(base: DataFrame, rule: AggRule) -> DataFrame:
     """Output rows of one rule from (dims, partition_date, cur, hist_n,
     hist_mean, hist_stddev): thresholds, z-score, outlier flag, rule
@@ -195,10 +203,10 @@ def rule_metrics_all_dates(book: DataFrame, rule: AggRule, index: DataFrame) ->
     idx = F.broadcast(index)  # one row per calendar date
     days = daily.join(idx, PARTITION_DATE)
     hist = days.where(F.col("idx").isNotNull()).select(
-        *dims, (F.col("idx") * 2).alias("_pos"), F.col("metric_value").alias("_hist"),
+        *dims, (F.col("idx") * 2).alias("_pos"), F.lit(1).alias("_day"), F.col("metric_value").alias("_hist"),
         F.lit(None).cast(daily.schema["metric_value"].dataType).alias("_cur"),
         F.lit(None).cast("date").alias(PARTITION_DATE))
-    cur = days.select(*dims, (F.col("k") * 2 + 1).alias("_pos"),
+    cur = days.select(*dims, (F.col("k") * 2 + 1).alias("_pos"), F.lit(None).cast("int").alias("_day"),
                       F.lit(None).cast(daily.schema["metric_value"].dataType).alias("_hist"),
                       F.col("metric_value").alias("_cur"), PARTITION_DATE)
     w = (Window.partitionBy(*dims) if dims else Window.partitionBy(F.lit(1))) \
@@ -206,13 +214,13 @@ def rule_metrics_all_dates(book: DataFrame, rule: AggRule, index: DataFrame) ->
     hv = F.col("_hist")
     stats = hist.unionByName(cur).select(
         *dims, PARTITION_DATE, "_cur",
-        F.count(hv).over(w).alias("_n"), F.sum(hv).over(w).alias("_s"),
+        F.count("_day").over(w).alias("_hist_rows"), F.count(hv).over(w).alias("_hist_values"),
+        F.sum(hv).over(w).alias("_hist_sum"),
         F.stddev_samp(hv.cast("double")).over(w).alias("hist_stddev"),
     ).where(F.col(PARTITION_DATE).isNotNull())
 
-    n = F.when(F.col("_n") > 0, F.col("_n"))
-    base = stats.select(*dims, PARTITION_DATE, F.col("_cur").cast("double").alias("cur"), n.alias("hist_n"),
-                        (F.col("_s").cast("double") / n).alias("hist_mean"), "hist_stddev")
+    base = stats.select(*dims, PARTITION_DATE, F.col("_cur").cast("double").alias("cur"), *_history("_hist_sum"),
+                        "hist_stddev")
     return _rule_rows(base, rule)
 
 
@@ -226,14 +234,20 @@ def agg_threshold_metrics_all_dates(book: DataFrame, rules: Sequence[AggRule] =
 
 # --- incremental form: stored daily values ------------------------------------
 
-DAILY_KEY = ["rule_name", "dims_json", PARTITION_DATE]
+DAILY_KEY = ["rule_name", "definition", "dims_json", PARTITION_DATE]
+
+
+def rule_definition(rule: AggRule) -> str:
+    """Digest of what a rule's daily values depend on. Stored values of another
+    definition are never read, so a changed rule doesn't mix with its past."""
+    return hashlib.md5("\x1f".join([rule.metric_expr, rule.where, *rule.group_by]).encode()).hexdigest()
 
 
 def _value_columns(v: Column, dtype) -> list[Column]:
-    # Exact types (integral, decimal) keep exact sums; anything else is double.
+    # Integers and decimals of up to 10 places keep exact sums; anything else is double.
     from pyspark.sql import types as T
 
-    exact = isinstance(dtype, (T.DecimalType, T.IntegralType))
+    exact = isinstance(dtype, T.IntegralType) or isinstance(dtype, T.DecimalType) and dtype.scale <= 10
     return [(v.cast("decimal(38,10)") if exact else F.lit(None).cast("decimal(38,10)")).alias("metric_decimal"),
             (F.lit(None).cast("double") if exact else v.cast("double")).alias("metric_double")]
 
@@ -248,42 +262,70 @@ def daily_rule_values(book: DataFrame, rules: Sequence[AggRule] = POSITION_RULES
         daily = (book.where(F.expr(rule.where))
                  .withColumn(PARTITION_DATE, F.col(PARTITION_DATE).cast("date"))
                  .groupBy(PARTITION_DATE, *dims).agg(F.expr(rule.metric_expr).alias("v")))
+        definition = F.lit(rule_definition(rule))
         parts.append(daily.select(
-            surrogate_key(F.lit(rule.name), dims_json(dims), F.col(PARTITION_DATE).cast("string"))
+            surrogate_key(F.lit(rule.name), definition, dims_json(dims), F.col(PARTITION_DATE).cast("string"))
             .alias("dq_daily_id"),
-            F.lit(rule.name).alias("rule_name"), dims_json(dims).alias("dims_json"), PARTITION_DATE,
-            *_value_columns(F.col("v"), daily.schema["v"].dataType)))
+            F.lit(rule.name).alias("rule_name"), definition.alias("definition"), dims_json(dims).alias("dims_json"),
+            PARTITION_DATE, *_value_columns(F.col("v"), daily.schema["v"].dataType)))
     return union_all(parts)
 
 
+def _wanted(rule: AggRule, ranked: Sequence[tuple[dt.date, int]], as_of: dt.date) -> list[dt.date]:
+    return [day for day, rnk in ranked if rnk <= rule.lookback_business_days] + [as_of]
+
+
+def _ranked(book_dates: DataFrame, as_of: dt.date, rules: Sequence[AggRule]) -> list[tuple[dt.date, int]]:
+    n = max(r.lookback_business_days for r in rules)
+    return [(r[PARTITION_DATE], r["rnk"]) for r in trailing_business_dates(book_dates, as_of, n).collect()]
+
+
+def missing_daily_values(daily: DataFrame, book: DataFrame, book_dates: DataFrame, as_of: dt.date,
+                         rules: Sequence[AggRule] = POSITION_RULES) -> DataFrame | None:
+    """Daily values that the rules need and ``daily`` lacks (a new or changed
+    rule, days that were never stored), from those partitions of ``book``
+    alone; None if nothing is missing. A day without rows for a rule is looked
+    at again each time."""
+    ranked = _ranked(book_dates, as_of, rules)
+    stored = {(r["rule_name"], r["definition"], r[PARTITION_DATE]) for r in
+              daily.where(F.col(PARTITION_DATE).isin([d for d, _ in ranked] + [as_of])
+                          & F.col("definition").isin([rule_definition(r) for r in rules]))
+              .select("rule_name", "definition", PARTITION_DATE).distinct().collect()}  # rules x lookback rows
+    parts = []
+    for rule in rules:
+        days = [d for d in _wanted(rule, ranked, as_of) if (rule.name, rule_definition(rule), d) not in stored]
+        if days:
+            parts.append(daily_rule_values(book.where(F.col(PARTITION_DATE).isin(days)), [rule]))
+    return union_all(parts) if parts else None
+
+
 def agg_threshold_metrics_from_daily(daily: DataFrame, book_dates: DataFrame, as_of: dt.date,
                                      rules: Sequence[AggRule] = POSITION_RULES) -> DataFrame:
     """The same rows as :func:`agg_threshold_metrics`, computed from stored
     daily values instead of re-aggregating the book's history: the run reads
-    at most (lookback + 1) x groups small rows per rule. ``book_dates`` is any
-    frame with the book's ``partition_date`` column (only that column is
-    read; the dates still come from the data)."""
-    max_lookback = max(r.lookback_business_days for r in rules)
-    ranked = [(r[PARTITION_DATE], r["rnk"])
-              for r in trailing_business_dates(book_dates, as_of, max_lookback).collect()]
+    at most (lookback + 1) x groups small rows per rule, all of the rule's
+    present definition. ``daily`` must hold what :func:`missing_daily_values`
+    finds. ``book_dates`` is any frame with the book's ``partition_date``
+    values, such as its folder names."""
+    ranked = _ranked(book_dates, as_of, rules)
     parts = []
     for rule in rules:
-        wanted = [day for day, rnk in ranked if rnk <= rule.lookback_business_days] + [as_of]
-        rows = daily.where((F.col("rule_name") == rule.name) & F.col(PARTITION_DATE).isin(wanted))
+        rows = daily.where((F.col("rule_name") == rule.name) & (F.col("definition") == rule_definition(rule))
+                           & F.col(PARTITION_DATE).isin(_wanted(rule, ranked, as_of)))
         v = F.coalesce(F.col("metric_decimal").cast("double"), F.col("metric_double"))
-        exact_sum = F.sum(F.when(F.col(PARTITION_DATE) != F.lit(as_of), F.col("metric_decimal")))
-        dbl_sum = F.sum(F.when(F.col(PARTITION_DATE) != F.lit(as_of), F.col("metric_double")))
         today = F.col(PARTITION_DATE) == F.lit(as_of)
+        exact_sum = F.sum(F.when(~today, F.col("metric_decimal")))
+        dbl_sum = F.sum(F.when(~today, F.col("metric_double")))
         hist_v = F.when(~today, v)
         stats = rows.groupBy("dims_json").agg(
             F.count(F.when(today, F.lit(1))).alias("_has_today"),
             F.max(F.when(today, v)).alias("cur"),
-            F.count(hist_v).alias("_hist_rows"),
+            F.count(F.when(~today, F.lit(1))).alias("_hist_rows"),
+            F.count(hist_v).alias("_hist_values"),
             F.coalesce(exact_sum.cast("double"), dbl_sum).alias("_hist_sum"),
             F.stddev_samp(hist_v).alias("hist_stddev"),
         ).where(F.col("_has_today") > 0)
-        n = F.when(F.col("_hist_rows") > 0, F.col("_hist_rows"))
-        base = stats.select("dims_json", F.lit(as_of).alias(PARTITION_DATE), "cur", n.alias("hist_n"),
-                            (F.col("_hist_sum") / n).alias("hist_mean"), "hist_stddev")
+        base = stats.select("dims_json", F.lit(as_of).alias(PARTITION_DATE), "cur", *_history("_hist_sum"),
+                            "hist_stddev")
         parts.append(_rule_rows(base, rule))
     return union_all(parts)

@@ -47,7 +47,7 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("--raw-root", required=True, help="folder holding the three raw tables")
     run.add_argument("--warehouse", required=True)
     run.add_argument("--output", required=True, help="folder for results, summary and events (JSON)")
-    run.add_argument("--scope", choices=["partition", "table"], default="partition")
+    run.add_argument("--scope", choices=["partition", "table"], default="table")
     run.add_argument("--run-id", default=None)
     run.add_argument("--store-failures", action="store_true")
     run.add_argument("--input-bytes", type=int, default=None,
@@ -57,7 +57,7 @@ def parser() -> argparse.ArgumentParser:
     opt.add_argument("--warehouse", required=True)
     opt.add_argument("--tables", required=True, help="comma-separated model names")
     opt.add_argument("--partition-date", type=_date, required=True)
-    opt.add_argument("--target-files", type=int, default=1)
+    opt.add_argument("--target-files", type=int, default=None, help="files per partition; from its bytes if not given")
     return p
 
 

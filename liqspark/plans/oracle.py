@@ -9,6 +9,7 @@ double recipes are used (SURVEY §7.4). Seeds are inlined as VALUES.
 from __future__ import annotations
 
 from ..functions.keys import NULL_TOKEN, SEPARATOR
+from ..operators.regulatory import SUPPLEMENTAL_ITEMS
 from ..operators.thresholds import POSITION_RULES, AggRule
 from ..sources import fixtures as fx
 from ..sources import seeds
@@ -176,220 +177,158 @@ for _name, _sql in SEED_SQL.items():
     cte(_name, [], _sql)
 
 
+# Category and range tables: the reports look their classes up in these.
+FR_BOUNDS = "(VALUES ('LT_30D', -1000000, 30, 2), ('GTE_30D_LT_60D', 30, 60, 3), ('GTE_60D_LT_90D', 60, 90, 4), " \
+            "('GTE_90D', 90, 1000000, 5)) AS mb(bucket, from_day, to_day, place)"
+NSFR_BOUNDS = "(VALUES ('LT_6M', -1000000, 180), ('GTE_6M_LT_1Y', 180, 365), ('GTE_1Y', 365, 1000000)) " \
+              "AS mb(bucket, from_day, to_day)"
+IN_BOUNDS = "maturity_date - partition_date >= mb.from_day AND maturity_date - partition_date < mb.to_day"
+ANY_AMOUNT = (-10 ** 15, 10 ** 15)
+OUTFLOW_CLASSES = (("DEPOSITS", "LONG", ANY_AMOUNT[0], 250_000, "RETAIL_STABLE"),
+                   ("DEPOSITS", "LONG", 250_000, ANY_AMOUNT[1], "RETAIL_LESS_STABLE"),
+                   ("DEPOSITS", "SHORT", *ANY_AMOUNT, "WHOLESALE_NON_OP_UNSECURED"),
+                   ("DEPOSITS", "HEDGE", *ANY_AMOUNT, "WHOLESALE_NON_OP_UNSECURED"),
+                   ("LOANS", "HEDGE", *ANY_AMOUNT, "CREDIT_FACILITY_CORP"))
+INFLOW_CLASSES = (("LOANS", "LONG", ANY_AMOUNT[0], 1_000_000, "INFLOW_RETAIL_LOAN"),
+                  ("LOANS", "LONG", 1_000_000, ANY_AMOUNT[1], "INFLOW_WHOLESALE"))
+DEFAULT_HQLA_TYPE = "map {'DEPOSITS': 'DEMAND_DEPOSIT', 'LOANS': 'LOAN'}[source_system]"
+_HQLA_LIST = "[" + ", ".join(q(r[0]) for r in seeds.HQLA_CLASSIFICATION) + "]"
+_INS = "CAST(substr(instrument_id, 4) AS INTEGER)"
+MASTER_HQLA_TYPE = f"{_HQLA_LIST}[{_INS} % {len(seeds.HQLA_CLASSIFICATION)} + 1]"
+
+
+def _two(expr: str) -> str:
+    return f"CAST(round({expr}, 2) AS DOUBLE)"
+
+
 def _lcr_sql(type_expr: str) -> str:
+    """Assets and flows as one stream of (portfolio, date, what, amount), summed per kind."""
     return f"""
-    WITH ph AS (
-      SELECT p.portfolio_id, p.partition_date, CAST(p.notional_value AS DECIMAL(38,2)) AS notional_value,
-             coalesce(h.hqla_level, 'NON_HQLA') AS hqla_level, coalesce(h.haircut_pct, 100) AS haircut_pct
-      FROM book p LEFT JOIN seed_hqla_classification h ON ({type_expr}) = h.instrument_type
-      WHERE p.notional_value > 0),
-    hq AS (
-      SELECT portfolio_id, partition_date,
-        sum(CASE WHEN hqla_level = '1' THEN notional_value * (1 - haircut_pct * 0.01) ELSE 0 END) AS l1,
-        sum(CASE WHEN hqla_level = '2A' THEN notional_value * (1 - haircut_pct * 0.01) ELSE 0 END) AS l2a,
-        sum(CASE WHEN hqla_level = '2B' THEN notional_value * (1 - haircut_pct * 0.01) ELSE 0 END) AS l2b
-      FROM ph GROUP BY portfolio_id, partition_date),
-    cf AS (
-      SELECT portfolio_id, partition_date,
-        sum(CASE WHEN projected_outflow > 0 THEN projected_outflow ELSE 0 END) AS out30,
-        sum(CASE WHEN projected_inflow > 0 THEN projected_inflow ELSE 0 END) AS in30
-      FROM cashflow WHERE forecast_date <= partition_date + 30 GROUP BY portfolio_id, partition_date),
-    calc AS (
-      SELECT h.portfolio_id, h.partition_date, h.l1, h.l2a, h.l2b,
-        CAST(h.l1 AS DOUBLE) + least(CAST(h.l2a AS DOUBLE) + CAST(h.l2b AS DOUBLE), CAST(h.l1 AS DOUBLE) * 0.4 / 0.6)
-          AS total_hqla,
-        coalesce(c.out30, 0) AS out30, coalesce(c.in30, 0) AS in30,
-        least(coalesce(c.in30, 0), coalesce(c.out30, 0) * 0.75) AS capped
-      FROM hq h LEFT JOIN cf c ON h.portfolio_id = c.portfolio_id AND h.partition_date = c.partition_date)
     SELECT {sk('portfolio_id', 'partition_date')} AS lcr_record_id, portfolio_id, partition_date,
-      CAST(round(l1, 2) AS DOUBLE) AS hqla_level_1, CAST(round(l2a, 2) AS DOUBLE) AS hqla_level_2a,
-      CAST(round(l2b, 2) AS DOUBLE) AS hqla_level_2b, {dround('total_hqla', 2)} AS total_hqla,
-      CAST(round(out30, 2) AS DOUBLE) AS total_outflows_30d, CAST(round(in30, 2) AS DOUBLE) AS total_inflows_30d,
-      CAST(round(capped, 2) AS DOUBLE) AS capped_inflows_30d,
-      CAST(round(out30 - capped, 2) AS DOUBLE) AS net_cash_outflows_30d,
-      CASE WHEN out30 - capped > 0 THEN {dround('total_hqla / CAST(out30 - capped AS DOUBLE) * 100', 2)}
-           ELSE 999.99 END AS lcr_pct,
-      CASE WHEN out30 - capped <= 0 THEN true WHEN total_hqla / CAST(out30 - capped AS DOUBLE) >= 1.0 THEN true
-           ELSE false END AS is_lcr_compliant
-    FROM calc"""
-
-
-DEFAULT_HQLA_TYPE = ("CASE WHEN p.source_system = 'DEPOSITS' THEN 'DEMAND_DEPOSIT' "
-                     "WHEN p.source_system = 'LOANS' THEN 'LOAN' ELSE 'OTHER' END")
-_HQLA_LIST = "[" + ", ".join(q(r[0]) for r in seeds.HQLA_CLASSIFICATION) + "]"
-MASTER_HQLA_TYPE = (f"list_extract({_HQLA_LIST}, "
-                    f"CAST(regexp_extract(p.instrument_id, '(\\d+)$', 1) AS INTEGER) % {len(seeds.HQLA_CLASSIFICATION)} + 1)")
+      {_two('one')} AS hqla_level_1, {_two('two_a')} AS hqla_level_2a, {_two('two_b')} AS hqla_level_2b,
+      {dround('hqla', 2)} AS total_hqla, {_two('paid')} AS total_outflows_30d,
+      {_two('got')} AS total_inflows_30d, {_two('offset_by')} AS capped_inflows_30d, {_two('net')} AS net_cash_outflows_30d,
+      if(net > 0, {dround('hqla / CAST(net AS DOUBLE) * 100', 2)}, 999.99) AS lcr_pct,
+      coalesce(net <= 0 OR hqla >= CAST(net AS DOUBLE), false) AS is_lcr_compliant
+    FROM (SELECT *, CAST(least(got, paid * 0.75) AS DECIMAL(38,2)) AS offset_by,  -- flows are in cents
+                 paid - CAST(least(got, paid * 0.75) AS DECIMAL(38,2)) AS net,
+                 CAST(one AS DOUBLE) + least(CAST(two_a AS DOUBLE) + CAST(two_b AS DOUBLE), CAST(one AS DOUBLE) * 0.4 / 0.6) AS hqla
+          FROM (SELECT portfolio_id, partition_date, coalesce(sum(amount) FILTER (what = '1'), 0) AS one,
+                       coalesce(sum(amount) FILTER (what = '2A'), 0) AS two_a,
+                       coalesce(sum(amount) FILTER (what = '2B'), 0) AS two_b,
+                       CAST(coalesce(sum(amount) FILTER (what = 'paid'), 0) AS DECIMAL(38,2)) AS paid,
+                       CAST(coalesce(sum(amount) FILTER (what = 'got'), 0) AS DECIMAL(38,2)) AS got
+                FROM (SELECT b.portfolio_id, b.partition_date, seed.hqla_level AS what, CAST(
+                        CAST(notional_value AS DECIMAL(24,2)) * (100 - seed.haircut_pct) * 0.01 AS DECIMAL(38,6)) AS amount
+                      FROM (SELECT *, {type_expr} AS kind FROM book WHERE notional_value > 0) b
+                      LEFT JOIN seed_hqla_classification seed ON seed.instrument_type = b.kind
+                      UNION ALL
+                      SELECT portfolio_id, partition_date, unnest(['paid', 'got']),
+                             unnest([CAST(greatest(projected_outflow, 0) AS DECIMAL(38,6)),
+                                     CAST(greatest(projected_inflow, 0) AS DECIMAL(38,6))])
+                      FROM cashflow WHERE forecast_date - partition_date <= 30) stream
+                GROUP BY ALL
+                -- a portfolio counts if it holds a positive position that day
+                HAVING count(*) FILTER (coalesce(what, '') NOT IN ('paid', 'got')) > 0) sums) net_of"""
+
 
 NSFR_SQL = f"""
-    WITH pc AS (
-      SELECT portfolio_id, partition_date, CAST(notional_value AS DECIMAL(38,2)) AS notional_value, source_system,
-        CASE WHEN source_system = 'DEPOSITS' AND position_type = 'LONG' THEN 'RETAIL_DEPOSIT_STABLE'
-             WHEN source_system = 'DEPOSITS' THEN 'RETAIL_DEPOSIT_LESS_STABLE'
-             WHEN source_system = 'LOANS' THEN 'LOAN_RETAIL' ELSE 'OTHER_ASSET' END AS instrument_type,
-        {NSFR_BUCKET.format(m='maturity_date', d='partition_date')} AS maturity_bucket
-      FROM book),
-    pw AS (
-      SELECT pc.portfolio_id, pc.partition_date, pc.instrument_type,
-        CASE WHEN pc.source_system = 'DEPOSITS' THEN pc.notional_value * coalesce(nf.asf_factor_pct, 0) * 0.01
-             ELSE 0 END AS asf_c,
-        CASE WHEN pc.source_system = 'LOANS' THEN pc.notional_value * coalesce(nf.rsf_factor_pct, 50) * 0.01
-             ELSE 0 END AS rsf_c
-      FROM pc LEFT JOIN seed_nsfr_factors nf ON pc.instrument_type = nf.instrument_type
-        AND (pc.maturity_bucket = nf.maturity_bucket OR nf.maturity_bucket = 'ANY')),
-    agg AS (
-      SELECT portfolio_id, partition_date,
-        sum(CASE WHEN instrument_type LIKE 'RETAIL_DEPOSIT%' THEN asf_c ELSE 0 END) AS asf_retail_deposits,
-        sum(CASE WHEN instrument_type LIKE 'WHOLESALE%' THEN asf_c ELSE 0 END) AS asf_wholesale_funding,
-        sum(asf_c) AS total_asf,
-        sum(CASE WHEN instrument_type LIKE 'LOAN%' THEN rsf_c ELSE 0 END) AS rsf_loans,
-        sum(CASE WHEN instrument_type LIKE 'HQLA%' THEN rsf_c ELSE 0 END) AS rsf_hqla,
-        sum(CASE WHEN instrument_type LIKE 'OTHER%' THEN rsf_c ELSE 0 END) AS rsf_other_assets,
-        sum(rsf_c) AS total_rsf
-      FROM pw GROUP BY portfolio_id, partition_date)
     SELECT {sk('portfolio_id', 'partition_date')} AS nsfr_record_id, portfolio_id, partition_date,
-      CAST(round(asf_retail_deposits, 2) AS DOUBLE) AS asf_retail_deposits,
-      CAST(round(asf_wholesale_funding, 2) AS DOUBLE) AS asf_wholesale_funding,
-      CAST(round(total_asf, 2) AS DOUBLE) AS total_asf, CAST(round(rsf_loans, 2) AS DOUBLE) AS rsf_loans,
-      CAST(round(rsf_hqla, 2) AS DOUBLE) AS rsf_hqla, CAST(round(rsf_other_assets, 2) AS DOUBLE) AS rsf_other_assets,
-      CAST(round(total_rsf, 2) AS DOUBLE) AS total_rsf,
-      CASE WHEN total_rsf > 0 THEN CAST(round(CAST(round(CAST(total_asf AS DOUBLE) / CAST(total_rsf AS DOUBLE), 6)
-                AS DECIMAL(18,6)) * 100, 2) AS DOUBLE) ELSE 999.99 END AS nsfr_pct,
-      CASE WHEN total_rsf <= 0 THEN true
-           WHEN round(CAST(total_asf AS DOUBLE) / CAST(total_rsf AS DOUBLE), 6) >= 1.0 THEN true
-           ELSE false END AS is_nsfr_compliant,
-      CAST(round(total_asf - total_rsf, 2) AS DOUBLE) AS nsfr_surplus_deficit
-    FROM agg"""
-
-OUTFLOWS_SQL = f"""
-    WITH pc AS (
-      SELECT portfolio_id, partition_date, notional_value,
-        CASE WHEN source_system = 'DEPOSITS' AND position_type = 'LONG' AND notional_value < 250000 THEN 'RETAIL_STABLE'
-             WHEN source_system = 'DEPOSITS' AND position_type = 'LONG' THEN 'RETAIL_LESS_STABLE'
-             WHEN source_system = 'DEPOSITS' AND position_type != 'LONG' THEN 'WHOLESALE_NON_OP_UNSECURED'
-             WHEN source_system = 'LOANS' AND position_type = 'HEDGE' THEN 'CREDIT_FACILITY_CORP'
-             ELSE NULL END AS product_category,
-        {_fr()} AS maturity_bucket
-      FROM book WHERE source_system = 'DEPOSITS' OR (source_system = 'LOANS' AND position_type = 'HEDGE')),
-    pr AS (
-      SELECT pc.portfolio_id, pc.partition_date, pc.notional_value, pc.maturity_bucket, pm.product_code,
-        pm.sub_schedule, coalesce(pm.run_off_rate_pct, 100) AS run_off_rate_pct, pm.description AS product_description,
-        CAST(pc.notional_value AS DECIMAL(38,2)) * coalesce(pm.run_off_rate_pct, 100) * 0.01 AS stressed_outflow
-      FROM pc LEFT JOIN (SELECT * FROM seed_fr2052a_product_mapping WHERE schedule = 'O') pm
-        ON pc.product_category = pm.product_category
-        AND (pc.maturity_bucket = pm.maturity_bucket OR pm.maturity_bucket = 'OPEN' OR pm.maturity_bucket = 'ANY')
-      WHERE pc.product_category IS NOT NULL)
-    SELECT {sk('portfolio_id', 'product_code', 'maturity_bucket', 'partition_date')} AS outflow_record_id,
-      portfolio_id, partition_date, 'O' AS schedule, sub_schedule, product_code, product_description,
-      maturity_bucket, run_off_rate_pct, count(*) AS position_count,
-      CAST(round(sum(notional_value), 2) AS DOUBLE) AS gross_amount,
-      CAST(round(sum(stressed_outflow), 2) AS DOUBLE) AS stressed_outflow_amount,
-      {BUCKET_ORDER.format(b='maturity_bucket')} AS maturity_bucket_order
-    FROM pr GROUP BY portfolio_id, partition_date, product_code, sub_schedule, maturity_bucket,
-      product_description, run_off_rate_pct"""
-
-INFLOWS_SQL = f"""
-    WITH pc AS (
-      SELECT portfolio_id, partition_date, notional_value, interest_rate,
-        CASE WHEN source_system = 'LOANS' AND position_type = 'LONG' AND notional_value < 1000000 THEN 'INFLOW_RETAIL_LOAN'
-             WHEN source_system = 'LOANS' AND position_type = 'LONG' THEN 'INFLOW_WHOLESALE'
-             ELSE NULL END AS product_category,
-        {_fr()} AS maturity_bucket
-      FROM book WHERE source_system = 'LOANS'),
-    pr AS (
-      SELECT pc.portfolio_id, pc.partition_date, pc.notional_value, pc.maturity_bucket, pm.product_code,
-        pm.sub_schedule, coalesce(pm.run_off_rate_pct, 50) AS inflow_rate_pct, pm.description AS product_description,
-        CAST((CAST(pc.notional_value AS DOUBLE)
-              + CAST(pc.notional_value AS DOUBLE) * CAST(coalesce(pc.interest_rate, 0) AS DOUBLE) * 30 / 365)
-             * coalesce(pm.run_off_rate_pct, 50) / 100 AS DECIMAL(38,6)) AS expected_inflow
-      FROM pc LEFT JOIN (SELECT * FROM seed_fr2052a_product_mapping WHERE schedule = 'I') pm
-        ON pc.product_category = pm.product_category
-        AND (pc.maturity_bucket = pm.maturity_bucket OR pm.maturity_bucket = 'ANY')
-      WHERE pc.product_category IS NOT NULL)
-    SELECT {sk('portfolio_id', 'product_code', 'maturity_bucket', 'partition_date')} AS inflow_record_id,
-      portfolio_id, partition_date, 'I' AS schedule, sub_schedule, product_code, product_description,
-      maturity_bucket, inflow_rate_pct, count(*) AS position_count,
-      CAST(round(sum(notional_value), 2) AS DOUBLE) AS gross_amount,
-      CAST(round(sum(expected_inflow), 2) AS DOUBLE) AS expected_inflow_amount,
-      {BUCKET_ORDER.format(b='maturity_bucket')} AS maturity_bucket_order
-    FROM pr GROUP BY portfolio_id, partition_date, product_code, sub_schedule, maturity_bucket,
-      product_description, inflow_rate_pct"""
-
-SUPPLEMENTAL_SQL = f"""
-    WITH items AS (
-      SELECT portfolio_id, partition_date, 'S.H.1' AS item_code, 'UNENCUMBERED_HQLA' AS item_type,
-        'Unencumbered High-Quality Liquid Assets' AS item_description,
-        total_value AS reported_amount, 0 AS haircut_amount, total_value AS net_amount
-      FROM (SELECT portfolio_id, partition_date, 'NON_HQLA' AS hqla_level, sum(notional_value) AS total_value
-            FROM book GROUP BY portfolio_id, partition_date) h WHERE hqla_level != 'NON_HQLA'
-      UNION ALL
-      SELECT portfolio_id, partition_date, 'S.L.1', 'LIQUIDITY_PROFILE', 'Portfolio Liquidity Profile Summary',
-        sum(market_value), 0, sum(CASE WHEN liquidity_tier = 'HIGH' THEN market_value ELSE 0 END)
-      FROM risk GROUP BY portfolio_id, partition_date
-      UNION ALL
-      SELECT portfolio_id, partition_date, 'S.E.1', 'ENCUMBERED_ASSETS', 'Assets Pledged as Collateral',
-        sum(notional_value), sum(notional_value), 0
-      FROM book WHERE position_type = 'HEDGE' GROUP BY portfolio_id, partition_date
-      UNION ALL
-      SELECT portfolio_id, partition_date, 'S.O.1', 'OFF_BALANCE_SHEET', 'Contingent Obligations and Commitments',
-        sum(abs(notional_value)), sum(abs(notional_value)) * 0.05, sum(abs(notional_value)) * 0.05
-      FROM book WHERE position_type = 'SHORT' GROUP BY portfolio_id, partition_date)
-    SELECT {sk('portfolio_id', 'item_code', 'partition_date')} AS supplemental_record_id, portfolio_id,
-      partition_date, 'S' AS schedule, item_code, item_type, item_description,
-      CAST(round(reported_amount, 2) AS DOUBLE) AS reported_amount,
-      CAST(round(haircut_amount, 2) AS DOUBLE) AS haircut_amount,
-      CAST(round(net_amount, 2) AS DOUBLE) AS net_amount
-    FROM items WHERE reported_amount IS NOT NULL AND reported_amount != 0"""
+      {_two('r')} AS asf_retail_deposits, {_two('w')} AS asf_wholesale_funding, {_two('available')} AS total_asf,
+      {_two('l')} AS rsf_loans, {_two('h')} AS rsf_hqla, {_two('o')} AS rsf_other_assets, {_two('required')} AS total_rsf,
+      if(required > 0, CAST(round(CAST(ratio AS DECIMAL(18,6)) * 100, 2) AS DOUBLE), 999.99) AS nsfr_pct,
+      coalesce(required <= 0 OR ratio >= 1.0, false) AS is_nsfr_compliant,
+      {_two('available - required')} AS nsfr_surplus_deficit
+    FROM (SELECT *, round(CAST(available AS DOUBLE) / nullif(CAST(required AS DOUBLE), 0), 6) AS ratio
+          FROM (SELECT portfolio_id, partition_date,
+                       coalesce(sum(a) FILTER (starts_with(kind, 'RETAIL_DEPOSIT')), 0) AS r,
+                       coalesce(sum(a) FILTER (starts_with(kind, 'WHOLESALE')), 0) AS w, sum(a) AS available,
+                       coalesce(sum(n) FILTER (starts_with(kind, 'LOAN')), 0) AS l,
+                       coalesce(sum(n) FILTER (starts_with(kind, 'HQLA')), 0) AS h,
+                       coalesce(sum(n) FILTER (starts_with(kind, 'OTHER')), 0) AS o, sum(n) AS required
+                FROM (SELECT b.portfolio_id, b.partition_date, c.kind,
+                             CAST(b.notional_value AS DECIMAL(24,2)) * (coalesce(f.asf_factor_pct, 0) * c.funds) * 0.01 AS a,
+                             CAST(b.notional_value AS DECIMAL(24,2)) * (coalesce(f.rsf_factor_pct, 50) * (1 - c.funds)) * 0.01 AS n
+                      FROM book b
+                      JOIN (VALUES ('DEPOSITS', true, 'RETAIL_DEPOSIT_STABLE', 1), ('DEPOSITS', false, 'RETAIL_DEPOSIT_LESS_STABLE', 1),
+                                   ('LOANS', true, 'LOAN_RETAIL', 0), ('LOANS', false, 'LOAN_RETAIL', 0))
+                           AS c(source_system, is_long, kind, funds)
+                        ON c.source_system = b.source_system AND c.is_long = coalesce(b.position_type = 'LONG', false)
+                      LEFT JOIN {NSFR_BOUNDS} ON {IN_BOUNDS}
+                      LEFT JOIN seed_nsfr_factors f
+                        ON f.instrument_type = c.kind AND f.maturity_bucket IN (coalesce(mb.bucket, 'ANY'), 'ANY')) weighted
+                GROUP BY ALL) sums) ratios"""
+
+
+def _schedule_sql(schedule: str, classes, wildcards, default_rate: int, amount: str, names: tuple[str, str, str]) -> str:
+    """An FR 2052a schedule: class by range table, rate by seed, one grouping."""
+    key, rate, total = names
+    table = "(VALUES " + ", ".join(f"({q(s)}, {q(t)}, {lo}, {hi}, {q(c)})" for s, t, lo, hi, c in classes) \
+        + ") AS c(source_system, position_type, low, high, category)"
+    return f"""
+    SELECT {sk('portfolio_id', 'code', 'bucket', 'partition_date')} AS {key}, portfolio_id, partition_date,
+      {q(schedule)} AS schedule, sub AS sub_schedule, code AS product_code, label AS product_description,
+      bucket AS maturity_bucket, pct AS {rate}, count(*) AS position_count, {_two('sum(notional_value)')} AS gross_amount,
+      {_two('sum(amount)')} AS {total}, place AS maturity_bucket_order
+    FROM (SELECT *, {amount} AS amount
+          FROM (SELECT b.portfolio_id, b.partition_date, b.notional_value, b.interest_rate, coalesce(mb.bucket, 'OPEN') AS bucket,
+                       coalesce(mb.place, 1) AS place, m.product_code AS code, m.sub_schedule AS sub, m.description AS label,
+                       coalesce(m.run_off_rate_pct, {default_rate}) AS pct
+                FROM book b
+                JOIN {table} ON c.source_system = b.source_system AND c.position_type = b.position_type
+                  AND b.notional_value >= c.low AND b.notional_value < c.high
+                LEFT JOIN {FR_BOUNDS} ON {IN_BOUNDS}
+                LEFT JOIN seed_fr2052a_product_mapping m ON m.schedule = {q(schedule)} AND m.product_category = c.category
+                  AND m.maturity_bucket IN (coalesce(mb.bucket, 'OPEN'), {", ".join(map(q, wildcards))})) rated) priced
+    GROUP BY ALL"""
+
+
+OUTFLOWS_SQL = _schedule_sql("O", OUTFLOW_CLASSES, ("OPEN", "ANY"), 100,
+                             "CAST(notional_value AS DECIMAL(24,2)) * pct * 0.01",
+                             ("outflow_record_id", "run_off_rate_pct", "stressed_outflow_amount"))
+INFLOWS_SQL = _schedule_sql("I", INFLOW_CLASSES, ("ANY",), 50,
+                            "CAST((CAST(notional_value AS DOUBLE) + CAST(notional_value AS DOUBLE) "
+                            "* CAST(coalesce(interest_rate, 0) AS DOUBLE) * 30 / 365) * pct / 100 AS DECIMAL(38,6))",
+                            ("inflow_record_id", "inflow_rate_pct", "expected_inflow_amount"))
+SUPPLEMENTAL_TEXTS = "(VALUES " + ", ".join(f"({q(c)}, {q(t)}, {q(d)})" for c, (t, d) in SUPPLEMENTAL_ITEMS.items()) \
+    + ") AS texts(item_code, item_type, item_description)"
+
+
+def _supplemental_sql(level: str = "'NON_HQLA'", book: str = "book") -> str:
+    """All items of a position or risk row as (code, reported, haircut, net) shares, summed once."""
+    amount = "CAST(notional_value AS DECIMAL(38,10))"
+    draw = "CAST(abs(notional_value) * 0.05 AS DECIMAL(38,10))"
+    zero = "CAST(0 AS DECIMAL(38,10))"
+    return f"""
+    SELECT {sk('portfolio_id', 'item_code', 'partition_date')} AS supplemental_record_id, portfolio_id, partition_date,
+      'S' AS schedule, item_code, item_type, item_description, {_two('reported')} AS reported_amount,
+      {_two('cut')} AS haircut_amount, {_two('net')} AS net_amount
+    FROM (SELECT portfolio_id, partition_date, item_code, part, sum(reported) AS reported, sum(cut) AS cut, sum(net) AS net
+          FROM (SELECT portfolio_id, partition_date, 'S.H.1' AS item_code, {level} AS part, {amount} AS reported,
+                       {zero} AS cut, {amount} AS net
+                FROM {book} WHERE {level} <> 'NON_HQLA'
+                UNION ALL
+                SELECT portfolio_id, partition_date, if(position_type = 'HEDGE', 'S.E.1', 'S.O.1'), NULL,
+                       if(position_type = 'HEDGE', {amount}, abs({amount})), if(position_type = 'HEDGE', {amount}, {draw}),
+                       if(position_type = 'HEDGE', {zero}, {draw})
+                FROM {book} WHERE position_type IN ('HEDGE', 'SHORT')
+                UNION ALL
+                SELECT portfolio_id, partition_date, 'S.L.1', NULL, CAST(market_value AS DECIMAL(38,10)), {zero},
+                       CAST(if(liquidity_tier = 'HIGH', market_value, 0) AS DECIMAL(38,10))
+                FROM risk) shares
+          GROUP BY ALL) items
+    JOIN {SUPPLEMENTAL_TEXTS} USING (item_code)
+    WHERE reported <> 0"""
 
 
 def dq_dates_sql(n: int) -> str:
+    """Counted back from the number of business dates before the run date."""
     return f"""
-    SELECT partition_date, CAST(rnk AS INTEGER) AS rnk FROM (
-      SELECT partition_date, dense_rank() OVER (ORDER BY partition_date DESC) AS rnk
-      FROM (SELECT DISTINCT partition_date FROM book
-            WHERE partition_date < {D} AND isodow(partition_date) BETWEEN 1 AND 5) d) r
-    WHERE rnk <= {n}"""
+    SELECT partition_date, CAST(before.k + 1 - idx AS INTEGER) AS rnk
+    FROM bdx, (SELECT count(*) AS k FROM bdx WHERE partition_date < {D}) before
+    WHERE idx BETWEEN before.k + 1 - {n} AND before.k"""
 
 
-def _rule_sql(rule: AggRule) -> str:
-    dims = list(rule.group_by)
-    k = float(rule.stddev_multiplier)
-    dcols = ", ".join(dims)
-    sel = (dcols + ", ") if dims else ""
-    grp_cur = dcols if dims else D
-    grp_hist = ("partition_date, " + dcols) if dims else "partition_date"
-    if dims:
-        dj = "CAST(json_object(" + ", ".join(f"'{c}', c.{c}" for c in dims) + ") AS VARCHAR)"
-        on = " AND ".join(f"c.{c} IS NOT DISTINCT FROM b.{c}" for c in dims)
-        bsel, bgrp = dcols, dcols
-    else:
-        dj, on, bsel, bgrp = "'{}'", "c._k = b._k", "1 AS _k", "_k"
-    cur_k = "" if dims else ", 1 AS _k"
-    cur, mean, sd, n = "CAST(c.current_value AS DOUBLE)", "b.hist_mean", "b.hist_stddev", "b.hist_n"
-    return f"""
-    SELECT {q(rule.name)} AS rule_name, {dj} AS dims_json, {D} AS partition_date,
-      {cur} AS current_value, {n} AS hist_n, {mean} AS hist_mean, {sd} AS hist_stddev,
-      {mean} - {k} * {sd} AS lower_threshold, {mean} + {k} * {sd} AS upper_threshold,
-      CASE WHEN {sd} IS NULL OR {sd} = 0 THEN NULL ELSE ({cur} - {mean}) / {sd} END AS zscore,
-      CAST({k} AS DOUBLE) AS stddev_multiplier, CAST({rule.lookback_business_days} AS INTEGER) AS lookback_business_days,
-      CAST({rule.min_history_days} AS INTEGER) AS min_history_days, {q(rule.metric_expr)} AS metric_expr,
-      {q(rule.where)} AS filter_sql, {q(','.join(dims))} AS group_by_cols,
-      CASE WHEN {n} IS NULL OR {n} < {rule.min_history_days} THEN false
-           WHEN {sd} IS NULL THEN false
-           WHEN {sd} = 0 THEN ({cur} <> {mean})
-           ELSE abs(({cur} - {mean}) / {sd}) > {k} END AS is_outlier
-    FROM (SELECT {sel}{rule.metric_expr} AS current_value{cur_k} FROM book
-          WHERE partition_date = {D} AND ({rule.where}) GROUP BY {grp_cur}) c
-    LEFT JOIN (
-      SELECT {bsel}, count(*) AS hist_n, CAST(sum(metric_value) AS DOUBLE) / count(*) AS hist_mean,
-             stddev_samp(CAST(metric_value AS DOUBLE)) AS hist_stddev
-      FROM (SELECT partition_date, {sel}{rule.metric_expr} AS metric_value FROM book
-            WHERE partition_date IN (SELECT partition_date FROM dq_dates WHERE rnk <= {rule.lookback_business_days})
-              AND ({rule.where}) GROUP BY {grp_hist}) h
-      GROUP BY {bgrp}) b ON {on}"""
-
-
-cte("dq_dates", ["book"], dq_dates_sql(max(r.lookback_business_days for r in POSITION_RULES)))
-
 def _rule_all_dates_sql(rule: AggRule) -> str:
     dims = list(rule.group_by)
     k = float(rule.stddev_multiplier)
@@ -412,7 +351,7 @@ def _rule_all_dates_sql(rule: AggRule) -> str:
            WHEN {sd} = 0 THEN ({cur} <> {mean}) ELSE abs(({cur} - {mean}) / {sd}) > {k} END AS is_outlier
     FROM (
       SELECT {dj} AS dims_json, c.partition_date, CAST(c.v AS DOUBLE) AS cur,
-             nullif(count(h.v), 0) AS hist_n, CAST(sum(h.v) AS DOUBLE) / nullif(count(h.v), 0) AS hist_mean,
+             nullif(count(h.idx), 0) AS hist_n, CAST(sum(h.v) AS DOUBLE) / nullif(count(h.v), 0) AS hist_mean,
              stddev_samp(CAST(h.v AS DOUBLE)) AS hist_stddev
       FROM (SELECT d.*, x.k FROM (SELECT {sel}partition_date, {rule.metric_expr} AS v FROM book
                                   WHERE ({rule.where}) GROUP BY {grp}) d JOIN dkx x USING (partition_date)) c
@@ -428,23 +367,26 @@ cte("bdx", ["book"], """
 cte("dkx", ["book", "bdx"], """
     SELECT d.partition_date, (SELECT count(*) FROM bdx WHERE bdx.partition_date < d.partition_date) AS k
     FROM (SELECT DISTINCT partition_date FROM book) d""")
-cte("dq_metrics_all", ["book", "bdx", "dkx"], f"""
-    SELECT {sk('rule_name', 'dims_json', 'CAST(partition_date AS VARCHAR)')} AS dq_record_id, *
-    FROM ({' UNION ALL '.join(_rule_all_dates_sql(r) for r in POSITION_RULES)}) u""")
-cte("dq_metrics", ["book", "dq_dates"], f"""
+
+
+def metrics_sql(rules) -> str:
+    return f"""
     SELECT {sk('rule_name', 'dims_json', 'CAST(partition_date AS VARCHAR)')} AS dq_record_id, *
-    FROM ({' UNION ALL '.join(_rule_sql(r) for r in POSITION_RULES)}) u""")
+    FROM ({' UNION ALL '.join(_rule_all_dates_sql(r) for r in rules)}) u"""
+
+
+cte("dq_metrics_all", ["book", "bdx", "dkx"], metrics_sql(POSITION_RULES))
+cte("dq_metrics", ["dq_metrics_all"], f"SELECT * FROM dq_metrics_all WHERE partition_date = {D}")
 cte("rpt_lcr", ["book", "cashflow", "seed_hqla_classification"], _lcr_sql(DEFAULT_HQLA_TYPE))
 cte("rpt_nsfr", ["book", "seed_nsfr_factors"], NSFR_SQL)
 cte("rpt_out", ["book", "seed_fr2052a_product_mapping"], OUTFLOWS_SQL)
 cte("rpt_in", ["book", "seed_fr2052a_product_mapping"], INFLOWS_SQL)
-cte("rpt_sup", ["book", "risk"], SUPPLEMENTAL_SQL)
+cte("rpt_sup", ["book", "risk"], _supplemental_sql())
 
 
 
 R4 = {"hist_stddev": dround("hist_stddev", 4), "zscore": dround("zscore", 4),
-      "lower_threshold": dround(f"hist_mean - stddev_multiplier * {dround('hist_stddev', 4)}", 4),
-      "upper_threshold": dround(f"hist_mean + stddev_multiplier * {dround('hist_stddev', 4)}", 4)}
+      "lower_threshold": dround("lower_threshold", 2), "upper_threshold": dround("upper_threshold", 2)}
 METRIC_OUT = ", ".join(f"{R4[c]} AS {c}" if c in R4 else c for c in [
     "dq_record_id", "rule_name", "dims_json", "partition_date", "current_value", "hist_n", "hist_mean",
     "hist_stddev", "lower_threshold", "upper_threshold", "zscore", "stddev_multiplier", "lookback_business_days",
@@ -465,6 +407,10 @@ STG_POS_OUT = ("position_id, portfolio_id, instrument_id, CAST(position_qty AS D
                "CAST(notional_value AS DOUBLE) AS notional_value, position_type, currency, maturity_date, "
                "CAST(interest_rate AS DOUBLE) AS interest_rate, partition_date")
 
+def _definition(rule: AggRule) -> str:
+    return "md5(concat_ws(chr(31), " + ", ".join(map(q, [rule.metric_expr, rule.where, *rule.group_by])) + "))"
+
+
 # --- the check suite in SQL ------------------------------------------------
 
 SUITE_TABLES = {
@@ -567,12 +513,12 @@ QUERY_SQL: dict[str, tuple[list[str], str]] = {
     "fr2052a_outflows": (["rpt_out"], "SELECT * FROM rpt_out"),
     "fr2052a_inflows": (["rpt_in"], "SELECT * FROM rpt_in"),
     "fr2052a_supplemental": (["rpt_sup"], "SELECT * FROM rpt_sup"),
-    "trailing_business_dates": (["book"], dq_dates_sql(60)),
+    "trailing_business_dates": (["bdx"], dq_dates_sql(60)),
     "agg_threshold_metrics": (["dq_metrics"], f"SELECT {METRIC_OUT} FROM dq_metrics"),
     "agg_threshold_metrics_all_dates": (["dq_metrics_all"], f"SELECT {METRIC_OUT} FROM dq_metrics_all"),
     "dq_daily_values": (["book"], " UNION ALL ".join(
-        f"""SELECT {sk(q(r.name), 'dims_json', 'CAST(partition_date AS VARCHAR)')} AS dq_daily_id,
-               {q(r.name)} AS rule_name, dims_json, partition_date,
+        f"""SELECT {sk(q(r.name), _definition(r), 'dims_json', 'CAST(partition_date AS VARCHAR)')} AS dq_daily_id,
+               {q(r.name)} AS rule_name, {_definition(r)} AS definition, dims_json, partition_date,
                CAST(CAST(v AS DECIMAL(38,10)) AS DOUBLE) AS metric_decimal, CAST(NULL AS DOUBLE) AS metric_double
         FROM (SELECT partition_date, {("CAST(json_object(" + ", ".join(f"'{c}', {c}" for c in r.group_by)
                                          + ") AS VARCHAR)") if r.group_by else "'{}'"} AS dims_json,

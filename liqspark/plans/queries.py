@@ -8,8 +8,7 @@ exact decimal computation and rounding, audit timestamps are left out.
 from __future__ import annotations
 
 import datetime as dt
-import os
-import tempfile
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,16 +78,11 @@ def q_trailing_business_dates(spark, sf_dir):
 
 
 def report_metrics(m: DataFrame) -> DataFrame:
-    """Reported precision of the rule rows: σ, z-score and thresholds to 4
-    places, thresholds computed from the reported σ (mean ± k·σ₄), so a report
-    is self-consistent and engines whose stddev differs in the last bits
-    agree. The outlier flag keeps the unrounded values."""
-    sd4 = F.round("hist_stddev", 4)
-    k = F.col("stddev_multiplier")
-    repl = {"hist_stddev": sd4, "zscore": F.round("zscore", 4),
-            "lower_threshold": F.round(F.col("hist_mean") - k * sd4, 4),
-            "upper_threshold": F.round(F.col("hist_mean") + k * sd4, 4)}
-    return m.select(*[repl[c].alias(c) if c in repl else F.col(c) for c in m.columns])
+    """Reported precision of the rule rows: σ and z-score to 4 places, the
+    operator's own thresholds to 2 (engines' stddev differ in the last bits).
+    The outlier flag keeps the unrounded values."""
+    places = {"hist_stddev": 4, "zscore": 4, "lower_threshold": 2, "upper_threshold": 2}
+    return m.select(*[F.round(c, places[c]).alias(c) if c in places else F.col(c) for c in m.columns])
 
 
 def q_agg_threshold_metrics(spark, sf_dir):
@@ -245,14 +239,8 @@ def q_assertion_events(spark, sf_dir):
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint directory."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if "://" in base:
-        return f"{base.rstrip('/')}/{name}-{os.urandom(6).hex()}"
-    os.makedirs(base, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    """An unused path under the shared checkpoint directory."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 UPSERT_FROM = dt.date(2024, 3, 15)

@@ -6,6 +6,7 @@ are unset, so a cluster's configuration always wins.
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -42,15 +43,17 @@ def ensure_runtime_conf(spark: SparkSession) -> None:
 
 
 def scale_conf(input_bytes: int, target_partition_bytes: int = 128 << 20,
-               max_partitions: int = 50_000) -> dict[str, str]:
+               max_partitions: int | None = None) -> dict[str, str]:
     """Partition sizing for a job reading ``input_bytes``: scan splits and
     shuffle partitions of about ``target_partition_bytes`` (so a task's sort
     and aggregation buffers fit in executor memory and spill rarely), AQE
     starting from that count and coalescing small ones, and skew splitting
-    for partitions four times the target. At 100 TB this gives the cap of
-    50,000 initial shuffle partitions (about 2 GB each before AQE splits them
-    further)."""
-    n = max(200, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    for join partitions four times the target. At 100 TB this gives about
+    800,000 initial shuffle partitions; a caller whose scheduler can't hold so
+    many passes ``max_partitions`` and gets larger ones."""
+    n = max(200, -(-input_bytes // target_partition_bytes))
+    if max_partitions is not None:
+        n = min(n, max_partitions)
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(n),
@@ -61,8 +64,9 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 128 << 20,
 
 
 def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
-    """Set runtime SQL settings that the cluster configuration leaves unset."""
-    explicit = {k for k, _ in spark.sparkContext.getConf().getAll()}
+    """Set runtime SQL settings that neither the cluster configuration nor the
+    session has set."""
+    explicit = {k for k, _ in spark.sparkContext.getConf().getAll()} | set(spark.conf.getAll)
     for key, value in conf.items():
         if key not in explicit:
             spark.conf.set(key, value)
@@ -84,14 +88,22 @@ def build_session(master: str = "local[*]", app: str = "liqspark",
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process."""
+    return re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master) is not None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting must point at shared storage and is only read.
-    When it is unset (local tests) a fresh scratch folder is created.
+    On a cluster the setting must point at shared storage and is only read;
+    without it this raises, since executors don't share the driver's folders.
+    A local session (tests) gets a fresh scratch folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="liqspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)

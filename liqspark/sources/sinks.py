@@ -7,28 +7,78 @@ job must read and rewrite the same table, lineage is cut first with
 ``DataFrame.checkpoint()`` into the shared folder named by
 ``spark.checkpoint.dir``, so a lost executor never has to re-read
 half-rewritten files.
+
+Each table keeps its schema in a ``_table_schema`` file beside the data. Every
+write replaces it with the columns written (columns are synced to the latest
+run), and every read uses it, so columns added later are read, a table whose
+first write was empty is readable, and no file footer decides the columns.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import INGESTION_TS, PARTITION_DATE
 from ..session import ensure_checkpoint_dir
 
+SCHEMA_FILE = "_table_schema"
+STREAM_LOG = "_spark_metadata"
+# Values of the first partition column a merge may turn into a static filter.
+MAX_STATIC_VALUES = 4_000
+FILE_BYTES = 128 << 20
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+def _hadoop(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hpath, fs = _hadoop(spark, path)
     return fs.exists(hpath)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    return path_exists(spark, path)
+
+
+def refuse_stream_table(spark: SparkSession, path: str) -> None:
+    """Readers of a table written by a stream see only the files of the
+    stream's log: a batch write there would be invisible."""
+    if path_exists(spark, f"{path}/{STREAM_LOG}"):
+        raise ValueError(f"{path} is written by a stream; batch writes there would not be read")
+
+
+def table_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema kept with the table, or None if no writer of this module made it."""
+    hpath, fs = _hadoop(spark, f"{path}/{SCHEMA_FILE}")
+    if not fs.exists(hpath):
+        return None
+    stream = fs.open(hpath)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return T.StructType.fromJson(json.loads(text))
+
+
+def _keep_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+    if table_schema(spark, path) == nullable:
+        return
+    hpath, fs = _hadoop(spark, f"{path}/{SCHEMA_FILE}")
+    out = fs.create(hpath, True)
+    out.write(bytearray(nullable.json().encode()))
+    out.close()
+
+
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = (PARTITION_DATE,)) -> None:
     """Write ``df`` replacing only the partitions it contains.
 
@@ -37,18 +87,51 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = (P
     partition gets a few right-sized files instead of one file per task, and
     no day is funnelled through a single task.
     """
+    refuse_stream_table(df.sparkSession, path)
     (df.hint("rebalance", *partition_by)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
+    _keep_schema(df.sparkSession, path, df.schema)
+
+
+def replace_day(df: DataFrame, path: str, as_of: dt.date, partition_by: Sequence[str] = (PARTITION_DATE,)) -> None:
+    """Make ``df``, whose rows are all of ``as_of``, the table's rows of that
+    date. Sub-partitions of the date that ``df`` no longer has, and with an
+    empty ``df`` the whole date, are removed after the write."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    staged = df.checkpoint(eager=True)
+    write_partitioned(staged, path, partition_by)
+    day, fs = _hadoop(spark, f"{path}/{partition_by[0]}={as_of.isoformat()}")
+    if staged.isEmpty():
+        fs.delete(day, True)
+    elif len(partition_by) > 1:
+        column = partition_by[1]
+        kept = {str(r[0]) for r in staged.select(column).distinct().collect()}  # sub-partitions of one date
+        for status in fs.listStatus(day):
+            name = status.getPath().getName()
+            if name.startswith(f"{column}=") and name.split("=", 1)[1] not in kept:
+                fs.delete(status.getPath(), True)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Read a stored table. With ``schema`` no file footer is inspected: columns
+    """Read a stored table with ``schema``, or the schema kept with it: columns
     missing from older files read as null and columns no longer in the schema
-    are skipped, which is how evolved tables are read (no footer scan over the
-    whole table, as schema merging would need)."""
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(path)
+    are skipped. Only a table of another writer is read by merging the schemas
+    of its files."""
+    schema = schema or table_schema(spark, path)
+    if schema is None:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def partition_values(spark: SparkSession, path: str, column: str = PARTITION_DATE) -> list[str]:
+    """Values of a table's first partition column, from its folder names."""
+    hpath, fs = _hadoop(spark, path)
+    if not fs.exists(hpath):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory()]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
 
 
 def sync_columns(target: DataFrame, src: DataFrame) -> DataFrame:
@@ -66,29 +149,40 @@ def duplicate_keys(src: DataFrame, key: Sequence[str]) -> DataFrame:
     return src.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
+def _same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
+
+
 def upsert(spark: SparkSession, src: DataFrame, path: str, key: Sequence[str],
            partition_by: Sequence[str] = (PARTITION_DATE,)) -> None:
     """Merge ``src`` into the table at ``path``: rows with a matching key are
     replaced, others inserted; only partitions present in ``src`` are
     rewritten. Keys must contain the partition columns or be unique per
-    partition. Raises on duplicate source keys (a merge cannot pick one).
+    partition; null keys and null partition values match themselves. Raises
+    on duplicate source keys (a merge cannot pick one). The source is
+    evaluated once.
     """
-    if duplicate_keys(src, key).limit(1).count() > 0:
+    ensure_checkpoint_dir(spark)
+    src = src.checkpoint(eager=True)
+    if not duplicate_keys(src, key).isEmpty():
         raise ValueError(f"source has duplicate keys on {list(key)}; merge is ambiguous")
     if not table_exists(spark, path):
         write_partitioned(src, path, partition_by)
         return
-    ensure_checkpoint_dir(spark)
-    # The partition values the source touches are bounded by the calendar
-    # (one date for a daily run): resolving them first gives the target scan a
-    # static IN filter, so only those partitions are read and rewritten.
-    touched_rows = src.select(*partition_by).distinct().collect()
     first = partition_by[0]
     # read with the source's schema: the column sync happens in the reader
-    target = read_table(spark, path, src.schema).where(F.col(first).isin(sorted({r[first] for r in touched_rows})))
-    touched = F.broadcast(src.sparkSession.createDataFrame(touched_rows, src.select(*partition_by).schema))
-    kept = (target.join(touched, list(partition_by), "left_semi")
-            .join(src.select(*key), list(key), "left_anti"))
+    target = read_table(spark, path, src.schema)
+    # A few values (one date for a daily run) become a static filter, so only
+    # those partitions are read; with more, the semi-join alone selects rows.
+    values = [r[0] for r in src.select(first).distinct().limit(MAX_STATIC_VALUES + 1).collect()]
+    if len(values) <= MAX_STATIC_VALUES:
+        known = sorted(v for v in values if v is not None)
+        touches = F.col(first).isin(known) if known else F.lit(False)
+        target = target.where(touches | F.col(first).isNull() if None in values else touches)
+    touched = src.select(*partition_by).distinct()
+    rows = target.join(touched, _same(target, touched, partition_by), "left_semi")
+    keys = src.select(*key)
+    kept = rows.join(keys, _same(rows, keys, key), "left_anti")
     merged = sync_columns(kept, src).unionByName(src)
     # Cut lineage to the target files before overwriting them.
     staged = merged.checkpoint(eager=True)
@@ -120,16 +214,23 @@ def merge_into(spark: SparkSession, src: DataFrame, table: str, key: Sequence[st
         spark.catalog.dropTempView(view)
 
 
-def compact_partition(spark: SparkSession, path: str, as_of: dt.date, target_files: int = 1,
-                      partition_by: Sequence[str] = (PARTITION_DATE,)) -> None:
-    """Rewrite one date of a table into at most ``target_files`` files per partition.
+def compact_partition(spark: SparkSession, path: str, as_of: dt.date, target_files: int | None = None,
+                      partition_by: Sequence[str] = (PARTITION_DATE,), file_bytes: int = FILE_BYTES) -> None:
+    """Rewrite one date of a table into few files per partition: by default as
+    many as its bytes need at ``file_bytes`` each, or ``target_files``.
 
     ``partition_by`` is the table's full partitioning (date first); every
     sub-partition of the date (e.g. each source system of the book) is
-    rewritten in place and keeps its directory.
+    rewritten in place and keeps its directory. All columns of the table's
+    schema are kept.
     """
     ensure_checkpoint_dir(spark)
+    refuse_stream_table(spark, path)
     date_col = partition_by[0]
+    if target_files is None:
+        day, fs = _hadoop(spark, f"{path}/{date_col}={as_of.isoformat()}")
+        size = fs.getContentSummary(day).getLength() if fs.exists(day) else 0
+        target_files = max(1, -(-size // file_bytes))
     part = read_table(spark, path).where(F.col(date_col) == F.lit(as_of))
     others = [c for c in part.columns if c not in partition_by]
     # round-robin, not by the partition columns: a large day is spread over
@@ -144,7 +245,7 @@ def ingest_raw(spark: SparkSession, source: str | DataFrame, as_of: dt.date, sch
                target: str, fmt: str = "parquet", source_system: str | None = None) -> DataFrame:
     """Load one day's raw feed into the raw table: typed read, load stamp,
     run-date partition, optional source-system tag. Re-running replaces the
-    day's partition. Returns the written table, read back lazily."""
+    day's partition, also by nothing. Returns the written day, read back lazily."""
     if isinstance(source, DataFrame):
         df = source
     else:
@@ -157,5 +258,5 @@ def ingest_raw(spark: SparkSession, source: str | DataFrame, as_of: dt.date, sch
     out = df.select(*cols, F.current_timestamp().alias(INGESTION_TS), F.lit(as_of).alias(PARTITION_DATE))
     if source_system is not None:
         out = out.withColumn("source_system", F.lit(source_system))
-    write_partitioned(out, target)
+    replace_day(out, target, as_of)
     return read_table(spark, target).where(F.col(PARTITION_DATE) == F.lit(as_of))

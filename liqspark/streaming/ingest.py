@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import INGESTION_TS, PARTITION_DATE
+from ..sources.sinks import STREAM_LOG, path_exists
 
 
 def start_feed_ingest(spark: SparkSession, source_dir: str, source_schema: T.StructType,
@@ -27,7 +28,11 @@ def start_feed_ingest(spark: SparkSession, source_dir: str, source_schema: T.Str
     ``source_schema`` is the layout of the dropped files (streaming file
     sources need it up front); every target column is ``try_cast`` from it,
     so malformed values become null. The partition date comes from the data.
+    A target that batch writes made is refused: the stream's log would hide
+    its files from readers.
     """
+    if path_exists(spark, target) and not path_exists(spark, f"{target}/{STREAM_LOG}") and not path_exists(spark, checkpoint):
+        raise ValueError(f"{target} exists and isn't a stream's table")
     reader = spark.readStream.schema(source_schema).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True)

@@ -11,6 +11,7 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as E
+from liqspark.plans.queries import QUERIES
 
 TABLES = ["lineitem", "orders", "part", "supplier", "customer", "nation", "region"]
 
@@ -29,7 +30,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF_SMALL)
     s_cols, s_rows = sdf.columns, sdf.collect()
@@ -63,7 +64,7 @@ def test_daily_pipeline_rerun_is_idempotent(spark, tmp_dir):
     before = {n: wh.read(n).count() for n in UNIQUE_KEYS}
     clock = dt.datetime(2024, 3, 30, 6, 0)
     for _ in range(2):
-        results = run_daily(spark, raw, fixtures.AS_OF, root, now=clock).collect()
+        results = run_daily(spark, raw, fixtures.AS_OF, root, now=clock, scope="partition").collect()
     after = {n: wh.read(n).count() for n in UNIQUE_KEYS}
     assert before == after
     # the daily run takes history from stored daily values; same rows as the direct computation
@@ -75,13 +76,13 @@ def test_daily_pipeline_rerun_is_idempotent(spark, tmp_dir):
     assert status["unique__mart_positions__position_id"] == "pass"
     # whole-table scope sees the duplicate risk keys of every day, the day scope only today's
     full = {r.check_id: r.failures for r in
-            run_daily(spark, raw, fixtures.AS_OF, root, now=clock, scope="table").collect()}
+            run_daily(spark, raw, fixtures.AS_OF, root, now=clock).collect()}
     day = {r.check_id: r.failures for r in results}
     assert full["unique__mart_liquidity_risk__risk_record_id"] > day["unique__mart_liquidity_risk__risk_record_id"] > 0
     # a day whose feeds never arrived: the DQ rules give no row (T7), the row-count and
     # both-sources checks flag the missing feed, and nothing else in the warehouse changes
     missing = dt.date(2024, 4, 15)
-    res = {r.check_id: r for r in run_daily(spark, raw, missing, root, now=clock).collect()}
+    res = {r.check_id: r for r in run_daily(spark, raw, missing, root, now=clock, scope="partition").collect()}
     assert res["row_count_between__mart_positions"].failures == 1
     assert res["both_sources__mart_positions"].failures == 2
     assert wh.day("mart_positions_dq_metrics", missing).count() == 0

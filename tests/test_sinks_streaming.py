@@ -122,3 +122,94 @@ def test_ingest_csv_feed_with_malformed_values(spark, tmp_dir):
     assert rows["INS2"].position_qty is None and rows["INS2"].maturity_date is None  # try_cast, no failure
     assert rows["INS2"].notional_value == Decimal("2000.00")
     assert stage_positions(out.select(*RAW_POSITIONS_SCHEMA.fieldNames())).count() == 2
+
+
+def _keyed(spark, rows, schema="k string, v int, partition_date date"):
+    return spark.createDataFrame(rows, schema)
+
+
+def test_upsert_keeps_rows_of_null_partitions(spark, tmp_dir):
+    path = tmp_dir + "/t"
+    sinks.upsert(spark, _keyed(spark, [("k1", 1, None), ("k2", 2, D0)]), path, ["k"])
+    sinks.upsert(spark, _keyed(spark, [("k3", 3, None)]), path, ["k"])
+    sinks.upsert(spark, _keyed(spark, [("k1", 9, None)]), path, ["k"])
+    got = sorted((r.k, r.v, r.partition_date) for r in sinks.read_table(spark, path).collect())
+    assert got == [("k1", 9, None), ("k2", 2, D0), ("k3", 3, None)]
+
+
+def test_upsert_with_null_sub_partition_and_null_key(spark, tmp_dir):
+    path, cols = tmp_dir + "/t", "k string, v int, partition_date date, source_system string"
+    by = ["partition_date", "source_system"]
+    sinks.upsert(spark, _keyed(spark, [("a", 1, D0, None), (None, 2, D0, "X")], cols), path, ["k"], by)
+    sinks.upsert(spark, _keyed(spark, [("b", 3, D0, None), (None, 4, D0, "X")], cols), path, ["k"], by)
+    got = sorted(((r.k, r.v) for r in sinks.read_table(spark, path).collect()), key=str)
+    assert got == [("a", 1), ("b", 3), (None, 4)]
+
+
+def test_upsert_of_many_partition_values_needs_no_static_filter(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(sinks, "MAX_STATIC_VALUES", 1)
+    path, day = tmp_dir + "/t", dt.timedelta(days=1)
+    sinks.upsert(spark, _keyed(spark, [("a", 1, D0), ("b", 1, D0 - day), ("c", 1, D0 - 2 * day)]), path, ["k"])
+    sinks.upsert(spark, _keyed(spark, [("a", 2, D0), ("d", 2, D0 - day)]), path, ["k"])
+    assert sorted((r.k, r.v) for r in sinks.read_table(spark, path).collect()) == [("a", 2), ("b", 1), ("c", 1), ("d", 2)]
+
+
+def test_added_column_is_read_and_survives_compaction(spark, tmp_dir):
+    path, day2 = tmp_dir + "/t", D0 + dt.timedelta(days=1)
+    sinks.upsert(spark, _keyed(spark, [("k1", 1, D0)]), path, ["k"])
+    sinks.upsert(spark, _keyed(spark, [("k2", 2, "new", day2)], "k string, v int, added string, partition_date date"),
+                 path, ["k"])
+    for _ in range(2):
+        got = {r.k: r.added for r in sinks.read_table(spark, path).collect()}
+        assert got == {"k1": None, "k2": "new"}
+        sinks.compact_partition(spark, path, day2)
+
+
+def test_empty_first_write_is_readable(spark, tmp_dir):
+    path = tmp_dir + "/t"
+    sinks.upsert(spark, _keyed(spark, []), path, ["k"])
+    t = sinks.read_table(spark, path)
+    assert t.count() == 0 and t.columns == ["k", "v", "partition_date"]
+    sinks.upsert(spark, _keyed(spark, [("k1", 1, D0)]), path, ["k"])
+    assert sinks.read_table(spark, path).count() == 1
+
+
+def test_empty_rerun_empties_the_day(spark, tmp_dir):
+    target, other = tmp_dir + "/raw", D0 - dt.timedelta(days=1)
+    feed = positions(spark, [dict(instrument_id=f"INS{i}") for i in range(3)]).drop("_ingestion_ts")
+    for day in (other, D0):
+        sinks.ingest_raw(spark, feed, day, RAW_POSITIONS_SCHEMA, target)
+    assert sinks.ingest_raw(spark, feed.limit(0), D0, RAW_POSITIONS_SCHEMA, target).count() == 0
+    left = sinks.read_table(spark, target)
+    assert left.count() == 3 and [r[0] for r in left.select("partition_date").distinct().collect()] == [other]
+
+
+def test_replace_day_removes_sub_partitions_that_went(spark, tmp_dir):
+    path, cols, by = tmp_dir + "/t", "k string, v int, partition_date date, source_system string", ["partition_date", "source_system"]
+    sinks.replace_day(_keyed(spark, [("a", 1, D0, "X"), ("b", 2, D0, "Y")], cols), path, D0, by)
+    sinks.replace_day(_keyed(spark, [("c", 3, D0, "Y")], cols), path, D0, by)
+    assert [(r.k, r.source_system) for r in sinks.read_table(spark, path).collect()] == [("c", "Y")]
+
+
+def test_stream_and_batch_writes_refuse_each_other(spark, tmp_dir):
+    src, target, ckpt = tmp_dir + "/drop", tmp_dir + "/raw", tmp_dir + "/ckpt"
+    raw = positions(spark, [{}]).drop("_ingestion_ts")
+    raw.write.parquet(src)
+    ingest_available(spark, src, raw.schema, RAW_POSITIONS_SCHEMA, target, ckpt)
+    with pytest.raises(ValueError):
+        sinks.ingest_raw(spark, raw, D0, RAW_POSITIONS_SCHEMA, target)
+    sinks.ingest_raw(spark, raw, D0, RAW_POSITIONS_SCHEMA, tmp_dir + "/batch")
+    with pytest.raises(ValueError):
+        ingest_available(spark, src, raw.schema, RAW_POSITIONS_SCHEMA, tmp_dir + "/batch", tmp_dir + "/ckpt2")
+
+
+def test_compaction_derives_files_from_bytes(spark, tmp_dir):
+    path = tmp_dir + "/t"
+    df = stage_positions(positions(spark, [dict(instrument_id=f"INS{i}") for i in range(400)]))
+    df.repartition(8).write.partitionBy("partition_date").parquet(path)
+    files = lambda: glob.glob(f"{path}/partition_date={D0.isoformat()}/*.parquet")
+    size = sum(len(open(f, "rb").read()) for f in files())
+    sinks.compact_partition(spark, path, D0, file_bytes=size // 3)
+    assert 3 <= len(files()) <= 4
+    sinks.compact_partition(spark, path, D0)
+    assert len(files()) == 1 and sinks.read_table(spark, path).count() == 400
