@@ -3,9 +3,9 @@
 Documents in ascending ``doc_id`` order form one stream of ids. Each file
 holds a range of documents: record batches of fixed-size lists, so sequence
 ``i`` of a file lies at a computable place and is read without a copy from a
-memory map. ``mask`` marks padding (0), ids (1) and the last id of a document
-(2); ``doc_ids`` lists the documents that end in a sequence. Only the last
-sequence of a file is padded.
+memory map. ``mask`` (a bit an id) tells ids from padding, which only the last
+sequence of a file has; ``doc_ids`` and ``doc_ends`` list the documents that
+end in a sequence and the place there of their last ids.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from .common import text_or_empty, vocabulary
 from .tokens import encoder
 
-PAD, TOKEN, LAST = 0, 1, 2
 MANIFEST = "part bigint, path string, n_docs bigint, n_tokens bigint, n_sequences bigint"
 DOCUMENT = "doc_id bigint, start bigint, n_tokens bigint, ids binary"
 
@@ -32,8 +31,8 @@ DOCUMENT = "doc_id bigint, start bigint, n_tokens bigint, ids binary"
 def file_schema(seq_len: int, vocab_size: int) -> pa.Schema:
     """Ids of two bytes where the vocabulary allows, else four."""
     ids = pa.uint16() if vocab_size <= 1 << 16 else pa.uint32()
-    return pa.schema([("input_ids", pa.list_(ids, seq_len)), ("mask", pa.list_(pa.uint8(), seq_len)),
-                      ("doc_ids", pa.list_(pa.int64()))])
+    return pa.schema([("input_ids", pa.list_(ids, seq_len)), ("mask", pa.list_(pa.bool_(), seq_len)),
+                      ("doc_ids", pa.list_(pa.int64())), ("doc_ends", pa.list_(pa.int32()))])
 
 
 class _Writer:
@@ -62,16 +61,15 @@ class _Writer:
         taken, rest = flat[:size], flat[size:]
         ids = np.zeros(size, self.dtype)
         ids[:len(taken)] = taken
-        mask = np.full(size, PAD, np.uint8)
-        mask[:len(taken)] = TOKEN
         here = [e for e in self.ends if e[0] < size]
-        mask[[at for at, _ in here]] = LAST
         docs: list[list[int | None]] = [[] for _ in range(n)]
+        places: list[list[int]] = [[] for _ in range(n)]
         for at, doc in here:
             docs[at // self.seq_len].append(doc)
+            places[at // self.seq_len].append(at % self.seq_len)
         lists = pa.FixedSizeListArray.from_arrays
-        columns = [lists(pa.array(ids), self.seq_len), lists(pa.array(mask), self.seq_len),
-                   pa.array(docs, pa.list_(pa.int64()))]
+        columns = [lists(pa.array(ids), self.seq_len), lists(pa.array(np.arange(size) < len(taken)), self.seq_len),
+                   pa.array(docs, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))]
         for batch in pa.Table.from_arrays(columns, schema=self.schema).to_batches(max_chunksize=self.rows):
             self.out.write_batch(batch)
         self.sequences += n
@@ -132,30 +130,31 @@ def write_token_files(docs: DataFrame, folder: str, vocab_path: str | None = Non
 
 
 class TokenFile:
-    """Random access to the sequences of one file; arrays are views of the map."""
+    """Random access to the sequences of one file, as views of the map."""
 
     def __init__(self, path: str):
         fs, name = _file_system(path)
         self.source = pa.memory_map(name) if isinstance(fs, pafs.LocalFileSystem) else fs.open_input_file(name)
         self.reader = pa.ipc.open_file(self.source)
-        first = self.reader.get_batch(0).num_rows if self.reader.num_record_batches else 0
-        self.rows, self.seq_len = first, self.reader.schema.field("input_ids").type.list_size
+        self.seq_len = self.reader.schema.field("input_ids").type.list_size
 
     def batches(self) -> Iterator[tuple[np.ndarray, np.ndarray, list[int | None]]]:
-        """Flat ids and mask of each batch and the documents that end in it."""
+        """Of each batch: its ids without padding, and of the documents that
+        end in it the place after the last id, and the doc_id."""
         for i in range(self.reader.num_record_batches):
             b = self.reader.get_batch(i)
-            yield (b.column("input_ids").flatten().to_numpy(), b.column("mask").flatten().to_numpy(),
-                   b.column("doc_ids").flatten().to_pylist())
+            ends = b.column("doc_ends")
+            row = np.repeat(np.arange(b.num_rows), ends.value_lengths().to_numpy())
+            yield (b.column("input_ids").flatten().to_numpy()[:b.column("mask").flatten().true_count],
+                   row * self.seq_len + ends.flatten().to_numpy() + 1, b.column("doc_ids").flatten().to_pylist())
 
-    def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of sequence ``i``. All batches but the last hold the
-        same number of sequences unless a document overran one."""
+    def sequence(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """Ids and mask of sequence ``i``."""
         for k in range(self.reader.num_record_batches):
             b = self.reader.get_batch(k)
             if i < b.num_rows:
-                one = lambda c: c.flatten().to_numpy()[i * self.seq_len:(i + 1) * self.seq_len]
-                return one(b.column("input_ids")), one(b.column("mask"))
+                ids, mask = (b.column(c).flatten().slice(i * self.seq_len, self.seq_len) for c in ("input_ids", "mask"))
+                return ids.to_numpy(), mask
             i -= b.num_rows
         raise IndexError(i)
 
@@ -168,16 +167,15 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     def documents(path: str, base: int) -> Iterator[tuple]:
         held: list[np.ndarray] = []
         start = base
-        for ids, mask, docs in TokenFile(path).batches():
+        for ids, ends, docs in TokenFile(path).batches():
             at = 0
-            for end, doc in zip(np.flatnonzero(mask == LAST) + 1, docs):
+            for end, doc in zip(ends.tolist(), docs):
                 held.append(ids[at:end].astype("<u4"))
-                whole = b"".join(x.tobytes() for x in held)
+                whole = b"".join([x.tobytes() for x in held])
                 yield doc, start, len(whole) // 4, whole
                 start, at, held = start + len(whole) // 4, end, []
-            rest = ids[at:][mask[at:] != PAD]
-            if len(rest):
-                held.append(rest.astype("<u4"))
+            if at < len(ids):
+                held.append(ids[at:].astype("<u4"))
 
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
