@@ -1,9 +1,10 @@
-"""Tokenizing whole texts with the tokenizers library, a word at a time.
+"""Tokenizing whole texts with the tokenizers library, a piece at a time.
 
-Both public vocabularies split text before merging, so the ids of a text are
-the ids of its pieces. Pieces repeat, so each worker keeps the ids of those it
-has met in bounded caches; every id comes from the library. A text holding a
-special token's opening is encoded in one call.
+Both public vocabularies split a text into pieces and merge within each, so
+the ids of a text are the ids of its pieces. Pieces repeat, so each worker
+keeps the ids of those it has met, a bounded number; every id comes from the
+library. Text with characters whose case, normal form or class could differ
+between engines is cut at spaces, and its odd parts are encoded in one call.
 """
 
 from __future__ import annotations
@@ -12,12 +13,15 @@ import json
 import re
 
 SPECIAL = "<|"
-# Latin letters whose case mapping and normal form are the same everywhere.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
-# A lone space between two visible characters is always a boundary of pieces.
-LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-TWO_SPACES = re.compile(r"\s\s")
-CACHE_ENTRIES = 150_000
+# Letters and digits below U+0250, for which classes and case agree everywhere.
+L, N = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾"
+ODD = re.compile("[^\t\n\r\x20-\x7e\xa1-ɏ]|İ")
+# The vocabularies' own splits, over those classes.
+WORD_SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{L}]+|[{N}]|[^\\s{L}{N}]+")
+BYTE_SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^\\s{L}{N}]+|\\s+(?!\\S)|\\s+")
+# A lone space between two visible characters always begins a piece.
+LONE_SPACE = re.compile(r"(?<=\S)(?= \S)")
+CACHE_PIECES = 300_000
 
 _ENCODERS: dict[str, "Encoder"] = {}
 
@@ -34,71 +38,69 @@ class Encoder:
     """``encode(text)``: the ids that ``Tokenizer.encode(text,
     add_special_tokens=False)`` gives."""
 
-    def __init__(self, path: str, cache_entries: int = CACHE_ENTRIES):
+    def __init__(self, path: str, cache_pieces: int = CACHE_PIECES):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             kind = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.model._resize_cache(0)  # the pieces are kept here
         self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.limit = cache_entries
-        self.chunks: dict[str, tuple[int, ...]] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.letters = byte_letters()
+        # two generations: what is met again moves to the newer, the older is dropped whole
+        self.new: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
+        self.limit = cache_pieces // 2
+        letters = byte_letters()
+        self.shown = {i: letters[i] for i in range(128) if letters[i] != chr(i)}
+        self.letters = letters
         before = kind.get("pre_tokenizer") or {}
         normal = [x.get("type") for x in (kind.get("normalizer") or {}).get("normalizers", [])]
-        self.byte_level = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get(
+        byte_level = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get(
             "add_prefix_space") and kind.get("normalizer") is None
-        self.word_level = normal == ["NFC", "Replace", "Lowercase"] and [
+        word_level = normal == ["NFC", "Replace", "Lowercase"] and [
             x.get("type") for x in before.get("pretokenizers", [])] == ["Split", "ByteLevel"]
+        self.lower = word_level
+        self.split = BYTE_SPLIT if byte_level else WORD_SPLIT if word_level else None
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _piece(self, piece: str) -> tuple[int, ...]:
-        """Ids of one piece of the vocabulary's own split."""
-        ids = self.pieces.get(piece)
+        """Ids of a piece that isn't in the newer generation."""
+        ids = self.old.get(piece)
         if ids is None:
-            if len(self.pieces) >= self.limit:
-                self.pieces.clear()
-            raw = piece if piece.isascii() and " " not in piece else "".join(
-                self.letters[b] for b in piece.encode("utf-8"))
-            ids = self.pieces[piece] = tuple(t.id for t in self.model.tokenize(raw))
+            raw = piece.translate(self.shown) if piece.isascii() else "".join(
+                [self.letters[b] for b in piece.encode("utf-8")])
+            ids = tuple([t.id for t in self.model.tokenize(raw)])
+        if len(self.new) >= self.limit:
+            self.old, self.new = self.new, {}
+        self.new[piece] = ids
         return ids
 
-    def _chunk(self, chunk: str) -> tuple[int, ...]:
-        """Ids of a run between boundaries, with the space before it if byte-level."""
-        if len(self.chunks) >= self.limit:
-            self.chunks.clear()
-        spaced = self.byte_level and chunk[:1] == " "
-        m = PLAIN.fullmatch(chunk, 1 if spaced else 0)
-        if m is None:
-            ids = tuple(self._whole(chunk))
-        else:
-            word = m[1].lower() if self.word_level else " " * spaced + m[1]
-            ids = self._piece(word) + (self._piece(m[2]) if m[2] else ())
-        self.chunks[chunk] = ids
-        return ids
+    def _plain(self, text: str, out: list[int]) -> None:
+        known, other = self.new.get, self._piece
+        for piece in self.split.findall(text.lower() if self.lower else text):
+            ids = known(piece)
+            if ids is None:
+                ids = other(piece)
+                known = self.new.get
+            out += ids
 
     def encode(self, text: str | None) -> list[int]:
         if not text:
             return []
-        if SPECIAL in text or not (self.byte_level or self.word_level):
+        if self.split is None or SPECIAL in text:
             return self._whole(text)
         out: list[int] = []
-        known, new = self.chunks.get, self._chunk
-        if self.word_level:
-            for chunk in text.split(" "):
-                if chunk:
-                    out += known(chunk) or new(chunk)
+        if not ODD.search(text):
+            self._plain(text, out)
             return out
-        parts = LONE_SPACE.split(text) if TWO_SPACES.search(text) else text.split(" ")
-        if parts[0]:
-            out += known(parts[0]) or new(parts[0])
-        for part in parts[1:]:
-            part = " " + part
-            out += known(part) or new(part)
+        for part in LONE_SPACE.split(text):
+            if ODD.search(part):
+                out += self._whole(part)
+            else:
+                self._plain(part, out)
         return out
 
 
