@@ -75,6 +75,8 @@ def rule_events(metrics: DataFrame, run_id: str, as_of: dt.date, table: str = "m
     kv = []
     for f in NATIVE_FIELDS:
         kv += [F.lit(f), F.col(f).cast("string")]
+    kv += [F.lit(PARTITION_DATE), F.col(PARTITION_DATE).cast("string"), F.lit("rule_name"), rule,
+           F.lit("dims_json"), F.coalesce(F.col("dims_json"), F.lit("{}"))]
     kv += [F.lit("is_outlier"), F.when(F.col("is_outlier"), "True").otherwise("False")]
     return m.select(
         aid.alias("assertion_id"),

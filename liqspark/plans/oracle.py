@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from ..functions.keys import NULL_TOKEN, SEPARATOR
 from ..operators.regulatory import SUPPLEMENTAL_ITEMS
-from ..operators.thresholds import POSITION_RULES, AggRule
+from ..operators.thresholds import METRIC_COLUMNS, POSITION_RULES, AggRule
 from ..sources import fixtures as fx
 from ..sources import seeds
-from .queries import AS_OF, FRESHNESS_CLOCK, RECENCY_CLOCK, RUN_ID, UPSERT_FROM
+from .queries import (AS_OF, FRESHNESS_CLOCK, LARGE_NOTIONAL, NULL_DATE_INSTRUMENT, NULL_DAY_RULES, RECENCY_CLOCK,
+                      RUN_ID, SHORT_HORIZON, TIGHT_RULES, UPSERT_FROM)
 from .suite import DECLARED, CheckSpec
 
 D = f"DATE '{AS_OF.isoformat()}'"
@@ -387,10 +388,8 @@ cte("rpt_sup", ["book", "risk"], _supplemental_sql())
 
 R4 = {"hist_stddev": dround("hist_stddev", 4), "zscore": dround("zscore", 4),
       "lower_threshold": dround("lower_threshold", 2), "upper_threshold": dround("upper_threshold", 2)}
-METRIC_OUT = ", ".join(f"{R4[c]} AS {c}" if c in R4 else c for c in [
-    "dq_record_id", "rule_name", "dims_json", "partition_date", "current_value", "hist_n", "hist_mean",
-    "hist_stddev", "lower_threshold", "upper_threshold", "zscore", "stddev_multiplier", "lookback_business_days",
-    "min_history_days", "metric_expr", "filter_sql", "group_by_cols", "is_outlier"])
+METRIC_OUT = ", ".join(f"{R4[c]} AS {c}" if c in R4 else c for c in METRIC_COLUMNS)
+LATE = f"partition_date >= DATE '{UPSERT_FROM.isoformat()}'"
 
 BOOK_OUT = ("position_id, portfolio_id, instrument_id, CAST(position_qty AS DOUBLE) AS position_qty, "
             "CAST(notional_value AS DOUBLE) AS notional_value, position_type, currency, maturity_date, "
@@ -602,13 +601,23 @@ QUERY_SQL: dict[str, tuple[list[str], str]] = {
         SELECT 'dbt_' || replace(check_id, '.', '_') AS assertion_id,
                '{RUN_ID}::' || 'dbt_' || replace(check_id, '.', '_') AS run_id, table_name AS assertee_table,
                CASE WHEN status = 'pass' THEN 'SUCCESS' ELSE 'FAILURE' END AS result_type, {D} AS partition_date,
-               CAST(NULL AS VARCHAR) AS rule_name, CAST(NULL AS VARCHAR) AS dims_json
+               CAST(NULL AS VARCHAR) AS rule_name, CAST(NULL AS VARCHAR) AS dims_json,
+               CAST({D} AS VARCHAR) AS native_partition_date, CAST(NULL AS VARCHAR) AS native_rule_name,
+               CAST(NULL AS VARCHAR) AS native_dims_json, coalesce(message, '') AS native_message,
+               CAST(failures AS VARCHAR) AS native_failures, status AS native_status,
+               CAST(NULL AS VARCHAR) AS native_group_by_cols, CAST(NULL AS VARCHAR) AS native_filter_sql,
+               CAST(NULL AS VARCHAR) AS native_metric_expr, CAST(NULL AS VARCHAR) AS native_hist_n,
+               CAST(NULL AS VARCHAR) AS native_lookback_business_days, CAST(NULL AS VARCHAR) AS native_min_history_days,
+               CAST(NULL AS VARCHAR) AS native_is_outlier
         FROM check_results
         UNION ALL
         SELECT 'dq_' || replace(rule_name, ' ', '_') || '__' || substr(sha1(coalesce(dims_json, '{{}}')), 1, 12),
                '{RUN_ID}::dq::' || rule_name || '::' || substr(sha1(coalesce(dims_json, '{{}}')), 1, 12),
                'mart_positions', CASE WHEN is_outlier THEN 'FAILURE' ELSE 'SUCCESS' END, partition_date,
-               rule_name, coalesce(dims_json, '{{}}')
+               rule_name, coalesce(dims_json, '{{}}'), CAST(partition_date AS VARCHAR), rule_name,
+               coalesce(dims_json, '{{}}'), NULL, NULL, NULL, group_by_cols, filter_sql, metric_expr,
+               CAST(hist_n AS VARCHAR), CAST(lookback_business_days AS VARCHAR), CAST(min_history_days AS VARCHAR),
+               if(is_outlier, 'True', 'False')
         FROM dq_metrics WHERE partition_date = {D}"""),
     "upsert": (["book"], f"""
         SELECT {BOOK_OUT} FROM book WHERE source_system = 'LOANS' AND partition_date < DATE '{UPSERT_FROM.isoformat()}'
@@ -629,8 +638,69 @@ QUERY_SQL: dict[str, tuple[list[str], str]] = {
         SELECT position_id, portfolio_id, instrument_id, CAST(position_qty AS DOUBLE) AS position_qty,
                CAST(notional_value AS DOUBLE) AS notional_value, position_type, currency, maturity_date,
                CAST(NULL AS DOUBLE) AS interest_rate, source_system, partition_date FROM book"""),
-    "compact_partition": (["book"], f"SELECT {BOOK_OUT} FROM book WHERE partition_date = {D}"),
+    "compact_partition": (["book"], f"SELECT {BOOK_OUT}, CASE WHEN partition_date = {D} THEN 1 END AS files_of_day FROM book"),
     "stored_failures": (["risk"], f"SELECT {RISK_OUT} FROM risk WHERE market_value IS NULL"),
+    "upsert_update": (["book"], f"""
+        SELECT {BOOK_OUT.replace('CAST(notional_value AS DOUBLE)', f"CAST(notional_value * if(source_system = 'LOANS' AND {LATE}, 2, 1) AS DOUBLE)")}
+        FROM book"""),
+    "upsert_null_partition": (["book"], f"""
+        SELECT {BOOK_OUT.replace('source_system, partition_date', f"source_system, nullif(partition_date, if(instrument_id = {q(NULL_DATE_INSTRUMENT)}, partition_date, NULL)) AS partition_date")}
+        FROM book"""),
+    "schema_evolution": (["book"], f"""
+        SELECT {BOOK_OUT.replace('CAST(interest_rate AS DOUBLE)', f"if({LATE}, CAST(interest_rate AS DOUBLE), NULL)")} FROM book"""),
+    "ingest_deposits": (["raw_deposits"], f"""
+        SELECT portfolio_id, instrument_id, CAST(CAST(position_qty AS DECIMAL(18,4)) AS DOUBLE) AS position_qty,
+               CAST(CAST(notional_value AS DECIMAL(18,2)) AS DOUBLE) AS notional_value, position_type, currency,
+               maturity_date, CAST(CAST(interest_rate AS DECIMAL(10,6)) AS DOUBLE) AS interest_rate,
+               partition_date, 'CBS' AS source_system
+        FROM raw_deposits WHERE partition_date = {D}"""),
+    "ingest_market": (["raw_market"], f"""
+        SELECT instrument_id, as_of_date, CAST(CAST(close_price AS DECIMAL(18,6)) AS DOUBLE) AS close_price,
+               CAST(CAST(bid_price AS DECIMAL(18,6)) AS DOUBLE) AS bid_price,
+               CAST(CAST(ask_price AS DECIMAL(18,6)) AS DOUBLE) AS ask_price, volume,
+               CAST(CAST(yield_rate AS DECIMAL(10,6)) AS DOUBLE) AS yield_rate,
+               CAST(CAST(spread_bps AS DECIMAL(10,2)) AS DOUBLE) AS spread_bps, partition_date
+        FROM raw_market WHERE partition_date = {D}"""),
+    "accepted_values_failing": (["book"], """
+        SELECT position_type AS value_field, count(*) AS n_records FROM book WHERE position_type = 'HEDGE' GROUP BY ALL"""),
+    "relationships_failing": (["book", "stg_mkt"], """
+        SELECT instrument_id AS from_field FROM book WHERE instrument_id NOT IN (SELECT instrument_id FROM stg_mkt)"""),
+    "between_failing": (["stg_mkt"], f"SELECT {MKT_OUT} FROM stg_mkt WHERE NOT spread_bps BETWEEN 5 AND 20"),
+    "row_count_failing": (["book"], "SELECT count(*) AS row_count FROM book"),
+    "expression_failing": (["book"], f"""
+        SELECT position_id, CAST(notional_value AS DOUBLE) AS notional_value, partition_date FROM book
+        WHERE {LATE} AND notional_value > {LARGE_NOTIONAL}"""),
+    "forecast_days_failing": (["cashflow"], f"""
+        SELECT portfolio_id, partition_date, count(*) AS forecast_days FROM cashflow GROUP BY ALL
+        HAVING count(*) <> {SHORT_HORIZON}"""),
+    "both_sources_failing": (["book"], """
+        SELECT partition_date, s AS missing_source_system
+        FROM (SELECT partition_date, unnest(['LOANS', 'DEPOSITS']) AS s,
+                     unnest([bool_or(source_system = 'LOANS'),
+                             bool_or(source_system = 'DEPOSITS' AND isodow(partition_date) < 6)]) AS there
+              FROM (SELECT * FROM book WHERE source_system = 'LOANS' OR isodow(partition_date) < 6) left_over
+              GROUP BY partition_date) d
+        WHERE NOT there"""),
+    "no_outliers_failing": (["book", "bdx", "dkx"], "SELECT " + ", ".join(
+        f"{R4[c]} AS {c}" if c in R4 else c for c in METRIC_COLUMNS if c not in ("dq_record_id", "is_outlier"))
+        + f" FROM ({metrics_sql(TIGHT_RULES)}) m WHERE partition_date = {D} AND is_outlier"),
+    "threshold_null_days": (["book", "bdx", "dkx"],
+                            f"SELECT {METRIC_OUT} FROM ({metrics_sql(NULL_DAY_RULES)}) m WHERE partition_date = {D}"),
+    "threshold_null_days_all_dates": (["book", "bdx", "dkx"], f"SELECT {METRIC_OUT} FROM ({metrics_sql(NULL_DAY_RULES)}) m"),
+    "agg_threshold_metrics_from_daily": (["dq_metrics"], f"SELECT {METRIC_OUT} FROM dq_metrics"),
+    "stage_market_incremental": (["stg_mkt"], f"SELECT {MKT_OUT} FROM stg_mkt WHERE partition_date = {D}"),
+    "stage_loans_incremental": (["stg_loans"], f"SELECT {STG_POS_OUT} FROM stg_loans WHERE partition_date = {D}"),
+    "stage_loans_stamped": (["stg_loans"], f"SELECT {STG_POS_OUT.replace(', partition_date', '')}, {D} AS partition_date FROM stg_loans"),
+    "daily_run": (["rpt_lcr", "rpt_nsfr", "rpt_out", "rpt_in", "rpt_sup"], " UNION ALL ".join(
+        f"SELECT {q(t)} AS report, portfolio_id, partition_date, {k} AS record_id, CAST({v} AS DOUBLE) AS amount "
+        f"FROM {c} WHERE partition_date = {D}" for t, c, k, v in (
+            ("rpt_lcr", "rpt_lcr", "lcr_record_id", "total_hqla"), ("rpt_nsfr", "rpt_nsfr", "nsfr_record_id", "total_asf"),
+            ("rpt_fr2052a_outflows", "rpt_out", "outflow_record_id", "gross_amount"),
+            ("rpt_fr2052a_inflows", "rpt_in", "inflow_record_id", "gross_amount"),
+            ("rpt_fr2052a_supplemental", "rpt_sup", "supplemental_record_id", "reported_amount")))),
+    "supplemental_levels": (["book", "risk"], _supplemental_sql(
+        f"(CASE {_INS} % 4 WHEN 0 THEN '1' WHEN 1 THEN '2A' ELSE 'NON_HQLA' END)",
+        f"(SELECT * REPLACE (if({_INS} % 3 = 0, 0, notional_value) AS notional_value) FROM book)")),
 }
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from dataclasses import replace
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,16 +17,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import columns as C
+from ..functions.frames import union_all
 from ..functions.keys import surrogate_key
 from ..operators import checks as ck
 from ..operators import publish as pub
 from ..operators import regulatory as reg
 from ..operators import risk as rk
+from ..operators import staging as stg
 from ..operators import thresholds as th
-from ..schemas import PARTITION_DATE, RAW_POSITIONS_SCHEMA
+from ..schemas import PARTITION_DATE, RAW_MARKET_SCHEMA, RAW_POSITIONS_SCHEMA
 from ..session import ensure_checkpoint_dir
 from ..sources import fixtures, seeds, sinks
-from .models import MODEL_NAMES, Lineage
+from .models import MODEL_NAMES, PARTITIONING, Lineage
 from .suite import build_checks
 
 AS_OF = fixtures.AS_OF
@@ -235,7 +238,13 @@ def q_dq_summary(spark, sf_dir):
 def q_assertion_events(spark, sf_dir):
     res, L = _results(spark, sf_dir)
     ev = pub.assertion_events(L.mart_positions_dq_metrics, res, RUN_ID, AS_OF)
-    return ev.drop("native_results")
+    native = [F.get_json_object("native_results", f"$.{f}").alias(f"native_{f}") for f in NATIVE_OUT]
+    return ev.select(*[c for c in ev.columns if c != "native_results"], *native)
+
+
+# Payload fields without floating-point text, which engines write differently.
+NATIVE_OUT = ("partition_date", "rule_name", "dims_json", "message", "failures", "status", "group_by_cols", "filter_sql",
+              "metric_expr", "hist_n", "lookback_business_days", "min_history_days", "is_outlier")
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -257,15 +266,191 @@ def q_upsert(spark, sf_dir):
     return finish(sinks.read_table(spark, path + "/t").select(*book.columns))
 
 
-def q_ingest_raw(spark, sf_dir):
-    raw = _lineage(spark, sf_dir).raw["positions_loans"]
-    path = _scratch(spark, "ingest")
+def q_upsert_update(spark, sf_dir):
+    """Merge of changed rows: the loans of the dates from 2024-03-15 get twice
+    their notional, and the table has them and the untouched rows once."""
+    book = _lineage(spark, sf_dir).mart_positions
+    path = _scratch(spark, "upsert-update")
+    sinks.write_partitioned(book, path, PARTITIONING["mart_positions"])
+    new = book.where((F.col(PARTITION_DATE) >= F.lit(UPSERT_FROM)) & (F.col("source_system") == "LOANS"))
+    new = new.withColumn("notional_value", (F.col("notional_value") * 2).cast("decimal(18,2)"))
+    sinks.upsert(spark, new, path, ["position_id"], PARTITIONING["mart_positions"])
+    return finish(sinks.read_table(spark, path).select(*book.columns))
+
+
+NULL_DATE_INSTRUMENT = "INS7"
+
+
+def q_upsert_null_partition(spark, sf_dir):
+    """Rows of one instrument have no partition date; the deposits are merged
+    into a table of the loans and no row of the null partition is lost."""
+    book = _lineage(spark, sf_dir).mart_positions
+    undated = F.when(F.col("instrument_id") != NULL_DATE_INSTRUMENT, F.col(PARTITION_DATE))
+    book = book.withColumn(PARTITION_DATE, undated)
+    path = _scratch(spark, "upsert-null")
+    sinks.write_partitioned(book.where(F.col("source_system") == "LOANS"), path)
+    sinks.upsert(spark, book.where(F.col("source_system") == "DEPOSITS"), path, ["position_id"])
+    return finish(sinks.read_table(spark, path).select(*book.columns))
+
+
+def q_schema_evolution(spark, sf_dir):
+    """Dates before 2024-03-15 are written without the interest rate, later
+    ones with it; two dates are compacted; the whole table is read back."""
+    book = _lineage(spark, sf_dir).mart_positions
+    path, by = _scratch(spark, "evolution"), PARTITIONING["mart_positions"]
+    early = F.col(PARTITION_DATE) < F.lit(UPSERT_FROM)
+    sinks.write_partitioned(book.where(early).drop("interest_rate"), path, by)
+    sinks.upsert(spark, book.where(~early), path, ["position_id"], by)
+    for day in (AS_OF, UPSERT_FROM - dt.timedelta(days=1)):
+        sinks.compact_partition(spark, path, day, partition_by=by)
+    return finish(sinks.read_table(spark, path).select(*book.columns))
+
+
+def _ingest(spark, sf_dir, feed, schema, tag):
+    """One day's drop of a feed, loaded twice; the second load replaces the first."""
+    raw = _lineage(spark, sf_dir).raw[feed]
+    path = _scratch(spark, f"ingest-{feed}")
     src = path + "/src"
     raw.where(F.col(PARTITION_DATE) == F.lit(AS_OF)).drop(PARTITION_DATE, "_ingestion_ts").write.parquet(src)
-    out = sinks.ingest_raw(spark, src, AS_OF, RAW_POSITIONS_SCHEMA, path + "/raw", source_system="LMS")
+    for _ in range(2):
+        out = sinks.ingest_raw(spark, src, AS_OF, schema, path + "/raw", source_system=tag)
     return finish(out.drop("_ingestion_ts"))
 
 
+def q_ingest_raw(spark, sf_dir):
+    return _ingest(spark, sf_dir, "positions_loans", RAW_POSITIONS_SCHEMA, "LMS")
+
+
+def q_ingest_deposits(spark, sf_dir):
+    return _ingest(spark, sf_dir, "positions_deposits", RAW_POSITIONS_SCHEMA, "CBS")
+
+
+def q_ingest_market(spark, sf_dir):
+    return _ingest(spark, sf_dir, "market_data", RAW_MARKET_SCHEMA, None)
+
+
+# --- checks on inputs that fail them -----------------------------------------
+
+LARGE_NOTIONAL = 500_000
+SHORT_HORIZON = 31
+MANY_ROWS = 10 ** 12
+TIGHT_RULES = tuple(replace(r, name=r.name + "__tight", stddev_multiplier=0.5, min_history_days=5)
+                    for r in th.POSITION_RULES)
+
+
+def q_accepted_values_failing(spark, sf_dir):
+    return ck.accepted_values(_lineage(spark, sf_dir).mart_positions, "position_type", ["LONG", "SHORT"])
+
+
+def q_relationships_failing(spark, sf_dir):
+    """Instruments of the book without market data (INS13)."""
+    L = _lineage(spark, sf_dir)
+    return ck.relationships(L.mart_positions, "instrument_id", L.stg_market_data, "instrument_id")
+
+
+def q_between_failing(spark, sf_dir):
+    return finish(ck.between(_lineage(spark, sf_dir).stg_market_data, "spread_bps", 5, 20))
+
+
+def q_row_count_failing(spark, sf_dir):
+    return ck.row_count_between(_lineage(spark, sf_dir).mart_positions, MANY_ROWS, None)
+
+
+def q_expression_failing(spark, sf_dir):
+    f = ck.expression_is_true(_lineage(spark, sf_dir).mart_positions, f"notional_value <= {LARGE_NOTIONAL}",
+                              f"partition_date >= DATE'{UPSERT_FROM.isoformat()}'")
+    return finish(f.select("position_id", "notional_value", PARTITION_DATE))
+
+
+def q_forecast_days_failing(spark, sf_dir):
+    return ck.forecast_has_days(_lineage(spark, sf_dir).mart_cashflow_forecast, SHORT_HORIZON)
+
+
+def q_both_sources_failing(spark, sf_dir):
+    """A book whose deposits don't arrive on weekends."""
+    book = _lineage(spark, sf_dir).mart_positions
+    return ck.both_sources(book.where((F.col("source_system") == "LOANS") | C.is_business_day(F.col(PARTITION_DATE))))
+
+
+def q_no_outliers_failing(spark, sf_dir):
+    """Rules half a sigma wide, for the run date."""
+    m = th.agg_threshold_metrics(_lineage(spark, sf_dir).mart_positions, AS_OF, TIGHT_RULES)
+    return report_metrics(ck.no_outliers(m, AS_OF))
+
+
+# --- rules: null days, stored history ---------------------------------------------
+
+# The value is null on two days of three; those days still count as history.
+NULL_DAY_RULES = (th.AggRule("hedge_notional_every_third_day",
+                             "sum(case when day(partition_date) % 3 = 0 then notional_value end)", ("source_system",),
+                             "position_type = 'HEDGE'", 3, 60, 20),)
+
+
+def q_threshold_null_days(spark, sf_dir):
+    return report_metrics(th.agg_threshold_metrics(_lineage(spark, sf_dir).mart_positions, AS_OF, NULL_DAY_RULES))
+
+
+def q_threshold_null_days_all_dates(spark, sf_dir):
+    return report_metrics(th.agg_threshold_metrics_all_dates(_lineage(spark, sf_dir).mart_positions, NULL_DAY_RULES))
+
+
+def q_threshold_from_daily(spark, sf_dir):
+    """The form the daily job runs: values of half of the dates are stored, the
+    missing ones are added from the book, the rules read the stored values."""
+    book = _lineage(spark, sf_dir).mart_positions
+    path = _scratch(spark, "daily-values")
+    some = book.where(F.dayofmonth(PARTITION_DATE) % 2 == 0)
+    sinks.write_partitioned(th.daily_rule_values(some), path)
+    dates = book.select(PARTITION_DATE)
+    missing = th.missing_daily_values(sinks.read_table(spark, path), book, dates, AS_OF)
+    sinks.upsert(spark, missing, path, ["dq_daily_id"])
+    return report_metrics(th.agg_threshold_metrics_from_daily(sinks.read_table(spark, path), dates, AS_OF))
+
+
+# --- one day, the way the job runs it ------------------------------------------------
+
+def q_stage_market_incremental(spark, sf_dir):
+    return finish(stg.stage_market_data(_lineage(spark, sf_dir).raw["market_data"], AS_OF, "incremental"))
+
+
+def q_stage_loans_incremental(spark, sf_dir):
+    return finish(stg.stage_positions(_lineage(spark, sf_dir).raw["positions_loans"], AS_OF, "incremental"))
+
+
+def q_stage_loans_stamped(spark, sf_dir):
+    """All history under the run date, as a literal first run stamps it."""
+    return finish(stg.stage_positions(_lineage(spark, sf_dir).raw["positions_loans"], AS_OF, "full", stamp=True))
+
+
+def q_daily_run(spark, sf_dir):
+    """A daily run into an empty warehouse: every report it stored, as one
+    list of (report, portfolio, record key, amount)."""
+    from .pipeline import Warehouse, run_daily
+
+    root = _scratch(spark, "daily-run")
+    run_daily(spark, _lineage(spark, sf_dir).raw, AS_OF, root, now=RECENCY_CLOCK)
+    wh = Warehouse(spark, root)
+    amounts = {"rpt_lcr": ("lcr_record_id", "total_hqla"), "rpt_nsfr": ("nsfr_record_id", "total_asf"),
+               "rpt_fr2052a_outflows": ("outflow_record_id", "gross_amount"),
+               "rpt_fr2052a_inflows": ("inflow_record_id", "gross_amount"),
+               "rpt_fr2052a_supplemental": ("supplemental_record_id", "reported_amount")}
+    return union_all([wh.read(t).select(F.lit(t).alias("report"), "portfolio_id", PARTITION_DATE, F.col(k).alias("record_id"),
+                                        F.col(v).cast("double").alias("amount")) for t, (k, v) in amounts.items()])
+
+
+# --- supplemental report with an instrument master --------------------------------------
+
+def q_supplemental_levels(spark, sf_dir):
+    """HQLA levels by instrument number, and a book in which every third
+    instrument's amounts are zero: S.H.1 rows appear, zero items don't."""
+    L = _lineage(spark, sf_dir)
+    k = fixtures.instrument_number()
+    book = L.mart_positions.withColumn("notional_value", F.when(k % 3 == 0, F.lit(0)).otherwise(
+        F.col("notional_value")).cast("decimal(18,2)"))
+    level = lambda _: F.when(k % 4 == 0, "1").when(k % 4 == 1, "2A").otherwise("NON_HQLA")
+    return finish(reg.fr2052a_supplemental(book, L.mart_liquidity_risk, level))
+
+
 def q_stream_ingest(spark, sf_dir):
     """The raw loan feed dropped as files (one folder per day), ingested by the
     exactly-once availableNow stream; a second run over the same drop folder
@@ -289,12 +474,17 @@ def q_sync_columns(spark, sf_dir):
 
 
 def q_compact_partition(spark, sf_dir):
+    """The whole table after one date was compacted, and how many files each
+    of that date's sub-partitions has left."""
     book = _lineage(spark, sf_dir).mart_positions
-    path = _scratch(spark, "compact")
-    sinks.write_partitioned(book.repartition(8), path + "/t")
-    sinks.compact_partition(spark, path + "/t", AS_OF, 1)
-    return finish(sinks.read_table(spark, path + "/t").where(F.col(PARTITION_DATE) == F.lit(AS_OF))
-                  .select(*book.columns))
+    path, by = _scratch(spark, "compact"), PARTITIONING["mart_positions"]
+    book.repartition(8).write.partitionBy(*by).parquet(path)
+    sinks.compact_partition(spark, path, AS_OF, partition_by=by)
+    day = F.col(PARTITION_DATE) == F.lit(AS_OF)
+    table = spark.read.schema(book.schema).parquet(path)
+    files = table.where(day).select(*by, F.input_file_name().alias("file")).distinct().groupBy(*by).agg(
+        F.count("file").alias("files_of_day"))
+    return finish(table.join(files, list(by), "left").select(*book.columns, "files_of_day"))
 
 
 def q_stored_failures(spark, sf_dir):
@@ -352,4 +542,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sync_columns": q_sync_columns,
     "compact_partition": q_compact_partition,
     "stored_failures": q_stored_failures,
+    "upsert_update": q_upsert_update,
+    "upsert_null_partition": q_upsert_null_partition,
+    "schema_evolution": q_schema_evolution,
+    "ingest_deposits": q_ingest_deposits,
+    "ingest_market": q_ingest_market,
+    "accepted_values_failing": q_accepted_values_failing,
+    "relationships_failing": q_relationships_failing,
+    "between_failing": q_between_failing,
+    "row_count_failing": q_row_count_failing,
+    "expression_failing": q_expression_failing,
+    "forecast_days_failing": q_forecast_days_failing,
+    "both_sources_failing": q_both_sources_failing,
+    "no_outliers_failing": q_no_outliers_failing,
+    "threshold_null_days": q_threshold_null_days,
+    "threshold_null_days_all_dates": q_threshold_null_days_all_dates,
+    "agg_threshold_metrics_from_daily": q_threshold_from_daily,
+    "stage_market_incremental": q_stage_market_incremental,
+    "stage_loans_incremental": q_stage_loans_incremental,
+    "stage_loans_stamped": q_stage_loans_stamped,
+    "daily_run": q_daily_run,
+    "supplemental_levels": q_supplemental_levels,
 }
