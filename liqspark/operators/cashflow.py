@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,16 +21,10 @@ def date_horizon(start: Column, days: int = HORIZON_DAYS) -> Column:
     return F.sequence(start, F.date_add(start, days - 1))
 
 
-def date_table(spark, as_of: dt.date, days: int = HORIZON_DAYS):
-    """Generated table of the horizon dates for one run date."""
-    return spark.range(1).select(F.explode(date_horizon(F.lit(as_of), days)).alias("forecast_date"))
-
-
 def portfolio_cash_summary(positions: DataFrame, market: DataFrame) -> DataFrame:
     """Per (portfolio, date): daily coupon income and daily margin cost."""
-    e = enrich_with_market(positions, market, ["close_price", "yield_rate"])
+    e = enrich_with_market(positions, market, ["yield_rate"])
     return e.groupBy("portfolio_id", PARTITION_DATE).agg(
-        F.sum(F.col("position_qty") * F.col("close_price")).alias("total_market_value"),
         F.sum(F.when(F.col("yield_rate") > 0,
                      F.col("notional_value") * F.col("yield_rate") / DAYS_PER_YEAR)
               .otherwise(F.lit(0))).alias("daily_coupon_income"),

@@ -6,6 +6,7 @@ passes when it is empty; :func:`run_checks` tallies a whole suite in ONE job
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Sequence
 
@@ -168,9 +169,9 @@ SEVERITIES = ("warn", "error")
 class Check:
     """A named check on a table; ``failing`` is the lazy failing-row frame.
 
-    Row-level checks also carry ``source`` and ``predicate`` (failing rows are
-    ``source.where(predicate)``); :func:`run_checks` counts all such checks of
-    one table in a single scan.
+    Checks that one aggregation of their table can count also carry ``source``
+    and ``measure`` (the number of failing rows as an aggregate);
+    :func:`run_checks` counts all such checks of one table in a single scan.
     """
 
     check_id: str
@@ -178,7 +179,7 @@ class Check:
     failing: DataFrame
     severity: str = "warn"
     source: DataFrame | None = None
-    predicate: Column | None = None
+    measure: Column | None = None
 
     def __post_init__(self):
         if self.severity not in SEVERITIES:
@@ -194,13 +195,34 @@ RESULT_SCHEMA = T.StructType([
 
 def row_check(check_id: str, table: str, source: DataFrame, predicate: Column, severity: str = "warn") -> Check:
     """A check whose failing rows are ``source.where(predicate)``."""
-    return Check(check_id, table, source.where(predicate), severity, source, predicate)
+    return Check(check_id, table, source.where(predicate), severity, source, F.count(F.when(predicate, F.lit(1))))
+
+
+def accepted_values_measure(column: str, values: Sequence) -> Column:
+    """How many different values aren't accepted."""
+    return F.count_distinct(F.when(~F.col(column).isin(list(values)), F.col(column)))
+
+
+def row_count_measure(min_value=None, max_value=None) -> Column:
+    """1 when the number of rows is outside the bounds."""
+    n, bad = F.count(F.lit(1)), F.lit(False)
+    if min_value is not None:
+        bad = bad | (n < min_value)
+    if max_value is not None:
+        bad = bad | (n > max_value)
+    return bad.cast("bigint")
+
+
+def recency_measure(field: str, interval_days: int, now: dt.datetime) -> Column:
+    """1 when the newest value is missing or too old."""
+    newest, oldest = F.max(F.col(field)), clock(now) - F.expr(f"INTERVAL {int(interval_days)} DAYS")
+    return (newest.isNull() | (newest.cast("timestamp") < oldest)).cast("bigint")
 
 
 def _fused_counts(source: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Failure counts of many row-level checks on one table in one scan:
-    a global conditional aggregation, unpivoted to one row per check."""
-    counts = source.agg(*[F.count(F.when(c.predicate, F.lit(1))).alias(f"_c{i}") for i, c in enumerate(checks)])
+    """Failure counts of many checks on one table in one scan: a global
+    aggregation, unpivoted to one row per check."""
+    counts = source.agg(*[c.measure.cast("bigint").alias(f"_c{i}") for i, c in enumerate(checks)])
     rows = F.array(*[F.struct(F.lit(c.check_id).alias("check_id"), F.lit(c.table).alias("table_name"),
                               F.lit(c.severity).alias("severity"), F.col(f"_c{i}").alias("failures"))
                      for i, c in enumerate(checks)])
@@ -210,7 +232,7 @@ def _fused_counts(source: DataFrame, checks: Sequence[Check]) -> DataFrame:
 def run_checks(spark: SparkSession, checks: Sequence[Check]) -> DataFrame:
     """One row per check: failure count and status (pass / warn / fail).
 
-    Row-level checks of the same table are counted together in one scan;
+    Checks with a measure are counted together in one scan of their table;
     every other failing frame is reduced to a one-row global count. The
     union of those rows is the result, so one action runs the suite and no
     failing row reaches the driver.
@@ -220,7 +242,7 @@ def run_checks(spark: SparkSession, checks: Sequence[Check]) -> DataFrame:
     parts = []
     groups: dict[int, tuple[DataFrame, list[Check]]] = {}
     for c in checks:
-        if c.source is not None and c.predicate is not None:
+        if c.source is not None and c.measure is not None:
             groups.setdefault(id(c.source), (c.source, []))[1].append(c)
         else:
             parts.append(c.failing.agg(F.count(F.lit(1)).alias("failures")).select(
@@ -238,7 +260,16 @@ def run_checks(spark: SparkSession, checks: Sequence[Check]) -> DataFrame:
                           message.alias("message"))
 
 
-def store_failures(checks: Sequence[Check], base_path: str, mode: str = "overwrite") -> None:
-    """Persist each check's failing rows under ``base_path/<check_id>``."""
-    for c in checks:
-        c.failing.write.mode(mode).parquet(f"{base_path}/{c.check_id}")
+STORE_JOBS = 8  # writes of failing rows at a time
+
+
+def store_failures(checks: Sequence[Check], base_path: str, results: DataFrame | None = None) -> None:
+    """Persist the failing rows of every check that fails, as ``results`` (of
+    :func:`run_checks`) or else a count tells, under ``base_path/<check_id>``."""
+    if not checks:
+        return
+    results = run_checks(checks[0].failing.sparkSession, checks) if results is None else results
+    failing = {r["check_id"] for r in results.where(F.col("failures") > 0).select("check_id").collect()}
+    with ThreadPoolExecutor(max_workers=STORE_JOBS) as pool:
+        list(pool.map(lambda c: c.failing.write.mode("overwrite").parquet(f"{base_path}/{c.check_id}"),
+                      [c for c in checks if c.check_id in failing]))

@@ -164,6 +164,9 @@ def run_daily(spark: SparkSession, raw: dict[str, DataFrame], as_of: dt.date, ro
                    "raw_positions_deposits": raw_scope(raw["positions_deposits"])})
     tables.update({s: seed(s) for s in seeds.SEED_SCHEMAS})
     checks = build_checks(tables, as_of, now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), DECLARED)
+    results = ck.run_checks(spark, checks)
     if failures_path:
-        ck.store_failures(checks, failures_path)
-    return ck.run_checks(spark, checks)
+        # one row a check, computed once for the result and the choice of what to store
+        results = spark.createDataFrame(results.collect(), ck.RESULT_SCHEMA)
+        ck.store_failures(checks, failures_path, results)
+    return results

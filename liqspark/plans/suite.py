@@ -124,14 +124,18 @@ def build_check(spec: CheckSpec, tables: dict[str, DataFrame], as_of: dt.date, n
     if k == "expression_is_true":
         cond = F.col(PARTITION_DATE) == F.lit(as_of) if p.get("row_condition") == "as_of" else F.lit(True)
         return ck.row_check(spec.check_id, spec.table, t, cond & ~F.expr(p["expression"]), spec.severity)
+    measure = None
     if k == "unique":
         f = ck.unique(t, spec.column)
     elif k == "accepted_values":
         f = ck.accepted_values(t, spec.column, p["values"])
+        measure = ck.accepted_values_measure(spec.column, p["values"])
     elif k == "row_count_between":
         f = ck.row_count_between(t, p.get("min_value"), p.get("max_value"))
+        measure = ck.row_count_measure(p.get("min_value"), p.get("max_value"))
     elif k == "recency":
         f = ck.recency(t, spec.column, p["interval_days"], now)
+        measure = ck.recency_measure(spec.column, p["interval_days"], now)
     elif k == "relationships":
         f = ck.relationships(t, spec.column, tables[p["to"]], p["field"])
     elif k == "forecast_has_30_days":
@@ -144,7 +148,7 @@ def build_check(spec: CheckSpec, tables: dict[str, DataFrame], as_of: dt.date, n
         f = ck.no_outliers(t, as_of)
     else:
         raise ValueError(f"unknown check kind {k!r}")
-    return ck.Check(spec.check_id, spec.table, f, spec.severity)
+    return ck.Check(spec.check_id, spec.table, f, spec.severity, t if measure is not None else None, measure)
 
 
 def select_specs(specs=DECLARED, tag: str | None = None, tables: set[str] | None = None) -> list[CheckSpec]:

@@ -132,11 +132,3 @@ def load_seed(spark: SparkSession, name: str, path: str | None = None) -> DataFr
     if path is not None:
         return spark.read.schema(schema).option("header", True).csv(path)
     return spark.createDataFrame(SEED_ROWS[name], schema)
-
-
-def seed_lookup(spark: SparkSession, df: DataFrame, key: str = "instrument_id") -> DataFrame:
-    """Enrich rows with instrument master data (broadcast; the seed is bounded)."""
-    from pyspark.sql import functions as F
-
-    ref = load_seed(spark, "instrument_reference").withColumnRenamed("currency", "ref_currency")
-    return df.join(F.broadcast(ref), on=key, how="left")

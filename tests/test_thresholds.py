@@ -99,3 +99,46 @@ def test_metrics_from_stored_daily_values_equal_direct(spark):
         assert (b.hist_n, b.current_value, b.is_outlier, b.dq_record_id) == \
             (r.hist_n, r.current_value, r.is_outlier, r.dq_record_id)
         assert abs(b.hist_mean - r.hist_mean) < 1e-9 and abs(b.hist_stddev - r.hist_stddev) < 1e-6
+
+
+def same_rules(via_daily, direct):
+    key = lambda r: (r.rule_name, r.dims_json or "")
+    pick = lambda r: (r.dq_record_id, r.hist_n, r.current_value, r.is_outlier, round(r.hist_mean or 0, 9))
+    assert [pick(r) for r in sorted(via_daily, key=key)] == [pick(r) for r in sorted(direct, key=key)]
+
+
+def test_history_counts_days_without_a_value(spark):
+    """Days with rows but a null metric count as history; the mean leaves them out."""
+    days = [AS_OF, *business_days_before(AS_OF, 32)]
+    df = frame(spark, [(d, "L", Decimal(100 + i) if i == 0 or i > 11 else None) for i, d in enumerate(days)])
+    rule = th.AggRule("nulls", "sum(notional_value)", ("source_system",), "1=1", 3, 60, 25)
+    direct = th.agg_threshold_metrics(df, AS_OF, [rule]).collect()
+    assert [r.hist_n for r in direct] == [32] and abs(direct[0].hist_mean - sum(range(112, 133)) / 21) < 1e-9
+    daily = th.daily_rule_values(df, [rule])
+    same_rules(th.agg_threshold_metrics_from_daily(daily, df, AS_OF, [rule]).collect(), direct)
+    every = [r for r in th.agg_threshold_metrics_all_dates(df, [rule]).collect() if r.partition_date == AS_OF]
+    same_rules(every, direct)
+
+
+def test_changed_and_new_rules_get_their_own_history(spark):
+    days = [AS_OF, *business_days_before(AS_OF, 32)]
+    df = frame(spark, [(d, s, Decimal(100 + i % 7)) for i, d in enumerate(days) for s in ("L", "D")])
+    old = th.AggRule("r", "sum(notional_value)", ("source_system",), "1=1", 3, 60, 20)
+    changed = th.AggRule("r", "sum(notional_value) * 10", ("source_system",), "1=1", 3, 60, 20)
+    new = th.AggRule("n", "count(*)", (), "1=1", 3, 60, 20)
+    daily = th.daily_rule_values(df, [old])
+    assert th.missing_daily_values(daily, df, df, AS_OF, [old]) is None
+    missing = th.missing_daily_values(daily, df, df, AS_OF, [changed, new])
+    daily = daily.unionByName(missing)
+    rules = [changed, new]
+    got = th.agg_threshold_metrics_from_daily(daily, df, AS_OF, rules).collect()
+    same_rules(got, th.agg_threshold_metrics(df, AS_OF, rules).collect())
+    assert {r.hist_n for r in got} == {32} and not any(r.is_outlier for r in got)
+
+
+def test_many_decimals_are_kept(spark):
+    df = frame(spark, [(d, "L", Decimal(1)) for d in [AS_OF, *business_days_before(AS_OF, 25)]])
+    rule = th.AggRule("tiny", "sum(cast(notional_value as decimal(20,2)) / 3000000000000)", ("source_system",), "1=1", 3, 60, 20)
+    direct = th.agg_threshold_metrics(df, AS_OF, [rule]).collect()
+    got = th.agg_threshold_metrics_from_daily(th.daily_rule_values(df, [rule]), df, AS_OF, [rule]).collect()
+    assert got[0].hist_mean > 0 and abs(got[0].hist_mean / direct[0].hist_mean - 1) < 1e-9
