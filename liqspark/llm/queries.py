@@ -26,7 +26,7 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), spotsigs.digest("sigs").alias("fingerprint"),
         spotsigs.digest("edited_sigs").alias("edited_fingerprint"),
         spotsigs.likeness("sigs", "edited_sigs").alias("near_edited"),
-        spotsigs.likeness("sigs", "next_sigs").alias("near_next"))
+        spotsigs.likeness(spotsigs.hashes("sigs"), "next_sigs").alias("near_next"))
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,14 +49,20 @@ def with_signatures(df: DataFrame, text: str, out: str) -> DataFrame:
     return df.withColumn(out, F.array_sort(F.array_distinct(sigs))).drop(w, at)
 
 
-def likeness(a: str, b: str) -> Column:
+def likeness(a: Column | str, b: Column | str) -> Column:
     """Jaccard index of two signature sets; two empty sets are alike, and an
     empty one is unlike any other without a comparison."""
-    both = F.size(F.array_intersect(F.col(a), F.col(b)))
+    a, b = (F.col(x) if isinstance(x, str) else x for x in (a, b))
+    both = F.size(F.array_intersect(a, b))
     return F.when(F.greatest(F.size(a), F.size(b)) == 0, F.lit(1.0)).when(
         F.least(F.size(a), F.size(b)) == 0, F.lit(0.0)).otherwise(both / (F.size(a) + F.size(b) - both))
 
 
+def hashes(sigs: str) -> Column:
+    """A signature set as 64-bit hashes."""
+    return F.transform(F.col(sigs), lambda s: F.xxhash64(s))
+
+
 def digest(sigs: str) -> Column:
     """A signature set as a short string; equal sets have equal digests."""
     return F.md5(F.array_join(F.col(sigs), ","))
@@ -95,8 +101,8 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """Signatures of every text and of its edited text (the last half, rounded
     down, replaced by as many code points from the next document's start).
 
-    Per row: ``doc_id``, ``n_chars``, ``edited``, ``sigs``, ``edited_sigs``,
-    ``next_sigs``. Documents follow by doc_id (nulls first), then hash of the
+    Per row: ``doc_id``, ``n_chars``, ``edited``, ``sigs``, ``edited_sigs`` and
+    ``next_sigs`` (64-bit hashes of the next document's, which travel). Documents follow by doc_id (nulls first), then hash of the
     text; equal rows count as one document and give a row each. A null text is
     empty; a lone document is its own next. An empty table gives no rows, and
     other columns are ignored.
@@ -110,15 +116,17 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     # for each document, who it follows and how much of it goes there
     before = order.select(F.coalesce("next.doc_id", F.xxhash64(F.lit("no id"), "next.h")).alias("id"),
                           F.col("next.h").alias("h"), F.col("id").alias("to_id"), F.col("h").alias("to_h"),
-                          F.floor(F.col("n") / 2).cast("int").alias("half"))
-    each = d.select("id", "h", "text")
+                          F.col("doc_id").alias("to_doc"), F.floor(F.col("n") / 2).cast("int").alias("half"))
+    # both joins take the texts by the same key and columns, so they are exchanged once
+    texts = d.select("id", "h", "text")
+    each = texts
     if rows.count() > order.count():  # equal rows send their text once
-        each = each.dropDuplicates(["id", "h"])
-    sent = with_signatures(each.join(before, ["id", "h"]), "text", "next_sigs").select(
-        F.col("to_id").alias("id"), F.col("to_h").alias("h"), F.substring("text", F.lit(1), F.col("half")).alias("tail"),
-        "next_sigs")
+        each = texts.dropDuplicates(["id", "h"])
+    sent = with_signatures(each.join(before, ["id", "h"]), "text", "sigs").select(
+        F.col("to_id").alias("id"), F.col("to_h").alias("h"), F.col("to_doc").alias("doc_id"),
+        F.substring("text", F.lit(1), F.col("half")).alias("tail"), hashes("sigs").alias("next_sigs"))
     n = F.char_length("text")
-    rows = d.join(sent, ["id", "h"]).withColumn("n_chars", n.cast("bigint")).withColumn("edited", F.concat(
+    rows = texts.join(sent, ["id", "h"]).withColumn("n_chars", n.cast("bigint")).withColumn("edited", F.concat(
         F.substring("text", F.lit(1), n - F.floor(n / 2).cast("int")), F.col("tail")))
     rows = with_signatures(with_signatures(rows, "text", "sigs"), "edited", "edited_sigs")
     return rows.select("doc_id", "n_chars", "edited", "sigs", "edited_sigs", "next_sigs")
