@@ -5,8 +5,9 @@ documents, with a Dirichlet prior from the counts of the whole corpus; a word
 scores by the surer of the two. One linear scan over a
 document's words finds all its maximal segments, and the extreme-value
 distribution of the best segment of clean text says how likely a segment is by
-chance in a text of that length. The document's score is the calibrated
-probability of the label given its most unlikely segment.
+chance in a text of that length. The document's best segments are aggregated
+by the sum statistic of that distribution, and its score is the calibrated
+probability of the label given how unlikely they are together.
 """
 
 from __future__ import annotations
@@ -30,7 +31,8 @@ BEGINNING = 4  # letters
 TRAIN_DOCS = 50_000
 PRIOR_WORDS = 2_000.0  # weight of the corpus prior, in words
 CONFIDENCE = 3.0  # standard errors a word's log-odds are moved towards zero
-DRIFT = 0.02  # each word's cost; makes the expected score of clean text negative
+DRIFT = 0.5  # each word's cost; makes the expected score of clean text negative
+BEST_SEGMENTS = 32  # that the sum statistic may add up
 MAX_P = 0.05  # chance a significant passage may have in clean text of that length
 THRESHOLD = 0.3  # fixed value
 CACHE_WORDS = 200_000
@@ -126,6 +128,29 @@ def fit_extreme_value(best: np.ndarray, words: np.ndarray) -> tuple[float, float
     return rate, float(len(x) / (n * np.exp(-rate * x)).sum()) * float(n.sum() / n_all)
 
 
+def best_scores(scores: np.ndarray) -> list[float]:
+    """Scores of the best segments, best first."""
+    return sorted((x[2] for x in segments(scores)), reverse=True)[:BEST_SEGMENTS]
+
+
+def joint_surprise(best: list[float], words: int, model: Model) -> float:
+    """-log10 of the chance of the best segments of a text together: the
+    smallest over r of P(sum of the r best normalised scores), about
+    e^-T T^(r-1) / (r! (r-1)!), times r for the choice."""
+    if not best or not words:
+        return 0.0
+    level, total = math.log(model.scale * words), 0.0
+    most = surprise(best[0], words, model) * math.log(10)
+    for r, score in enumerate(best, 1):
+        over = model.rate * score - level
+        if over <= 0:
+            break
+        total += over
+        chance = (r - 1) * math.log(total) - math.lgamma(r + 1) - math.lgamma(r) + math.log(r)
+        most = max(most, total - chance) if r > 1 else most
+    return min(most / math.log(10), 300.0)
+
+
 def surprise(score: float, words: int, model: Model) -> float:
     """-log10 of the chance that clean text of so many words has such a segment."""
     if score <= 0 or not words:
@@ -216,16 +241,19 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> M
             rows = []
             for text in b.column("text").to_pylist():
                 s = _word_scores(text, shared.value)
-                rows.append((max((x[2] for x in segments(s)), default=0.0), len(s)))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.float64()), pa.array(
+                rows.append((best_scores(s), len(s)))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.list_(pa.float64())), pa.array(
                 [r[1] for r in rows], pa.int64()), b.column("toxic")], ["best", "words", "toxic"])
 
-    seen = marked.where("toxic is not null").mapInArrow(best, "best double, words bigint, toxic int") \
+    # of each training document at most BEST_SEGMENTS numbers
+    seen = marked.where("toxic is not null").mapInArrow(best, "best array<double>, words bigint, toxic int") \
         .sort(F.xxhash64("best", "words", "toxic")).limit(2 * train_docs).toPandas()
-    x, n, y = seen["best"].to_numpy(float), seen["words"].to_numpy(np.int64), seen["toxic"].to_numpy(int)
+    tops = [list(b) for b in seen["best"]]
+    x = np.array([b[0] if b else 0.0 for b in tops])
+    n, y = seen["words"].to_numpy(np.int64), seen["toxic"].to_numpy(int)
     rate, scale = fit_extreme_value(x[y == 0], n[y == 0])
     model = Model(weights, rate, scale)
-    t = _cap(np.array([surprise(a, b, model) for a, b in zip(x.tolist(), n.tolist())]))
+    t = _cap(np.array([joint_surprise(a, b, model) for a, b in zip(tops, n.tolist())]))
     slope, intercept = fit_logistic(t, y) if len(y) else (0.0, math.log(0.5 / 10))
     return Model(weights, rate, scale, slope, intercept)
 
@@ -234,8 +262,10 @@ def judge(text: str | None, model: Model, max_p: float = MAX_P) -> tuple[float,
     """Score of a text and its significant passages (first word, word after
     the last, surprise)."""
     s = _word_scores(text, model.weights)
-    found = [(a, b, surprise(x, len(s), model)) for a, b, x in segments(s)]
-    t = float(_cap(max((x[2] for x in found), default=0.0)))
+    every = segments(s)
+    best = sorted((x for _, _, x in every), reverse=True)[:BEST_SEGMENTS]
+    t = float(_cap(joint_surprise(best, len(s), model)))
+    found = [(a, b, surprise(x, len(s), model)) for a, b, x in every]
     return 1 / (1 + math.exp(-(model.slope * t + model.intercept))), [x for x in found if x[2] >= -math.log10(max_p)]
 
 
