@@ -79,8 +79,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             apply_conf(spark, scale_conf(args.input_bytes))
         from .pipeline import Warehouse, run_daily
 
-        raw = {name: sinks.read_table(spark, f"{args.raw_root.rstrip('/')}/{name}").select(*FEEDS[name].names)
-               for name in FEEDS}
+        raw = {name: sinks.read_declared(spark, f"{args.raw_root.rstrip('/')}/{name}", schema)
+               for name, schema in FEEDS.items()}
         failures = f"{args.output}/failures/{args.partition_date.isoformat()}" if args.store_failures else None
         results = run_daily(spark, raw, args.partition_date, args.warehouse, failures_path=failures,
                             scope=args.scope)

@@ -125,6 +125,18 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return spark.read.schema(schema).parquet(path)
 
 
+def read_declared(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The declared columns of a raw table; raises if one is missing or has
+    another type, before any model reads it."""
+    df = read_table(spark, path)
+    have = {f.name: f.dataType for f in df.schema.fields}
+    wrong = [f"{f.name}: {have[f.name].simpleString() if f.name in have else 'missing'}, declared {f.dataType.simpleString()}"
+             for f in schema.fields if have.get(f.name) != f.dataType]
+    if wrong:
+        raise ValueError(f"{path} differs from its declaration: {'; '.join(wrong)}")
+    return df.select(*schema.names)
+
+
 def partition_values(spark: SparkSession, path: str, column: str = PARTITION_DATE) -> list[str]:
     """Values of a table's first partition column, from its folder names."""
     hpath, fs = _hadoop(spark, path)

@@ -213,3 +213,29 @@ def test_compaction_derives_files_from_bytes(spark, tmp_dir):
     assert 3 <= len(files()) <= 4
     sinks.compact_partition(spark, path, D0)
     assert len(files()) == 1 and sinks.read_table(spark, path).count() == 400
+
+
+def test_declared_scan_checks_names_and_types(spark, tmp_dir):
+    good, bad = tmp_dir + "/good", tmp_dir + "/bad"
+    feed = positions(spark, [{}]).drop("_ingestion_ts")
+    sinks.ingest_raw(spark, feed, D0, RAW_POSITIONS_SCHEMA, good, source_system="LMS")
+    assert sinks.read_declared(spark, good, RAW_POSITIONS_SCHEMA).columns == RAW_POSITIONS_SCHEMA.names
+    sinks.write_partitioned(sinks.read_table(spark, good).withColumn("currency", F.lit(1)).drop("maturity_date"), bad)
+    with pytest.raises(ValueError, match="currency: int, declared string") as e:
+        sinks.read_declared(spark, bad, RAW_POSITIONS_SCHEMA)
+    assert "maturity_date: missing" in str(e.value)
+
+
+def test_first_daily_run_with_an_empty_feed(spark, tmp_dir):
+    from liqspark.plans.pipeline import Warehouse, run_daily
+    from liqspark.schemas import RAW_MARKET_SCHEMA
+    from helpers import market
+
+    raw = {"market_data": market(spark, [{}]).select(*RAW_MARKET_SCHEMA.names),
+           "positions_loans": positions(spark, [{}]).limit(0), "positions_deposits": positions(spark, [{}])}
+    root = tmp_dir + "/wh"
+    results = {r.check_id: r.failures for r in run_daily(spark, raw, D0, root, now=dt.datetime(2024, 3, 30)).collect()}
+    wh = Warehouse(spark, root)
+    assert results["both_sources__mart_positions"] == 1
+    assert wh.read("stg_positions_loans").count() == 0 and wh.read("mart_positions").count() == 1
+    assert wh.read("rpt_fr2052a_inflows").count() == 0 and wh.read("rpt_lcr").count() == 1
