@@ -18,12 +18,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_or_empty, vocabulary
+from .common import slices, stored, text_or_empty, vocabulary
 from .tokens import encoder
 
 WINDOW = 1024
 # Documents whose rests are packed together: bounds the memory of a task.
-GROUP_DOCS = 16_384
+GROUP_DOCS = 4_096
 MIN_FILL = 0.99
 PIECE = "piece_id bigint, doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint"
 PACKED = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
@@ -84,14 +84,15 @@ def cut_documents(docs: DataFrame, vocab_path: str | None = None, end_id: int =
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, n = encoder(vocab), TaskContext.get().partitionId() << 40
-        for b in batches:
+        end = np.array([end_id], "<u4").tobytes()
+        for b in slices(batches):
             rows, size = [], 0
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                ids = np.array([*enc.encode(text), end_id], "<u4")
-                for start in range(0, len(ids), window):
-                    piece = ids[start:start + window]
-                    rows.append((n, doc_id, start, len(piece), piece.tobytes(), len(ids)))
-                    n, size = n + 1, size + len(piece)
+                ids = enc.encode_bytes(text) + end
+                for start in range(0, len(ids) // 4, window):
+                    piece = ids[4 * start:4 * (start + window)]
+                    rows.append((n, doc_id, start, len(piece) // 4, piece, len(ids) // 4))
+                    n, size = n + 1, size + len(piece) // 4
                 if size >= 1 << 20:  # ids in a batch
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
                     rows, size = [], 0
@@ -122,7 +123,7 @@ def pack_documents(docs: DataFrame, vocab_path: str | None = None, end_id: int =
         rows = rows.sort_by("piece_id").combine_chunks()
         done = pack_rests(rows["length"].to_numpy(), window, min_fill)
         row, first, length, number, offset = (np.array(x, np.int64) for x in zip(*done))
-        taken, ids = rows.take(row), rows["ids"].to_pylist()
+        taken, ids = rows.drop_columns("ids").take(row), rows["ids"].to_pylist()
         return pa.table({
             "doc_id": taken["doc_id"], "start": taken["start"].to_numpy() + first, "length": length,
             "ids": pa.array([ids[r][4 * f:4 * (f + n)] for r, f, n in zip(row, first, length)], pa.binary()),

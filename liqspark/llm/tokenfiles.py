@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, vocabulary
+from .common import slices, text_or_empty, vocabulary
 from .tokens import encoder
 
 MANIFEST = "part bigint, path string, n_docs bigint, n_tokens bigint, n_sequences bigint"
@@ -47,8 +47,8 @@ class _Writer:
         self.held = self.docs = self.tokens = self.sequences = 0
         self.ends: list[tuple[int, int | None]] = []  # place in what is held, doc_id
 
-    def add(self, doc_id: int | None, ids: list[int]) -> None:
-        self.ids.append(np.array(ids, dtype=self.dtype))
+    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
+        self.ids.append(ids.astype(self.dtype))
         self.held += len(ids)
         self.docs += 1
         self.tokens += len(ids)
@@ -102,15 +102,16 @@ def write_token_files(docs: DataFrame, folder: str, vocab_path: str | None = Non
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, writer, sink = encoder(vocab), TaskContext.get().partitionId(), None, None
+        end = np.array([end_id], "<u4").tobytes()
         fs, root = _file_system(folder)
         draft = f"{root}/.draft-{part:06d}-{uuid.uuid4().hex}"
-        for b in batches:
+        for b in slices(batches):
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
                 if writer is None:
                     fs.create_dir(root, recursive=True)
                     sink = fs.open_output_stream(draft)
                     writer = _Writer(sink, file_schema(seq_len, enc.vocab_size), rows)
-                writer.add(doc_id, [*enc.encode(text), end_id])
+                writer.add(doc_id, np.frombuffer(enc.encode_bytes(text) + end, "<u4"))
         if writer is not None:
             writer.close()
             sink.close()
