@@ -76,7 +76,7 @@ def _next_head(heads: DataFrame) -> DataFrame:
         return heads.withColumn("following", F.lead("head").over(Window.orderBy("cell")))
     heads = heads.withColumn("up", F.floor(F.col("cell") / CELL))
     inner = heads.withColumn("following", F.lead("head").over(Window.partitionBy("up").orderBy("cell")))
-    above = _next_head(heads.groupBy(F.col("up").alias("cell")).agg(F.min("head").alias("head")))
+    above = _next_head(stored(heads.groupBy(F.col("up").alias("cell")).agg(F.min("head").alias("head")), "heads"))
     above = above.select(F.col("cell").alias("up"), F.col("following").alias("later"))
     return inner.join(above, "up").select("cell", "head", F.coalesce("following", "later").alias("following"))
 
