@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 SHINGLE_WORDS = 5
 MIN_CONTAINMENT = 0.8
 BANDS = 48
@@ -186,7 +188,7 @@ def scan_licenses(docs: DataFrame, templates: tuple = TEMPLATES, min_containment
         tree = groups(templates)
         kind = pa.list_(pa.struct([("license", pa.string()), ("first", pa.int64()), ("end", pa.int64()),
                                    ("containment", pa.float64())]))
-        for b in batches:
+        for b in slices(batches):
             rows = [[{"license": n, "first": a, "end": e, "containment": c} for n, a, e, c in matches(t, tree, min_containment)]
                     for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(rows, kind)], ["doc_id", "matches"])

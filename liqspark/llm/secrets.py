@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import vocabulary
+from .common import slices, vocabulary
 
 # The base patterns and the order of their kinds.
 KINDS = ("assign", "access", "hex", "random")
@@ -104,7 +104,7 @@ def scan_secrets(docs: DataFrame, vocab_path: str | None = None, max_ratio: floa
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = _encoding(path)
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-        for b in batches:
+        for b in slices(batches):
             rows = [[{"kind": k, "start": s, "end": e} for k, s, e in secret_spans(t, encoding, max_ratio)]
                     for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(rows, kind)], ["doc_id", "spans"])
@@ -136,7 +136,7 @@ def redact(docs: DataFrame, vocab_path: str | None = None, marker: str = "[SECRE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = _encoding(path)
-        for b in batches:
+        for b in slices(batches):
             was = b.column("text").to_pylist()
             new = [clean(t, encoding) for t in was]
             for name, values in (("text", new), ("n_chars", None)):

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, text_or_empty
+from .common import slices, stored, text_or_empty
 from .components import components
 
 SHINGLE_WORDS, MAX_BITS = 3, 2
@@ -55,7 +55,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
     """``doc_id``, ``h`` (hash of the text) and ``fp`` (bigint) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             fps = [fingerprint(t, shingle) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("h"), pa.array(fps, pa.int64())],
                                              ["doc_id", "h", "fp"])

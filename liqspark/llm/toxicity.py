@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 # Words and beginnings are counted by hash: a table of fixed size whatever the corpus.
 HASH_BITS = 18
 BEGINNING = 4  # letters
@@ -35,7 +37,7 @@ DRIFT = 0.5  # each word's cost; makes the expected score of clean text negative
 BEST_SEGMENTS = 32  # that the sum statistic may add up
 MAX_P = 0.05  # chance a significant passage may have in clean text of that length
 THRESHOLD = 0.3  # fixed value
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -214,7 +216,7 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> M
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((3, size), np.int64)
-        for b in batches:
+        for b in slices(batches):
             parts: list[list[np.ndarray]] = [[], [], []]
             for text, toxic in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
                 if text:
@@ -237,7 +239,7 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> M
     shared = spark.sparkContext.broadcast(weights)
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             rows = []
             for text in b.column("text").to_pylist():
                 s = _word_scores(text, shared.value)
@@ -280,7 +282,7 @@ def score(docs: DataFrame, model: Model, max_p: float = MAX_P) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64()), ("surprise", pa.float64())]))
-        for b in batches:
+        for b in slices(batches):
             rows = [judge(t, shared.value, max_p) for t in b.column("text").to_pylist()]
             spans = [[{"first": a, "end": e, "surprise": s} for a, e, s in p] for _, p in rows]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([r[0] for r in rows], pa.float64()),
@@ -295,7 +297,7 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             yield b.filter(pa.array([judge(t, shared.value)[0] < threshold for t in b.column("text").to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
