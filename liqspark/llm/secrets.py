@@ -32,6 +32,9 @@ DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)  # MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512
 UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}\Z")
 WORDS = re.compile(r"[A-Za-z]?[a-z]*(?:[A-Z][a-z]+)*\d{0,4}\Z|[A-Z]+\d{0,4}\Z")
+# Lower-case dotted names after '://' or '@' with a top-level domain; what stands before a further '@' may be a key.
+HOST = re.compile(r"(?:(?<=://)|(?<=@))[a-z0-9-]+(?:\.[a-z0-9-]+)*\.[a-z]{2,}(?![A-Za-z0-9+_=@-]|:[^\s/@]*@)")
+MIN_RANDOM = 16
 MAX_RATIO = 2.3
 
 SPAN_TYPE = "array<struct<kind:string,start:bigint,end:bigint>>"
@@ -72,14 +75,24 @@ def is_identifier(run: str) -> bool:
 
 
 def random_spans(text: str, encoding, max_ratio: float = MAX_RATIO) -> list[tuple[str, int, int]]:
-    """Key-like runs with at most ``max_ratio`` characters a token."""
+    """Key-like runs with at most ``max_ratio`` characters a token, whatever
+    stands before them; the host names of URLs and mail addresses are left out."""
     found = []
+    hosts = [m.span() for m in HOST.finditer(text)] if "://" in text or "@" in text else []
+    at = 0
     for m in CANDIDATE.finditer(text):
-        run = m[0]
-        if is_identifier(run) or text[max(0, m.start() - 3):m.start()].endswith(("://", "@", ".")):
+        start, end = m.span()
+        if text.startswith("://", start - 1):
+            start += 2
+        while at < len(hosts) and hosts[at][1] <= start:
+            at += 1
+        if at < len(hosts) and hosts[at][0] < end:  # a host's last label runs into the path
+            start = min(hosts[at][1], end)
+        run = text[start:end]
+        if len(run) < MIN_RANDOM or is_identifier(run):
             continue
         if len(run) <= max_ratio * len(encoding.encode_ordinary(run)):
-            found.append(("random", m.start(), m.end()))
+            found.append(("random", start, end))
     return found
 
 

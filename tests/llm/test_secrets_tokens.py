@@ -38,6 +38,21 @@ def test_random_strings_and_what_is_left_out():
     assert [k for k, *_ in secrets.secret_spans(f"token={key}", ENC)] == ["assign"]
 
 
+def test_credentials_with_dots_and_in_urls():
+    found = lambda t: [t[s:e] for k, s, e in secrets.secret_spans(t, ENC) if k == "random"]
+    head, body, sign = ("eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9", "eyJzdWIiOiIxMjM0NTY3ODkwIiwibmFtZSI6IkpvaG4gRG9lIn0",
+                        "dozjgNryP4J3jVmNHl0w5N_XgL0n3I9PlFUP0THsR8U")
+    assert found(f"Bearer {head}.{body}.{sign} end") == [head, body, sign]
+    a, b = "ngeVfQ1TLaU2Zb9xK0m3Qw", "8dYv5sJtN0zq7RbXc2LmP4wHg6FkTe1UoAi9BnSy3Vx"
+    assert found(f"key SG.{a}.{b}") == [a, b]
+    for url in (f"https://{b}@git.example.com/x", f"https://bob:{b}@git.example.com/x", f"https://git.example.com/{b}",
+                f"https://a.b.{b}@git.example.com", f"mail x@{b} y", f"https://api.example.com/v1?key={b}&x=1"):
+        assert "".join(found(url)).strip("/").removeprefix("key=") == b
+    # hosts, mail domains and file names are no secrets
+    assert found("https://d3k9x2m4q8r7t5w3z1vb.cloudfront.net/index.html ops@mx4k9q2z7w1t8r5c3v6b.example.com") == []
+    assert found("https://www.example.com/getting-started/install_guide_2024.html see main.configuration_file.yaml") == []
+
+
 def test_scan_and_redact_odd_rows(spark):
     got = secrets.scan_secrets(odd_docs(spark)).collect()
     assert len(got) == len(odd_rows()) and all(r["spans"] == [] for r in got)
