@@ -2,8 +2,9 @@
 
 A byte-level BPE vocabulary covers natural words with few tokens, while random
 strings break into pieces of one or two characters. Runs of key-like characters
-whose characters-per-token ratio is low are reported, after known digests and
-ordinary identifiers are set aside.
+whose characters-per-token ratio is low are reported, and so are their parts
+between separators; known digests, numbers and parts made of words that the
+vocabulary covers in few tokens are set aside.
 """
 
 from __future__ import annotations
@@ -27,14 +28,17 @@ ASSIGN_MIN = 8
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
 DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)  # MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512
-UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}\Z")
+# A part of a run: a UUID, or what lies between separators.
+PART = re.compile(r"(?<![A-Za-z0-9])[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}(?![A-Za-z0-9])|[A-Za-z0-9]+")
 WORDS = re.compile(r"[A-Za-z]?[a-z]*(?:[A-Z][a-z]+)*\d{0,4}\Z|[A-Z]+\d{0,4}\Z")
 # Lower-case dotted names after '://' or '@' with a top-level domain; what stands before a further '@' may be a key.
 HOST = re.compile(r"(?:(?<=://)|(?<=@))[a-z0-9-]+(?:\.[a-z0-9-]+)*\.[a-z]{2,}(?![A-Za-z0-9+_=@-]|:[^\s/@]*@)")
 MIN_RANDOM = 16
+MIN_MIXED = 12  # of a part with lower-case and upper-case letters and digits
+FEW = 3  # letters of a part that no ratio can judge
 MAX_RATIO = 2.3
 
 SPAN_TYPE = "array<struct<kind:string,start:bigint,end:bigint>>"
@@ -65,13 +69,33 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def is_identifier(run: str) -> bool:
-    """Known digests, UUIDs, numbers and names made of words are no secrets."""
-    if not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run):
+def is_covered(part: str, encoding, max_ratio: float = MAX_RATIO) -> bool:
+    """Known digests, UUIDs, numbers and words in few tokens are no secrets."""
+    if "-" in part or part.isdigit() or DIGEST.match(part) and len(part) in DIGEST_LENGTHS:
         return True
-    if DIGEST.match(run) and len(run) in DIGEST_LENGTHS or UUID.match(run):
-        return True
-    return all(WORDS.match(part) or part.isdigit() for part in re.split(r"[+/_=-]+", run))
+    return bool(WORDS.match(part)) and (len(part) <= FEW or len(part) > max_ratio * len(encoding.encode_ordinary(part)))
+
+
+def random_parts(run: str, encoding, max_ratio: float = MAX_RATIO) -> list[tuple[int, int]]:
+    """Random stretches of a run: all of it, or what lies between its covered parts."""
+    def is_random(s: str) -> bool:
+        mixed = s.isalnum() and not WORDS.match(s) and all(any(map(kind, s)) for kind in (str.isdigit, str.islower, str.isupper))
+        return len(s) >= (MIN_MIXED if mixed else MIN_RANDOM) and len(s) <= max_ratio * len(encoding.encode_ordinary(s))
+
+    parts = [(m.start(), m.end(), is_covered(m[0], encoding, max_ratio)) for m in PART.finditer(run)]
+    if all(covered for *_, covered in parts):
+        return []
+    if is_random(run):
+        return [(0, len(run))]
+    found, first, last = [], None, None
+    for start, end, covered in [*parts, (len(run), len(run), True)]:
+        if not covered:
+            first, last = start if first is None else first, end
+        elif first is not None and end - start not in range(1, FEW + 1):
+            if is_random(run[first:last]):
+                found.append((first, last))
+            first = None
+    return found
 
 
 def random_spans(text: str, encoding, max_ratio: float = MAX_RATIO) -> list[tuple[str, int, int]]:
@@ -88,11 +112,7 @@ def random_spans(text: str, encoding, max_ratio: float = MAX_RATIO) -> list[tupl
             at += 1
         if at < len(hosts) and hosts[at][0] < end:  # a host's last label runs into the path
             start = min(hosts[at][1], end)
-        run = text[start:end]
-        if len(run) < MIN_RANDOM or is_identifier(run):
-            continue
-        if len(run) <= max_ratio * len(encoding.encode_ordinary(run)):
-            found.append(("random", start, end))
+        found += [("random", start + a, start + b) for a, b in random_parts(text[start:end], encoding, max_ratio)]
     return found
 
 

@@ -53,6 +53,24 @@ def test_credentials_with_dots_and_in_urls():
     assert found("https://www.example.com/getting-started/install_guide_2024.html see main.configuration_file.yaml") == []
 
 
+def test_random_letters_and_parts_of_runs():
+    import string
+
+    found = lambda t: [t[s:e] for k, s, e in secrets.secret_spans(t, ENC) if k == "random"]
+    r = random.Random(11)
+    for alphabet, n in ((string.ascii_letters, 20), (string.ascii_letters + string.digits, 16), (string.ascii_lowercase, 20)):
+        keys = ["".join(r.choice(alphabet) for _ in range(n)) for _ in range(200)]
+        assert sum(found(f"use {k} here") == [k] for k in keys) >= 196
+    for k in ("9fQ2xV7LkT0zR4bW", "qhXwVbZtKcPjRmNg"):
+        for text in (f"customer-session-identifier={k}", f"files/download/archive/{k}", f"files/{k}/download/archive"):
+            assert len(found(text)) == 1 and k in found(text)[0]
+    # what lies between words is tested whole, also when each part of it is short
+    assert "aB3dE5gH/7jK9lMx+Y2qW8" in found("customer-session-identifier=aB3dE5gH/7jK9lMx+Y2qW8")[0]
+    assert found("pass 9fQ2xV7LkT0z") == ["9fQ2xV7LkT0z"]
+    assert found("session/550e8400-e29b-41d4-a716-446655440000/d41d8cd98f00b204e9800998ecf8427e") == []
+    assert found("internationalization of responsibilities/characteristics and InternationalOrganization") == []
+
+
 def test_scan_and_redact_odd_rows(spark):
     got = secrets.scan_secrets(odd_docs(spark)).collect()
     assert len(got) == len(odd_rows()) and all(r["spans"] == [] for r in got)
