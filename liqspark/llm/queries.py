@@ -60,7 +60,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urls.filter_urls(read_table(spark, sf_dir, "pages").select("page_id", "url"))
+    return urls.filter_urls(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,13 @@
 """URL filter: fixed rules, and a path-template tree for all other URLs.
 
 Each host has a tree of path segments. Numbers and codes in a segment become
-placeholders at once. Level by level, branches without enough labelled URLs
-merge into ``*``, and those whose labelled share of unwanted URLs doesn't
-differ from their siblings' merge into ``~``; a branch that differs keeps its
-name. A template is rejected if the smoothed share of unwanted URLs among its
-labelled ones is high.
+placeholders at once. Level by level, branches without any labelled URL become
+``*``, those whose labelled share of unwanted URLs doesn't differ from their
+siblings' merge into ``~``, and all others keep their name. A branch's share of
+unwanted URLs is smoothed towards its parent's, so one with few labels stays
+near it and one without has the same. A template is rejected if its share is
+high. URLs a rule decides have a tree of their own: a verdict on a path says
+nothing about what lies beside it.
 """
 
 from __future__ import annotations
@@ -20,8 +22,13 @@ RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www
          ("block", "net", "/es/"), ("block", "net", "/fr/"))
 # Words of a host name that label its URLs as unwanted where no rule speaks.
 UNWANTED = ("adult", "ads", "bets", "casino", "pills", "porn", "spam", "xxx")
+# What a page says of itself: its rating, or else the words of its text.
+RATED_BAD, RATED_GOOD = ("adult", "mature", "restricted", "rta-5042-1996-1400-rta"), ("general", "safe for kids")
+BAD_WORDS = 3  # different unwanted words that label a page as unwanted
+GOOD_LENGTH = 50  # words of a text that label its page as wanted if none is an unwanted one
 MAX_DEPTH = 8  # segments of a template; the rest of a longer path is one more
 MIN_LABELLED = 5
+PRIOR_URLS = 2  # weight of the parent's share; a host's own is smoothed towards a half
 MAX_Z = 2.58
 MIN_PURITY = 0.8
 
@@ -53,28 +60,44 @@ def shape(path: Column) -> Column:
     return F.transform(short, one)
 
 
+def page_label(html: Column, unwanted: tuple = UNWANTED) -> Column:
+    """1, 0 or null by a page itself: its rating tag, else how many of the
+    unwanted words are in its text."""
+    tag = F.regexp_extract(html, r"(?i)<meta\s[^>]*name=[\"']?rating\b[^>]*>", 0)
+    rating = ascii_lower(F.trim(F.regexp_extract(tag, r"(?i)content=[\"']?([^\"'>]*)", 1)))
+    text = F.regexp_replace(html, r"(?is)<(script|style)\b.*?(?:</\1\s*>|\z)|<!--.*?(?:-->|\z)|<[^>]*>", " ")
+    words = F.array_remove(F.split(ascii_lower(text), r"[^\p{L}\p{N}]+"), "")
+    n = F.size(F.array_intersect(words, F.array(*map(F.lit, unwanted)))) if unwanted else F.lit(0)
+    return F.when(rating.isin(*RATED_BAD), 1).when(rating.isin(*RATED_GOOD), 0).when(n >= BAD_WORDS, 1).when(
+        (n == 0) & (F.size(words) >= GOOD_LENGTH), 0)
+
+
 def templates(shapes: DataFrame) -> DataFrame:
-    """``host``, ``shape``, ``template`` and its ``purity``, from counts
-    (``good``, ``bad``) of every shape. Every step is a grouped sum joined
-    back, so a host with very many URLs is no group of its own in a task."""
-    t = stored(shapes.withColumn("template", F.lit("")), "shapes")
+    """``host``, ``tree``, ``shape``, ``template`` and its ``purity``, from
+    counts (``good``, ``bad``) of every shape. Every step is a grouped sum
+    joined back, so a host with very many URLs is no group of its own in a task."""
+    sums = [F.sum("bad").alias("b"), F.sum("good").alias("g")]
+    share = lambda prior: (F.col("b") + PRIOR_URLS * prior) / (F.col("b") + F.col("g") + PRIOR_URLS)
+    top = shapes.groupBy("host", "tree").agg(*sums).select(
+        "host", "tree", F.lit("").alias("template"), share(F.lit(0.5)).alias("purity"))
+    t = stored(shapes.join(top, ["host", "tree"]), "shapes")
     depth = t.agg(F.max(F.size("shape")).alias("d")).first()["d"] or 0
+    node = ["host", "tree", "template"]
     for level in range(min(depth, MAX_DEPTH + 1)):
         at = t.withColumn("seg", F.get("shape", F.lit(level)))
-        kids = at.where("seg is not null").groupBy("host", "template", "seg").agg(
-            F.sum("bad").alias("b"), F.sum("good").alias("g"))
-        node = kids.groupBy("host", "template").agg(F.sum("b").alias("all_b"), F.sum("g").alias("all_g"))
-        p = (F.col("all_b") + 1) / (F.col("all_b") + F.col("all_g") + 2)
-        n = F.col("b") + F.col("g")
+        kids = at.where("seg is not null").groupBy(*node, "seg").agg(*sums, F.max("purity").alias("p"))
+        n, p = F.col("b") + F.col("g"), F.least(F.greatest("p", F.lit(1e-6)), F.lit(1 - 1e-6))
         z = F.abs(F.col("b") / n - p) / F.sqrt(p * (1 - p) / n)
-        name = F.when(n < MIN_LABELLED, "*").when(z <= MAX_Z, "~").otherwise(F.col("seg"))
-        named = kids.join(node, ["host", "template"]).select("host", "template", "seg", name.alias("name"))
-        t = stored(at.join(named, ["host", "template", "seg"], "left").withColumn(
+        name = F.when(n == 0, "*").when((n >= MIN_LABELLED) & (z <= MAX_Z), "~").otherwise(F.col("seg"))
+        named = kids.withColumn("name", name)
+        group = named.groupBy(*node, "name").agg(
+            F.sum("b").alias("b"), F.sum("g").alias("g"), F.max("p").alias("p")).select(
+            *node, "name", share(F.col("p")).alias("own"))
+        named = named.select(*node, "seg", "name").join(group, [*node, "name"])
+        t = stored(at.join(named, [*node, "seg"], "left").withColumn("purity", F.coalesce("own", "purity")).withColumn(
             "template", F.when(F.col("seg").isNull(), F.col("template")).otherwise(
-                F.concat("template", F.lit("/"), "name"))).drop("seg", "name"), "templates")
-    sums = t.groupBy("host", "template").agg(F.sum("bad").alias("b"), F.sum("good").alias("g"))
-    sums = sums.select("host", "template", ((F.col("b") + 1) / (F.col("b") + F.col("g") + 2)).alias("purity"))
-    return t.select("host", "shape", "template").join(sums, ["host", "template"])
+                F.concat("template", F.lit("/"), "name"))).drop("seg", "name", "own"), "templates")
+    return t.select("host", "tree", "shape", "template", "purity")
 
 
 def filter_urls(pages: DataFrame, labels: DataFrame | None = None, rules: tuple = RULES,
@@ -83,13 +106,15 @@ def filter_urls(pages: DataFrame, labels: DataFrame | None = None, rules: tuple
     null), ``template``, ``purity`` (smoothed share of unwanted URLs) and
     ``verdict``.
 
-    Labels are the rules' verdicts, then host words in ``unwanted``, then
-    ``labels`` (``page_id``, ``bad`` 0 or 1; a page with several is bad if one
-    says so). A null url or one without ``://`` has an empty host and path and
+    Labels are the rules' verdicts (for the URLs of the same rule only), then
+    host words in ``unwanted``, then ``labels`` (``page_id``, ``bad`` 0 or 1; a
+    page with several is bad if one says so), then what ``html``, if it is a
+    column of ``pages``, says. A null url or one without ``://`` has an empty host and path and
     is judged like any other. Repeated rows and null page_ids keep a row each;
     an empty table gives no rows; other columns are ignored.
     """
-    p = pages.select("page_id", *host_and_path()).withColumn("found", rule_for(F.col("host"), F.col("path"), rules))
+    said = page_label(F.col("html").cast("string"), unwanted) if "html" in pages.columns else F.lit(None).cast("int")
+    p = pages.select("page_id", *host_and_path(), said.alias("said")).withColumn("found", rule_for(F.col("host"), F.col("path"), rules))
     known = F.when(F.col("found").isNotNull(), (F.col("found.verdict") == "block").cast("int"))
     if unwanted:
         words = F.split("host", r"[^a-z]+")
@@ -99,11 +124,12 @@ def filter_urls(pages: DataFrame, labels: DataFrame | None = None, rules: tuple
             F.max("bad").cast("int").alias("given"))
         p = p.join(given, "page_id", "left")
         known = F.coalesce(known, F.col("given"))
-    p = p.withColumn("shape", shape(F.col("path"))).withColumn("bad", known)
-    shapes = p.groupBy("host", "shape").agg(
+    p = p.withColumn("shape", shape(F.col("path"))).withColumn("bad", F.coalesce(known, F.col("said"))).withColumn(
+        "tree", F.coalesce("found.name", F.lit("")))
+    shapes = p.groupBy("host", "tree", "shape").agg(
         F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"), F.count("bad").alias("labelled")).select(
-        "host", "shape", "bad", (F.col("labelled") - F.col("bad")).alias("good"))
-    judged = p.join(templates(shapes), ["host", "shape"])
+        "host", "tree", "shape", "bad", (F.col("labelled") - F.col("bad")).alias("good"))
+    judged = p.join(templates(shapes), ["host", "tree", "shape"])
     return judged.select(
         "page_id", "host", "path", F.col("found.name").alias("rule"), "template", "purity",
         F.coalesce("found.verdict", F.when(F.col("purity") >= min_purity, "block").otherwise("allow")).alias("verdict"))

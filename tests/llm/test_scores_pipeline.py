@@ -142,6 +142,38 @@ def test_templates_follow_labels(spark):
     assert got[0]["template"].startswith("/news/") and got[200]["template"].startswith("/*/")
 
 
+def test_rule_verdicts_stay_in_their_path_whatever_the_size(spark):
+    for k in (1, 2, 3, 4, 5, 12, 40):
+        parts = [part for part in ("es", "fr", "en", "de") for _ in range(k)]
+        pages = spark.createDataFrame([(i, f"http://h.example.net/{part}/{i}") for i, part in enumerate(parts)],
+                                      "page_id bigint, url string")
+        got = {r["page_id"]: r["verdict"] for r in urls.filter_urls(pages).collect()}
+        assert [got[i] for i in range(4 * k)] == ["block"] * 2 * k + ["allow"] * 2 * k
+
+
+def test_few_labels_of_one_branch_leave_the_others(spark):
+    for k in (1, 4, 5, 40):  # labelled pages of the bad branch
+        rows = [(i, f"http://h.org/good/{i}") for i in range(40)] + [(100 + i, f"http://h.org/bad/{i}") for i in range(k)]
+        rows += [(200 + i, f"http://h.org/few/{i}") for i in range(2)] + [(300 + i, f"http://h.org/new/{i}") for i in range(k)]
+        pages = spark.createDataFrame(rows, "page_id bigint, url string")
+        labels = spark.createDataFrame([(i, int(100 <= i < 200)) for i, _ in rows if i < 300], "page_id bigint, bad int")
+        got = {r["page_id"]: r for r in urls.filter_urls(pages, labels).collect()}
+        assert {r["verdict"] for i, r in got.items() if not 100 <= i < 200} == {"allow"}
+        assert k < 5 or {got[100 + i]["verdict"] for i in range(k)} == {"block"}
+        assert got[200]["template"].startswith("/few/") and got[300]["template"] == "/*/*"
+
+
+def test_pages_label_themselves(spark):
+    text = "<html><head>%s</head><body><!-- casino --><script>casino bets porn</script>" + "<p>word </p>" * 60 + "%s</body></html>"
+    pages = [text % ("<meta name='rating' content='RTA-5042-1996-1400-RTA'>", ""), text % ('<meta name="rating" content="general">', "porn xxx casino"),
+             text % ("", "Porn, XXX and casino"), text % ("", "<i>"), text % ("", "a casino"), "<p>short</p>", None]
+    got = spark.createDataFrame(list(enumerate(pages)), "i int, html string").select("i", urls.page_label(F.col("html")).alias("x"))
+    assert [r["x"] for r in got.orderBy("i").collect()] == [1, 0, 1, 0, None, None, None]
+    html = [(i, f"http://h.org/{'a' if i < 20 else 'b'}/{i}", pages[2] if i < 20 else pages[3]) for i in range(40)]
+    rows = urls.filter_urls(spark.createDataFrame(html, "page_id bigint, url string, html string")).collect()
+    assert {(r["page_id"] < 20, r["verdict"]) for r in rows} == {(True, "block"), (False, "allow")}
+
+
 def test_url_query(spark):
     pages = read_table(spark, SF, "pages").collect()
     rows = {r["page_id"]: r for r in QUERIES["op8_url_filter"](spark, SF).collect()}
