@@ -29,6 +29,10 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         spotsigs.likeness(spotsigs.hashes("sigs"), "next_sigs").alias("near_next"))
 
 
+def op2_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.near_copies(read_table(spark, sf_dir, "documents"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return placed.select(
@@ -84,6 +88,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_fingerprints": op2_fingerprints,
+    "op2_near_copies": op2_near_copies,
     "op3_sharding": op3_sharding,
     "op4_token_files": op4_token_files,
     "op5_packing": op5_packing,

@@ -5,6 +5,9 @@ word (an anchor, the text's start included), the anchor, that word and the
 content word after it, common words between being skipped. Likeness is the
 Jaccard index of two sets, and sets of very different length need no
 comparison: the shorter over the longer length bounds it from above.
+
+The corpus-wide join compares distinct signature sets that share one of their
+rarest signatures and lie in the same partition of set lengths or the next.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored, text_or_empty
+from .components import components
 
 # Common words of the four languages of the corpus.
 ANCHORS = (
@@ -26,6 +30,9 @@ ANCHORS = (
 START = "^"
 CELL = 1024  # consecutive doc_ids in one group when neighbours are sought
 FEW_CELLS = 10_000  # group heads that one task may put in order
+MIN_LIKENESS = 0.5
+FEW_MEMBERS = 32  # sets under one signature that are all compared with each other
+LEADER_ROUNDS = 3
 
 
 def words_of(text: Column) -> Column:
@@ -49,13 +56,15 @@ def with_signatures(df: DataFrame, text: str, out: str) -> DataFrame:
     return df.withColumn(out, F.array_sort(F.array_distinct(sigs))).drop(w, at)
 
 
-def likeness(a: Column | str, b: Column | str) -> Column:
+def likeness(a: Column | str, b: Column | str, least: float = 0.0) -> Column:
     """Jaccard index of two signature sets; two empty sets are alike, and an
-    empty one is unlike any other without a comparison."""
+    empty one is unlike any other without a comparison. With ``least``, 0 and
+    no comparison where the lengths alone keep the index below it."""
     a, b = (F.col(x) if isinstance(x, str) else x for x in (a, b))
     both = F.size(F.array_intersect(a, b))
-    return F.when(F.greatest(F.size(a), F.size(b)) == 0, F.lit(1.0)).when(
-        F.least(F.size(a), F.size(b)) == 0, F.lit(0.0)).otherwise(both / (F.size(a) + F.size(b) - both))
+    short, long = F.least(F.size(a), F.size(b)), F.greatest(F.size(a), F.size(b))
+    return F.when(long == 0, F.lit(1.0)).when((short == 0) | (short < least * long), F.lit(0.0)).otherwise(
+        both / (F.size(a) + F.size(b) - both))
 
 
 def hashes(sigs: str) -> Column:
@@ -130,3 +139,84 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
         F.substring("text", F.lit(1), n - F.floor(n / 2).cast("int")), F.col("tail")))
     rows = with_signatures(with_signatures(rows, "text", "sigs"), "edited", "edited_sigs")
     return rows.select("doc_id", "n_chars", "edited", "sigs", "edited_sigs", "next_sigs")
+
+
+def _rare_signatures(classes: DataFrame, least: float) -> DataFrame:
+    """The inverted index: ``sig``, ``part`` (partition of set lengths),
+    ``class``, ``n`` and ``at`` (rank of the signature in its set, rarest
+    first). Two sets that are alike share one of the first n - least n + 1 of
+    each. Signatures of one set only are ranked first, but find nothing."""
+    each = classes.select("class", F.size("sigs").alias("n"), F.explode("sigs").alias("sig"))
+    shared = each.groupBy("sig").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    ranked = each.join(shared, "sig").groupBy("class", "n").agg(F.array_sort(F.collect_list(F.struct("f", "sig"))).alias("s"))
+    alone = F.col("n") - F.size("s")
+    first = F.col("n") - F.ceil(F.lit(least) * F.col("n") - 1e-9).cast("int") + 1
+    kept = ranked.select("class", "n", alone.alias("alone"), F.slice("s", 1, F.greatest(first - alone, F.lit(0))).alias("s"))
+    # a pair's lengths lie in one partition or two that follow; the shorter set is in both
+    part = F.floor(F.log("n") / F.log(F.lit(1 / least)) + 1e-9)
+    return kept.select("class", "n", "alone", F.posexplode("s").alias("i", "s"), part.alias("part")).select(
+        F.col("s.sig").alias("sig"), F.explode(F.array("part", F.col("part") + 1)).alias("part"), "class", "n",
+        (F.col("alone") + F.col("i")).alias("at"))
+
+
+def _may_be_alike(least: float) -> Column:
+    """By the lengths of two sets, and by what is left of each after a shared signature."""
+    na, nb = F.col("a.n"), F.col("b.n")
+    left = 1 + F.least(na - 1 - F.col("a.at"), nb - 1 - F.col("b.at"))
+    return (F.least(na, nb) >= least * F.greatest(na, nb) - 1e-9) & (left >= least / (1 + least) * (na + nb) - 1e-9)
+
+
+def _links(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """The pairs (``a``, ``b``) whose sets are alike."""
+    of = lambda c: classes.select(F.col("class").alias(c), F.col("sigs").alias(f"sigs_{c}"))
+    both = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return both.join(of("a"), "a").join(of("b"), "b").where(likeness("sigs_a", "sigs_b", least) >= least).select("a", "b")
+
+
+def near_copies(docs: DataFrame, least: float = MIN_LIKENESS) -> DataFrame:
+    """Per row of ``docs``: ``doc_id``, ``class`` (64-bit hash of the signature
+    set; equal sets are one class) and ``group``, the smallest class reachable
+    over pairs of classes whose likeness is ``least`` (over 0, under 1) or more.
+
+    The groups are those of a comparison of all pairs. Under a signature of
+    more than ``FEW_MEMBERS`` classes, members are compared with leaders first,
+    and then only with members of other groups: pairs inside a group add
+    nothing, so many near copies aren't all paired. A null text is empty;
+    repeated rows and null doc_ids keep a row each; an empty table gives no
+    rows, and other columns are ignored.
+    """
+    d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
+    d = with_signatures(d, "text", "words").select("doc_id", F.array_sort(F.array_distinct(hashes("words"))).alias("sigs"))
+    d = stored(d.withColumn("class", F.xxhash64("sigs")), "sets")
+    classes = stored(d.groupBy("class").agg(F.first("sigs").alias("sigs")), "classes")
+    index = _rare_signatures(classes, least)
+    index = stored(index, "index")
+    key = ["sig", "part"]
+    count = index.groupBy(*key).agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    few = index.join(count.where(F.col("members") <= FEW_MEMBERS), key)
+    pairs = few.alias("a").join(few.alias("b"), key).where("a.class < b.class").where(_may_be_alike(least))
+    links = stored(_links(pairs.select(F.col("a.class").alias("a"), F.col("b.class").alias("b")), classes, least), "links")
+    many = stored(index.join(count.where(F.col("members") > FEW_MEMBERS).select(*key), key), "many")
+    found = components(links)
+
+    def grouped() -> DataFrame:
+        return many.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+
+    if many.limit(1).count():
+        for i in range(LEADER_ROUNDS):
+            now = grouped()
+            lead = now.groupBy(*key).agg(F.min(F.struct(F.xxhash64("class", F.lit(i)).alias("x"), "class", "root")).alias("l"))
+            pairs = now.join(lead, key).where("root <> l.root").select(F.col("class").alias("a"), F.col("l.class").alias("b"))
+            links = stored(links.unionByName(_links(pairs, classes, least)), "links")
+            found = components(links)
+        now = stored(grouped(), "many")
+        roots = now.select(*key, "root").distinct()
+        other = roots.alias("x").join(roots.alias("y"), key).where("x.root < y.root").select(
+            *key, F.col("x.root").alias("ra"), F.col("y.root").alias("rb"))
+        a, b = (now.select(*key, F.col("root").alias(r), F.struct("class", "n", "at").alias(c)) for r, c in (("ra", "a"), ("rb", "b")))
+        pairs = other.join(a, [*key, "ra"]).join(b, [*key, "rb"]).where(_may_be_alike(least))
+        links = stored(links.unionByName(_links(pairs.select(
+            F.col("a.class").alias("a"), F.col("b.class").alias("b")), classes, least)), "links")
+        found = components(links)
+    return d.select("doc_id", "class").join(found.withColumnRenamed("node", "class"), "class", "left").select(
+        "doc_id", "class", F.coalesce("root", "class").alias("group"))

@@ -290,3 +290,33 @@ def test_signature_column_types(spark):
     d = QUERIES["op2_fingerprints"](spark, SF)
     assert dict(d.dtypes)["near_edited"] == "double" and dict(d.dtypes)["n_chars"] == "bigint"
     assert d.where(F.col("near_edited").isNull() | F.col("near_next").isNull()).count() == 0
+
+
+@pytest.mark.parametrize("few", [2, 32])
+def test_near_copies_equal_a_comparison_of_all_pairs(spark, monkeypatch, few):
+    monkeypatch.setattr(spotsigs, "FEW_MEMBERS", few)
+    r = random.Random(8)
+    texts = [prose(i, 12 + i % 50) for i in range(120)]
+    for i in range(160):  # edits of edits, so that groups are chains too
+        w = r.choice(texts).split()
+        for _ in range(r.randint(0, 6)):
+            w[r.randrange(len(w))] = r.choice(["the", f"n{i}"])
+        texts.append(" ".join(w[:r.randint(8, len(w) + 20)]))
+    docs = docs_of(spark, texts + ["", "", texts[0]])
+    sets = [set(x["s"]) for x in spotsigs.with_signatures(docs, "text", "s").orderBy("doc_id").collect()]
+    for least in (0.5, 0.8):
+        alike = lambda a, b: (len(a & b) / len(a | b) if a | b else 1.0) >= least  # noqa: E731,B023
+        want = groups_within(sets, alike)
+        rows = sorted(spotsigs.near_copies(docs, least).collect())
+        assert len(rows) == len(sets) and 1 < len(set(want)) < len(sets)
+        by = {}
+        for root, x in zip(want, rows):
+            by.setdefault(root, set()).add(x["group"])
+        assert all(len(x) == 1 for x in by.values()) and len(set().union(*by.values())) == len(by)
+
+
+def test_near_copies_odd_rows_and_length_bound(spark):
+    rows = spotsigs.near_copies(odd_docs(spark)).collect()
+    assert len(rows) == len(odd_rows()) and spotsigs.near_copies(no_docs(spark)).count() == 0
+    d = spark.createDataFrame([(["a"], ["a", "b", "c"])], "a array<string>, b array<string>")
+    assert [d.select(spotsigs.likeness("a", "b", x)).first()[0] for x in (0.0, 0.3, 0.5)] == [pytest.approx(1 / 3)] * 2 + [0.0]
