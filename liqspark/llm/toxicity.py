@@ -14,30 +14,30 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import slices, stored
 
-# Words and beginnings are counted by hash: a table of fixed size whatever the corpus.
-HASH_BITS = 18
 BEGINNING = 4  # letters
 # Labelled documents the weights and the calibration are fitted on (the
 # smallest hashes of their ids); corpus counts cover all documents.
 TRAIN_DOCS = 50_000
 PRIOR_WORDS = 2_000.0  # weight of the corpus prior, in words
+FLOOR = 0.5  # documents added to each of a word's counts; bounds the error of rare words
 CONFIDENCE = 3.0  # standard errors a word's log-odds are moved towards zero
 DRIFT = 0.5  # each word's cost; makes the expected score of clean text negative
 BEST_SEGMENTS = 32  # that the sum statistic may add up
 MAX_P = 0.05  # chance a significant passage may have in clean text of that length
 THRESHOLD = 0.3  # fixed value
-CACHE_WORDS = 100_000
+CACHE_WORDS = 100_000  # of which a task keeps counts or scores at a time
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -46,41 +46,52 @@ WORD = re.compile(r"[^\W\d_]+")
 class Model:
     """Word weights and the constants of calibration."""
 
-    weights: np.ndarray  # float32, by word hash
+    weights: np.ndarray  # float32, of ``features``
     rate: float = 1.0  # of the exponential tail of clean text's best segment
     scale: float = 1.0  # expected segments a word that reach score zero
     slope: float = 0.0
     intercept: float = 0.0
+    features: tuple[str, ...] = ()  # words, and beginnings with "-"; all others weigh nothing
 
+    @cached_property
+    def by_feature(self) -> dict[str, float]:
+        return dict(zip(self.features, self.weights.tolist()))
 
-_FEATURES: dict[str, int] = {}
+    @cached_property
+    def by_word(self) -> dict[str, float]:
+        return {}
 
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("by_feature", "by_word")}
 
-def _features(word: str) -> int:
-    """Hash buckets of a word and its beginning, in one number."""
-    if len(_FEATURES) > CACHE_WORDS:
-        _FEATURES.clear()
-    mask = (1 << HASH_BITS) - 1
-    whole, start = word.encode(), word[:BEGINNING].encode() + b"-"
-    got = _FEATURES[word] = (zlib.crc32(whole) & mask) << HASH_BITS | zlib.crc32(start) & mask
-    return got
+    def weigh(self, word: str) -> float:
+        """The surer of the weights of a word and its beginning."""
+        if len(self.by_word) > CACHE_WORDS:
+            self.by_word.clear()
+        whole, start = self.by_feature.get(word, 0.0), self.by_feature.get(beginning(word), 0.0)
+        got = self.by_word[word] = whole if abs(whole) >= abs(start) else start
+        return got
 
 
-def buckets(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Hash buckets of the words of the lower-cased text and of their beginnings."""
-    known = _FEATURES.get
-    words = WORD.findall(text.lower())
-    both = np.array([known(w) or _features(w) for w in words], np.int64)
-    return both >> HASH_BITS, both & ((1 << HASH_BITS) - 1)
+def beginning(word: str) -> str:
+    """A word's first letters as a feature that equals no word."""
+    return word[:BEGINNING] + "-"
+
+
+def words_of(text: str) -> list[str]:
+    return WORD.findall(text.lower())
 
 
 def log_odds(toxic: np.ndarray, clean: np.ndarray, corpus: np.ndarray, prior: float = PRIOR_WORDS,
-             confidence: float = CONFIDENCE) -> np.ndarray:
+             confidence: float = CONFIDENCE, sums: tuple[float, float, float] | None = None) -> np.ndarray:
     """Log-odds of each word with a Dirichlet prior in proportion to the corpus
-    counts, moved towards zero by ``confidence`` standard errors."""
-    alpha = prior * (corpus + 0.01) / (corpus + 0.01).sum()
-    a, b = toxic + alpha, clean + alpha
-    delta = np.log(a / (a.sum() - a)) - np.log(b / (b.sum() - b))
+    counts, moved towards zero by ``confidence`` standard errors. ``sums`` are
+    those of the three counts, the last with 0.01 more a word, if the words are
+    only a part of all."""
+    all_toxic, all_clean, all_corpus = sums or (toxic.sum(), clean.sum(), (corpus + 0.01).sum())
+    alpha = prior * (corpus + 0.01) / all_corpus
+    a, b = toxic + alpha + FLOOR, clean + alpha + FLOOR
+    delta = np.log(a / (all_toxic + prior - a)) - np.log(b / (all_clean + prior - b))
     error = np.sqrt(1 / a + 1 / b)
     return (np.sign(delta) * np.maximum(np.abs(delta) - confidence * error, 0)).astype(np.float32)
 
@@ -187,11 +198,12 @@ def held_out(doc_id: Column | str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def _word_scores(text: str | None, weights: np.ndarray) -> np.ndarray:
+def _word_scores(text: str | None, model: Model) -> np.ndarray:
     if not text:
         return np.zeros(0, np.float32)
-    whole, start = (weights[x] for x in buckets(text))
-    return np.where(np.abs(whole) >= np.abs(start), whole, start) - np.float32(DRIFT)
+    known = model.by_word
+    scores = [x if (x := known.get(w)) is not None else model.weigh(w) for w in words_of(text)]
+    return np.array(scores, np.float32) - np.float32(DRIFT)
 
 
 def _cap(x: np.ndarray | float) -> np.ndarray | float:
@@ -202,8 +214,9 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> M
     """Weights and calibration from the labelled rows that aren't held out.
 
     Of those, the ``train_docs`` with the smallest hash of their id are used;
-    their ids are the only thing broadcast. Word counts of all documents come
-    back as one row a hash bucket. Rows with a null label or doc_id are
+    their ids are the only thing broadcast. Words of all documents are counted by
+    the word itself, in a table in the shared folder; only features whose weight
+    isn't zero come back, and they are among those of the training rows. Rows with a null label or doc_id are
     skipped, an id with several labels counts as toxic if one says so.
     """
     spark = docs.sparkSession
@@ -212,31 +225,44 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> M
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs)
     marked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
         F.broadcast(known), "doc_id", "left").select("text", "toxic")
-    size = 1 << HASH_BITS
+    names = ["feature", "n", "clean", "toxic"]
+
+    def counted(n: Counter, labelled: list[Counter]) -> pa.RecordBatch:
+        starts: Counter = Counter()
+        for word, times in n.items():
+            starts[beginning(word)] += times
+        keys = [*n, *starts]
+        columns = [[*n.values(), *starts.values()], *([x[k] for k in keys] for x in labelled)]
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *(pa.array(c, pa.int64()) for c in columns)], names)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((3, size), np.int64)
+        n, labelled = Counter(), [Counter(), Counter()]
         for b in slices(batches):
-            parts: list[list[np.ndarray]] = [[], [], []]
             for text, toxic in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
-                if text:
-                    at = np.concatenate(buckets(text))
-                    parts[0].append(at)
-                    if toxic is not None:
-                        parts[1 + toxic].append(np.unique(at))  # documents with the word
-            for row, part in zip(sums, parts):
-                if part:
-                    row += np.bincount(np.concatenate(part), minlength=size)
-        at = np.flatnonzero(sums[0])
-        yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(s[at]) for s in sums)], ["bucket", "n", "clean", "toxic"])
-
-    counts = marked.mapInArrow(count, "bucket bigint, n bigint, clean bigint, toxic bigint").groupBy("bucket").agg(
-        *[F.sum(c).alias(c) for c in ("n", "clean", "toxic")]).toPandas()  # at most 2 ** HASH_BITS rows
-    sums = np.zeros((3, size))
-    for row, name in zip(sums, ("n", "clean", "toxic")):
-        row[counts["bucket"].to_numpy(np.int64)] = counts[name].to_numpy(float)
-    weights = log_odds(sums[2], sums[1], sums[0])
-    shared = spark.sparkContext.broadcast(weights)
+                words = words_of(text or "")
+                n.update(words)
+                if toxic is not None:  # documents with the feature
+                    labelled[toxic].update({*words, *map(beginning, words)})
+                if len(n) > CACHE_WORDS:
+                    yield counted(n, labelled)
+                    n, labelled = Counter(), [Counter(), Counter()]
+        yield counted(n, labelled)
+
+    counts = stored(marked.mapInArrow(count, "feature string, n bigint, clean bigint, toxic bigint").groupBy("feature").agg(
+        *[F.sum(c).alias(c) for c in names[1:]]), "words")
+    total = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names[1:]], F.count(F.lit(1)).alias("v")).first()
+    sums = float(total["toxic"]), float(total["clean"]), total["n"] + 0.01 * total["v"]
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            toxic, clean, n = (b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("toxic", "clean", "n"))
+            w = log_odds(toxic, clean, n, sums=sums)
+            yield pa.RecordBatch.from_arrays([b.column("feature"), pa.array(w)], ["feature", "w"]).filter(pa.array(w != 0))
+
+    # a feature no training row has weighs nothing
+    found = counts.where("clean + toxic > 0").mapInArrow(weigh, "feature string, w float").toPandas().sort_values("feature")
+    weights, features = found["w"].to_numpy(np.float32), tuple(found["feature"])
+    shared = spark.sparkContext.broadcast(Model(weights, features=features))
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
@@ -254,16 +280,16 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> M
     x = np.array([b[0] if b else 0.0 for b in tops])
     n, y = seen["words"].to_numpy(np.int64), seen["toxic"].to_numpy(int)
     rate, scale = fit_extreme_value(x[y == 0], n[y == 0])
-    model = Model(weights, rate, scale)
+    model = Model(weights, rate, scale, features=features)
     t = _cap(np.array([joint_surprise(a, b, model) for a, b in zip(tops, n.tolist())]))
     slope, intercept = fit_logistic(t, y) if len(y) else (0.0, math.log(0.5 / 10))
-    return Model(weights, rate, scale, slope, intercept)
+    return Model(weights, rate, scale, slope, intercept, features)
 
 
 def judge(text: str | None, model: Model, max_p: float = MAX_P) -> tuple[float, list[tuple[int, int, float]]]:
     """Score of a text and its significant passages (first word, word after
     the last, surprise)."""
-    s = _word_scores(text, model.weights)
+    s = _word_scores(text, model)
     every = segments(s)
     best = sorted((x for _, _, x in every), reverse=True)[:BEST_SEGMENTS]
     t = float(_cap(joint_surprise(best, len(s), model)))

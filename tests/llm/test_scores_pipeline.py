@@ -90,6 +90,21 @@ def test_toxicity_odd_rows(spark):
     assert 0 <= toxicity.judge("any text", nothing)[0] < 0.3
 
 
+def test_words_are_counted_by_themselves(spark):
+    import zlib
+
+    model = toxic_model(spark)
+    # an unseen word that would share one of 2^18 hash buckets with a toxic one
+    want = zlib.crc32(b"vile") & (1 << 18) - 1
+    twin = next(w for i in range(10**7) if zlib.crc32((w := "q" + "".join(chr(97 + int(c)) for c in str(i))).encode()) & (1 << 18) - 1 == want)
+    assert model.weigh("vile") > 1 and model.weigh(twin) == 0 == model.weigh("unseen")
+    counted = [w for w in model.features if not w.endswith("-")]
+    assert set(counted) <= {"vile", "rotten", *prose(0, 5000).split()} | {w for i in range(600) for w in toxicity.words_of(prose(i, 40))}
+    toxic, clean, n = np.array([50.0, 1, 0]), np.array([0.0, 30, 0]), np.array([60.0, 90, 900])
+    part = toxicity.log_odds(toxic[:2], clean[:2], n[:2], sums=(toxic.sum(), clean.sum(), (n + 0.01).sum()))
+    assert np.allclose(part, toxicity.log_odds(toxic, clean, n)[:2])
+
+
 def test_held_out_labels_change_nothing(spark):
     docs = read_table(spark, SF, "documents")
     labels = read_table(spark, SF, "labels")
