@@ -20,6 +20,3 @@ def spark():
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="liqspark-test-")
-
-
-SF_SMALL = "/root/testdata/sf0.001"

@@ -6,7 +6,7 @@ import glob
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from liqspark.plans import cli
 from liqspark.sources import fixtures
 

@@ -8,7 +8,7 @@ from collections import Counter
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 import __spark_entry__ as E
 from liqspark.plans.queries import QUERIES

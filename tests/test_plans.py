@@ -5,7 +5,7 @@ before its shuffle, filters pushed into the lineitem scan."""
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 # Queries whose construction writes files; their plans are covered by the
 # model queries they read.

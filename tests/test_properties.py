@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from helpers import positions, ts
 from liqspark.plans.models import Lineage
 from liqspark.operators.staging import stage_positions
