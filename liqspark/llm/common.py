@@ -47,6 +47,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bound(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with ``value`` as column ``name``, computed in one place: no
+    predicate or projection above copies the expression, as ``withColumn``
+    would let the optimizer do."""
+    return df.select("*", F.inline(F.array(F.struct(value.alias(name)))))
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The batches in views of a few rows, so what a task holds as Python
     objects at a time is small."""

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, text_or_empty
+from .common import bound, stored, text_or_empty
 from .components import components
 
 # Common words of the four languages of the corpus.
@@ -42,9 +42,9 @@ def words_of(text: Column) -> Column:
 def with_signatures(df: DataFrame, text: str, out: str) -> DataFrame:
     """``df`` with the sorted distinct signatures of column ``text`` as ``out``."""
     w, at = f"{out}_words", f"{out}_at"
-    df = df.withColumn(w, words_of(F.col(text)))
+    df = bound(df, w, words_of(F.col(text)))
     places = F.when(F.size(w) > 0, F.sequence(F.lit(0), F.size(w) - 1)).otherwise(F.array().cast("array<int>"))
-    df = df.withColumn(at, F.filter(places, lambda i: ~F.get(F.col(w), i).isin(*ANCHORS)))
+    df = bound(df, at, F.filter(places, lambda i: ~F.get(F.col(w), i).isin(*ANCHORS)))
     word = lambda k: F.get(F.col(w), F.get(F.col(at), k))
     before = lambda k: F.get(F.col(w), F.get(F.col(at), k) - 1)
     gap = lambda k: F.get(F.col(at), k) - F.coalesce(F.get(F.col(at), k - 1), F.lit(-1)) > 1
@@ -53,7 +53,7 @@ def with_signatures(df: DataFrame, text: str, out: str) -> DataFrame:
     many = F.array_compact(F.transform(F.sequence(F.lit(0), F.size(at) - 2), chain))
     one = F.array(F.concat_ws(" ", F.lit(START), F.array_join(F.col(w), " ")))
     sigs = F.when(F.size(at) >= 2, many).when(F.size(w) > 0, one).otherwise(F.array().cast("array<string>"))
-    return df.withColumn(out, F.array_sort(F.array_distinct(sigs))).drop(w, at)
+    return bound(df, out, F.array_sort(F.array_distinct(sigs))).drop(w, at)
 
 
 def likeness(a: Column | str, b: Column | str, least: float = 0.0) -> Column:

@@ -292,6 +292,14 @@ def test_signature_column_types(spark):
     assert d.where(F.col("near_edited").isNull() | F.col("near_next").isNull()).count() == 0
 
 
+@pytest.mark.parametrize("name", ["near_edited", "near_next", "fingerprint", "edited_fingerprint", "edited_sha256", "n_chars"])
+def test_predicates_do_not_copy_the_signatures(spark, name):
+    d = QUERIES["op2_fingerprints"](spark, SF)
+    plain, filtered = (x._jdf.queryExecution().optimizedPlan().toString().count("split(")
+                       for x in (d, d.where(F.col(name) > F.lit(0.5).cast(d.schema[name].dataType))))
+    assert filtered <= plain + 1
+
+
 @pytest.mark.parametrize("few", [2, 32])
 def test_near_copies_equal_a_comparison_of_all_pairs(spark, monkeypatch, few):
     monkeypatch.setattr(spotsigs, "FEW_MEMBERS", few)
