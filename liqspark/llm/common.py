@@ -39,11 +39,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: str | int) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, cut
-    off from its lineage, and still there when executors are lost."""
+    off from its lineage, and still there when executors are lost. ``options``
+    are the Parquet writer's."""
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -67,4 +67,61 @@ SELECT e.doc_id, CAST(n AS bigint) AS n_chars, sha256(edited) AS edited_sha256,
 FROM e JOIN a ON e.doc_id = a.doc_id JOIN b ON e.doc_id = b.doc_id JOIN a AS f ON e.nid = f.doc_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_fingerprints": OP2, "op6_decontamination": OP6}
+# The first four 8-digit groups of the digest, as integers.
+_DRAWS = ", ".join(f"CAST('0x' || substr(x, {8 * i + 1}, 8) AS bigint) AS h{i + 1}" for i in range(4))
+
+OP12 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS varchar), '')) AS x FROM documents),
+     t AS (SELECT doc_id, text, {_DRAWS}, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS t FROM d),
+     n AS (SELECT *, len(t) AS n, least(h1 % (len(t) + 1), h2 % (len(t) + 1)) AS a,
+                  greatest(h1 % (len(t) + 1), h2 % (len(t) + 1)) AS b,
+                  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                            OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM t),
+     c AS (SELECT *, array_to_string(t[1:a], '') AS p, array_to_string(t[a + 1:b], '') AS m,
+                  array_to_string(t[b + 1:n], '') AS s FROM n)
+SELECT doc_id, CAST(n AS bigint) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(p) AS bigint) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS bigint) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM c
+"""
+
+OP13 = r"""
+WITH w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+     l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY 1),
+     f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                  [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w),
+                   100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text),
+                   regexp_matches(text, '[#$%&*|]'),
+                   coalesce(w.doc_id > min(w.doc_id) OVER (PARTITION BY text), false)] AS fails
+           FROM w LEFT JOIN l ON w.doc_id = l.doc_id),
+     c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+           FROM f GROUP BY 1, 2),
+     x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+     o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+           WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+     s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS own,
+                  list_transform(range(1, step), lambda i: ascii(substr(filter_order, i, 1)) - 64) AS before,
+                  ascii(substr(filter_order, step, 1)) - 64 AS k
+           FROM o, (SELECT unnest(range(1, 6)) AS step)),
+     j AS (SELECT part, filter_order, step, own, n, good, toxic, fails[k] AS mine,
+                  len(list_filter(before, lambda i: fails[i])) > 0 AS gone,
+                  len(list_filter(fails, lambda y: y)) AS failed FROM c, s),
+     r AS (SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (NOT mine AND NOT gone), 0) AS kept,
+                  coalesce(sum(n) FILTER (mine AND NOT gone), 0) AS removed,
+                  coalesce(sum(n) FILTER (mine AND gone), 0) AS redundant,
+                  coalesce(sum(n) FILTER (mine AND failed = 1), 0) AS unique_fails,
+                  coalesce(sum(good) FILTER (mine AND NOT gone), 0) AS good_lost,
+                  coalesce(sum(toxic) FILTER (mine AND NOT gone), 0) AS toxic_lost
+           FROM j GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, CAST(step AS int) AS step, CAST(kept AS bigint) AS kept, CAST(removed AS bigint) AS removed,
+       CAST(redundant AS bigint) AS redundant, CAST(unique_fails AS bigint) AS unique_fails,
+       CAST(good_lost AS bigint) AS good_lost, CAST(toxic_lost AS bigint) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS bigint) AS shapley
+FROM r
+"""
+
+ORACLE_SQL: dict[str, str] = {"op13_filter_audit": OP13, "op12_fill_in_middle": OP12, "op2_fingerprints": OP2, "op6_decontamination": OP6}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, packing, secrets, sharding, simhash, spotsigs, tokenfiles, toxicity, urls
+from . import audit, decontaminate, fertility, fim, licenses, packing, secrets, sharding, simhash, spotsigs, tokenfiles, toxicity, urls
 from .common import new_folder, read_table
 from .oracle import ORACLE_SQL  # noqa: F401
 
@@ -85,6 +85,21 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.joined(F.col("spans")).alias("spans"))
 
 
+def op11_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.judge_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = fim.transform_documents(read_table(spark, sf_dir, "documents"))
+    return fim.restore_documents(moved).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit_filters(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_fingerprints": op2_fingerprints,
@@ -97,6 +112,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_licenses": op9_licenses,
     "op10_secrets": op10_secrets,
+    "op11_fertility": op11_fertility,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 
