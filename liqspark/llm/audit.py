@@ -17,8 +17,9 @@ from math import factorial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -85,17 +86,32 @@ def build_shards(docs: DataFrame, shard_words: int = SHARD_WORDS, shard_docs: in
 
 
 def number_words(shards: DataFrame) -> DataFrame:
-    """``shard``, ``at`` (column there), ``word`` and its global ``id`` for every
-    word of every shard. Words are dealt by hash into buckets of a bounded
-    expected number and numbered within; the bucket is the id's rest by the
-    number of buckets, so equal words have one id and different words two."""
-    listed = shards.select("shard", F.posexplode("words").alias("at", "word"))
+    """Global numbers of the shards' words, as rows of ``shard``, ``at``
+    (columns there, 32-bit) and ``id`` (their numbers, 64-bit).
+
+    Words are dealt by hash into buckets of a bounded expected number and
+    numbered there in their own order, so a repeated task gives the same
+    numbers; the bucket is the number's rest by the number of buckets. A word
+    that every shard has is a row a shard in its bucket.
+    """
     total = shards.agg(F.sum(F.size("words"))).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_WORDS))
-    bucket = F.pmod(F.xxhash64("word"), F.lit(buckets))
-    rank = F.dense_rank().over(Window.partitionBy("bucket").orderBy("word"))
-    return listed.withColumn("bucket", bucket).withColumn(
-        "id", (rank.cast("bigint") - 1) * buckets + F.col("bucket")).drop("bucket")
+    listed = shards.select("shard", F.posexplode("words").alias("at", "word")).withColumn(
+        "bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)))
+
+    def number(key: tuple, rows: pa.Table) -> pa.Table:
+        words = rows["word"].combine_chunks().dictionary_encode()
+        rank = np.empty(len(words.dictionary), "<i8")
+        rank[pc.sort_indices(words.dictionary).to_numpy()] = np.arange(len(rank))
+        ids = rank[words.indices.to_numpy()] * buckets + key[0].as_py()
+        shard, at = rows["shard"].to_numpy(), rows["at"].to_numpy()
+        order = np.lexsort((at, shard))
+        cuts = np.flatnonzero(np.diff(shard[order])) + 1
+        return pa.table({"shard": shard[order][np.concatenate([[0], cuts])],
+                         "at": pa.array([p.astype("<u4").tobytes() for p in np.split(at[order], cuts)], pa.binary()),
+                         "id": pa.array([p.tobytes() for p in np.split(ids[order], cuts)], pa.binary())})
+
+    return listed.groupBy("bucket").applyInArrow(number, "shard bigint, at binary, id binary")
 
 
 def document_terms(docs: DataFrame, shard_words: int = SHARD_WORDS, shard_docs: int = SHARD_DOCS) -> DataFrame:
@@ -110,14 +126,14 @@ def document_terms(docs: DataFrame, shard_words: int = SHARD_WORDS, shard_docs:
     schema = to_arrow_schema(StructType.fromDDL(MATRIX))
 
     def renumber(key: tuple, numbered: pa.Table, shard: pa.Table) -> pa.Table:
-        ids = np.empty(numbered.num_rows, "<i8")
-        ids[numbered["at"].to_numpy()] = numbered["id"].to_numpy()
+        at, numbers = (np.frombuffer(b"".join(numbered[c].to_pylist()), t) for c, t in (("at", "<u4"), ("id", "<i8")))
+        ids = np.empty(len(at), "<i8")
+        ids[at] = numbers
         cells = [pa.array([ids[np.frombuffer(c, "<u4")].tobytes()], pa.binary()) for c in shard["indices"].to_pylist()]
         i = shard.schema.get_field_index("indices")
         return shard.set_column(i, "indices", pa.chunked_array(cells, pa.binary())).select(schema.names).cast(schema)
 
-    numbers = number_words(shards).select("shard", "at", "id")
-    return numbers.groupBy("shard").cogroup(shards.drop("words").groupBy("shard")).applyInArrow(renumber, MATRIX)
+    return number_words(shards).groupBy("shard").cogroup(shards.drop("words").groupBy("shard")).applyInArrow(renumber, MATRIX)
 
 
 def row_counts(matrix: DataFrame) -> DataFrame:
