@@ -14,6 +14,7 @@ import hashlib
 from collections.abc import Iterator
 from itertools import permutations
 from math import factorial
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -35,49 +36,59 @@ CONTINUED = bytes(range(0x80, 0xC0))  # bytes that begin no code point
 SHARD_WORDS, SHARD_DOCS = 1 << 21, 1 << 16
 BUCKET_WORDS = 1 << 15  # rows of the shards' word lists in one bucket of the dictionary
 
-SHARD = ("shard bigint, words array<binary>, doc_id array<bigint>, part array<string>, digest array<binary>, "
-         "fails_c array<boolean>, fails_d array<boolean>, indptr binary, indices binary, data binary")
+SHARD = ("shard bigint, n_columns bigint, words binary, doc_id array<bigint>, part array<string>, digest array<binary>, "
+         "fails_c array<boolean>, fails_d array<boolean>, indptr binary, steps binary, data binary")
 MATRIX = ("shard bigint, doc_id array<bigint>, part array<string>, digest array<binary>, fails_c array<boolean>, "
           "fails_d array<boolean>, indptr binary, indices binary, data binary")
 ROWS = ("doc_id bigint, part string, digest binary, n_words bigint, n_distinct bigint, fails_c boolean, fails_d boolean")
 
 
+def hashes(words: list[bytes]) -> np.ndarray:
+    """A number below 2^32 for each word, the same everywhere."""
+    return np.fromiter(map(crc32, words), "<u8", len(words))
+
+
 def build_shards(docs: DataFrame, shard_words: int = SHARD_WORDS, shard_docs: int = SHARD_DOCS) -> DataFrame:
-    """Shards of the matrix (``SHARD``): the words of a shard in the order of
-    their columns, and its rows as ``indptr``, ``indices`` and ``data``
-    (little-endian 64- and 32-bit integers) with what else the filters need."""
+    """Shards of the matrix (``SHARD``): a shard's words by hash, which is the
+    order of its columns, joined by spaces (no word holds one); its rows as
+    ``indptr`` (64-bit), ``steps`` (from each cell's column to the next one's,
+    modulo 2^32) and ``data`` (32-bit); and what else the filters need."""
     schema = to_arrow_schema(StructType.fromDDL(SHARD))
 
-    def shard(number: int, vocab: dict, meta: list, lengths: list, columns: list, data: list) -> pa.RecordBatch:
-        cells = [vocab.keys(), *zip(*meta)]
-        matrix = [np.cumsum([0, *lengths], dtype="<i8"), np.concatenate(columns), np.concatenate(data)]
-        arrays = [pa.array([number], pa.int64())] + [
-            pa.array([list(c)], f.type) for c, f in zip(cells, list(schema)[1:7])] + [
+    def shard(number: int, vocab: dict, meta: list, rows: list) -> pa.RecordBatch:
+        words = list(vocab)
+        order = np.argsort(hashes(words), kind="stable")
+        column = np.empty(len(words), "<u4")
+        column[order] = np.arange(len(words))
+        cells = [np.unique(column[r], return_counts=True) for r in rows]
+        at = np.concatenate([c for c, _ in cells]).astype("<u4")
+        matrix = [np.cumsum([0, *[len(c) for c, _ in cells]], dtype="<i8"), np.diff(at, prepend=at[:1] * 0),
+                  np.concatenate([n for _, n in cells]).astype("<u4")]
+        arrays = [pa.array([number], pa.int64()), pa.array([len(words)], pa.int64()),
+                  pa.array([b" ".join([words[i] for i in order])], pa.binary())] + [
+            pa.array([list(c)], f.type) for c, f in zip(zip(*meta), list(schema)[3:8])] + [
             pa.array([m.tobytes()], pa.binary()) for m in matrix]
         return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        vocab, meta, lengths, columns, data, size = {}, [], [], [], [], 0
+        vocab, meta, rows, size = {}, [], [], 0
         for b in slices(batches):
             for doc_id, part, raw in zip(*(b.column(c).to_pylist() for c in ("doc_id", "part", "raw"))):
                 words = raw.split()  # at ASCII white space alone
                 for w in set(words).difference(vocab):
                     vocab[w] = len(vocab)
-                found, often = np.unique(np.array(list(map(vocab.__getitem__, words)), "<u4"), return_counts=True)
+                rows.append(np.array(list(map(vocab.__getitem__, words)), "<u4"))
                 chars, upper = len(raw.translate(None, CONTINUED)), len(raw) - len(raw.translate(None, UPPER))
                 meta.append((doc_id, part, hashlib.sha256(raw).digest(), 100 * upper > MAX_UPPER * chars,
                              len(raw.translate(None, SYMBOLS)) < len(raw)))
-                lengths.append(len(found))
-                columns.append(found.astype("<u4"))
-                data.append(often.astype("<u4"))
                 size += len(words)
                 if size >= shard_words or len(meta) >= shard_docs:
-                    yield shard(number, vocab, meta, lengths, columns, data)
+                    yield shard(number, vocab, meta, rows)
                     number += 1
-                    vocab, meta, lengths, columns, data, size = {}, [], [], [], [], 0
+                    vocab, meta, rows, size = {}, [], [], 0
         if meta:
-            yield shard(number, vocab, meta, lengths, columns, data)
+            yield shard(number, vocab, meta, rows)
 
     part = F.coalesce(F.col("source").cast("string"), F.lit("")) if "source" in docs.columns else F.lit("")
     kept = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), part.alias("part"),
@@ -85,33 +96,44 @@ def build_shards(docs: DataFrame, shard_words: int = SHARD_WORDS, shard_docs: in
     return kept.mapInArrow(run, SHARD)
 
 
-def number_words(shards: DataFrame) -> DataFrame:
-    """Global numbers of the shards' words, as rows of ``shard``, ``at``
-    (columns there, 32-bit) and ``id`` (their numbers, 64-bit).
+def number_words(shards: DataFrame) -> tuple[DataFrame, int]:
+    """Global numbers of the shards' words: rows of ``shard``, ``first`` (a
+    column), ``bucket`` and ``rank`` (32-bit, of that column's word and those
+    after it), and the number of buckets. A word's number is its rank times
+    that, plus its bucket.
 
-    Words are dealt by hash into buckets of a bounded expected number and
-    numbered there in their own order, so a repeated task gives the same
-    numbers; the bucket is the number's rest by the number of buckets. A word
-    that every shard has is a row a shard in its bucket.
+    The hash range is cut into buckets of a bounded expected number of words, so
+    each is a run of a shard's columns and travels as one row. Words are
+    numbered in a bucket in their own order, which a repeated task keeps. A word
+    that every shard has is there once a shard.
     """
-    total = shards.agg(F.sum(F.size("words"))).first()[0] or 0
+    total = shards.agg(F.sum("n_columns")).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_WORDS))
-    listed = shards.select("shard", F.posexplode("words").alias("at", "word")).withColumn(
-        "bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)))
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for number, joined in zip(b.column("shard").to_pylist(), b.column("words").to_pylist()):
+                words = joined.split()
+                bucket = (hashes(words) * np.uint64(buckets)) >> np.uint64(32)
+                first = np.flatnonzero(np.diff(bucket, prepend=np.uint64(buckets)))
+                ends = [*first[1:].tolist(), len(words)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number] * len(first), pa.int64()), pa.array(first, pa.int64()),
+                     pa.array(bucket[first].astype("<i8"), pa.int64()),
+                     pa.array([b" ".join(words[x:y]) for x, y in zip(first.tolist(), ends)], pa.binary())],
+                    ["shard", "first", "bucket", "words"])
 
     def number(key: tuple, rows: pa.Table) -> pa.Table:
-        words = rows["word"].combine_chunks().dictionary_encode()
-        rank = np.empty(len(words.dictionary), "<i8")
-        rank[pc.sort_indices(words.dictionary).to_numpy()] = np.arange(len(rank))
-        ids = rank[words.indices.to_numpy()] * buckets + key[0].as_py()
-        shard, at = rows["shard"].to_numpy(), rows["at"].to_numpy()
-        order = np.lexsort((at, shard))
-        cuts = np.flatnonzero(np.diff(shard[order])) + 1
-        return pa.table({"shard": shard[order][np.concatenate([[0], cuts])],
-                         "at": pa.array([p.astype("<u4").tobytes() for p in np.split(at[order], cuts)], pa.binary()),
-                         "id": pa.array([p.tobytes() for p in np.split(ids[order], cuts)], pa.binary())})
+        words = [x.split() for x in rows["words"].to_pylist()]
+        coded = pa.array([w for x in words for w in x], pa.binary()).dictionary_encode()
+        rank = np.empty(len(coded.dictionary), "<u4")
+        rank[pc.sort_indices(coded.dictionary).to_numpy()] = np.arange(len(rank))
+        parts = np.split(rank[coded.indices.to_numpy()], np.cumsum([len(x) for x in words])[:-1])
+        return rows.drop_columns("words").append_column("rank", pa.array([p.tobytes() for p in parts], pa.binary()))
 
-    return listed.groupBy("bucket").applyInArrow(number, "shard bigint, at binary, id binary")
+    pieces = shards.select("shard", "words").mapInArrow(split, "shard bigint, first bigint, bucket bigint, words binary")
+    ranked = pieces.groupBy("bucket").applyInArrow(number, "shard bigint, first bigint, bucket bigint, rank binary")
+    return ranked, buckets
 
 
 def document_terms(docs: DataFrame, shard_words: int = SHARD_WORDS, shard_docs: int = SHARD_DOCS) -> DataFrame:
@@ -124,16 +146,18 @@ def document_terms(docs: DataFrame, shard_words: int = SHARD_WORDS, shard_docs:
     shards = stored(build_shards(docs, shard_words, shard_docs), "shards", compression="zstd", **{
         "parquet.block.size": 1 << 26, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1})
     schema = to_arrow_schema(StructType.fromDDL(MATRIX))
+    ranked, buckets = number_words(shards)
 
     def renumber(key: tuple, numbered: pa.Table, shard: pa.Table) -> pa.Table:
-        at, numbers = (np.frombuffer(b"".join(numbered[c].to_pylist()), t) for c, t in (("at", "<u4"), ("id", "<i8")))
-        ids = np.empty(len(at), "<i8")
-        ids[at] = numbers
-        cells = [pa.array([ids[np.frombuffer(c, "<u4")].tobytes()], pa.binary()) for c in shard["indices"].to_pylist()]
-        i = shard.schema.get_field_index("indices")
-        return shard.set_column(i, "indices", pa.chunked_array(cells, pa.binary())).select(schema.names).cast(schema)
-
-    return number_words(shards).groupBy("shard").cogroup(shards.drop("words").groupBy("shard")).applyInArrow(renumber, MATRIX)
+        numbered = numbered.sort_by("first")
+        ids = np.concatenate([np.zeros(0, "<i8")] + [
+            np.frombuffer(r, "<u4").astype("<i8") * buckets + k
+            for r, k in zip(numbered["rank"].to_pylist(), numbered["bucket"].to_pylist())])
+        cells = [ids[np.cumsum(np.frombuffer(c, "<u4"), dtype="<u4")].tobytes() for c in shard["steps"].to_pylist()]
+        return shard.drop_columns("steps").append_column("indices", pa.array(cells, pa.binary())).select(
+            schema.names).cast(schema)
+
+    return ranked.groupBy("shard").cogroup(shards.drop("words", "n_columns").groupBy("shard")).applyInArrow(renumber, MATRIX)
 
 
 def row_counts(matrix: DataFrame) -> DataFrame:
