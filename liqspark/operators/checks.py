@@ -10,7 +10,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,6 +80,18 @@ def recency(df: DataFrame, field: str, interval_days: int, now: dt.datetime) ->
             .where(F.col("most_recent").isNull() | (F.col("most_recent").cast("timestamp") < F.col("threshold"))))
 
 
+def row_count_of_facts(spark: SparkSession, facts: dict, min_value=None, max_value=None) -> DataFrame:
+    """:func:`row_count_between` from a stored table's footers."""
+    n = spark.createDataFrame([(facts["n_rows"],)], "row_count bigint")
+    return between(n, "row_count", min_value, max_value)
+
+
+def recency_of_facts(spark: SparkSession, facts: dict, interval_days: int, now: dt.datetime) -> DataFrame:
+    """:func:`recency` of a table's partition date, from its folder names."""
+    newest = spark.createDataFrame([(facts["max_partition"],)], "d string").select(F.col("d").cast("date").alias("d"))
+    return recency(newest, "d", interval_days, now)
+
+
 def expression_is_true(df: DataFrame, expression: str, row_condition: str | None = None) -> DataFrame:
     """Rows (under the row condition) where the expression is false."""
     base = df.where(F.expr(row_condition)) if row_condition else df
@@ -219,6 +231,43 @@ def recency_measure(field: str, interval_days: int, now: dt.datetime) -> Column:
     return (newest.isNull() | (newest.cast("timestamp") < oldest)).cast("bigint")
 
 
+@dataclass(frozen=True)
+class WriteMeasure:
+    """What is counted for a check while its table is written. If not
+    ``exact``, only zero tells the number of failures."""
+    check_id: str
+    measure: Column
+    exact: bool = True
+
+
+OBSERVED_ROWS = "rows written"
+METRICS_WAIT = 60.0  # seconds
+
+
+def measures_to_observe(measures: Sequence[WriteMeasure]) -> list[Column]:
+    """Aggregates to observe on a write: the measures, and the row count."""
+    return [F.count(F.lit(1)).alias(OBSERVED_ROWS)] + [m.measure.cast("bigint").alias(m.check_id) for m in measures]
+
+
+def observed_failures(observation: Observation, measures: Sequence[WriteMeasure], rows: int) -> dict[str, int]:
+    """Failures of the checks counted during a write that wrote ``rows`` rows.
+
+    Empty if the write reported nothing or another number of rows (Spark counts
+    a row again where a stage is repeated in part): those checks are then
+    counted by a scan.
+    """
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        got = pool.submit(lambda: observation.get)
+        try:
+            seen = got.result(METRICS_WAIT if rows else 1.0)
+        except TimeoutError:  # no task wrote a row, so nothing was reported
+            pool.shutdown(wait=False)
+            return {}
+    if seen.get(OBSERVED_ROWS) != rows:
+        return {}
+    return {m.check_id: seen[m.check_id] for m in measures if m.exact or seen[m.check_id] == 0}
+
+
 def _fused_counts(source: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Failure counts of many checks on one table in one scan: a global
     aggregation, unpivoted to one row per check."""
@@ -229,19 +278,25 @@ def _fused_counts(source: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return counts.select(F.explode(rows).alias("r")).select("r.*")
 
 
-def run_checks(spark: SparkSession, checks: Sequence[Check]) -> DataFrame:
+def run_checks(spark: SparkSession, checks: Sequence[Check], known: dict[str, int] | None = None) -> DataFrame:
     """One row per check: failure count and status (pass / warn / fail).
 
-    Checks with a measure are counted together in one scan of their table;
-    every other failing frame is reduced to a one-row global count. The
-    union of those rows is the result, so one action runs the suite and no
-    failing row reaches the driver.
+    Checks in ``known`` (failures by check id, as counted while their table was
+    written) are not counted again. Those with a measure are counted together
+    in one scan of their table; every other failing frame is reduced to a
+    one-row global count. The union of those rows is the result, so one action
+    runs the suite and no failing row reaches the driver.
     """
     if not checks:
         return spark.createDataFrame([], RESULT_SCHEMA)
-    parts = []
+    parts, known = [], known or {}
+    given = [(c.check_id, c.table, c.severity, known[c.check_id]) for c in checks if c.check_id in known]
+    if given:
+        parts.append(spark.createDataFrame(given, "check_id string, table_name string, severity string, failures bigint"))
     groups: dict[int, tuple[DataFrame, list[Check]]] = {}
     for c in checks:
+        if c.check_id in known:
+            continue
         if c.source is not None and c.measure is not None:
             groups.setdefault(id(c.source), (c.source, []))[1].append(c)
         else:

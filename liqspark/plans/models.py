@@ -12,9 +12,9 @@ executor recomputes from the last stored model, not from the raw feeds.
 from __future__ import annotations
 
 import datetime as dt
-from typing import Callable
+from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ..operators import cashflow as cf
 from ..operators import positions as pos
@@ -22,6 +22,7 @@ from ..operators import regulatory as reg
 from ..operators import risk as rk
 from ..operators import staging as stg
 from ..operators import thresholds as th
+from ..operators.checks import WriteMeasure, measures_to_observe, observed_failures
 from ..functions.columns import with_audit
 from ..schemas import PARTITION_DATE
 from ..session import ensure_runtime_conf
@@ -87,8 +88,12 @@ class Lineage:
     """All models of one run, built from the three raw feeds."""
 
     def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], as_of: dt.date = fixtures.AS_OF,
-                 mode: str = "full", rules=th.POSITION_RULES, store: str | None = None):
+                 mode: str = "full", rules=th.POSITION_RULES, store: str | None = None,
+                 measures: Callable[[str], Sequence[WriteMeasure]] | None = None):
+        """With a store, ``measures`` names what to count of a model while it
+        is written; ``known`` then holds the failures by check id."""
         self.spark, self.raw, self.as_of, self.mode, self.rules, self.store = spark, raw, as_of, mode, rules, store
+        self.measures, self.known = measures or (lambda name: ()), {}
         self._cache: dict[str, DataFrame] = {}
         ensure_runtime_conf(spark)
 
@@ -127,8 +132,11 @@ class Lineage:
         if name not in self._cache:
             df = self._builders()[name]()
             if self.store is not None:
-                path = f"{self.store.rstrip('/')}/{name}"
-                sinks.write_partitioned(with_audit(df, AUDIT_COLUMN[name]), path, PARTITIONING[name])
+                path, measures = f"{self.store.rstrip('/')}/{name}", self.measures(name)
+                seen = (Observation(), measures_to_observe(measures)) if measures else None
+                sinks.write_partitioned(with_audit(df, AUDIT_COLUMN[name]), path, PARTITIONING[name], seen)
+                if seen:
+                    self.known.update(observed_failures(seen[0], measures, sinks.stored_rows(self.spark, path)))
                 df = sinks.read_table(self.spark, path, df.schema)
             self._cache[name] = df
         return self._cache[name]

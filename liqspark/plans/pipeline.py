@@ -14,7 +14,7 @@ import datetime as dt
 from typing import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cashflow as cf
@@ -29,7 +29,7 @@ from ..session import ensure_runtime_conf
 from ..sources import seeds, sinks
 from ..functions.columns import with_audit
 from .models import AUDIT_COLUMN, PARTITIONING
-from .suite import DECLARED, build_checks
+from .suite import DECLARED, build_checks, write_measures
 
 # Merge key per model; the risk table has no unique key (its key omits the
 # position type), so its day is replaced as a whole partition instead.
@@ -73,24 +73,32 @@ class Warehouse:
         days = [d for d in sinks.partition_values(self.spark, self.path(name)) if d != NULL_PARTITION]
         return self.spark.createDataFrame([(dt.date.fromisoformat(d),) for d in days], f"{PARTITION_DATE} date")
 
-    def save(self, name: str, df: DataFrame, as_of: dt.date) -> None:
+    def save(self, name: str, df: DataFrame, as_of: dt.date, measures: Sequence[ck.WriteMeasure] = ()) -> dict[str, int]:
+        """Store one day of a model; returns the failures of the checks counted
+        over the day's rows while they were written."""
         df = with_audit(df, AUDIT_COLUMN[name])
-        key = UNIQUE_KEYS[name]
+        key, path = UNIQUE_KEYS[name], self.path(name)
+        seen = (Observation(), ck.measures_to_observe(measures)) if measures else None
         if key is None:
-            sinks.replace_day(df, self.path(name), as_of, PARTITIONING[name])
+            sinks.replace_day(df, path, as_of, PARTITIONING[name], seen)
         else:
-            sinks.upsert(self.spark, df, self.path(name), key, PARTITIONING[name])
+            sinks.upsert(self.spark, df, path, key, PARTITIONING[name], seen)
+        return ck.observed_failures(seen[0], measures, sinks.stored_rows(self.spark, path, as_of)) if seen else {}
 
 
 SCOPES = ("partition", "table")
 
 
-def _level(builders: dict, wh: "Warehouse", as_of: dt.date) -> None:
-    """Build and store independent models concurrently (errors propagate)."""
+def _level(builders: dict, wh: "Warehouse", as_of: dt.date, measures=lambda name: ()) -> dict[str, int]:
+    """Build and store independent models concurrently (errors propagate);
+    failures counted on the way."""
     from concurrent.futures import ThreadPoolExecutor
 
+    known: dict[str, int] = {}
     with ThreadPoolExecutor(max_workers=len(builders)) as pool:
-        list(pool.map(lambda item: wh.save(item[0], item[1](), as_of), builders.items()))
+        for found in pool.map(lambda item: wh.save(item[0], item[1](), as_of, measures(item[0])), builders.items()):
+            known.update(found)
+    return known
 
 
 def _threshold_metrics(wh: "Warehouse", as_of: dt.date, rules: Sequence[th.AggRule]) -> DataFrame:
@@ -112,31 +120,34 @@ def run_daily(spark: SparkSession, raw: dict[str, DataFrame], as_of: dt.date, ro
     does. ``scope="partition"`` is an option for large histories: it checks
     the partitions this run wrote. A daily run changes only ``as_of``, and
     every model key contains the partition date, so uniqueness and row checks
-    are complete for the new day; damage to older days goes unseen.
+    are complete for the new day; damage to older days goes unseen. What checks
+    look at in single rows is then counted while the day is written.
     """
     if scope not in SCOPES:
         raise ValueError(f"scope must be one of {SCOPES}")
     ensure_runtime_conf(spark)
-    wh = Warehouse(spark, root)
+    wh, known = Warehouse(spark, root), {}
+    now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    count = (lambda name: write_measures(name, as_of, now)) if scope == "partition" else (lambda name: ())
     seed = lambda n: seeds.load_seed(spark, n)
 
     mapping = lambda: seed("seed_fr2052a_product_mapping")
     # Each level's models are independent Spark jobs and run concurrently;
     # a level starts once the tables it reads are stored.
-    _level({
+    known |= _level({
         "stg_market_data": lambda: stg.stage_market_data(raw["market_data"], as_of, "incremental"),
         "stg_positions_loans": lambda: stg.stage_positions(raw["positions_loans"], as_of, "incremental"),
         "stg_positions_deposits": lambda: stg.stage_positions(raw["positions_deposits"], as_of, "incremental"),
-    }, wh, as_of)
-    _level({"mart_positions": lambda: pos.unify_positions(wh.day("stg_positions_loans", as_of),
-                                                          wh.day("stg_positions_deposits", as_of))}, wh, as_of)
+    }, wh, as_of, count)
+    known |= _level({"mart_positions": lambda: pos.unify_positions(wh.day("stg_positions_loans", as_of),
+                                                          wh.day("stg_positions_deposits", as_of))}, wh, as_of, count)
     # The day's book and market rows feed the nine models below: read them from
     # storage once and keep them (memory, spilling to disk) for those jobs.
     # A lost executor recomputes its blocks from the stored table (one scan).
     book = wh.day("mart_positions", as_of).persist(StorageLevel.MEMORY_AND_DISK)
     market = wh.day("stg_market_data", as_of).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        _level({
+        known |= _level({
             "mart_liquidity_risk": lambda: rk.liquidity_risk(book, market),
             "mart_cashflow_forecast": lambda: cf.cashflow_forecast(book, market),
             "rpt_nsfr": lambda: reg.nsfr(book, seed("seed_nsfr_factors")),
@@ -144,13 +155,13 @@ def run_daily(spark: SparkSession, raw: dict[str, DataFrame], as_of: dt.date, ro
             "rpt_fr2052a_inflows": lambda: reg.fr2052a_inflows(book, mapping()),
             # today's rule values come from today's partition only
             "mart_positions_dq_daily": lambda: th.daily_rule_values(book, rules),
-        }, wh, as_of)
-        _level({
+        }, wh, as_of, count)
+        known |= _level({
             "rpt_lcr": lambda: reg.lcr(book, wh.day("mart_cashflow_forecast", as_of),
                                        seed("seed_hqla_classification")),
             "rpt_fr2052a_supplemental": lambda: reg.fr2052a_supplemental(book, wh.day("mart_liquidity_risk", as_of)),
             "mart_positions_dq_metrics": lambda: _threshold_metrics(wh, as_of, rules),
-        }, wh, as_of)
+        }, wh, as_of, count)
     finally:
         book.unpersist()
         market.unpersist()
@@ -163,8 +174,8 @@ def run_daily(spark: SparkSession, raw: dict[str, DataFrame], as_of: dt.date, ro
                    "raw_positions_loans": raw_scope(raw["positions_loans"]),
                    "raw_positions_deposits": raw_scope(raw["positions_deposits"])})
     tables.update({s: seed(s) for s in seeds.SEED_SCHEMAS})
-    checks = build_checks(tables, as_of, now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), DECLARED)
-    results = ck.run_checks(spark, checks)
+    checks = build_checks(tables, as_of, now, DECLARED)
+    results = ck.run_checks(spark, checks, known)
     if failures_path:
         # one row a check, computed once for the result and the choice of what to store
         results = spark.createDataFrame(results.collect(), ck.RESULT_SCHEMA)

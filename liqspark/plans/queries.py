@@ -25,11 +25,11 @@ from ..operators import regulatory as reg
 from ..operators import risk as rk
 from ..operators import staging as stg
 from ..operators import thresholds as th
-from ..schemas import PARTITION_DATE, RAW_MARKET_SCHEMA, RAW_POSITIONS_SCHEMA
+from ..schemas import PARTITION_DATE, POSITION_KEYS, RAW_MARKET_SCHEMA, RAW_POSITIONS_SCHEMA
 from ..session import ensure_checkpoint_dir
 from ..sources import fixtures, seeds, sinks
 from .models import MODEL_NAMES, PARTITIONING, Lineage
-from .suite import build_checks
+from .suite import build_checks, write_measures
 
 AS_OF = fixtures.AS_OF
 # Fixed clocks for the time-dependent checks (reproducible runs).
@@ -173,6 +173,20 @@ def q_check_row_count(spark, sf_dir):
     return ck.row_count_between(_lineage(spark, sf_dir).mart_positions, 1, None)
 
 
+def q_footer_checks(spark, sf_dir):
+    """Row count, recency and value range of the stored book, from its files'
+    footers and folder names, with bounds that fail."""
+    book = _lineage(spark, sf_dir).mart_positions
+    path = _scratch(spark, "footers")
+    sinks.write_partitioned(book, path, PARTITIONING["mart_positions"])
+    facts = sinks.footer_facts(spark, path, ["maturity_date"])
+    rows = ck.row_count_of_facts(spark, facts, MANY_ROWS, None).select(
+        F.lit("row_count").alias("check_name"), F.col("row_count").cast("string").alias("value"))
+    old = ck.recency_of_facts(spark, facts, 2, RECENCY_CLOCK).select(F.lit("recency"), F.col("most_recent").cast("string"))
+    ends = spark.createDataFrame([(k, str(facts[k])) for k in ("min_maturity_date", "max_maturity_date")], rows.schema)
+    return rows.union(old).union(ends)
+
+
 def q_check_recency(spark, sf_dir):
     r = ck.recency(_lineage(spark, sf_dir).mart_liquidity_risk, PARTITION_DATE, 2, RECENCY_CLOCK)
     return r.select("most_recent", F.date_format("threshold", "yyyy-MM-dd HH:mm:ss").alias("threshold"))
@@ -221,10 +235,13 @@ def q_assert_no_outliers(spark, sf_dir):
 
 def _results(spark, sf_dir):
     """The declared suite, run the way the daily job runs it: every model is
-    first written as a partitioned table (shared checkpoint folder) and the
-    checks scan the stored tables."""
-    L = Lineage.from_testdata(spark, sf_dir, store=_scratch(spark, "models"))
-    return ck.run_checks(spark, build_checks(_tables(L), AS_OF, RECENCY_CLOCK)), L
+    first written as a partitioned table (shared checkpoint folder). What its
+    checks can count row by row is counted by that write; the others scan the
+    stored tables."""
+    L = Lineage.from_testdata(spark, sf_dir, store=_scratch(spark, "models"),
+                              measures=lambda name: write_measures(name, AS_OF, RECENCY_CLOCK))
+    tables = _tables(L)
+    return ck.run_checks(spark, build_checks(tables, AS_OF, RECENCY_CLOCK), L.known), L
 
 
 def q_dq_check_results(spark, sf_dir):
@@ -467,6 +484,24 @@ def q_stream_ingest(spark, sf_dir):
     return finish(spark.read.parquet(path + "/raw").drop("_ingestion_ts"))
 
 
+def q_stream_merge(spark, sf_dir):
+    """The raw loan feed in three drops dealt by hash, so the latest row of a
+    key is in any of them. The last drop is streamed first, then the others,
+    then one of them again under a new checkpoint, as after a lost one."""
+    from ..streaming.ingest import merge_available
+
+    raw = _lineage(spark, sf_dir).raw["positions_loans"].withColumn(
+        "_ingestion_ts", F.col("_ingestion_ts").cast("timestamp"))
+    path = _scratch(spark, "stream-merge")
+    drops = raw.withColumn("drop", F.pmod(F.xxhash64(*raw.columns), F.lit(3)))
+    drops.write.partitionBy("drop").parquet(path + "/all")
+    for i, checkpoint in ((2, "a"), (0, "b"), (1, "c"), (0, "d")):
+        merge_available(spark, f"{path}/all/drop={i}", raw.schema, RAW_POSITIONS_SCHEMA, POSITION_KEYS, path + "/raw",
+                        f"{path}/{checkpoint}")
+    out = sinks.read_table(spark, path + "/raw")
+    return finish(out.withColumn("_ingestion_ts", F.col("_ingestion_ts").cast("date")))
+
+
 def q_sync_columns(spark, sf_dir):
     L = _lineage(spark, sf_dir)
     old = L.mart_positions.drop("interest_rate").withColumn("legacy_flag", F.lit(1))
@@ -487,6 +522,33 @@ def q_compact_partition(spark, sf_dir):
     return finish(table.join(files, list(by), "left").select(*book.columns, "files_of_day"))
 
 
+def q_compact_small_files(spark, sf_dir):
+    """The whole book in one date. A system's rows are one large file and two
+    small ones: compaction merges the small ones and leaves the large one,
+    and a second run finds nothing to do."""
+    book = _lineage(spark, sf_dir).mart_positions.withColumn(PARTITION_DATE, F.lit(AS_OF))
+    path, by = _scratch(spark, "compact-small"), PARTITIONING["mart_positions"]
+    part = F.pmod(F.xxhash64("position_id"), F.lit(10))
+    day = f"{path}/{PARTITION_DATE}={AS_OF.isoformat()}"
+    for rows, files in ((part > 1, 1), (part <= 1, 2)):
+        for system in ck.EXPECTED_SOURCES:
+            book.where(rows & (F.col("source_system") == system)).drop(*by).repartition(files).write.mode("append").parquet(
+                f"{day}/source_system={system}")
+    sizes = {s: sorted(n for _, n in sinks.data_files(spark, f"{day}/source_system={s}")) for s in ck.EXPECTED_SOURCES}
+    limit = min(s[-1] for s in sizes.values())
+    name = F.input_file_name()
+    table = lambda: spark.read.schema(book.schema).parquet(path)
+    before = table().select(F.col("source_system").alias("was_in"), name.alias("file")).distinct()
+    before = before.checkpoint()
+    first = sinks.compact_partition(spark, path, AS_OF, partition_by=by, file_bytes=limit)
+    again = sinks.compact_partition(spark, path, AS_OF, partition_by=by, file_bytes=limit)
+    after = table().groupBy("source_system", name.alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    kept = after.join(before, "file", "left").groupBy("source_system").agg(
+        F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("files"), F.count("was_in").alias("kept_files"))
+    return kept.select("source_system", "n_rows", "files", "kept_files", F.lit(first).cast("bigint").alias("rewritten"),
+                       F.lit(again).cast("bigint").alias("rewritten_again"))
+
+
 def q_stored_failures(spark, sf_dir):
     L = _lineage(spark, sf_dir)
     path = _scratch(spark, "failures")
@@ -526,6 +588,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_between": q_check_between,
     "check_row_count": q_check_row_count,
     "check_recency": q_check_recency,
+    "footer_checks": q_footer_checks,
     "check_expression": q_check_expression,
     "check_positive_when_not_null": q_check_positive_when_not_null,
     "check_freshness": q_check_freshness,
@@ -542,6 +605,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sync_columns": q_sync_columns,
     "compact_partition": q_compact_partition,
     "stored_failures": q_stored_failures,
+    "stream_merge": q_stream_merge,
+    "compact_small_files": q_compact_small_files,
     "upsert_update": q_upsert_update,
     "upsert_null_partition": q_upsert_null_partition,
     "schema_evolution": q_schema_evolution,

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import checks as ck
@@ -107,23 +107,51 @@ DECLARED: tuple[CheckSpec, ...] = tuple(
 )
 
 
-def build_check(spec: CheckSpec, tables: dict[str, DataFrame], as_of: dt.date, now: dt.datetime) -> ck.Check:
-    t = tables[spec.table]
-    p = spec.params
-    k = spec.kind
-    c = F.col(spec.column) if spec.column else None
-    if k == "not_null":
-        return ck.row_check(spec.check_id, spec.table, t, c.isNull(), spec.severity)
-    if k == "between":
+def row_predicate(spec: CheckSpec, as_of: dt.date) -> Column | None:
+    """What makes a row fail, for the checks that look at single rows."""
+    p, c = spec.params, F.col(spec.column) if spec.column else None
+    today = F.col(PARTITION_DATE) == F.lit(as_of)
+    if spec.kind == "not_null":
+        return c.isNull()
+    if spec.kind == "between":
         bad = F.lit(False)
         if p.get("min_value") is not None:
             bad = bad | (c < F.lit(p["min_value"]))
         if p.get("max_value") is not None:
             bad = bad | (c > F.lit(p["max_value"]))
-        return ck.row_check(spec.check_id, spec.table, t, bad, spec.severity)
-    if k == "expression_is_true":
-        cond = F.col(PARTITION_DATE) == F.lit(as_of) if p.get("row_condition") == "as_of" else F.lit(True)
-        return ck.row_check(spec.check_id, spec.table, t, cond & ~F.expr(p["expression"]), spec.severity)
+        return bad
+    if spec.kind == "expression_is_true":
+        return (today if p.get("row_condition") == "as_of" else F.lit(True)) & ~F.expr(p["expression"])
+    if spec.kind == "no_outliers":
+        return today & F.col("is_outlier")
+    return None
+
+
+def write_measures(table: str, as_of: dt.date, now: dt.datetime, specs=DECLARED) -> list[ck.WriteMeasure]:
+    """What the declared checks of a table can count while it is written."""
+    found = []
+    for s in specs:
+        if s.table != table:
+            continue
+        p, bad = s.params, row_predicate(s, as_of)
+        if bad is not None:
+            found.append(ck.WriteMeasure(s.check_id, F.count(F.when(bad, F.lit(1)))))
+        elif s.kind == "accepted_values":  # failures are different values; rows tell whether there are any
+            rows = F.count(F.when(~F.col(s.column).isin(list(p["values"])), F.lit(1)))
+            found.append(ck.WriteMeasure(s.check_id, rows, exact=False))
+        elif s.kind == "row_count_between":
+            found.append(ck.WriteMeasure(s.check_id, ck.row_count_measure(p.get("min_value"), p.get("max_value"))))
+        elif s.kind == "recency":
+            found.append(ck.WriteMeasure(s.check_id, ck.recency_measure(s.column, p["interval_days"], now)))
+    return found
+
+
+def build_check(spec: CheckSpec, tables: dict[str, DataFrame], as_of: dt.date, now: dt.datetime) -> ck.Check:
+    t = tables[spec.table]
+    p = spec.params
+    k = spec.kind
+    if k in ("not_null", "between", "expression_is_true"):
+        return ck.row_check(spec.check_id, spec.table, t, row_predicate(spec, as_of), spec.severity)
     measure = None
     if k == "unique":
         f = ck.unique(t, spec.column)

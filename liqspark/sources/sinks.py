@@ -1,12 +1,13 @@
 """Sinks: partitioned writes, keyed upsert, column sync, compaction and raw
 ingestion, on path-based Parquet tables.
 
-Re-runs are safe: writes replace only the partitions present in the new data
-(dynamic partition overwrite), and the upsert replaces rows by key. Where a
-job must read and rewrite the same table, lineage is cut first with
-``DataFrame.checkpoint()`` into the shared folder named by
-``spark.checkpoint.dir``, so a lost executor never has to re-read
-half-rewritten files.
+Re-runs are safe: a full write replaces only the partitions present in the new
+data (dynamic partition overwrite). Jobs that change a table they read (merge,
+day replacement, compaction) write once into a hidden folder of the table, note
+what it replaces in a ``_swap`` file, and then rename; so a lost executor never
+re-reads half-rewritten files, and a job that died between two renames is
+finished by the next writer. Readers may meet a partition between the removal of
+its old files and the rename of its new ones.
 
 Each table keeps its schema in a ``_table_schema`` file beside the data. Every
 write replaces it with the columns written (columns are synced to the latest
@@ -18,10 +19,12 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +33,7 @@ from ..session import ensure_checkpoint_dir
 
 SCHEMA_FILE = "_table_schema"
 STREAM_LOG = "_spark_metadata"
+SWAP_FILE, STAGING = "_swap", "_staging-"
 # Values of the first partition column a merge may turn into a static filter.
 MAX_STATIC_VALUES = 4_000
 FILE_BYTES = 128 << 20
@@ -56,30 +60,54 @@ def refuse_stream_table(spark: SparkSession, path: str) -> None:
         raise ValueError(f"{path} is written by a stream; batch writes there would not be read")
 
 
-def table_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    """The schema kept with the table, or None if no writer of this module made it."""
-    hpath, fs = _hadoop(spark, f"{path}/{SCHEMA_FILE}")
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    hpath, fs = _hadoop(spark, path)
     if not fs.exists(hpath):
         return None
     stream = fs.open(hpath)
     try:
-        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
-    return T.StructType.fromJson(json.loads(text))
 
 
-def _keep_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
-    if table_schema(spark, path) == nullable:
-        return
-    hpath, fs = _hadoop(spark, f"{path}/{SCHEMA_FILE}")
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    hpath, fs = _hadoop(spark, path)
     out = fs.create(hpath, True)
-    out.write(bytearray(nullable.json().encode()))
+    out.write(bytearray(text.encode()))
     out.close()
 
 
-def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = (PARTITION_DATE,)) -> None:
+def write_note(spark: SparkSession, path: str) -> None:
+    """An empty file, whose presence says something."""
+    _write_text(spark, path, "")
+
+
+def table_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema kept with the table, or None if no writer of this module made it."""
+    text = _read_text(spark, f"{path}/{SCHEMA_FILE}")
+    return None if text is None else T.StructType.fromJson(json.loads(text))
+
+
+def _keep_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+    if table_schema(spark, path) != nullable:
+        _write_text(spark, f"{path}/{SCHEMA_FILE}", nullable.json())
+
+
+# Aggregates taken of the rows while they are written: (observation, aggregates).
+Observed = tuple[Observation, Sequence[Column]]
+
+
+def _arranged(df: DataFrame, partition_by: Sequence[str], observed: Observed | None) -> DataFrame:
+    """``df`` clustered for its write. Aggregates are observed behind the
+    shuffle, in the writing tasks, where a repeated task counts once."""
+    out = df.hint("rebalance", *partition_by)
+    return out.observe(observed[0], *observed[1]) if observed and observed[1] else out
+
+
+def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = (PARTITION_DATE,),
+                      observed: Observed | None = None) -> None:
     """Write ``df`` replacing only the partitions it contains.
 
     The rebalance hint lets AQE cluster rows by the partition columns into
@@ -88,30 +116,86 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = (P
     no day is funnelled through a single task.
     """
     refuse_stream_table(df.sparkSession, path)
-    (df.hint("rebalance", *partition_by)
+    finish_swap(df.sparkSession, path)
+    (_arranged(df, partition_by, observed)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
     _keep_schema(df.sparkSession, path, df.schema)
 
 
-def replace_day(df: DataFrame, path: str, as_of: dt.date, partition_by: Sequence[str] = (PARTITION_DATE,)) -> None:
+def _partitions(spark: SparkSession, root: str, depth: int, below: str = "") -> list[str]:
+    """Partition folders ``depth`` levels below ``root``, as relative paths."""
+    folder, fs = _hadoop(spark, f"{root}/{below}" if below else root)
+    if not fs.exists(folder):
+        return []
+    if not depth:
+        return [below]
+    names = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
+    return sorted(p for n in names if "=" in n and n[0] not in "_."
+                  for p in _partitions(spark, root, depth - 1, f"{below}/{n}" if below else n))
+
+
+def data_files(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
+    """(name, bytes) of the data files in one folder."""
+    hpath, fs = _hadoop(spark, folder)
+    return sorted((s.getPath().getName(), s.getLen()) for s in fs.listStatus(hpath)
+                  if s.isFile() and s.getPath().getName()[0] not in "_.")
+
+
+def swap(spark: SparkSession, path: str, staging: str, add: Sequence[str], remove: Sequence[str]) -> None:
+    """Make folders or files ``add`` of the staging folder part of the table,
+    each in place of what has its name, and delete ``remove`` (relative paths).
+    The plan is stored first, so it is finished even if this process dies."""
+    tmp, fs = _hadoop(spark, f"{path}/{SWAP_FILE}.{uuid.uuid4().hex}")
+    _write_text(spark, tmp.toString(), json.dumps({"staging": staging, "add": list(add), "remove": list(remove)}))
+    fs.rename(tmp, _hadoop(spark, f"{path}/{SWAP_FILE}")[0])
+    finish_swap(spark, path)
+
+
+def finish_swap(spark: SparkSession, path: str) -> None:
+    """Carry out a stored replacement, from wherever it stopped; each step can
+    be repeated. Every writer of a table begins with this."""
+    text = _read_text(spark, f"{path}/{SWAP_FILE}")
+    if text is None:
+        return
+    plan = json.loads(text)
+    at = lambda rel: _hadoop(spark, f"{path}/{rel}")
+    for rel in plan["remove"]:
+        old, fs = at(rel)
+        fs.delete(old, True)
+    for rel in plan["add"]:
+        new, fs = at(f"{plan['staging']}/{rel}")
+        if fs.exists(new):  # else it was renamed before
+            old = at(rel)[0]
+            fs.delete(old, True)
+            fs.mkdirs(old.getParent())
+            if not fs.rename(new, old):
+                raise OSError(f"could not rename {new} to {old}")
+    for rel in (plan["staging"], SWAP_FILE):
+        done, fs = at(rel)
+        fs.delete(done, True)
+
+
+def _stage(df: DataFrame, path: str, partition_by: Sequence[str], observed: Observed | None = None) -> str:
+    """``df`` written as partitions in a hidden folder of the table; its name."""
+    staging = f"{STAGING}{uuid.uuid4().hex}"
+    _arranged(df, partition_by, observed).write.partitionBy(*partition_by).parquet(f"{path}/{staging}")
+    return staging
+
+
+def replace_day(df: DataFrame, path: str, as_of: dt.date, partition_by: Sequence[str] = (PARTITION_DATE,),
+                observed: Observed | None = None) -> None:
     """Make ``df``, whose rows are all of ``as_of``, the table's rows of that
     date. Sub-partitions of the date that ``df`` no longer has, and with an
-    empty ``df`` the whole date, are removed after the write."""
+    empty ``df`` the whole date, go. The rows are computed and written once."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    staged = df.checkpoint(eager=True)
-    write_partitioned(staged, path, partition_by)
-    day, fs = _hadoop(spark, f"{path}/{partition_by[0]}={as_of.isoformat()}")
-    if staged.isEmpty():
-        fs.delete(day, True)
-    elif len(partition_by) > 1:
-        column = partition_by[1]
-        kept = {str(r[0]) for r in staged.select(column).distinct().collect()}  # sub-partitions of one date
-        for status in fs.listStatus(day):
-            name = status.getPath().getName()
-            if name.startswith(f"{column}=") and name.split("=", 1)[1] not in kept:
-                fs.delete(status.getPath(), True)
+    refuse_stream_table(spark, path)
+    finish_swap(spark, path)
+    staging, depth = _stage(df, path, partition_by, observed), len(partition_by)
+    new = _partitions(spark, f"{path}/{staging}", depth)
+    old = _partitions(spark, path, depth - 1, f"{partition_by[0]}={as_of.isoformat()}")
+    swap(spark, path, staging, new, [p for p in old if p not in new])
+    _keep_schema(spark, path, df.schema)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -125,6 +209,34 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return spark.read.schema(schema).parquet(path)
 
 
+def footer_frame(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The table in a session of its own, where a count, or the least or
+    greatest value of an integer, floating-point or date column, is answered by
+    the files' footers (``PushedAggregation`` in the plan): no column is read.
+    Such a frame can't be joined with frames of the caller's session."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own.read.schema(schema or table_schema(spark, path) or read_table(spark, path).schema).parquet(path)
+
+
+def stored_rows(spark: SparkSession, path: str, as_of: dt.date | None = None) -> int:
+    """How many rows a table has, or one date of it, by its files' footers."""
+    rows = footer_frame(spark, path)
+    rows = rows if as_of is None else rows.where(F.col(PARTITION_DATE) == F.lit(as_of))
+    return rows.agg(F.count(F.lit(1))).first()[0]
+
+
+def footer_facts(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> dict:
+    """``n_rows`` of a table, ``min_<c>`` and ``max_<c>`` of integer,
+    floating-point or date columns, and ``max_partition``: the newest partition
+    value, by its folder's name. No data is read."""
+    ends = [f(c).alias(f"{name}_{c}") for c in columns for name, f in (("min", F.min), ("max", F.max))]
+    facts = footer_frame(spark, path).agg(F.count(F.lit(1)).alias("n_rows"), *ends).first().asDict()
+    first = next((v for v in reversed(partition_values(spark, path)) if not v.startswith("__HIVE")), None)
+    return {**facts, "max_partition": first}
+
+
 def read_declared(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The declared columns of a raw table; raises if one is missing or has
     another type, before any model reads it."""
@@ -165,8 +277,24 @@ def _same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
 
 
+def _touched_rows(spark: SparkSession, src: DataFrame, path: str, partition_by: Sequence[str]) -> DataFrame:
+    """The table's rows in those partitions that ``src`` has rows of, read with
+    the source's schema (the column sync happens in the reader)."""
+    first = partition_by[0]
+    target = read_table(spark, path, src.schema)
+    # A few values (one date for a daily run) become a static filter, so only
+    # those partitions are read; with more, the semi-join alone selects rows.
+    values = [r[0] for r in src.select(first).distinct().limit(MAX_STATIC_VALUES + 1).collect()]
+    if len(values) <= MAX_STATIC_VALUES:
+        known = sorted(v for v in values if v is not None)
+        touches = F.col(first).isin(known) if known else F.lit(False)
+        target = target.where(touches | F.col(first).isNull() if None in values else touches)
+    touched = src.select(*partition_by).distinct()
+    return target.join(touched, _same(target, touched, partition_by), "left_semi")
+
+
 def upsert(spark: SparkSession, src: DataFrame, path: str, key: Sequence[str],
-           partition_by: Sequence[str] = (PARTITION_DATE,)) -> None:
+           partition_by: Sequence[str] = (PARTITION_DATE,), observed: Observed | None = None) -> None:
     """Merge ``src`` into the table at ``path``: rows with a matching key are
     replaced, others inserted; only partitions present in ``src`` are
     rewritten. Keys must contain the partition columns or be unique per
@@ -175,30 +303,46 @@ def upsert(spark: SparkSession, src: DataFrame, path: str, key: Sequence[str],
     evaluated once.
     """
     ensure_checkpoint_dir(spark)
+    refuse_stream_table(spark, path)
+    finish_swap(spark, path)
     src = src.checkpoint(eager=True)
     if not duplicate_keys(src, key).isEmpty():
         raise ValueError(f"source has duplicate keys on {list(key)}; merge is ambiguous")
     if not table_exists(spark, path):
-        write_partitioned(src, path, partition_by)
+        write_partitioned(src, path, partition_by, observed)
         return
-    first = partition_by[0]
-    # read with the source's schema: the column sync happens in the reader
-    target = read_table(spark, path, src.schema)
-    # A few values (one date for a daily run) become a static filter, so only
-    # those partitions are read; with more, the semi-join alone selects rows.
-    values = [r[0] for r in src.select(first).distinct().limit(MAX_STATIC_VALUES + 1).collect()]
-    if len(values) <= MAX_STATIC_VALUES:
-        known = sorted(v for v in values if v is not None)
-        touches = F.col(first).isin(known) if known else F.lit(False)
-        target = target.where(touches | F.col(first).isNull() if None in values else touches)
-    touched = src.select(*partition_by).distinct()
-    rows = target.join(touched, _same(target, touched, partition_by), "left_semi")
-    keys = src.select(*key)
+    rows, keys = _touched_rows(spark, src, path, partition_by), src.select(*key)
     kept = rows.join(keys, _same(rows, keys, key), "left_anti")
-    merged = sync_columns(kept, src).unionByName(src)
-    # Cut lineage to the target files before overwriting them.
-    staged = merged.checkpoint(eager=True)
-    write_partitioned(staged, path, partition_by)
+    _replace_partitions(sync_columns(kept, src).unionByName(src), path, partition_by, observed)
+
+
+def _replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], observed: Observed | None = None) -> None:
+    spark = df.sparkSession
+    staging = _stage(df, path, partition_by, observed)
+    swap(spark, path, staging, _partitions(spark, f"{path}/{staging}", len(partition_by)), [])
+    _keep_schema(spark, path, df.schema)
+
+
+def merge_latest(spark: SparkSession, src: DataFrame, path: str, key: Sequence[str], order: Sequence[str],
+                 partition_by: Sequence[str] = (PARTITION_DATE,)) -> None:
+    """Merge ``src`` into the table so that of all rows of a key, stored or
+    new, the first by ``order`` (descending, nulls last) stays. The outcome
+    depends only on which rows were ever merged: a batch merged twice, late or
+    out of turn changes nothing. Keys must contain the partition columns. Only
+    partitions that ``src`` has rows of are read and rewritten."""
+    ensure_checkpoint_dir(spark)
+    refuse_stream_table(spark, path)
+    finish_swap(spark, path)
+    missing = [c for c in partition_by if c not in key]
+    if missing:
+        raise ValueError(f"partition columns {missing} are not part of the key {list(key)}")
+    src = src.checkpoint(eager=True)
+    rows = src
+    if table_exists(spark, path):
+        rows = sync_columns(_touched_rows(spark, src, path, partition_by), src).unionByName(src)
+    first = F.row_number().over(Window.partitionBy(*key).orderBy(*[F.col(c).desc_nulls_last() for c in order]))
+    latest = rows.withColumn("_first", first).where("_first = 1").drop("_first")
+    _replace_partitions(latest, path, partition_by)
 
 
 def merge_sql(target: str, source_view: str, key: Sequence[str], columns: Sequence[str]) -> str:
@@ -226,31 +370,59 @@ def merge_into(spark: SparkSession, src: DataFrame, table: str, key: Sequence[st
         spark.catalog.dropTempView(view)
 
 
+def pack_files(files: Sequence[tuple[str, int]], file_bytes: int) -> list[list[str]]:
+    """Bins of files to merge, each of at most ``file_bytes``: largest first,
+    into the first bin with room. Files of that size or more, and those no
+    other fits with, are in none."""
+    bins: list[tuple[int, list[str]]] = []
+    for name, size in sorted((f for f in files if f[1] < file_bytes), key=lambda f: (-f[1], f[0])):
+        i = next((i for i, (full, _) in enumerate(bins) if full + size <= file_bytes), None)
+        if i is None:
+            bins.append((size, [name]))
+        else:
+            bins[i] = (bins[i][0] + size, [*bins[i][1], name])
+    return [names for _, names in bins if len(names) > 1]
+
+
 def compact_partition(spark: SparkSession, path: str, as_of: dt.date, target_files: int | None = None,
-                      partition_by: Sequence[str] = (PARTITION_DATE,), file_bytes: int = FILE_BYTES) -> None:
-    """Rewrite one date of a table into few files per partition: by default as
-    many as its bytes need at ``file_bytes`` each, or ``target_files``.
-
-    ``partition_by`` is the table's full partitioning (date first); every
-    sub-partition of the date (e.g. each source system of the book) is
-    rewritten in place and keeps its directory. All columns of the table's
-    schema are kept.
+                      partition_by: Sequence[str] = (PARTITION_DATE,), file_bytes: int = FILE_BYTES) -> int:
+    """Merge the small files of one date of a table; returns how many files
+    were rewritten.
+
+    In each sub-partition of the date (``partition_by`` is the table's full
+    partitioning, date first) files are packed into bins of ``file_bytes``; the
+    files of bins with more than one are rewritten into as many files as there
+    are such bins, and all others stay as they are, so a second run rewrites
+    none. With ``target_files`` a sub-partition with more files than that is
+    rewritten into so many. All columns of the table's schema are kept.
     """
-    ensure_checkpoint_dir(spark)
     refuse_stream_table(spark, path)
-    date_col = partition_by[0]
-    if target_files is None:
-        day, fs = _hadoop(spark, f"{path}/{date_col}={as_of.isoformat()}")
-        size = fs.getContentSummary(day).getLength() if fs.exists(day) else 0
-        target_files = max(1, -(-size // file_bytes))
-    part = read_table(spark, path).where(F.col(date_col) == F.lit(as_of))
-    others = [c for c in part.columns if c not in partition_by]
-    # round-robin, not by the partition columns: a large day is spread over
-    # target_files tasks instead of landing in one
-    staged = part.repartition(target_files).checkpoint(eager=True)
-    (staged.select(*others, *partition_by)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
+    finish_swap(spark, path)
+    day = f"{partition_by[0]}={as_of.isoformat()}"
+    staging, jobs = f"{STAGING}{uuid.uuid4().hex}", []
+    for part in _partitions(spark, path, len(partition_by) - 1, day):
+        files = data_files(spark, f"{path}/{part}")
+        bins = pack_files(files, file_bytes)
+        names, n = sorted(f for b in bins for f in b), len(bins)
+        if target_files is not None:
+            names, n = ([f for f, _ in files], target_files) if len(files) > target_files else ([], 0)
+        if names:
+            jobs.append((part, names, n))
+    if not jobs:
+        return 0
+    schema = table_schema(spark, path) or read_table(spark, path).schema
+    stored = T.StructType([f for f in schema.fields if f.name not in partition_by])
+
+    def rewrite(part: str, names: list[str], n: int) -> None:
+        # round-robin: a large sub-partition is spread over n tasks
+        rows = spark.read.schema(stored).parquet(*[f"{path}/{part}/{f}" for f in names])
+        rows.repartition(n).write.parquet(f"{path}/{staging}/{part}")
+
+    with ThreadPoolExecutor(max_workers=8) as pool:  # sub-partitions of one date
+        list(pool.map(lambda j: rewrite(*j), jobs))
+    add = [f"{part}/{f}" for part, _, _ in jobs for f, _ in data_files(spark, f"{path}/{staging}/{part}")]
+    swap(spark, path, staging, add, [f"{part}/{f}" for part, names, _ in jobs for f in names])
+    return sum(len(names) for _, names, _ in jobs)
 
 
 def ingest_raw(spark: SparkSession, source: str | DataFrame, as_of: dt.date, schema: T.StructType,

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from helpers import D0, positions
 from liqspark.operators.staging import stage_positions
-from liqspark.schemas import RAW_POSITIONS_SCHEMA
+from liqspark.schemas import POSITION_KEYS, RAW_POSITIONS_SCHEMA
 from liqspark.sources import sinks
-from liqspark.streaming.ingest import ingest_available
+from liqspark.streaming.ingest import batch_merger, ingest_available, merge_available
 
 
 def test_upsert_replaces_by_key_and_is_idempotent(spark, tmp_dir):
@@ -239,3 +239,120 @@ def test_first_daily_run_with_an_empty_feed(spark, tmp_dir):
     assert results["both_sources__mart_positions"] == 1
     assert wh.read("stg_positions_loans").count() == 0 and wh.read("mart_positions").count() == 1
     assert wh.read("rpt_fr2052a_inflows").count() == 0 and wh.read("rpt_lcr").count() == 1
+
+
+# --- staged replacement -----------------------------------------------------------
+
+def test_interrupted_swap_is_finished_by_the_next_writer(spark, tmp_dir, monkeypatch):
+    path, day2, by = tmp_dir + "/t", D0 + dt.timedelta(days=1), ["partition_date"]
+    sinks.upsert(spark, _keyed(spark, [("a", 1, D0), ("b", 1, day2)]), path, ["k"])
+    finish = sinks.finish_swap
+
+    def dies(s, p):  # between the plan and its first rename
+        if sinks.path_exists(s, f"{p}/{sinks.SWAP_FILE}"):
+            raise OSError("gone")
+
+    monkeypatch.setattr(sinks, "finish_swap", dies)
+    with pytest.raises(OSError):
+        sinks.upsert(spark, _keyed(spark, [("a", 2, D0), ("c", 2, day2)]), path, ["k"])
+    rows = lambda: sorted((r.k, r.v) for r in sinks.read_table(spark, path).collect())
+    assert rows() == [("a", 1), ("b", 1)]  # staged rows aren't read
+    monkeypatch.setattr(sinks, "finish_swap", finish)
+    # half of the plan was carried out before
+    plan = sinks.json.loads(open(f"{path}/_swap").read())
+    first = plan["add"][0]
+    hpath, fs = sinks._hadoop(spark, f"{path}/{first}")
+    fs.delete(hpath, True)
+    fs.rename(sinks._hadoop(spark, f"{path}/{plan['staging']}/{first}")[0], hpath)
+    sinks.upsert(spark, _keyed(spark, [("d", 3, D0)]), path, ["k"])
+    assert rows() == [("a", 2), ("b", 1), ("c", 2), ("d", 3)]
+    assert not glob.glob(f"{path}/_s*g*") and not sinks.path_exists(spark, f"{path}/_swap")
+
+
+def test_a_day_is_written_once(spark, tmp_dir):
+    seen = spark.sparkContext.accumulator(0)
+    counted = F.udf(lambda k: (seen.add(1), k)[1], "string").asNondeterministic()
+    df = _keyed(spark, [(f"k{i}", i, D0) for i in range(20)]).withColumn("k", counted("k"))
+    sinks.replace_day(df, tmp_dir + "/t", D0)
+    assert seen.value == 20 and sinks.read_table(spark, tmp_dir + "/t").count() == 20
+
+
+def test_compaction_packs_small_files_and_leaves_large_ones(spark, tmp_dir):
+    assert sinks.pack_files([("a", 100), ("b", 40), ("c", 50), ("d", 60), ("e", 99)], 100) == [["d", "b"]]
+    assert sinks.pack_files([("a", 70), ("b", 60), ("c", 51)], 100) == [] == sinks.pack_files([], 100)
+    path, by = tmp_dir + "/t", ["partition_date", "source_system"]
+    day = f"{path}/partition_date={D0.isoformat()}"
+    row = ["concat('key', id) as k", "cast(id as int) as v"]
+    spark.range(20000).selectExpr(*row).repartition(1).write.parquet(f"{day}/source_system=X")
+    spark.range(300).selectExpr(*row).repartition(5).write.mode("append").parquet(f"{day}/source_system=X")
+    spark.range(200).selectExpr(*row).repartition(1).write.parquet(f"{day}/source_system=Y")
+    before = dict(sinks.data_files(spark, f"{day}/source_system=X"))
+    large = max(before, key=before.get)
+    only = sinks.data_files(spark, f"{day}/source_system=Y")
+    assert sinks.compact_partition(spark, path, D0, partition_by=by, file_bytes=before[large]) == 5
+    after = dict(sinks.data_files(spark, f"{day}/source_system=X"))
+    assert len(after) == 2 and after[large] == before[large]
+    assert sinks.data_files(spark, f"{day}/source_system=Y") == only
+    assert sinks.compact_partition(spark, path, D0, partition_by=by, file_bytes=before[large]) == 0
+    assert dict(sinks.data_files(spark, f"{day}/source_system=X")) == after
+    t = sinks.read_table(spark, path)
+    assert t.count() == 20500 and t.where("source_system = 'X'").select("v").distinct().count() == 20000
+    assert sinks.compact_partition(spark, path, D0 + dt.timedelta(days=1), partition_by=by) == 0
+
+
+# --- streaming merge ------------------------------------------------------------------
+
+def _drops(spark):
+    at = lambda h: dt.datetime(2024, 3, 29, h)
+    row = lambda i, n, h, **kw: dict(instrument_id=i, notional_value=Decimal(n), _ingestion_ts=at(h), **kw)
+    old = D0 - dt.timedelta(days=1)
+    return [positions(spark, rows) for rows in (
+        [row("INS1", "1.00", 1), row("INS2", "2.00", 1), row("INS2", "9.00", 1)],
+        [row("INS1", "5.00", 5), row("INS3", "3.00", 2), row("INS1", "7.00", 3, partition_date=old)],
+        [row("INS1", "4.00", 4), row("INS3", "6.00", 3, position_qty=None)])]
+
+
+def _merged(spark, path):
+    return sorted((str(r.partition_date), r.instrument_id, str(r.notional_value))
+                  for r in sinks.read_table(spark, path).collect())
+
+
+def test_streamed_drops_merge_in_any_order_and_number(spark, tmp_dir):
+    want = [("2024-03-28", "INS1", "7.00"), ("2024-03-29", "INS1", "5.00"), ("2024-03-29", "INS2", "9.00"),
+            ("2024-03-29", "INS3", "6.00")]
+    drops = _drops(spark)
+    for n, order in enumerate([(0, 1, 2), (2, 1, 0), (1, 1, 0, 2, 0)]):
+        src, target, ckpt = (f"{tmp_dir}/{n}/{x}" for x in ("drop", "raw", "ckpt"))
+        for i in order:
+            drops[i].coalesce(1).write.mode("append").parquet(src)
+            merge_available(spark, src, RAW_POSITIONS_SCHEMA, RAW_POSITIONS_SCHEMA, POSITION_KEYS, target, ckpt)
+        assert _merged(spark, target) == want
+        merge_available(spark, src, RAW_POSITIONS_SCHEMA, RAW_POSITIONS_SCHEMA, POSITION_KEYS, target, ckpt)  # nothing new
+        merge_available(spark, src, RAW_POSITIONS_SCHEMA, RAW_POSITIONS_SCHEMA, POSITION_KEYS, target, ckpt + "2",
+                        max_files_per_trigger=1)  # all files again, one a batch
+        assert _merged(spark, target) == want
+
+
+def test_batch_is_merged_again_after_a_failure_but_not_after_its_note(spark, tmp_dir, monkeypatch):
+    target, (first, second, third) = tmp_dir + "/raw", _drops(spark)
+    merge = batch_merger(target, POSITION_KEYS, tmp_dir + "/ckpt")
+    merge(first, 0)
+    note = sinks.write_note
+    monkeypatch.setattr(sinks, "write_note", lambda *a: (_ for _ in ()).throw(OSError("gone")))
+    with pytest.raises(OSError):
+        merge(second, 1)
+    monkeypatch.setattr(sinks, "write_note", note)
+    state = _merged(spark, target)
+    merge(second, 1)
+    assert _merged(spark, target) == state
+    monkeypatch.setattr(sinks, "merge_latest", lambda *a, **k: pytest.fail("merged a noted batch"))
+    merge(third, 1)
+
+
+def test_streamed_merge_needs_a_load_time_and_partition_keys(spark, tmp_dir):
+    raw = _drops(spark)[0]
+    with pytest.raises(ValueError, match="_ingestion_ts"):
+        merge_available(spark, tmp_dir, raw.drop("_ingestion_ts").schema, RAW_POSITIONS_SCHEMA, POSITION_KEYS,
+                        tmp_dir + "/raw", tmp_dir + "/ckpt")
+    with pytest.raises(ValueError, match="partition_date"):
+        sinks.merge_latest(spark, raw, tmp_dir + "/raw", ["instrument_id"], ["_ingestion_ts"])
