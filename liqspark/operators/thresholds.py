@@ -15,6 +15,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import dims_json, is_business_day, zscore
 from ..functions.frames import union_all
@@ -69,27 +70,39 @@ def trailing_business_dates(book: DataFrame, as_of: dt.date, n: int) -> DataFram
     return ranked.where(F.col("rnk") <= n)
 
 
-def rule_metrics(book: DataFrame, rule: AggRule, as_of: dt.date,
-                 ranked_dates: Sequence[tuple[dt.date, int]]) -> DataFrame:
+def _on_dates(df: DataFrame, book_dates: DataFrame, rule: AggRule, as_of: dt.date) -> DataFrame:
+    """Rows of ``df`` on the dates a rule looks at: ``as_of`` and the business
+    dates of ``book_dates`` within its lookback (without a row of ``as_of`` one
+    date more, which no group of that day will use).
+
+    They are a broadcast of at most lookback + 1 rows, computed when the plan
+    runs; over a stored table the semi-join is also a dynamic filter on the
+    partitions to read. That needs a top-n and no equality: Spark gives the
+    filter up where the dates come from a window, or where an inferred
+    condition compares the partition date with ``=``.
+    """
+    d = F.col(PARTITION_DATE)
+    days = book_dates.select(d.cast("date").alias(PARTITION_DATE)).where(
+        (d <= F.lit(as_of)) & ((d >= F.lit(as_of)) | is_business_day(d)))
+    back = days.distinct().orderBy(d.desc()).limit(int(rule.lookback_business_days) + 1)
+    return df.join(F.broadcast(back), PARTITION_DATE, "left_semi")
+
+
+def rule_metrics(book: DataFrame, rule: AggRule, as_of: dt.date, book_dates: DataFrame) -> DataFrame:
     """One rule's rows for ``as_of``: current value, history statistics,
     thresholds, z-score and outlier flag.
 
-    ``ranked_dates`` are the (date, rank) pairs of the trailing business
-    dates. One scan serves the current day and the history: the book is
-    filtered to {as_of} ∪ history dates (a static IN list on the partition
-    column, so a stored book is pruned to exactly those partitions at planning
-    time) and aggregated once per (date, dims). A second, tiny aggregation per
-    dims then takes the current value and the history statistics with
-    conditional aggregates, so no join is needed; grouping keeps null dims
-    together, as ``<=>`` does. Groups without a row today are dropped; groups
-    without history get null statistics.
+    ``book_dates`` has the book's dates. One scan serves the current day and the
+    history: the book is joined with the trailing dates (so only their partitions
+    of a stored book are read) and aggregated once per (date, dims). A second,
+    tiny aggregation per dims then takes the current value and the history
+    statistics with conditional aggregates, so no further join is needed;
+    grouping keeps null dims together, as ``<=>`` does. Groups without a row
+    today are dropped; groups without history get null statistics.
     """
     dims = list(rule.group_by)
-    d = F.col(PARTITION_DATE).cast("date")
-    wanted = [day for day, rnk in ranked_dates if rnk <= rule.lookback_business_days] + [as_of]
-    scoped = (book.where(d.isin(wanted))
-              .where(F.expr(rule.where))
-              .withColumn(PARTITION_DATE, d))
+    scoped = _on_dates(book.withColumn(PARTITION_DATE, F.col(PARTITION_DATE).cast("date")).where(F.expr(rule.where)),
+                       book_dates, rule, as_of)
     daily = scoped.groupBy(PARTITION_DATE, *dims).agg(F.expr(rule.metric_expr).alias("metric_value"))
 
     today = F.col(PARTITION_DATE) == F.lit(as_of)
@@ -153,19 +166,20 @@ def _rule_rows(base: DataFrame, rule: AggRule) -> DataFrame:
         *out.columns)
 
 
-def agg_threshold_metrics(book: DataFrame, as_of: dt.date,
-                          rules: Sequence[AggRule] = POSITION_RULES) -> DataFrame:
-    """All rules for one run date, unioned (one row per rule x dims group)."""
+def agg_threshold_metrics(book: DataFrame, as_of: dt.date, rules: Sequence[AggRule] = POSITION_RULES,
+                          book_dates: DataFrame | None = None) -> DataFrame:
+    """All rules for one run date, unioned (one row per rule x dims group).
+
+    ``book_dates`` is any frame with the book's ``partition_date`` values, such
+    as a stored book's folder names; without it they are taken from the book.
+    Nothing is computed before the result is.
+    """
     if not rules:
         raise ValueError("at least one rule is required")
     for r in rules:
         F.expr(r.metric_expr), F.expr(r.where)  # fail fast on malformed SQL text
-    max_lookback = max(r.lookback_business_days for r in rules)
-    # At most max_lookback rows: resolving them up front turns the history
-    # filter into static partition pruning for every rule's scan.
-    ranked = [(r[PARTITION_DATE], r["rnk"])
-              for r in trailing_business_dates(book, as_of, max_lookback).collect()]
-    return union_all([rule_metrics(book, r, as_of, ranked) for r in rules])
+    dates = book.select(PARTITION_DATE) if book_dates is None else book_dates
+    return union_all([rule_metrics(book, r, as_of, dates) for r in rules])
 
 
 def business_day_index(book: DataFrame) -> DataFrame:
@@ -183,45 +197,71 @@ def business_day_index(book: DataFrame) -> DataFrame:
                     before.cast("long").alias("k"))
 
 
-def rule_metrics_all_dates(book: DataFrame, rule: AggRule, index: DataFrame) -> DataFrame:
-    """One rule for EVERY date of the book at once: each date's value against
-    the trailing ``lookback`` business dates before that date.
+def daily_moments(book: DataFrame, rule: AggRule) -> DataFrame:
+    """A rule's value per (date, dims group), as moments that add up over days:
+    ``_rows`` (1), ``_values`` (1 if not null), ``_odd`` (1 if not finite),
+    ``_s1`` and ``_s2`` (the value less ``_shift``, and its square).
 
-    The book is scanned and aggregated once per (date, dims). Each daily row
-    then appears twice on one ordering axis: as history at ``2·idx`` (business
-    dates only) and as "today" at ``2·k + 1``. A range frame of
-    ``[-(2·lookback - 1), -1]`` around a today-row covers exactly the history
-    rows of the previous ``lookback`` business dates. The window partitions by
-    the rule's dims, so each partition holds at most 2 x (number of dates)
-    rows, however large the book.
+    Integers and decimals of up to 28 digits and 4 places are summed exactly,
+    others as doubles. ``_shift`` is the group's least finite value, so sums of
+    squares hold deviations, not magnitudes.
     """
     dims = list(rule.group_by)
-    n_back = int(rule.lookback_business_days)
     daily = (book.where(F.expr(rule.where))
              .withColumn(PARTITION_DATE, F.col(PARTITION_DATE).cast("date"))
              .groupBy(PARTITION_DATE, *dims).agg(F.expr(rule.metric_expr).alias("metric_value")))
-    idx = F.broadcast(index)  # one row per calendar date
-    days = daily.join(idx, PARTITION_DATE)
-    hist = days.where(F.col("idx").isNotNull()).select(
-        *dims, (F.col("idx") * 2).alias("_pos"), F.lit(1).alias("_day"), F.col("metric_value").alias("_hist"),
-        F.lit(None).cast(daily.schema["metric_value"].dataType).alias("_cur"),
-        F.lit(None).cast("date").alias(PARTITION_DATE))
-    cur = days.select(*dims, (F.col("k") * 2 + 1).alias("_pos"), F.lit(None).cast("int").alias("_day"),
-                      F.lit(None).cast(daily.schema["metric_value"].dataType).alias("_hist"),
-                      F.col("metric_value").alias("_cur"), PARTITION_DATE)
-    w = (Window.partitionBy(*dims) if dims else Window.partitionBy(F.lit(1))) \
-        .orderBy("_pos").rangeBetween(-(2 * n_back - 1), -1)
-    hv = F.col("_hist")
-    stats = hist.unionByName(cur).select(
-        *dims, PARTITION_DATE, "_cur",
-        F.count("_day").over(w).alias("_hist_rows"), F.count(hv).over(w).alias("_hist_values"),
-        F.sum(hv).over(w).alias("_hist_sum"),
-        F.stddev_samp(hv.cast("double")).over(w).alias("hist_stddev"),
-    ).where(F.col(PARTITION_DATE).isNotNull())
-
-    base = stats.select(*dims, PARTITION_DATE, F.col("_cur").cast("double").alias("cur"), *_history("_hist_sum"),
-                        "hist_stddev")
-    return _rule_rows(base, rule)
+    kind, v = daily.schema["metric_value"].dataType, F.col("metric_value")
+    exact = isinstance(kind, T.IntegralType) or isinstance(kind, T.DecimalType) and kind.precision <= 28 and kind.scale <= 4
+    scale = kind.scale if isinstance(kind, T.DecimalType) else 0
+    x = v.cast(f"decimal(28,{scale})") if exact else v.cast("double")
+    odd = F.lit(False) if exact else F.isnan(x) | (F.abs(x) == float("inf"))
+    group = Window.partitionBy(*dims) if dims else Window.partitionBy(F.lit(1))
+    zero = F.lit(0).cast(f"decimal(28,{scale})" if exact else "double")
+    shifted = daily.withColumn("_odd", F.coalesce(odd, F.lit(False)).cast("int")).withColumn(
+        "_x", F.when(F.col("_odd") == 0, x)).withColumn("_shift", F.coalesce(F.min("_x").over(group), zero))
+    y = F.coalesce(F.col("_x") - F.col("_shift"), zero)
+    return shifted.select(PARTITION_DATE, *dims, "metric_value", "_shift", F.lit(1).alias("_rows"),
+                          v.isNotNull().cast("int").alias("_values"), "_odd", y.alias("_s1"), (y * y).alias("_s2"))
+
+
+MOMENTS = ("_rows", "_values", "_odd", "_s1", "_s2")
+
+
+def rule_metrics_all_dates(book: DataFrame, rule: AggRule, index: DataFrame) -> DataFrame:
+    """One rule for EVERY date of the book at once: each date's value against
+    the trailing ``lookback`` business dates before that date.
+
+    The book is scanned and aggregated once per (date, dims). On one ordering
+    axis a business date's moments lie at ``2·idx``, and every date asks twice
+    for the sum of all moments before a place: at ``2·k + 1`` (all business
+    dates before it) and at ``2·(k - lookback) + 1``. Their difference is the
+    moments of the trailing dates, so a row costs the same whatever the
+    lookback. The window partitions by the rule's dims: 3 rows a date in each,
+    however large the book.
+    """
+    dims, back = list(rule.group_by), int(rule.lookback_business_days)
+    days = daily_moments(book, rule).join(F.broadcast(index), PARTITION_DATE)  # one row per calendar date
+    asks = F.array(F.struct(F.lit(1).alias("_sign"), (F.col("k") * 2 + 1).alias("_pos")),
+                   F.struct(F.lit(-1).alias("_sign"), ((F.col("k") - back) * 2 + 1).alias("_pos")),
+                   F.struct(F.lit(0).alias("_sign"), (F.col("idx") * 2).cast("long").alias("_pos")))
+    events = days.select("*", F.inline(asks)).where("_pos is not null")
+    so_far = (Window.partitionBy(*dims) if dims else Window.partitionBy(F.lit(1))).orderBy("_pos").rangeBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    running = events.select(*dims, PARTITION_DATE, "_sign", "metric_value", "_shift", *[
+        F.sum(F.when(F.col("_sign") == 0, F.col(m))).over(so_far).alias(m) for m in MOMENTS])
+    part = lambda m: (F.coalesce(F.sum(F.when(F.col("_sign") == 1, F.col(m))), F.lit(0))
+                      - F.coalesce(F.sum(F.when(F.col("_sign") == -1, F.col(m))), F.lit(0)))
+    stats = running.where("_sign <> 0").groupBy(*dims, PARTITION_DATE).agg(
+        F.max("metric_value").alias("_cur"), F.max("_shift").alias("_shift"), *[part(m).alias(m) for m in MOMENTS])
+    n, s1, s2 = F.col("_values"), F.col("_s1").cast("double"), F.col("_s2").cast("double")
+    not_finite = F.lit(float("nan"))
+    deviation = F.when(n < 2, F.lit(None)).when(F.col("_odd") > 0, not_finite).otherwise(
+        F.sqrt(F.greatest(s2 - s1 * s1 / n, F.lit(0.0)) / (n - 1)))
+    total = F.when(F.col("_odd") > 0, not_finite).otherwise((F.col("_s1") + n * F.col("_shift")).cast("double"))
+    base = stats.select(*dims, PARTITION_DATE, F.col("_cur").cast("double").alias("cur"),
+                        F.col("_rows").alias("_hist_rows"), n.alias("_hist_values"), total.alias("_hist_sum"),
+                        deviation.alias("hist_stddev"))
+    return _rule_rows(base.select(*dims, PARTITION_DATE, "cur", *_history("_hist_sum"), "hist_stddev"), rule)
 
 
 def agg_threshold_metrics_all_dates(book: DataFrame, rules: Sequence[AggRule] = POSITION_RULES) -> DataFrame:
@@ -245,8 +285,6 @@ def rule_definition(rule: AggRule) -> str:
 
 def _value_columns(v: Column, dtype) -> list[Column]:
     # Integers and decimals of up to 10 places keep exact sums; anything else is double.
-    from pyspark.sql import types as T
-
     exact = isinstance(dtype, T.IntegralType) or isinstance(dtype, T.DecimalType) and dtype.scale <= 10
     return [(v.cast("decimal(38,10)") if exact else F.lit(None).cast("decimal(38,10)")).alias("metric_decimal"),
             (F.lit(None).cast("double") if exact else v.cast("double")).alias("metric_double")]
@@ -307,11 +345,10 @@ def agg_threshold_metrics_from_daily(daily: DataFrame, book_dates: DataFrame, as
     present definition. ``daily`` must hold what :func:`missing_daily_values`
     finds. ``book_dates`` is any frame with the book's ``partition_date``
     values, such as its folder names."""
-    ranked = _ranked(book_dates, as_of, rules)
     parts = []
     for rule in rules:
-        rows = daily.where((F.col("rule_name") == rule.name) & (F.col("definition") == rule_definition(rule))
-                           & F.col(PARTITION_DATE).isin(_wanted(rule, ranked, as_of)))
+        rows = _on_dates(daily.where((F.col("rule_name") == rule.name) & (F.col("definition") == rule_definition(rule))),
+                         book_dates, rule, as_of)
         v = F.coalesce(F.col("metric_decimal").cast("double"), F.col("metric_double"))
         today = F.col(PARTITION_DATE) == F.lit(as_of)
         exact_sum = F.sum(F.when(~today, F.col("metric_decimal")))

@@ -123,11 +123,15 @@ class Lineage:
                                                                self.seed("seed_fr2052a_product_mapping")),
             "rpt_fr2052a_supplemental": lambda: reg.fr2052a_supplemental(t("mart_positions"),
                                                                          t("mart_liquidity_risk")),
-            "mart_positions_dq_metrics": lambda: th.agg_threshold_metrics(t("mart_positions"), self.as_of,
-                                                                          self.rules),
+            "mart_positions_dq_metrics": lambda: th.agg_threshold_metrics(
+                t("mart_positions"), self.as_of, self.rules, self._stored_dates("mart_positions")),
             "mart_positions_dq_daily": lambda: th.daily_rule_values(t("mart_positions"), self.rules),
         }
 
+    def _stored_dates(self, name: str) -> DataFrame | None:
+        """A stored model's dates, by its folders' names."""
+        return sinks.partition_dates(self.spark, f"{self.store.rstrip('/')}/{name}") if self.store else None
+
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
             df = self._builders()[name]()

@@ -50,9 +50,6 @@ UNIQUE_KEYS = {
 }
 
 
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: folder of rows without a partition value
-
-
 class Warehouse:
     """Path-based tables under one root folder."""
 
@@ -70,8 +67,7 @@ class Warehouse:
 
     def dates(self, name: str) -> DataFrame:
         """The partition dates of a table, one row each, without reading its files."""
-        days = [d for d in sinks.partition_values(self.spark, self.path(name)) if d != NULL_PARTITION]
-        return self.spark.createDataFrame([(dt.date.fromisoformat(d),) for d in days], f"{PARTITION_DATE} date")
+        return sinks.partition_dates(self.spark, self.path(name))
 
     def save(self, name: str, df: DataFrame, as_of: dt.date, measures: Sequence[ck.WriteMeasure] = ()) -> dict[str, int]:
         """Store one day of a model; returns the failures of the checks counted

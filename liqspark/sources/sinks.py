@@ -24,6 +24,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +34,7 @@ from ..session import ensure_checkpoint_dir
 
 SCHEMA_FILE = "_table_schema"
 STREAM_LOG = "_spark_metadata"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: folder of rows without a partition value
 SWAP_FILE, STAGING = "_swap", "_staging-"
 # Values of the first partition column a merge may turn into a static filter.
 MAX_STATIC_VALUES = 4_000
@@ -230,11 +232,18 @@ def stored_rows(spark: SparkSession, path: str, as_of: dt.date | None = None) ->
 def footer_facts(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> dict:
     """``n_rows`` of a table, ``min_<c>`` and ``max_<c>`` of integer,
     floating-point or date columns, and ``max_partition``: the newest partition
-    value, by its folder's name. No data is read."""
+    value, by its folder's name. No data is read, unless a file has no range of
+    a column (all its values are null): those columns are then scanned."""
     ends = [f(c).alias(f"{name}_{c}") for c in columns for name, f in (("min", F.min), ("max", F.max))]
-    facts = footer_frame(spark, path).agg(F.count(F.lit(1)).alias("n_rows"), *ends).first().asDict()
-    first = next((v for v in reversed(partition_values(spark, path)) if not v.startswith("__HIVE")), None)
-    return {**facts, "max_partition": first}
+    facts = {"n_rows": stored_rows(spark, path)}
+    if ends:
+        try:
+            facts |= footer_frame(spark, path).agg(*ends).first().asDict()
+        except PySparkException as e:
+            if "No min/max found" not in str(e):
+                raise
+            facts |= read_table(spark, path).agg(*ends).first().asDict()
+    return {**facts, "max_partition": next((v for v in reversed(partition_values(spark, path)) if v != NULL_PARTITION), None)}
 
 
 def read_declared(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -258,6 +267,12 @@ def partition_values(spark: SparkSession, path: str, column: str = PARTITION_DAT
     return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
 
 
+def partition_dates(spark: SparkSession, path: str) -> DataFrame:
+    """The partition dates of a table, one row each, without reading its files."""
+    days = [d for d in partition_values(spark, path) if d != NULL_PARTITION]
+    return spark.createDataFrame([(dt.date.fromisoformat(d),) for d in days], f"{PARTITION_DATE} date")
+
+
 def sync_columns(target: DataFrame, src: DataFrame) -> DataFrame:
     """Target rows projected onto the source schema: new columns as nulls,
     removed columns dropped, types cast to the source's."""

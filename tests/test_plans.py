@@ -2,6 +2,8 @@
 no cartesian / nested-loop joins, no Python evaluation, the dedup limited
 before its shuffle, filters pushed into the lineitem scan."""
 
+from dataclasses import replace
+
 import pytest
 
 import __spark_entry__ as E
@@ -62,17 +64,29 @@ def test_cashflow_window_reuses_aggregate_partitioning(spark):
     assert len(re.findall(r"Exchange hashpartitioning\(portfolio_id#\d+, partition_date#\d+, \d+\)", plan)) == 1
 
 
-def test_dq_history_scans_are_statically_pruned(spark, tmp_dir):
+def test_dq_history_scans_are_pruned_by_the_lazy_dates(spark, tmp_dir):
     from liqspark.operators import thresholds as th
     from liqspark.plans.models import Lineage
+    from liqspark.sources import sinks
 
     L = Lineage.from_testdata(spark, SF_SMALL, store=tmp_dir + "/wh")
-    df = th.agg_threshold_metrics(L.table("mart_positions"), L.as_of)
-    leaves = df._jdf.queryExecution().sparkPlan().collectLeaves().iterator()
-    rule_scans = 0
-    while leaves.hasNext():
-        n = leaves.next()
-        md = n.metadata() if n.getClass().getSimpleName() == "FileSourceScanExec" else None
-        if md is not None and "mart_positions" in md.apply("Location") and "IN" in md.apply("PartitionFilters"):
-            rule_scans += 1
-    assert rule_scans == 4  # each rule reads only the wanted partitions
+    book, dates = L.table("mart_positions"), sinks.partition_dates(spark, tmp_dir + "/wh/mart_positions")
+    rules = [replace(r, lookback_business_days=5) for r in th.POSITION_RULES]
+    df = th.agg_threshold_metrics(book, L.as_of, rules, dates)
+    jobs = df._jdf.queryExecution()
+    assert _plan(df).count("dynamicpruning") >= 4  # a filter on the partitions of each rule's scan
+    df.collect()
+    read, todo = [], [jobs.executedPlan()]
+    while todo:  # scans inside the adaptive plan's finished stages
+        n = todo.pop()
+        kind = n.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(n.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(n.plan())
+        elif kind == "FileSourceScanExec" and "mart_positions" in n.metadata().apply("Location"):
+            read.append(n.metrics().apply("numPartitions").value())
+        children = n.children().iterator()
+        while children.hasNext():
+            todo.append(children.next())
+    assert read and set(read) <= {6, 12}  # dates, or dates by source system

@@ -142,3 +142,40 @@ def test_many_decimals_are_kept(spark):
     direct = th.agg_threshold_metrics(df, AS_OF, [rule]).collect()
     got = th.agg_threshold_metrics_from_daily(th.daily_rule_values(df, [rule]), df, AS_OF, [rule]).collect()
     assert got[0].hist_mean > 0 and abs(got[0].hist_mean / direct[0].hist_mean - 1) < 1e-9
+
+
+def test_all_dates_of_double_values_with_gaps_and_odd_values(spark):
+    import random
+
+    r = random.Random(4)
+    days = [AS_OF - dt.timedelta(days=i) for i in range(120)]
+    rows = [(d, g, None if r.random() < 0.1 else 1e9 + r.random() * 100) for d in days for g in ("L", "M", None) if r.random() < 0.8]
+    rows += [(days[90], "N", float("nan")), *[(d, "N", 5.0) for d in days[:90]]]
+    df = spark.createDataFrame(rows, "partition_date date, source_system string, x double")
+    rules = [th.AggRule("sum", "sum(x)", ("source_system",), "1=1", 3, n, 2) for n in (1, 7, 60)] + [
+        th.AggRule("count", "count(x)", (), "1=1", 3, 20, 2)]
+    index = th.business_day_index(df)
+    for rule in rules:
+        got = {(x.dims_json, x.partition_date): x for x in th.rule_metrics_all_dates(df, rule, index).collect()}
+        for day in (days[0], days[3], days[30], days[100], days[119]):
+            want = th.agg_threshold_metrics(df, day, [rule]).collect()
+            assert {x.dims_json for x in want} == {k for k, d in got if d == day}
+            for w in want:
+                g = got[w.dims_json, day]
+                assert (g.hist_n, g.current_value) == (w.hist_n, w.current_value)
+                for c in ("hist_mean", "hist_stddev"):
+                    assert g[c] == w[c] or g[c] != g[c] and w[c] != w[c] or abs(g[c] - w[c]) < 1e-6 * max(1, abs(w[c])) ** 0.5, c
+
+
+def test_sums_of_all_dates_are_exact_decimals(spark):
+    day = dt.timedelta(days=1)
+    rows = [(AS_OF - i * day, "L", Decimal("99999999999999.99") - Decimal(i) / 100) for i in range(60)]
+    df = spark.createDataFrame(rows, "partition_date date, source_system string, notional_value decimal(18,2)")
+    rule = th.AggRule("sum", "sum(notional_value)", ("source_system",), "1=1", 3, 40, 2)
+    got = {r.partition_date: r for r in th.agg_threshold_metrics_all_dates(df, [rule]).collect()}[AS_OF]
+    back = [v for d, _, v in rows if d < AS_OF and d.weekday() < 5][:40]
+    mean = sum(back) / len(back)
+    assert got.hist_mean == float(sum(back)) / len(back)
+    assert abs(got.hist_stddev - float(sum((v - mean) ** 2 for v in back) / (len(back) - 1)) ** 0.5) < 1e-9
+    frames = th.agg_threshold_metrics_all_dates(df, [rule])._jdf.queryExecution().optimizedPlan().toString()
+    assert "unboundedpreceding" in frames and "-79" not in frames  # running sums only
