@@ -24,7 +24,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import Sequence
 
-from pyspark.errors import PySparkException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -239,7 +239,7 @@ def footer_facts(spark: SparkSession, path: str, columns: Sequence[str] = ()) ->
     if ends:
         try:
             facts |= footer_frame(spark, path).agg(*ends).first().asDict()
-        except PySparkException as e:
+        except Py4JJavaError as e:  # Spark's own error for it isn't one that PySpark converts
             if "No min/max found" not in str(e):
                 raise
             facts |= read_table(spark, path).agg(*ends).first().asDict()
