@@ -226,7 +226,7 @@ def stored_rows(spark: SparkSession, path: str, as_of: dt.date | None = None) ->
     """How many rows a table has, or one date of it, by its files' footers."""
     rows = footer_frame(spark, path)
     rows = rows if as_of is None else rows.where(F.col(PARTITION_DATE) == F.lit(as_of))
-    return rows.agg(F.count(F.lit(1))).first()[0]
+    return rows.agg(F.count(F.lit(1))).first()[0] or 0  # the pushed count of no files is null
 
 
 def footer_facts(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> dict:
