@@ -8,7 +8,7 @@ from __future__ import annotations
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.frames import union_all
 from ..schemas import DEPOSITS, LOANS, PARTITION_DATE
+from ..session import ensure_checkpoint_dir
 
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
@@ -30,6 +31,36 @@ def unique(df: DataFrame, column: str) -> DataFrame:
             .where(F.col("n_records") > 1))
 
 
+# Digests that may be broadcast, of 8 bytes each.
+BROADCAST_DIGESTS = 1_000_000
+
+
+def digest_counts(keys: DataFrame) -> DataFrame:
+    """Rows of each ``_digest``; the keys beside it don't travel."""
+    return keys.groupBy("_digest").agg(F.count(F.lit(1)).alias("n"))
+
+
+def unique_by_digest(df: DataFrame, column: str, digest: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
+    """:func:`unique` of a stored table's long keys: digests of 8 bytes are
+    counted first, and keys are compared as a whole only where a digest repeats,
+    so different keys with one digest are told apart. The first count is stored
+    when this is called; without a repeated digest no key is read again. The
+    keys themselves travel only if their digest repeats, unless more than
+    ``BROADCAST_DIGESTS`` do."""
+    keys = df.where(F.col(column).isNotNull()).select(F.col(column).alias("unique_field"),
+                                                      digest(F.col(column)).alias("_digest"))
+    ensure_checkpoint_dir(df.sparkSession)
+    repeated = digest_counts(keys).where(F.col("n") > 1).select("_digest").checkpoint()
+    n = repeated.count()
+    if n == 0:
+        keys = keys.where(F.lit(False))
+    elif n <= BROADCAST_DIGESTS:
+        keys = keys.join(F.broadcast(repeated), "_digest", "left_semi")
+    else:
+        keys = keys.join(repeated, "_digest", "left_semi")
+    return unique(keys, "unique_field")
+
+
 def accepted_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
     """Values outside the accepted list with their counts (nulls pass)."""
     return (df.where(~F.col(column).isin(list(values)))

@@ -18,13 +18,15 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from ..schemas import RAW_MARKET_SCHEMA, RAW_POSITIONS_SCHEMA
+from ..schemas import MARKET_KEYS, PARTITION_DATE, POSITION_KEYS, RAW_MARKET_SCHEMA, RAW_POSITIONS_SCHEMA
 from ..session import ensure_checkpoint_dir
 from ..sources import sinks
 
 FEEDS = {"market_data": RAW_MARKET_SCHEMA, "positions_loans": RAW_POSITIONS_SCHEMA,
          "positions_deposits": RAW_POSITIONS_SCHEMA}
 
+KEYS = {"market_data": MARKET_KEYS, "positions_loans": POSITION_KEYS, "positions_deposits": POSITION_KEYS}
+
 
 def _date(s: str) -> dt.date:
     return dt.date.fromisoformat(s)
@@ -41,6 +43,7 @@ def parser() -> argparse.ArgumentParser:
     ing.add_argument("--feed", choices=sorted(FEEDS), required=True)
     ing.add_argument("--source-system", default=None, help="tag, e.g. LMS or CBS")
     ing.add_argument("--format", default="parquet")
+    ing.add_argument("--quarantine", action="store_true", help="set rows with malformed values or null keys apart")
 
     run = sub.add_parser("run", help="build all models for one date and check them")
     run.add_argument("--partition-date", type=_date, required=True)
@@ -66,6 +69,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     spark = spark or SparkSession.builder.appName(f"liqspark-{args.cmd}").getOrCreate()
     ensure_checkpoint_dir(spark)
 
+    if args.cmd == "ingest" and args.quarantine:
+        from ..operators.quarantine import ingest_checked
+
+        ingest_checked(spark, args.source_path, args.partition_date, FEEDS[args.feed], args.target_table, args.format,
+                       [c for c in KEYS[args.feed] if c != PARTITION_DATE], args.source_system)
+        return 0
+
     if args.cmd == "ingest":
         sinks.ingest_raw(spark, args.source_path, args.partition_date, FEEDS[args.feed], args.target_table,
                          fmt=args.format, source_system=args.source_system)

@@ -547,6 +547,34 @@ QUERY_SQL: dict[str, tuple[list[str], str]] = {
     "check_unique": (["risk"], """
         SELECT risk_record_id AS unique_field, count(*) AS n_records FROM risk WHERE risk_record_id IS NOT NULL
         GROUP BY risk_record_id HAVING count(*) > 1"""),
+    "check_unique_digest": (["risk"], """
+        SELECT risk_record_id AS unique_field, count(*) AS n_records FROM risk WHERE risk_record_id IS NOT NULL
+        GROUP BY risk_record_id HAVING count(*) > 1"""),
+    "quarantine": (["raw_loans"], """
+        WITH marked AS (
+          SELECT partition_date, CAST(notional_value AS DECIMAL(18,2)) AS amount,
+                 instrument_id = 'INS9' AS bad_qty, instrument_id = 'INS5' AND position_type = 'LONG' AS long_amount,
+                 instrument_id = 'INS6' AND position_type = 'LONG' AS no_amount,
+                 portfolio_id IN ('PF3', 'PF4') AND instrument_id IN ('INS5', 'INS7') AS bad_date,
+                 instrument_id = 'INS8' AND position_type <> 'SHORT' AS no_currency
+          FROM raw_loans),
+        rows_of AS (SELECT *, if(bad_qty OR long_amount OR no_amount OR bad_date OR no_currency, 'quarantine', 'kept') AS part,
+                           if(long_amount OR no_amount, NULL, amount) AS read_amount FROM marked)
+        SELECT partition_date, part, NULL::VARCHAR AS column_name, NULL::VARCHAR AS value, NULL::VARCHAR AS reason,
+               count(*) AS n, CAST(sum(read_amount) AS DOUBLE) AS notional FROM rows_of GROUP BY partition_date, part
+        UNION ALL
+        SELECT partition_date, 'value', c, v, r, count(*), NULL FROM (
+          SELECT partition_date, 'position_qty' AS c, 'n/a' AS v, 'not_a_number' AS r FROM marked WHERE bad_qty
+          UNION ALL SELECT partition_date, 'notional_value', repeat('9', 25), 'does_not_fit' FROM marked WHERE long_amount
+          UNION ALL SELECT partition_date, 'notional_value', ' ', 'blank' FROM marked WHERE no_amount
+          UNION ALL SELECT partition_date, 'maturity_date', '31/12/2024', 'not_a_date' FROM marked WHERE bad_date
+          UNION ALL SELECT partition_date, 'currency', NULL, 'missing' FROM marked WHERE no_currency) x
+        GROUP BY partition_date, c, v, r"""),
+    "declared_scan": (["raw_loans"], """
+        SELECT CAST(partition_date AS VARCHAR) AS what, count(*) AS n_rows,
+               CAST(sum(CAST(notional_value AS DECIMAL(18,2))) AS DOUBLE) AS notional FROM raw_loans GROUP BY partition_date
+        UNION ALL SELECT 'maturity_date: date, declared string', NULL, NULL
+        UNION ALL SELECT 'desk: missing, declared string', NULL, NULL"""),
     "check_accepted_values": (["book"], """
         SELECT position_type AS value_field, count(*) AS n_records FROM book
         WHERE position_type NOT IN ('LONG', 'SHORT', 'HEDGE') GROUP BY position_type"""),

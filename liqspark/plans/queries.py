@@ -21,6 +21,7 @@ from ..functions.frames import union_all
 from ..functions.keys import surrogate_key
 from ..operators import checks as ck
 from ..operators import publish as pub
+from ..operators import quarantine as qn
 from ..operators import regulatory as reg
 from ..operators import risk as rk
 from ..operators import staging as stg
@@ -155,6 +156,13 @@ def q_check_unique(spark, sf_dir):
     return ck.unique(_lineage(spark, sf_dir).mart_liquidity_risk, "risk_record_id")
 
 
+def q_check_unique_digest(spark, sf_dir):
+    """The stored risk table's keys, counted by digest first."""
+    path = _scratch(spark, "digests")
+    sinks.write_partitioned(_lineage(spark, sf_dir).mart_liquidity_risk.select("risk_record_id", PARTITION_DATE), path)
+    return ck.unique_by_digest(sinks.read_table(spark, path), "risk_record_id")
+
+
 def q_check_accepted_values(spark, sf_dir):
     return ck.accepted_values(_lineage(spark, sf_dir).mart_positions, "position_type", ["LONG", "SHORT", "HEDGE"])
 
@@ -334,6 +342,53 @@ def _ingest(spark, sf_dir, feed, schema, tag):
     return finish(out.drop("_ingestion_ts"))
 
 
+# Malformed texts put into the loan feed: (rows, column, text).
+MALFORMED = (("instrument_id = 'INS9'", "position_qty", "n/a"),
+             ("instrument_id = 'INS5' and position_type = 'LONG'", "notional_value", "9" * 25),
+             ("instrument_id = 'INS6' and position_type = 'LONG'", "notional_value", " "),
+             ("portfolio_id in ('PF3', 'PF4') and instrument_id in ('INS5', 'INS7')", "maturity_date", "31/12/2024"),
+             ("instrument_id = 'INS8' and position_type <> 'SHORT'", "currency", None))
+
+
+def q_quarantine(spark, sf_dir):
+    """The loan feed of all dates as text with malformed values: rows kept, rows
+    set apart, and each malformed value with its count, by date."""
+    raw, path = _lineage(spark, sf_dir).raw["positions_loans"], _scratch(spark, "quarantine")
+    text = {f.name: F.col(f.name).cast("string") for f in RAW_POSITIONS_SCHEMA.fields}
+    for rows, column, value in MALFORMED:
+        text[column] = F.when(F.expr(rows), F.lit(value).cast("string")).otherwise(text[column])
+    raw.select(*[c.alias(n) for n, c in text.items()]).write.parquet(f"{path}/feed")
+    qn.store_branches(qn.typed_with_issues(qn.read_text_feed(spark, f"{path}/feed", "parquet"), {
+        f.name: f.dataType for f in RAW_POSITIONS_SCHEMA.fields}, POSITION_KEYS + ["currency"]), f"{path}/table")
+    none = F.lit(None).cast("string")
+    rows = lambda df, branch: df.groupBy(PARTITION_DATE).agg(
+        F.lit(branch).alias("part"), none.alias("column_name"), none.alias("value"), none.alias("reason"),
+        F.count(F.lit(1)).alias("n"), F.sum("notional_value").cast("double").alias("notional"))
+    values = qn.quarantined_values(spark, f"{path}/table").where("file is not null").groupBy(
+        PARTITION_DATE, F.lit("value").alias("part"), "column_name", "value", "reason").agg(
+        F.count(F.lit(1)).alias("n"), F.lit(None).cast("double").alias("notional"))
+    return rows(qn.kept_rows(spark, f"{path}/table"), "kept").union(
+        rows(qn.quarantined_rows(spark, f"{path}/table"), "quarantine")).union(values)
+
+
+def q_declared_scan(spark, sf_dir):
+    """The stored loan feed through its declaration, by date, and the columns
+    that a differing declaration is refused for."""
+    raw, path = _lineage(spark, sf_dir).raw["positions_loans"], _scratch(spark, "declared")
+    typed = raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in RAW_POSITIONS_SCHEMA.fields])
+    sinks.write_partitioned(typed, path)
+    rows = sinks.read_declared(spark, path, RAW_POSITIONS_SCHEMA).groupBy(F.col(PARTITION_DATE).cast("string").alias("what")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("notional_value").cast("double").alias("notional"))
+    other = T.StructType([T.StructField(f.name, T.StringType() if f.name == "maturity_date" else f.dataType)
+                          for f in RAW_POSITIONS_SCHEMA.fields] + [T.StructField("desk", T.StringType())])
+    try:
+        sinks.read_declared(spark, path, other)
+        refused = []
+    except ValueError as e:
+        refused = [p.strip() for p in str(e).split("declaration:", 1)[1].split(";")]
+    return rows.union(spark.createDataFrame([(r, None, None) for r in refused], "what string, n_rows bigint, notional double"))
+
+
 def q_ingest_raw(spark, sf_dir):
     return _ingest(spark, sf_dir, "positions_loans", RAW_POSITIONS_SCHEMA, "LMS")
 
@@ -583,6 +638,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "seed_lookup": q_seed_lookup,
     "check_not_null": q_check_not_null,
     "check_unique": q_check_unique,
+    "check_unique_digest": q_check_unique_digest,
     "check_accepted_values": q_check_accepted_values,
     "check_relationships": q_check_relationships,
     "check_between": q_check_between,
@@ -610,6 +666,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_update": q_upsert_update,
     "upsert_null_partition": q_upsert_null_partition,
     "schema_evolution": q_schema_evolution,
+    "quarantine": q_quarantine,
+    "declared_scan": q_declared_scan,
     "ingest_deposits": q_ingest_deposits,
     "ingest_market": q_ingest_market,
     "accepted_values_failing": q_accepted_values_failing,

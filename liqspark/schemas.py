@@ -39,6 +39,11 @@ POSITION_KEYS = ["portfolio_id", "instrument_id", "position_type", "partition_da
 INGESTION_TS = "_ingestion_ts"
 PARTITION_DATE = "partition_date"
 
+# Raw tables that set rows with malformed values apart (operators/quarantine.py).
+BRANCH = "branch"
+KEPT, QUARANTINED = "kept", "quarantine"
+ISSUES = "_issues"
+
 
 def _struct(columns: dict[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in columns.items()])

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import INGESTION_TS, PARTITION_DATE
+from ..schemas import BRANCH, INGESTION_TS, ISSUES, KEPT, PARTITION_DATE
 from ..session import ensure_checkpoint_dir
 
 SCHEMA_FILE = "_table_schema"
@@ -248,8 +248,11 @@ def footer_facts(spark: SparkSession, path: str, columns: Sequence[str] = ()) ->
 
 def read_declared(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The declared columns of a raw table; raises if one is missing or has
-    another type, before any model reads it."""
+    another type, before any model reads it. Of a table that sets malformed
+    rows apart, only the kept rows are read."""
     df = read_table(spark, path)
+    if {BRANCH, ISSUES} <= set(df.columns):
+        df = df.where(F.col(BRANCH) == KEPT)
     have = {f.name: f.dataType for f in df.schema.fields}
     wrong = [f"{f.name}: {have[f.name].simpleString() if f.name in have else 'missing'}, declared {f.dataType.simpleString()}"
              for f in schema.fields if have.get(f.name) != f.dataType]
