@@ -17,7 +17,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,12 @@ PRIOR_WORDS = 2_000.0  # weight of the corpus prior, in words
 FLOOR = 0.5  # documents added to each of a word's counts; bounds the error of rare words
 CONFIDENCE = 3.0  # standard errors a word's log-odds are moved towards zero
 DRIFT = 0.5  # each word's cost; makes the expected score of clean text negative
-BEST_SEGMENTS = 32  # that the sum statistic may add up
+# Beyond this surprise more evidence is no more certainty: it is the greatest
+# input of the calibration. So many segments above the level reach it whatever
+# their scores, so a further one changes nothing.
+SATURATION = 12.0
+BEST_SEGMENTS = 40
+SUM_STEP, SUM_END = 0.25, 120.0  # places the law of the sums is tabled at
 MAX_P = 0.05  # chance a significant passage may have in clean text of that length
 THRESHOLD = 0.3  # fixed value
 CACHE_WORDS = 100_000  # of which a task keeps counts or scores at a time
@@ -146,22 +151,49 @@ def best_scores(scores: np.ndarray) -> list[float]:
     return sorted((x[2] for x in segments(scores)), reverse=True)[:BEST_SEGMENTS]
 
 
+@lru_cache(maxsize=1)
+def sum_surprise() -> np.ndarray:
+    """-log10 P(sum of the r best normalised scores of clean text >= t), a row
+    for r = 2 to ``BEST_SEGMENTS``, a column for t = 0 to ``SUM_END``.
+
+    Clean text's segments beyond the level are a Poisson process of intensity
+    e^-x; the density of the sum of its r best points is
+    e^-t / (r! (r-2)!) times the integral of y^(r-2) exp(-e^((y-t)/r)) over y."""
+    t = np.arange(0.0, SUM_END + SUM_STEP, SUM_STEP)
+    rows = []
+    for r in range(2, BEST_SEGMENTS + 1):
+        y = np.arange(0.0, SUM_END + 5 * r, SUM_STEP)
+        inner = np.trapezoid(y ** (r - 2) * np.exp(-np.exp((y[None, :] - t[:, None]) / r)), dx=SUM_STEP, axis=1)
+        density = np.exp(np.log(inner) - t - math.lgamma(r + 1) - math.lgamma(r - 1))
+        steps = (density[1:] + density[:-1]) * SUM_STEP / 2
+        tail = density[-1] + np.concatenate([np.cumsum(steps[::-1])[::-1], [0.0]])
+        rows.append(-np.log10(tail))
+    return np.stack(rows)
+
+
 def joint_surprise(best: list[float], words: int, model: Model) -> float:
-    """-log10 of the chance of the best segments of a text together: the
-    smallest over r of P(sum of the r best normalised scores), about
-    e^-T T^(r-1) / (r! (r-1)!), times r for the choice."""
+    """-log10 of the chance of the best segments of a text together, at most
+    ``SATURATION``: the smallest over r of the chance that clean text's r best
+    normalised scores have such a sum, times r (r + 1) for the choice of r (the
+    inverses add up to one). All segments that score above the level count,
+    those of which clean text of that length is expected to have less than one.
+    A better or a further segment never lowers it."""
     if not best or not words:
         return 0.0
     level, total = math.log(model.scale * words), 0.0
-    most = surprise(best[0], words, model) * math.log(10)
+    most = surprise(best[0], words, model) - math.log10(2)
     for r, score in enumerate(best, 1):
         over = model.rate * score - level
-        if over <= 0:
+        if over <= 0 or most >= SATURATION:
             break
         total += over
-        chance = (r - 1) * math.log(total) - math.lgamma(r + 1) - math.lgamma(r) + math.log(r)
-        most = max(most, total - chance) if r > 1 else most
-    return min(most / math.log(10), 300.0)
+        if r > BEST_SEGMENTS or total >= SUM_END:
+            return SATURATION
+        if r > 1:
+            row, (at, part) = sum_surprise()[r - 2], divmod(total / SUM_STEP, 1)
+            known = row[int(at)] + part * (row[int(at) + 1] - row[int(at)])
+            most = max(most, float(known) - math.log10(r * (r + 1)))
+    return min(max(most, 0.0), SATURATION)
 
 
 def surprise(score: float, words: int, model: Model) -> float:
@@ -206,10 +238,6 @@ def _word_scores(text: str | None, model: Model) -> np.ndarray:
     return np.array(scores, np.float32) - np.float32(DRIFT)
 
 
-def _cap(x: np.ndarray | float) -> np.ndarray | float:
-    return np.minimum(x, 12.0)  # beyond, more surprise is no more certainty
-
-
 def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
     """Weights and calibration from the labelled rows that aren't held out.
 
@@ -217,14 +245,15 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> M
     their ids are the only thing broadcast. Words of all documents are counted by
     the word itself, in a table in the shared folder; only features whose weight
     isn't zero come back, and they are among those of the training rows. Rows with a null label or doc_id are
-    skipped, an id with several labels counts as toxic if one says so.
+    skipped, an id with several labels counts as toxic if one says so. Of
+    several texts with one id the calibration takes that with the best segment.
     """
     spark = docs.sparkSession
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy(
         F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs)
     marked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
-        F.broadcast(known), "doc_id", "left").select("text", "toxic")
+        F.broadcast(known), "doc_id", "left").select("doc_id", "text", "toxic")
     names = ["feature", "n", "clean", "toxic"]
 
     def counted(n: Counter, labelled: list[Counter]) -> pa.RecordBatch:
@@ -270,18 +299,19 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> M
             for text in b.column("text").to_pylist():
                 s = _word_scores(text, shared.value)
                 rows.append((best_scores(s), len(s)))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.list_(pa.float64())), pa.array(
-                [r[1] for r in rows], pa.int64()), b.column("toxic")], ["best", "words", "toxic"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([r[0] for r in rows], pa.list_(pa.float64())), pa.array(
+                [r[1] for r in rows], pa.int64()), b.column("toxic")], ["doc_id", "best", "words", "toxic"])
 
-    # of each training document at most BEST_SEGMENTS numbers
-    seen = marked.where("toxic is not null").mapInArrow(best, "best array<double>, words bigint, toxic int") \
-        .sort(F.xxhash64("best", "words", "toxic")).limit(2 * train_docs).toPandas()
+    # at most train_docs rows of at most BEST_SEGMENTS numbers
+    seen = (marked.where("toxic is not null").mapInArrow(best, "doc_id bigint, best array<double>, words bigint, toxic int")
+            .groupBy("doc_id").agg(F.max(F.struct("best", "words", "toxic")).alias("top")).select("top.*")
+            .sort(F.xxhash64("best", "words", "toxic"), "words").toPandas())
     tops = [list(b) for b in seen["best"]]
     x = np.array([b[0] if b else 0.0 for b in tops])
     n, y = seen["words"].to_numpy(np.int64), seen["toxic"].to_numpy(int)
     rate, scale = fit_extreme_value(x[y == 0], n[y == 0])
     model = Model(weights, rate, scale, features=features)
-    t = _cap(np.array([joint_surprise(a, b, model) for a, b in zip(tops, n.tolist())]))
+    t = np.array([joint_surprise(a, b, model) for a, b in zip(tops, n.tolist())])
     slope, intercept = fit_logistic(t, y) if len(y) else (0.0, math.log(0.5 / 10))
     return Model(weights, rate, scale, slope, intercept, features)
 
@@ -292,7 +322,7 @@ def judge(text: str | None, model: Model, max_p: float = MAX_P) -> tuple[float,
     s = _word_scores(text, model)
     every = segments(s)
     best = sorted((x for _, _, x in every), reverse=True)[:BEST_SEGMENTS]
-    t = float(_cap(joint_surprise(best, len(s), model)))
+    t = joint_surprise(best, len(s), model)
     found = [(a, b, surprise(x, len(s), model)) for a, b, x in every]
     return 1 / (1 + math.exp(-(model.slope * t + model.intercept))), [x for x in found if x[2] >= -math.log10(max_p)]
 

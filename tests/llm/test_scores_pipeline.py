@@ -1,5 +1,6 @@
 """Toxicity, URL filter, license scan and the pipeline."""
 
+import math
 import random
 
 import numpy as np
@@ -55,6 +56,50 @@ def test_extreme_value_fit_finds_its_parameters():
     assert abs(rate - 1.7) < 0.15 and 0.15 < scale < 0.6
 
 
+def test_joint_surprise_never_falls_for_a_better_or_further_segment():
+    r, model = random.Random(5), toxicity.Model(np.zeros(0, np.float32), 1.3, 0.2)
+    for _ in range(3000):
+        best = sorted((r.choice([0.1, 1, 4, 9]) * r.random() for _ in range(r.randint(0, 40))), reverse=True)
+        words = r.choice([1, 5, 80, 3000])
+        before = toxicity.joint_surprise(best, words, model)
+        better = list(best)
+        if better:
+            better[r.randrange(len(better))] += r.choice([1e-6, 0.01, 0.5, 5])
+            assert toxicity.joint_surprise(sorted(better, reverse=True), words, model) >= before
+        further = sorted([*best, 5 * r.random()], reverse=True)
+        assert toxicity.joint_surprise(further, words, model) >= before
+
+
+def test_joint_surprise_is_calibrated_on_drawn_text():
+    g, model = np.random.default_rng(7), toxicity.Model(np.zeros(0, np.float32), 1.0, 1.0)
+    drawn = 40_000
+    # normalised scores of clean text: -log of the arrivals of a Poisson process
+    scores = -np.log(np.cumsum(g.exponential(size=(drawn, 40)), axis=1))
+    t = np.array([toxicity.joint_surprise([x for x in row.tolist() if x > 0], 1, model) for row in scores])
+    for level in (1.0, 2.0, 3.0):
+        assert (t >= level).mean() <= 10 ** -level * (1 + 4 / math.sqrt(drawn * 10 ** -level))
+    # the tabled law of the sums against the draws
+    sums = np.cumsum(scores, axis=1)
+    for r in (2, 3, 5):
+        for at in (0.0, 1.0, 3.0):
+            seen, known = (sums[:, r - 1] >= at).mean(), 10 ** -toxicity.sum_surprise()[r - 2][int(at / toxicity.SUM_STEP)]
+            assert abs(seen - known) < 4 * math.sqrt(known / drawn) + 0.01 * known
+
+
+def test_segments_beyond_the_tabled_ones_change_nothing():
+    last = toxicity.sum_surprise()[-1]
+    assert last[0] - math.log10(toxicity.BEST_SEGMENTS * (toxicity.BEST_SEGMENTS + 1)) >= toxicity.SATURATION
+    assert (np.diff(toxicity.sum_surprise(), axis=1) > 0).all()
+
+
+def test_training_takes_one_text_of_a_repeated_id(spark):
+    docs = spark.createDataFrame([(i % 5, prose(i, 40) + (" vile rotten vile" if i % 5 == 3 else "")) for i in range(600)],
+                                 "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i == 3)) for i in range(5)], "doc_id bigint, toxic int")
+    model = toxicity.train(docs, labels, train_docs=5)
+    assert 0 <= toxicity.judge("a thing", model)[0] <= toxicity.judge("vile rotten vile", model)[0] <= 1
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     rows = QUERIES["op1_toxicity"](spark, sf).drop("passages")
