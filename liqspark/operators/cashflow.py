@@ -21,16 +21,21 @@ def date_horizon(start: Column, days: int = HORIZON_DAYS) -> Column:
     return F.sequence(start, F.date_add(start, days - 1))
 
 
-def portfolio_cash_summary(positions: DataFrame, market: DataFrame) -> DataFrame:
-    """Per (portfolio, date): daily coupon income and daily margin cost."""
-    e = enrich_with_market(positions, market, ["yield_rate"])
-    return e.groupBy("portfolio_id", PARTITION_DATE).agg(
+def daily_amounts() -> list[Column]:
+    """Daily coupon income and margin cost of a group of positions with market fields."""
+    return [
         F.sum(F.when(F.col("yield_rate") > 0,
                      F.col("notional_value") * F.col("yield_rate") / DAYS_PER_YEAR)
               .otherwise(F.lit(0))).alias("daily_coupon_income"),
         F.sum(F.when(F.col("position_qty") < 0, F.abs(F.col("notional_value")) * dec(MARGIN_RATE))
               .otherwise(F.lit(0))).alias("daily_margin_cost"),
-    )
+    ]
+
+
+def portfolio_cash_summary(positions: DataFrame, market: DataFrame) -> DataFrame:
+    """Per (portfolio, date): daily coupon income and daily margin cost."""
+    e = enrich_with_market(positions, market, ["yield_rate"])
+    return e.groupBy("portfolio_id", PARTITION_DATE).agg(*daily_amounts())
 
 
 def cashflow_forecast(positions: DataFrame, market: DataFrame, days: int = HORIZON_DAYS) -> DataFrame:

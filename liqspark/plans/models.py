@@ -14,7 +14,7 @@ from __future__ import annotations
 import datetime as dt
 from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from ..operators import cashflow as cf
 from ..operators import positions as pos
@@ -25,7 +25,7 @@ from ..operators import thresholds as th
 from ..operators.checks import WriteMeasure, measures_to_observe, observed_failures
 from ..functions.columns import with_audit
 from ..schemas import PARTITION_DATE
-from ..session import ensure_runtime_conf
+from ..session import co_partitioned, ensure_runtime_conf
 from ..sources import fixtures, seeds, sinks
 
 MODEL_NAMES = (
@@ -82,6 +82,8 @@ AUDIT_COLUMN.update({"stg_market_data": "_loaded_at", "stg_positions_loans": "_l
 # Storage partitioning per model (the book is also split by source system).
 PARTITIONING = {name: (PARTITION_DATE,) for name in MODEL_NAMES}
 PARTITIONING["mart_positions"] = (PARTITION_DATE, "source_system")
+# Models that are joined on (instrument, date): bucketed alike if buckets are asked for.
+BUCKETED = {name: ("instrument_id",) for name in ("mart_positions", "stg_market_data")}
 
 
 class Lineage:
@@ -89,11 +91,15 @@ class Lineage:
 
     def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], as_of: dt.date = fixtures.AS_OF,
                  mode: str = "full", rules=th.POSITION_RULES, store: str | None = None,
-                 measures: Callable[[str], Sequence[WriteMeasure]] | None = None):
+                 measures: Callable[[str], Sequence[WriteMeasure]] | None = None, buckets: int | None = None):
         """With a store, ``measures`` names what to count of a model while it
-        is written; ``known`` then holds the failures by check id."""
+        is written; ``known`` then holds the failures by check id. ``buckets``
+        stores the book and the market table in that many buckets of
+        instruments, so that their joins need no exchange."""
         self.spark, self.raw, self.as_of, self.mode, self.rules, self.store = spark, raw, as_of, mode, rules, store
-        self.measures, self.known = measures or (lambda name: ()), {}
+        if buckets:
+            self.spark = co_partitioned(spark)  # stored models are read there
+        self.measures, self.known, self.buckets = measures or (lambda name: ()), {}, buckets
         self._cache: dict[str, DataFrame] = {}
         ensure_runtime_conf(spark)
 
@@ -114,8 +120,7 @@ class Lineage:
             "mart_positions": lambda: pos.unify_positions(t("stg_positions_loans"), t("stg_positions_deposits")),
             "mart_liquidity_risk": lambda: rk.liquidity_risk(t("mart_positions"), t("stg_market_data")),
             "mart_cashflow_forecast": lambda: cf.cashflow_forecast(t("mart_positions"), t("stg_market_data")),
-            "rpt_lcr": lambda: reg.lcr(t("mart_positions"), t("mart_cashflow_forecast"),
-                                       self.seed("seed_hqla_classification")),
+            "rpt_lcr": lambda: self.lcr(),
             "rpt_nsfr": lambda: reg.nsfr(t("mart_positions"), self.seed("seed_nsfr_factors")),
             "rpt_fr2052a_outflows": lambda: reg.fr2052a_outflows(t("mart_positions"),
                                                                  self.seed("seed_fr2052a_product_mapping")),
@@ -128,6 +133,14 @@ class Lineage:
             "mart_positions_dq_daily": lambda: th.daily_rule_values(t("mart_positions"), self.rules),
         }
 
+    def lcr(self, classify: Callable[[DataFrame], Column] = reg.default_hqla_type) -> DataFrame:
+        """The LCR of the stored book and forecast, or, where nothing is
+        stored, in one pass over the book."""
+        hqla = self.seed("seed_hqla_classification")
+        if self.store is not None:
+            return reg.lcr(self.table("mart_positions"), self.table("mart_cashflow_forecast"), hqla, classify)
+        return reg.lcr_one_pass(self.table("mart_positions"), self.table("stg_market_data"), hqla, classify)
+
     def _stored_dates(self, name: str) -> DataFrame | None:
         """A stored model's dates, by its folders' names."""
         return sinks.partition_dates(self.spark, f"{self.store.rstrip('/')}/{name}") if self.store else None
@@ -138,10 +151,15 @@ class Lineage:
             if self.store is not None:
                 path, measures = f"{self.store.rstrip('/')}/{name}", self.measures(name)
                 seen = (Observation(), measures_to_observe(measures)) if measures else None
-                sinks.write_partitioned(with_audit(df, AUDIT_COLUMN[name]), path, PARTITIONING[name], seen)
+                out, bucketed = with_audit(df, AUDIT_COLUMN[name]), self.buckets and name in BUCKETED
+                if bucketed:
+                    sinks.write_bucketed(out, path, BUCKETED[name], self.buckets, PARTITIONING[name], seen)
+                else:
+                    sinks.write_partitioned(out, path, PARTITIONING[name], seen)
                 if seen:
                     self.known.update(observed_failures(seen[0], measures, sinks.stored_rows(self.spark, path)))
-                df = sinks.read_table(self.spark, path, df.schema)
+                df = (sinks.read_bucketed(self.spark, path).select(*df.columns) if bucketed
+                      else sinks.read_table(self.spark, path, df.schema))
             self._cache[name] = df
         return self._cache[name]
 

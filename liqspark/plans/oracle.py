@@ -778,5 +778,10 @@ def build(name: str) -> str:
     return f"WITH {with_}\n{body}"
 
 
+# Stored in another way, with the same rows.
+for _name in ("liquidity_risk", "cashflow_forecast"):
+    QUERY_SQL[f"bucketed_{_name}"] = QUERY_SQL[_name]
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: build(name) for name in QUERY_SQL}

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from ..functions import columns as C
 from ..functions.frames import union_all
 from ..functions.keys import surrogate_key
+from ..operators import cashflow as cf
 from ..operators import checks as ck
 from ..operators import publish as pub
 from ..operators import quarantine as qn
@@ -72,9 +73,7 @@ HQLA_TYPES = [r[0] for r in seeds.HQLA_CLASSIFICATION]
 
 
 def q_lcr_instrument_master(spark, sf_dir):
-    L = _lineage(spark, sf_dir)
-    return finish(reg.lcr(L.mart_positions, L.mart_cashflow_forecast, L.seed("seed_hqla_classification"),
-                          classify=reg.hqla_type_by_instrument(HQLA_TYPES)))
+    return finish(_lineage(spark, sf_dir).lcr(reg.hqla_type_by_instrument(HQLA_TYPES)))
 
 
 def q_trailing_business_dates(spark, sf_dir):
@@ -277,6 +276,25 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+BUCKETS = 2  # of the test data's small days
+
+
+def _bucketed(spark: SparkSession, sf_dir: str) -> Lineage:
+    """Book and market table stored in equal buckets of instruments."""
+    return Lineage.from_testdata(spark, sf_dir, store=_scratch(spark, "bucketed"), buckets=BUCKETS)
+
+
+def q_bucketed_liquidity_risk(spark, sf_dir):
+    L = _bucketed(spark, sf_dir)
+    r = rk.liquidity_risk(L.mart_positions, L.stg_market_data)
+    return finish(r.withColumn("est_days_to_liquidate", F.col("est_days_to_liquidate").cast("bigint")))
+
+
+def q_bucketed_cashflow_forecast(spark, sf_dir):
+    L = _bucketed(spark, sf_dir)
+    return finish(cf.cashflow_forecast(L.mart_positions, L.stg_market_data))
+
+
 UPSERT_FROM = dt.date(2024, 3, 15)
 
 
@@ -686,4 +704,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stage_loans_stamped": q_stage_loans_stamped,
     "daily_run": q_daily_run,
     "supplemental_levels": q_supplemental_levels,
+    "bucketed_liquidity_risk": q_bucketed_liquidity_risk,
+    "bucketed_cashflow_forecast": q_bucketed_cashflow_forecast,
 }

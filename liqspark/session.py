@@ -88,6 +88,19 @@ def build_session(master: str = "local[*]", app: str = "liqspark",
     return spark
 
 
+def co_partitioned(spark: SparkSession) -> SparkSession:
+    """A session like ``spark`` in which a join whose inputs are stored in
+    equal buckets of a part of its key needs no exchange. Spark asks for the
+    whole key by default, since a part can be skewed; so only tables whose
+    buckets were measured (``sinks.read_bucketed``) are read here."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    return own
+
+
 def is_local(spark: SparkSession) -> bool:
     """Whether driver and executors are one process."""
     return re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master) is not None

@@ -18,7 +18,9 @@ first write was empty is readable, and no file footer decides the columns.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
+import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -34,6 +36,8 @@ from ..session import ensure_checkpoint_dir
 
 SCHEMA_FILE = "_table_schema"
 STREAM_LOG = "_spark_metadata"
+BUCKETS_FILE = "_buckets"
+MAX_BUCKET_SHARE = 4  # times the mean; with a larger bucket, joins are left to an exchange
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: folder of rows without a partition value
 SWAP_FILE, STAGING = "_swap", "_staging-"
 # Values of the first partition column a merge may turn into a static filter.
@@ -60,6 +64,8 @@ def refuse_stream_table(spark: SparkSession, path: str) -> None:
     stream's log: a batch write there would be invisible."""
     if path_exists(spark, f"{path}/{STREAM_LOG}"):
         raise ValueError(f"{path} is written by a stream; batch writes there would not be read")
+    if path_exists(spark, f"{path}/{BUCKETS_FILE}"):
+        raise ValueError(f"{path} is bucketed; only write_bucketed keeps its files in their buckets")
 
 
 def _read_text(spark: SparkSession, path: str) -> str | None:
@@ -125,6 +131,87 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = (P
     _keep_schema(df.sparkSession, path, df.schema)
 
 
+def _bucket_spec(spark: SparkSession, path: str) -> dict:
+    return json.loads(_read_text(spark, f"{path}/{BUCKETS_FILE}"))
+
+
+def _create_bucketed(spark: SparkSession, name: str, folder: str, spec: dict, schema: T.StructType) -> None:
+    quoted = lambda names: ", ".join(f"`{n}`" for n in names)
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    place = folder.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet PARTITIONED BY ({quoted(spec['partition_by'])}) "
+              f"CLUSTERED BY ({quoted(spec['bucket_by'])}) INTO {int(spec['buckets'])} BUCKETS LOCATION '{place}'")
+
+
+def _bucket_table(spark: SparkSession, path: str) -> str:
+    """The catalog's name for a bucketed folder, entered if this session's
+    catalog doesn't have it; only a catalog table can say how files are bucketed."""
+    name = f"bucketed_{hashlib.sha1(path.encode()).hexdigest()[:16]}"
+    if not spark.catalog.tableExists(name):
+        _create_bucketed(spark, name, path, _bucket_spec(spark, path), table_schema(spark, path))
+    spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
+    return name
+
+
+def write_bucketed(df: DataFrame, path: str, bucket_by: Sequence[str], buckets: int,
+                   partition_by: Sequence[str] = (PARTITION_DATE,), observed: Observed | None = None) -> None:
+    """Write ``df`` replacing only the partitions it contains, each in
+    ``buckets`` files by a hash of ``bucket_by``: tables bucketed alike on a
+    part of their join key are joined without an exchange.
+
+    Rows are clustered by partition and bucket first, so a bucket is one file a
+    partition, or a few where AQE splits a large one. Columns, bucketing and
+    partitioning of a table stay as they were first written, and a folder of
+    unbucketed files is refused. Null keys are a bucket like any other. The
+    files are written once, beside the table, and then swapped in.
+    """
+    spark = df.sparkSession
+    spec = {"bucket_by": list(bucket_by), "buckets": buckets, "partition_by": list(partition_by)}
+    old = _read_text(spark, f"{path}/{BUCKETS_FILE}")
+    ordered = df.select(*[c for c in df.columns if c not in partition_by], *partition_by)
+    if old is None:
+        if _partitions(spark, path, 1):
+            raise ValueError(f"{path} holds files without buckets")
+        _keep_schema(spark, path, ordered.schema)
+        _write_text(spark, f"{path}/{BUCKETS_FILE}", json.dumps(spec))
+    elif json.loads(old) != spec or [(f.name, f.dataType) for f in table_schema(spark, path)] != [
+            (f.name, f.dataType) for f in ordered.schema]:
+        raise ValueError(f"{path} was written with other buckets, partitions or columns")
+    finish_swap(spark, path)
+    staging = f"{STAGING}{uuid.uuid4().hex}"
+    part = f"bucketed_{uuid.uuid4().hex}"
+    _create_bucketed(spark, part, f"{path}/{staging}", spec, ordered.schema)
+    bucket = F.pmod(F.hash(*bucket_by), F.lit(buckets))  # the hash that Spark's bucketed files use
+    try:
+        (_arranged(ordered.withColumn("_bucket", bucket), [*partition_by, "_bucket"], observed).drop("_bucket")
+         .write.insertInto(part))
+    finally:
+        spark.sql(f"DROP TABLE {part}")  # its files stay
+    swap(spark, path, staging, _partitions(spark, f"{path}/{staging}", len(partition_by)), [])
+
+
+def bucket_bytes(spark: SparkSession, path: str) -> dict[int, int]:
+    """Bytes of each bucket over all partitions, from the files' names and sizes."""
+    depth, sizes = len(_bucket_spec(spark, path)["partition_by"]), {}
+    for folder in _partitions(spark, path, depth):
+        for name, size in data_files(spark, f"{path}/{folder}"):
+            bucket = int(re.search(r"_(\d+)(?:\.[^_]*)?$", name).group(1))
+            sizes[bucket] = sizes.get(bucket, 0) + size
+    return sizes
+
+
+def read_bucketed(spark: SparkSession, path: str, max_share: float = MAX_BUCKET_SHARE) -> DataFrame:
+    """A bucketed table. A task of its join reads a whole bucket, which AQE
+    can't split; so if one holds over ``max_share`` times the mean (a hot key)
+    the files are read as they are, and joins exchange rows and split the hot
+    key. The rows are the same."""
+    sizes, buckets = bucket_bytes(spark, path), _bucket_spec(spark, path)["buckets"]
+    if sizes and max(sizes.values()) > max_share * sum(sizes.values()) / buckets:
+        return read_table(spark, path)
+    return spark.table(_bucket_table(spark, path))
+
+
 def _partitions(spark: SparkSession, root: str, depth: int, below: str = "") -> list[str]:
     """Partition folders ``depth`` levels below ``root``, as relative paths."""
     folder, fs = _hadoop(spark, f"{root}/{below}" if below else root)

@@ -12,7 +12,7 @@ from helpers import SF_SMALL
 # Queries whose construction writes files; their plans are covered by the
 # model queries they read.
 WRITERS = {"upsert", "ingest_raw", "stream_ingest", "stream_merge", "compact_partition", "compact_small_files", "stored_failures", "footer_checks",
-           "quarantine", "declared_scan", "check_unique_digest",
+           "quarantine", "declared_scan", "check_unique_digest", "bucketed_liquidity_risk", "bucketed_cashflow_forecast",
            "dq_check_results", "dq_summary", "assertion_events"}
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas"]
