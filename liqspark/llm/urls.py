@@ -4,8 +4,8 @@ Each host has a tree of path segments. Numbers and codes in a segment become
 placeholders at once. Level by level, branches without any labelled URL become
 ``*``, those whose labelled share of unwanted URLs doesn't differ from their
 siblings' merge into ``~``, and all others keep their name. A branch's share of
-unwanted URLs is smoothed towards its parent's, so one with few labels stays
-near it and one without has the same. A template is rejected if its share is
+unwanted URLs is smoothed towards what its parent's other labels say, so one
+with few labels stays near it and one without has the parent's. A template is rejected if its share is
 high. URLs a rule decides have a tree of their own: a verdict on a path says
 nothing about what lies beside it.
 """
@@ -75,29 +75,37 @@ def page_label(html: Column, unwanted: tuple = UNWANTED) -> Column:
 def templates(shapes: DataFrame) -> DataFrame:
     """``host``, ``tree``, ``shape``, ``template`` and its ``purity``, from
     counts (``good``, ``bad``) of every shape. Every step is a grouped sum
-    joined back, so a host with very many URLs is no group of its own in a task."""
+    joined back, so a host with very many URLs is no group of its own in a task.
+
+    A branch's prior is its parent's share without the branch's own labels, so
+    each label counts once in a purity: a branch that holds all labels of its
+    parent has the parent's purity, however deep it lies.
+    """
     sums = [F.sum("bad").alias("b"), F.sum("good").alias("g")]
-    share = lambda prior: (F.col("b") + PRIOR_URLS * prior) / (F.col("b") + F.col("g") + PRIOR_URLS)
-    top = shapes.groupBy("host", "tree").agg(*sums).select(
-        "host", "tree", F.lit("").alias("template"), share(F.lit(0.5)).alias("purity"))
+    share = lambda b, g, prior: (b + PRIOR_URLS * prior) / (b + g + PRIOR_URLS)
+    purity = share(F.col("nb"), F.col("ng"), F.col("prior"))
+    top = shapes.groupBy("host", "tree").agg(F.sum("bad").alias("nb"), F.sum("good").alias("ng")).select(
+        "host", "tree", "nb", "ng", F.lit("").alias("template"), F.lit(0.5).alias("prior"))
     t = stored(shapes.join(top, ["host", "tree"]), "shapes")
     depth = t.agg(F.max(F.size("shape")).alias("d")).first()["d"] or 0
-    node = ["host", "tree", "template"]
+    node, held = ["host", "tree", "template"], ["nb", "ng", "prior"]  # a node's labels and prior
     for level in range(min(depth, MAX_DEPTH + 1)):
         at = t.withColumn("seg", F.get("shape", F.lit(level)))
-        kids = at.where("seg is not null").groupBy(*node, "seg").agg(*sums, F.max("purity").alias("p"))
-        n, p = F.col("b") + F.col("g"), F.least(F.greatest("p", F.lit(1e-6)), F.lit(1 - 1e-6))
+        kids = at.where("seg is not null").groupBy(*node, "seg").agg(*sums, *[F.max(c).alias(c) for c in held])
+        n, p = F.col("b") + F.col("g"), F.least(F.greatest(purity, F.lit(1e-6)), F.lit(1 - 1e-6))
         z = F.abs(F.col("b") / n - p) / F.sqrt(p * (1 - p) / n)
         name = F.when(n == 0, "*").when((n >= MIN_LABELLED) & (z <= MAX_Z), "~").otherwise(F.col("seg"))
         named = kids.withColumn("name", name)
         group = named.groupBy(*node, "name").agg(
-            F.sum("b").alias("b"), F.sum("g").alias("g"), F.max("p").alias("p")).select(
-            *node, "name", share(F.col("p")).alias("own"))
+            F.sum("b").alias("b"), F.sum("g").alias("g"), *[F.max(c).alias(c) for c in held]).select(
+            *node, "name", F.col("b").alias("_nb"), F.col("g").alias("_ng"),
+            share(F.col("nb") - F.col("b"), F.col("ng") - F.col("g"), F.col("prior")).alias("_prior"))
         named = named.select(*node, "seg", "name").join(group, [*node, "name"])
-        t = stored(at.join(named, [*node, "seg"], "left").withColumn("purity", F.coalesce("own", "purity")).withColumn(
+        t = stored(at.join(named, [*node, "seg"], "left").withColumns(
+            {c: F.coalesce(f"_{c}", c) for c in held}).withColumn(
             "template", F.when(F.col("seg").isNull(), F.col("template")).otherwise(
-                F.concat("template", F.lit("/"), "name"))).drop("seg", "name", "own"), "templates")
-    return t.select("host", "tree", "shape", "template", "purity")
+                F.concat("template", F.lit("/"), "name"))).drop("seg", "name", *[f"_{c}" for c in held]), "templates")
+    return t.select("host", "tree", "shape", "template", purity.alias("purity"))
 
 
 def filter_urls(pages: DataFrame, labels: DataFrame | None = None, rules: tuple = RULES,

@@ -234,6 +234,58 @@ def test_pages_label_themselves(spark):
     assert {(r["page_id"] < 20, r["verdict"]) for r in rows} == {(True, "block"), (False, "allow")}
 
 
+def plain_templates(shapes):
+    """(segments, bad, good) of one host's tree -> template and purity, by walking the tree."""
+    out, k = {}, urls.PRIOR_URLS
+
+    def walk(rows, level, name, b, g, prior):
+        purity = (b + k * prior) / (b + g + k)
+        ends = [r for r in rows if len(r[0]) == level]
+        out.update({tuple(r[0]): (name, purity) for r in ends})
+        groups = {}
+        for seg in {r[0][level] for r in rows if len(r[0]) > level}:
+            under = [r for r in rows if len(r[0]) > level and r[0][level] == seg]
+            sb, sg = sum(r[1] for r in under), sum(r[2] for r in under)
+            n, p = sb + sg, min(max(purity, 1e-6), 1 - 1e-6)
+            alike = n >= urls.MIN_LABELLED and abs(sb / n - p) / (p * (1 - p) / n) ** 0.5 <= urls.MAX_Z
+            groups.setdefault("*" if not n else "~" if alike else seg, []).extend(under)
+        for seg, under in groups.items():
+            sb, sg = sum(r[1] for r in under), sum(r[2] for r in under)
+            rest = (b - sb + k * prior) / (b + g - sb - sg + k)  # the parent without this branch
+            walk(under, level + 1, f"{name}/{seg}", sb, sg, rest)
+
+    b, g = sum(r[1] for r in shapes), sum(r[2] for r in shapes)
+    walk(shapes, 0, "", b, g, 0.5)
+    return out
+
+
+def test_url_templates_against_plain_version(spark):
+    rng, hosts = random.Random(8), {}
+    for h in range(6):
+        paths = {tuple(rng.choice("abcd") for _ in range(rng.randint(0, 4))) for _ in range(30)}
+        bad_first = rng.choice("abcd")
+        hosts[f"h{h}"] = [(list(p), *((x, rng.randint(0, 1)) if p[:1] == (bad_first,) else (0, x)))
+                          for p in sorted(paths) for x in [rng.choice((0, 0, 1, 7))]]
+    rows = [(h, "", *r) for h, shapes in hosts.items() for r in shapes]
+    got = urls.templates(spark.createDataFrame(
+        rows, "host string, tree string, shape array<string>, bad bigint, good bigint")).collect()
+    assert len(got) == len(rows)
+    want = {h: plain_templates(shapes) for h, shapes in hosts.items()}
+    for r in got:
+        name, purity = want[r["host"]][tuple(r["shape"])]
+        assert r["template"] == name and abs(r["purity"] - purity) < 1e-9
+    # the tree, not the host alone, decides
+    assert any(len({p >= urls.MIN_PURITY for _, p in w.values()}) == 2 for w in want.values())
+
+
+def test_url_label_counts_once_at_every_depth(spark):
+    rows = [(d, f"http://h{d}.test/" + "/".join("abcdefgh"[:d])) for d in range(8)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string")
+    labels = spark.createDataFrame([(d, 1) for d in range(8)], "page_id bigint, bad int")
+    got = urls.filter_urls(pages, labels).collect()
+    assert len({round(r["purity"], 9) for r in got}) == 1 and {r["verdict"] for r in got} == {"allow"}
+
+
 def test_url_query(spark):
     pages = read_table(spark, SF, "pages").collect()
     rows = {r["page_id"]: r for r in QUERIES["op8_url_filter"](spark, SF).collect()}
