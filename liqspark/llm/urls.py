@@ -29,6 +29,7 @@ GOOD_LENGTH = 50  # words of a text that label its page as wanted if none is an
 MAX_DEPTH = 8  # segments of a template; the rest of a longer path is one more
 MIN_LABELLED = 5
 PRIOR_URLS = 2  # weight of the parent's share; a host's own is smoothed towards a half
+NEUTRAL = 0.5
 MAX_Z = 2.58
 MIN_PURITY = 0.8
 
@@ -79,13 +80,15 @@ def templates(shapes: DataFrame) -> DataFrame:
 
     A branch's prior is its parent's share without the branch's own labels, so
     each label counts once in a purity: a branch that holds all labels of its
-    parent has the parent's purity, however deep it lies.
+    parent has the parent's purity, however deep it lies. A branch whose labels
+    differ from its parent's share isn't like its siblings, so these say
+    nothing about it: its prior is neutral.
     """
     sums = [F.sum("bad").alias("b"), F.sum("good").alias("g")]
     share = lambda b, g, prior: (b + PRIOR_URLS * prior) / (b + g + PRIOR_URLS)
     purity = share(F.col("nb"), F.col("ng"), F.col("prior"))
     top = shapes.groupBy("host", "tree").agg(F.sum("bad").alias("nb"), F.sum("good").alias("ng")).select(
-        "host", "tree", "nb", "ng", F.lit("").alias("template"), F.lit(0.5).alias("prior"))
+        "host", "tree", "nb", "ng", F.lit("").alias("template"), F.lit(NEUTRAL).alias("prior"))
     t = stored(shapes.join(top, ["host", "tree"]), "shapes")
     depth = t.agg(F.max(F.size("shape")).alias("d")).first()["d"] or 0
     node, held = ["host", "tree", "template"], ["nb", "ng", "prior"]  # a node's labels and prior
@@ -94,12 +97,14 @@ def templates(shapes: DataFrame) -> DataFrame:
         kids = at.where("seg is not null").groupBy(*node, "seg").agg(*sums, *[F.max(c).alias(c) for c in held])
         n, p = F.col("b") + F.col("g"), F.least(F.greatest(purity, F.lit(1e-6)), F.lit(1 - 1e-6))
         z = F.abs(F.col("b") / n - p) / F.sqrt(p * (1 - p) / n)
+        differs = (n >= MIN_LABELLED) & (z > MAX_Z)
         name = F.when(n == 0, "*").when((n >= MIN_LABELLED) & (z <= MAX_Z), "~").otherwise(F.col("seg"))
-        named = kids.withColumn("name", name)
+        named = kids.withColumns({"name": name, "differs": F.coalesce(differs, F.lit(False))})
         group = named.groupBy(*node, "name").agg(
-            F.sum("b").alias("b"), F.sum("g").alias("g"), *[F.max(c).alias(c) for c in held]).select(
+            F.sum("b").alias("b"), F.sum("g").alias("g"), F.max("differs").alias("differs"), *[F.max(c).alias(c) for c in held]).select(
             *node, "name", F.col("b").alias("_nb"), F.col("g").alias("_ng"),
-            share(F.col("nb") - F.col("b"), F.col("ng") - F.col("g"), F.col("prior")).alias("_prior"))
+            F.when(F.col("differs"), NEUTRAL).otherwise(
+                share(F.col("nb") - F.col("b"), F.col("ng") - F.col("g"), F.col("prior"))).alias("_prior"))
         named = named.select(*node, "seg", "name").join(group, [*node, "name"])
         t = stored(at.join(named, [*node, "seg"], "left").withColumns(
             {c: F.coalesce(f"_{c}", c) for c in held}).withColumn(

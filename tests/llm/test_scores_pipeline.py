@@ -248,11 +248,12 @@ def plain_templates(shapes):
             sb, sg = sum(r[1] for r in under), sum(r[2] for r in under)
             n, p = sb + sg, min(max(purity, 1e-6), 1 - 1e-6)
             alike = n >= urls.MIN_LABELLED and abs(sb / n - p) / (p * (1 - p) / n) ** 0.5 <= urls.MAX_Z
-            groups.setdefault("*" if not n else "~" if alike else seg, []).extend(under)
-        for seg, under in groups.items():
+            differs = n >= urls.MIN_LABELLED and not alike
+            groups.setdefault(("*" if not n else "~" if alike else seg, differs), []).extend(under)
+        for (seg, differs), under in groups.items():
             sb, sg = sum(r[1] for r in under), sum(r[2] for r in under)
             rest = (b - sb + k * prior) / (b + g - sb - sg + k)  # the parent without this branch
-            walk(under, level + 1, f"{name}/{seg}", sb, sg, rest)
+            walk(under, level + 1, f"{name}/{seg}", sb, sg, urls.NEUTRAL if differs else rest)
 
     b, g = sum(r[1] for r in shapes), sum(r[2] for r in shapes)
     walk(shapes, 0, "", b, g, 0.5)
